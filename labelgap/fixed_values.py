@@ -130,6 +130,11 @@ PROMPT_HEAD = (
     "\n    "
     "\n    [Input Data]"
 )
+PROMPT_LINES = [
+    "\n    - Original Name: ",
+    "\n    - Category: Snack\n    - Nutrition (per 100g): ",
+    "\n    - Raw Allergen Tags: ",
+]
 PROMPT_TAIL = (
     "\n    "
     "\n    [Target JSON Structure]"
