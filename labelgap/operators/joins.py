@@ -97,6 +97,14 @@ def left_join(
     left = left.drop(*taken).withColumn(key, normalise_key(F.col(key), null_text))
     right = right.select(normalise_key(F.col(key), null_text).alias(key), *taken)
 
+    if null_keys == "never":
+        # Null keys match nothing: they stay out of the shuffle instead of meeting in one task.
+        keyed = _join_split(left.filter(F.col(key).isNotNull()), right, key, hot_key_rows, salts)
+        return keyed.unionByName(left.filter(F.col(key).isNull()), allowMissingColumns=True)
+    return _join_split(left, right, key, hot_key_rows, salts)
+
+
+def _join_split(left, right, key, hot_key_rows, salts):
     hot = hot_keys(left, key, hot_key_rows) if hot_key_rows is not None else []
     if not hot:
         return left.join(right, key, "left")
