@@ -17,10 +17,18 @@ from labelgap.fixed_values import MODEL_NUTRIENTS, N_TREES, SEED
 from labelgap.functions.scoring import risk_advice, risk_band, risk_verdict
 from labelgap.operators.correlation import complete_rows
 from labelgap.operators.drift import PROVENANCE
-from labelgap.operators.evaluation import accuracy, auroc, class_report, confusion_matrix, discriminator_verdict, f1_score, rank_models
+from labelgap.operators.evaluation import (
+    accuracy,
+    auroc,
+    class_report,
+    confusion_matrix,
+    discriminator_verdict,
+    f1_score,
+    rank_models,
+)
 from labelgap.operators.sampling import balanced_sample, group_sizes, split_train_test
 from labelgap.operators.synthesis import augment, balance_minority
-from labelgap.session import checkpoint_dir
+from labelgap.session import set_checkpoint_dir
 
 _log = logging.getLogger(__name__)
 
@@ -48,12 +56,6 @@ def _with_weight(df: DataFrame, target: str, output: str) -> DataFrame:
     return df.withColumn(output, weight)
 
 
-def _set_checkpoint_dir(spark: SparkSession) -> None:
-    # Iterative fits cut their lineage there, so a lost executor does not restart them.
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
-
-
 def _fit(estimator, train: DataFrame, features, target, keep=()):
     rows = _assembled(train, features, [target, *keep]).select("features", *keep, F.col(target).cast("double").alias("label"))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read several times; recomputed from the source if lost
@@ -73,7 +75,7 @@ def train_detector(
     max_depth: int = MAX_DEPTH,
 ) -> Model:
     """Random forest; ``balanced`` weights each class by the inverse of its size."""
-    _set_checkpoint_dir(train.sparkSession)
+    set_checkpoint_dir(train.sparkSession)  # iterative fits cut their lineage there
     forest = RandomForestClassifier(
         numTrees=n_trees, maxDepth=max_depth, maxBins=MAX_BINS, featureSubsetStrategy="sqrt", seed=seed
     )
@@ -189,7 +191,7 @@ def discriminator_predictions(
     """
     features = [c for c in columns if c in df.columns]
     spark = df.sparkSession
-    _set_checkpoint_dir(spark)
+    set_checkpoint_dir(spark)
     sample = balanced_sample(df.select(key, side, *features), side, key, seed)
     train, test = split_train_test(complete_rows(sample, features), key, 0.3, seed, stratify=side)
     n_rows = max(1, train.count())

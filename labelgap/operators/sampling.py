@@ -15,10 +15,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelgap.fixed_values import SEED
+from labelgap.session import set_checkpoint_dir
 
 _HEX_STEP = 3
 _DIGEST_CHARS = 32
 _MAX_GROUPS = 1000
+ROW_ID = "_row"
+
+
+class TiedKeys(ValueError):
+    """Several rows with the same key meet at the cut."""
+
+
+def with_row_id(df: DataFrame, output: str = ROW_ID) -> DataFrame:
+    """Add a unique row number, written to the checkpoint folder with the rows so that it never changes again."""
+    set_checkpoint_dir(df.sparkSession)
+    return df.withColumn(output, F.monotonically_increasing_id()).checkpoint()
 
 
 def key_digest(keys: Sequence[str], seed: int = SEED) -> Column:
@@ -61,7 +73,7 @@ def digest_cuts(df: DataFrame, digest: Column, wanted: Mapping, group: str | Non
                     if remaining == n:
                         cuts[g] = prefix + "~"  # sorts behind every digest with this prefix
                     elif length >= _DIGEST_CHARS:
-                        raise ValueError("the key is not unique: equal digests meet at the cut")
+                        raise TiedKeys("the key is not unique: equal digests meet at the cut")
                     else:
                         still_open[g] = (prefix, remaining)
                     break
@@ -92,6 +104,18 @@ def class_allocation(sizes: Mapping, n_draws: int) -> dict:
     return drawn
 
 
+def _first_rows(df, keys, seed, wanted, group):
+    """The frame and the condition that holds for the first ``wanted`` rows of each group."""
+    digest = key_digest(keys, seed)
+    try:
+        cuts = digest_cuts(df, digest, wanted, group)
+    except TiedKeys:
+        df = with_row_id(df)
+        digest = key_digest([*keys, ROW_ID], seed)
+        cuts = digest_cuts(df, digest, wanted, group)
+    return df, _within_cut(digest, cuts, group)
+
+
 def mark_split(
     df: DataFrame, key: str | Sequence[str], test_size: float = 0.2, seed: int = SEED, stratify: str | None = None,
     output: str = "is_test",
@@ -100,9 +124,10 @@ def mark_split(
 
     ``stratify`` keeps the class shares: the train rows are shared out over the
     classes by largest remainder and the rest of each class is for testing.
-    ``key`` must be unique. Runs one job per three hex digits needed.
+    Runs one job per three hex digits needed. Where rows with one and the same
+    key meet at the cut they are numbered first, see ``with_row_id``.
     """
-    digest = key_digest(_as_list(key), seed)
+    keys = _as_list(key)
     if stratify is None:
         wanted = {None: math.ceil(test_size * df.count())}
     else:
@@ -110,8 +135,8 @@ def mark_split(
         n = sum(sizes.values())
         train = class_allocation(sizes, n - math.ceil(test_size * n)) if n else {}
         wanted = {g: sizes[g] - train[g] for g in sizes}
-    cuts = digest_cuts(df, digest, wanted, stratify)
-    return df.withColumn(output, F.coalesce(_within_cut(digest, cuts, stratify), F.lit(False)))
+    numbered, chosen = _first_rows(df, keys, seed, wanted, stratify)
+    return numbered.select(*df.columns, F.coalesce(chosen, F.lit(False)).alias(output))
 
 
 def split_train_test(
@@ -135,9 +160,8 @@ def balanced_sample(
     """Down-sample every side, without replacement, to the size of the smallest."""
     sizes = group_sizes(df, side)
     smallest = min(sizes.values(), default=0)
-    digest = key_digest(_as_list(key), seed)
-    cuts = digest_cuts(df, digest, {g: smallest for g in sizes}, side)
-    return df.filter(_within_cut(digest, cuts, side))
+    sampled, chosen = _first_rows(df, _as_list(key), seed, {g: smallest for g in sizes}, side)
+    return sampled.filter(chosen).select(*df.columns)
 
 
 def shuffled(df: DataFrame, key: str | Sequence[str], seed: int = SEED) -> DataFrame:

@@ -43,5 +43,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
 
 
+def set_checkpoint_dir(spark: SparkSession) -> None:
+    """Point ``checkpoint()`` and iterative fits at the shared folder, unless one is set already."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

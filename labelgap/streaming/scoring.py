@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.ml import Model
@@ -46,6 +47,8 @@ def score_line_stream(
         bad.write.mode("overwrite").parquet(f"{rejected_folder}/batch={batch_id}")
 
     lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(input_folder)
-    folder = checkpoint or f"{checkpoint_dir(spark)}/score-lines"
-    writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", folder)
+    if checkpoint is None:
+        name = hashlib.md5(f"{input_folder}|{scored_folder}".encode()).hexdigest()
+        checkpoint = f"{checkpoint_dir(spark)}/score-lines-{name}"
+    writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
