@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EXACT_KS_ROWS = 10_000
 _KS_TERMS = 100
@@ -47,7 +48,7 @@ def ks_two_sample_p(d: float, n: int, m: int) -> float:
     return _ks_exact(d, n, m) if max(n, m) <= EXACT_KS_ROWS else _ks_limit(d, n, m)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ks_pvalue(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
     return pd.Series([ks_two_sample_p(float(a), int(b), int(c)) for a, b, c in zip(d, n, m)], dtype="float64")
 

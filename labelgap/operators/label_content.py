@@ -203,7 +203,7 @@ def label_card(df: DataFrame, facts: str = "nutrition_facts") -> DataFrame:
     )
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def wrapped_lines(text: pd.Series) -> pd.Series:
     """Text wrapped to the width of a label card."""
     return text.map(lambda t: textwrap.wrap(t, width=_STATEMENT_WIDTH) if t is not None else [])
