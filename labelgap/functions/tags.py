@@ -78,7 +78,8 @@ def _group(tag: Column, groups: Mapping[str, str], compat: bool) -> Column:
     result = F.when(F.coalesce(name, F.lit("")) == "", UNKNOWN_CATEGORY)
     for part, group in groups.items():
         result = result.when(lowered.contains(part), group)
-    return result.otherwise(title_case(name))
+    # The outer default makes the column non-null for the optimizer, which then drops null filters on it.
+    return F.coalesce(result.otherwise(title_case(name)), F.lit(UNKNOWN_CATEGORY))
 
 
 def category_group(tags: Column, groups: Mapping[str, str] = CATEGORY_GROUPS, compat: bool = True) -> Column:

@@ -36,11 +36,12 @@ def case_crosstab(
 ) -> DataFrame:
     """One row per category, one zero-filled count per case, and the row total.
 
-    The case list is fixed, so no job is needed to find the columns, and the
-    counts are plain partial aggregates.
+    Rows are folded to one count per category and case before the shuffle, and
+    the fixed case list needs no job to find the columns.
     """
-    counts = [F.count_if(F.col(case) == c).alias(c) for c in cases]
-    return df.filter(F.col(category).isNotNull()).groupBy(category).agg(*counts, F.count(F.lit(1)).alias("total"))
+    folded = df.filter(F.col(category).isNotNull()).groupBy(category, case).agg(F.count(F.lit(1)).alias("_n"))
+    counts = [F.sum(F.when(F.col(case) == c, F.col("_n")).otherwise(0)).alias(c) for c in cases]
+    return folded.groupBy(category).agg(*counts, F.sum("_n").alias("total"))
 
 
 def top_categories(crosstab: DataFrame, k: int = 10, category: str = "category_top") -> DataFrame:
