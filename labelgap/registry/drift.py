@@ -125,7 +125,9 @@ def _corr_sql(side):
     cells = []
     for a in SIDE_COLUMNS:
         for b in SIDE_COLUMNS:
-            r = "1.0::DOUBLE" if a == b else f"corr({min(a, b)}, {max(a, b)}) FILTER (is_synthetic = {side})"
+            r = f"max(1.0::DOUBLE) FILTER (is_synthetic = {side})"
+            if a != b:
+                r = f"corr({min(a, b)}, {max(a, b)}) FILTER (is_synthetic = {side})"
             cells.append(f"SELECT '{a}' AS var_a, '{b}' AS var_b, {r} AS r FROM sides")
     return " UNION ALL ".join(cells)
 
