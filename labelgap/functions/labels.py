@@ -18,7 +18,7 @@ from labelgap.functions.text import float_text, strip_text, whole_number_text
 
 def product_name(names: Column, compat: bool = True) -> Column:
     """Text of the first entry of a ``{lang, text}`` array."""
-    first = F.try_element_at(names, F.lit(1))["text"]
+    first = F.get(names, F.lit(0))["text"]
     return F.coalesce(first, F.lit("None" if compat else UNKNOWN_PRODUCT_NAME))
 
 

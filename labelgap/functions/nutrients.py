@@ -20,7 +20,7 @@ def _entries(nutriments: Column, names: Sequence[str], name_field: str, value_fi
 
 def _last_value(entries: Column, name: str) -> Column:
     hits = F.filter(entries, lambda e: e["name"] == name)
-    return F.try_element_at(hits, F.lit(-1))["value"].cast("double")
+    return F.get(F.reverse(hits), F.lit(0))["value"].cast("double")
 
 
 def nutrient_columns(

@@ -31,7 +31,7 @@ def parse_score_line(line: Column, fields: Sequence[str] = MODEL_NUTRIENTS) -> d
     )
     columns = {"status": status}
     for position, field in enumerate(fields, 1):
-        word = F.lower(F.replace(F.try_element_at(words, F.lit(position)), F.lit("_"), F.lit("")))
+        word = F.lower(F.replace(F.get(words, F.lit(position - 1)), F.lit("_"), F.lit("")))
         columns[field] = F.when(status == "ok", word.try_cast("double"))
     return columns
 

@@ -49,7 +49,7 @@ def _or_default(text: Column, default: str) -> Column:
 
 def top_category(tags: Column, compat: bool = True) -> Column:
     """First tag of an array without its language mark."""
-    first = F.coalesce(F.try_element_at(tags, F.lit(1)), F.when(F.size(tags) > 0, NULL_KEY_TEXT))
+    first = F.coalesce(F.get(tags, F.lit(0)), F.when(F.size(tags) > 0, NULL_KEY_TEXT))
     return _or_default(_without_language(first, compat), MISSING)
 
 
@@ -61,7 +61,7 @@ def top_category_text(tags: Column, compat: bool = True) -> Column:
     ``en:`` is.
     """
     parts = F.filter(F.transform(F.split(tags, ","), strip_text), lambda t: t != "")
-    first = F.try_element_at(parts, F.lit(1))
+    first = F.get(parts, F.lit(0))
     single = tags
     if compat:
         in_list = F.coalesce(*(F.nullif(F.regexp_extract(tags, _ONE_ITEM_LIST, i), F.lit("")) for i in (1, 2, 3)))
@@ -84,7 +84,7 @@ def _group(tag: Column, groups: Mapping[str, str], compat: bool) -> Column:
 
 def category_group(tags: Column, groups: Mapping[str, str] = CATEGORY_GROUPS, compat: bool = True) -> Column:
     """Display group of the first tag of an array; the first part found in it decides."""
-    first = F.when(F.size(tags) > 0, F.coalesce(F.try_element_at(tags, F.lit(1)), F.lit(NULL_KEY_TEXT)))
+    first = F.when(F.size(tags) > 0, F.coalesce(F.get(tags, F.lit(0)), F.lit(NULL_KEY_TEXT)))
     return _group(first, groups, compat)
 
 

@@ -15,7 +15,7 @@ from itertools import combinations
 from statistics import NormalDist
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,10 +108,11 @@ def fit_synthesizer(
         (g, *[part for c in columns for part in _score_tables(grids[g][c], bins)]) for g in sizes
     ]
     scored = rows.join(_broadcast_rows(spark, tables, schema), F.col(target) == F.col("_class"))
-    scores = scored.select(target, *[
-        F.element_at(f"scores_{i}", F.size(F.filter(f"cuts_{i}", lambda x, c=c: x < F.col(c).cast("double"))) + 1).alias(f"z{i}")
-        for i, c in enumerate(columns)
-    ])
+
+    def score(i: int, value: Column) -> Column:
+        return F.element_at(f"scores_{i}", F.size(F.filter(f"cuts_{i}", lambda cut: cut < value)) + 1).alias(f"z{i}")
+
+    scores = scored.select(target, *[score(i, F.col(c).cast("double")) for i, c in enumerate(columns)])
     pairs = list(combinations(range(len(columns)), 2))
     found = scores.groupBy(target).agg(F.count(F.lit(1)), *[F.corr(f"z{a}", f"z{b}").alias(f"r_{a}_{b}") for a, b in pairs])
     mixing = {}
