@@ -28,6 +28,14 @@ def take_side(df: DataFrame, synthetic: bool, side: str = PROVENANCE) -> DataFra
     return df.filter(F.col(side) == int(synthetic)).drop(side)
 
 
+def long_form(columns: Sequence[str]) -> Column:
+    """``(variable, value)`` rows out of columns of one type.
+
+    Unlike ``unpivot`` this generator lets branches of a plan share their shuffle.
+    """
+    return F.inline(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("value")) for c in columns]))
+
+
 def side_values(df: DataFrame, columns: Sequence[str], side: str = PROVENANCE) -> DataFrame:
     """``(variable, value, n_original, n_synthetic)``, one row per value that is neither null nor NaN.
 
@@ -38,7 +46,7 @@ def side_values(df: DataFrame, columns: Sequence[str], side: str = PROVENANCE) -
         raise ValueError(f"none of the variables exists: {list(columns)}")
     doubles = df.select((F.col(side) == 1).alias("_synthetic"), *[F.col(c).cast("double").alias(c) for c in present])
     return (
-        doubles.unpivot(["_synthetic"], present, "variable", "value")
+        doubles.select("_synthetic", long_form(present))
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
         .select(
             "variable",

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,24 +20,23 @@ _TEXT_CUT_CHARS = 64
 _SAMPLE_PER_BUCKET = 20
 
 
-def _numeric_cuts(rows: DataFrame, order: str, by: Sequence[str], buckets: int) -> DataFrame:
+def _numeric_cuts(rows: DataFrame, order: str, measures: Sequence[str], by: Sequence[str], buckets: int) -> DataFrame:
     shares = [i / buckets for i in range(1, buckets)]
     cuts = F.percentile_approx(order, shares, max(1000, 10 * buckets)) if shares else F.array().cast("array<double>")
-    return rows.groupBy(*by).agg(cuts.alias("_cuts"))
+    # Taking the totals here reads the same columns as the running sums do, so both share one shuffle.
+    return rows.groupBy(*by).agg(cuts.alias("_cuts"), *[F.sum(m).alias(f"total_{m}") for m in measures])
 
 
-def _text_cuts(rows: DataFrame, order: str, by: Sequence[str], buckets: int) -> DataFrame:
+def _text_cuts(rows: DataFrame, order: str, buckets: int) -> DataFrame:
     # Any increasing list of cuts gives the same totals. A bounded draw by hash only
     # keeps the ranges even, and long texts are shortened within it.
     drawn = (
-        rows.select(*by, F.substring(order, 1, _TEXT_CUT_CHARS).alias("_cut"), F.xxhash64(order).alias("_draw"))
+        rows.select(F.substring(order, 1, _TEXT_CUT_CHARS).alias("_cut"), F.xxhash64(order).alias("_draw"))
         .orderBy("_draw")
         .limit(_SAMPLE_PER_BUCKET * buckets)
     )
-    spread = drawn.groupBy(*by).agg(F.array_sort(F.collect_list("_cut")).alias("_drawn"))
-    return spread.select(
-        *by, F.filter("_drawn", lambda _, i: i % F.lit(_SAMPLE_PER_BUCKET) == _SAMPLE_PER_BUCKET - 1).alias("_cuts")
-    )
+    spread = F.filter("_drawn", lambda _, i: i % F.lit(_SAMPLE_PER_BUCKET) == _SAMPLE_PER_BUCKET - 1)
+    return drawn.agg(F.array_sort(F.collect_list("_cut")).alias("_drawn")).select(spread.alias("_cuts"))
 
 
 def running_totals(
@@ -48,7 +47,7 @@ def running_totals(
     following: Sequence[str] = (),
     buckets: int | None = None,
 ) -> DataFrame:
-    """Add ``cum_<m>`` and ``total_<m>`` per measure, and ``next_<c>`` per column of ``following``.
+    """Add ``cum_<m>`` per measure, ``total_<m>`` for a numeric order, and ``next_<c>`` per column of ``following``.
 
     ``rows`` holds one row per ``by`` and ``order`` value, without nulls in ``order``;
     aggregate before calling. ``by`` must name few groups (variables, sides),
@@ -56,43 +55,49 @@ def running_totals(
     there is one group only.
     """
     by = list(by)
-    keys = by or ["_all"]
-    if not by:
-        rows = rows.withColumn("_all", F.lit(0))
     buckets = buckets or shuffle_width(rows.sparkSession)
     is_text = isinstance(rows.schema[order].dataType, T.StringType)
     if is_text and by:
         raise ValueError("a text order takes no groups")
+    cuts = _text_cuts(rows, order, buckets) if is_text else _numeric_cuts(rows, order, measures, by, buckets)
 
     # Two short searches instead of one long one: first over every step-th cut, then between two of these.
     step = max(1, math.isqrt(buckets))
-    cuts = (_text_cuts if is_text else _numeric_cuts)(rows, order, keys, buckets)
     cuts = cuts.withColumn("_coarse", F.filter("_cuts", lambda _, i: (i + 1) % F.lit(step) == 0))
-    placed = rows.join(F.broadcast(cuts), keys)  # one row per group
+    if by:
+        placed = rows.join(F.broadcast(cuts), by)  # one row per group
+    else:
+        one = rows.withColumn("_one", cuts.select(F.struct("*")).scalar())
+        placed = one.select(*rows.columns, "_one.*")
     coarse = F.size(F.filter("_coarse", lambda c: c < F.col(order)))
+    bucket = coarse
     if step > 1:
         near = F.slice("_cuts", coarse * step + 1, F.lit(step - 1))
         bucket = coarse * step + F.size(F.filter(near, lambda c: c < F.col(order)))
-    else:
-        bucket = coarse
     placed = placed.withColumn("_bucket", bucket).drop("_cuts", "_coarse")
 
-    first = F.min(F.struct(F.col(order).alias("_first"), *[F.col(c).alias(f"_next_{c}") for c in following]))
-    ranges = placed.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures], first.alias("_head"))
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    in_group = Window.partitionBy(*keys)
+    totals = [] if is_text else [F.max(f"total_{m}").alias(f"total_{m}") for m in measures]
+    ranges = placed.groupBy(*by, "_bucket").agg(
+        *[F.sum(m).alias(f"_sum_{m}") for m in measures], *totals, *[F.min_by(c, order).alias(f"_first_{c}") for c in following]
+    )
+    along = Window.partitionBy(*by).orderBy("_bucket")
+
+    def before(measure: str) -> Column:
+        if is_text:
+            return F.coalesce(F.sum(f"_sum_{measure}").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        # The total less this and the later ranges: reading the total here, too, keeps both uses of the cuts alike.
+        return F.col(f"total_{measure}") - F.sum(f"_sum_{measure}").over(along.rowsBetween(0, Window.unboundedFollowing))
+
     offsets = ranges.select(
-        *keys,
+        *by,
         "_bucket",
-        *[F.coalesce(F.sum(f"_sum_{m}").over(earlier), F.lit(0)).alias(f"_before_{m}") for m in measures],
-        *[F.sum(f"_sum_{m}").over(in_group).alias(f"total_{m}") for m in measures],
-        F.lead("_head").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_head"),
+        *[before(m).alias(f"_before_{m}") for m in measures],
+        *[F.lead(f"_first_{c}").over(along).alias(f"_first_{c}") for c in following],
     )
 
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(order)
+    inside = Window.partitionBy(*by, "_bucket").orderBy(order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = placed.join(F.broadcast(offsets), [*keys, "_bucket"])  # one row per group and range
+    joined = placed.join(F.broadcast(offsets), [*by, "_bucket"])  # one row per group and range
     added = {f"cum_{m}": F.sum(m).over(upto) + F.col(f"_before_{m}") for m in measures}
-    added |= {f"next_{c}": F.coalesce(F.lead(c).over(inside), F.col(f"_head._next_{c}")) for c in following}
-    dropped = ["_bucket", "_head", *[f"_before_{m}" for m in measures], *([] if by else ["_all"])]
-    return joined.withColumns(added).drop(*dropped)
+    added |= {f"next_{c}": F.coalesce(F.lead(c).over(inside), F.col(f"_first_{c}")) for c in following}
+    return joined.withColumns(added).drop("_bucket", *[f"_before_{m}" for m in measures], *[f"_first_{c}" for c in following])

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelgap.fixed_values import SEED
-from labelgap.session import set_checkpoint_dir
+from labelgap.session import checkpointed
 
 _HEX_STEP = 3
 _DIGEST_CHARS = 32
@@ -29,8 +29,7 @@ class TiedKeys(ValueError):
 
 def with_row_id(df: DataFrame, output: str = ROW_ID) -> DataFrame:
     """Add a unique row number, written to the checkpoint folder with the rows so that it never changes again."""
-    set_checkpoint_dir(df.sparkSession)
-    return df.withColumn(output, F.monotonically_increasing_id()).checkpoint()
+    return checkpointed(df.withColumn(output, F.monotonically_increasing_id()))
 
 
 def key_digest(keys: Sequence[str], seed: int = SEED) -> Column:

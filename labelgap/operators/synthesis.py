@@ -15,12 +15,14 @@ from itertools import combinations
 from statistics import NormalDist
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelgap.fixed_values import N_SYNTHETIC, SEED
 from labelgap.functions.stats import normal_cdf, standard_normal
+from labelgap.operators.drift import long_form
 from labelgap.operators.prefix import running_totals
 from labelgap.operators.sampling import class_allocation, group_sizes
 
@@ -48,7 +50,7 @@ def marginal_grid(df: DataFrame, columns: Sequence[str], target: str = "target",
     """
     doubles = df.select(target, *[F.col(c).cast("double").alias(c) for c in columns])
     counts = (
-        doubles.unpivot([target], list(columns), "variable", "value")
+        doubles.select(target, long_form(columns))
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy(target, "variable", (F.col("value") + F.lit(0.0)).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -90,8 +92,15 @@ def fit_synthesizer(
     df: DataFrame, columns: Sequence[str], target: str = "target", grid: int = GRID, bins: int = SCORE_BINS
 ) -> Synthesizer:
     columns = list(columns)
-    spark = df.sparkSession
-    rows = df.select(*columns, target).na.drop()
+    rows = df.select(*columns, target).na.drop().persist(StorageLevel.MEMORY_AND_DISK)  # read by each of the aggregates
+    try:
+        return _fit_rows(rows, columns, target, grid, bins)
+    finally:
+        rows.unpersist()
+
+
+def _fit_rows(rows: DataFrame, columns: list[str], target: str, grid: int, bins: int) -> Synthesizer:
+    spark = rows.sparkSession
     sizes = group_sizes(rows, target)
     if not sizes:
         raise ValueError("no complete rows to fit")

@@ -17,13 +17,15 @@ from labelgap.registry.views import (
     sides,
     table,
 )
+from labelgap.session import checkpointed
 from labelgap.streaming.scoring import parse_lines
 
 
 def training_rows(spark, folder):
-    """Labelled documents with the category as a code."""
+    """Labelled documents with the category as a code: a narrow table that the fits read many times."""
     rows = classed(spark, folder)
-    return features.apply_encoder(rows, features.fit_encoder([rows], ["category_top"]), ["category_top"])
+    encoder = features.fit_encoder([rows], ["category_top"])
+    return checkpointed(features.apply_encoder(rows, encoder, ["category_top"]))
 
 
 def synthetic_rows(spark, folder):
@@ -185,7 +187,7 @@ def scored(spark, folder):
     """Three measures of a document as three models that score its label."""
     measures = ["n_chars", "n_words", "n_lines"]
     rows = classed(spark, folder).select(F.col("target").alias("label"), *measures)
-    return rows.unpivot(["label"], measures, "model", "score")
+    return rows.select("label", drift.long_form(measures)).withColumnsRenamed({"variable": "model", "value": "score"})
 
 
 @query("auroc", f"WITH {_SCORED_SQL} SELECT model, round(auroc, 6) AS auroc FROM areas")

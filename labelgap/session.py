@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -49,5 +49,11 @@ def set_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write a frame that many jobs will read to the shared folder, and go on from there."""
+    set_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
