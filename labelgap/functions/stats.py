@@ -53,6 +53,14 @@ def ks_pvalue(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
     return pd.Series([ks_two_sample_p(float(a), int(b), int(c)) for a, b, c in zip(d, n, m)], dtype="float64")
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation of columns that are present together; null where one is constant.
+
+    ``corr`` itself raises on a constant column when ANSI mode is on.
+    """
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def normal_cdf(z: Column) -> Column:
     """Standard normal distribution function by a rational expression, error below 1e-7."""
     x = F.abs(z) / F.lit(math.sqrt(2.0))

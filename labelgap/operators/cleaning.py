@@ -147,9 +147,8 @@ def impute_group_mean(df: DataFrame, columns: Sequence[str], group: str) -> Data
     valued = df.withColumns(present)
     means = valued.groupBy(group).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
     overall = valued.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    joined = valued.alias("v").join(
-        broadcast_if_small(means.withColumnRenamed(group, "_group")), F.col(group).eqNullSafe(F.col("_group")), "left"
-    )
+    means = broadcast_if_small(means.withColumnRenamed(group, "_of_group"))
+    joined = valued.join(means, F.col(group).eqNullSafe(F.col("_of_group")), "left")
     filled = {c: F.coalesce(F.col(c), F.col(f"_mean_{c}"), F.lit(overall[c]).cast("double")) for c in columns}
     return joined.withColumns(filled).select(*df.columns)
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelgap.fixed_values import KEY_PAIRS
+from labelgap.functions import stats
 from labelgap.operators.drift import PROVENANCE
 
 
@@ -31,7 +32,7 @@ def _correlation(a: str, b: str, condition: Column) -> Column:
     x, y = (F.when(condition, F.col(c).cast("double")) for c in (a, b))
     if a == b:
         return F.when(F.stddev_samp(x) > 0, F.lit(1.0))
-    return F.corr(x, y)
+    return stats.correlation(x, y)
 
 
 def correlation_differences(df: DataFrame, columns: Sequence[str], side: str = PROVENANCE) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelgap.fixed_values import N_SYNTHETIC, SEED
-from labelgap.functions.stats import normal_cdf, standard_normal
+from labelgap.functions.stats import correlation, normal_cdf, standard_normal
 from labelgap.operators.drift import long_form
 from labelgap.operators.prefix import running_totals
 from labelgap.operators.sampling import class_allocation, group_sizes
@@ -123,7 +123,9 @@ def _fit_rows(rows: DataFrame, columns: list[str], target: str, grid: int, bins:
 
     scores = scored.select(target, *[score(i, F.col(c).cast("double")) for i, c in enumerate(columns)])
     pairs = list(combinations(range(len(columns)), 2))
-    found = scores.groupBy(target).agg(F.count(F.lit(1)), *[F.corr(f"z{a}", f"z{b}").alias(f"r_{a}_{b}") for a, b in pairs])
+    found = scores.groupBy(target).agg(F.count(F.lit(1)), *[
+        correlation(F.col(f"z{a}"), F.col(f"z{b}")).alias(f"r_{a}_{b}") for a, b in pairs
+    ])
     mixing = {}
     for row in found.collect():
         matrix = np.eye(len(columns))
