@@ -10,40 +10,36 @@ from pyspark.sql import functions as F
 from labelgap.fixed_values import KILOJOULE_NAME, KJ_PER_KCAL, NUTRIENT_SOURCES
 
 
-def _entries(nutriments: Column, names: Sequence[str], name_field: str, value_field: str) -> Column:
-    # Zipping the two field arrays keeps every other field of the entries out of the scan.
+def usable_entries(nutriments: Column, name_field: str = "name", value_field: str = "100g") -> Column:
+    """``{name, value}`` entries that have both, the last one first.
+
+    Zipping the two field arrays keeps every other field of the entries out of the scan.
+    """
     pairs = F.arrays_zip(
         nutriments.getField(name_field).alias("name"), nutriments.getField(value_field).alias("value")
     )
-    return F.filter(pairs, lambda e: e["name"].isin(*names) & e["value"].isNotNull())
-
-
-def _last_value(entries: Column, name: str) -> Column:
-    hits = F.filter(entries, lambda e: e["name"] == name)
-    return F.get(F.reverse(hits), F.lit(0))["value"].cast("double")
+    return F.reverse(F.filter(pairs, lambda e: e["name"].isNotNull() & e["value"].isNotNull()))
 
 
 def nutrient_columns(
-    nutriments: Column,
-    sources: Mapping[str, Sequence[str]] = NUTRIENT_SOURCES,
-    name_field: str = "name",
-    value_field: str = "100g",
+    entries: Column, sources: Mapping[str, Sequence[str]] = NUTRIENT_SOURCES
 ) -> dict[str, Column]:
-    """One double expression per nutrient.
+    """One double expression per nutrient, out of ``usable_entries``.
 
     The last entry of a name wins. Names are tried in order and a kilojoule
     energy is converted. A NaN counts as found, so it stops the search and
     ends as 0, like an absent nutrient.
     """
-    wanted = sorted({name for names in sources.values() for name in names})
-    entries = _entries(nutriments, wanted, name_field, value_field)
+
+    def value_of(name: str) -> Column:
+        position = F.array_position(entries["name"], name).cast("int") - 1
+        return F.get(entries["value"], position).cast("double")
+
     columns = {}
     for target, names in sources.items():
         found = []
         for name in names:
-            value = _last_value(entries, name)
             kilojoules = name == KILOJOULE_NAME and len(names) > 1
-            found.append(value / F.lit(KJ_PER_KCAL) if kilojoules else value)
-        first = F.coalesce(*found, F.lit(0.0))
-        columns[target] = F.nanvl(first, F.lit(0.0))
+            found.append(value_of(name) / F.lit(KJ_PER_KCAL) if kilojoules else value_of(name))
+        columns[target] = F.nanvl(F.coalesce(*found, F.lit(0.0)), F.lit(0.0))
     return columns

@@ -19,7 +19,7 @@ from labelgap.fixed_values import (
     SPARSE_COLUMN_SHARE,
     TAG_COLUMNS,
 )
-from labelgap.functions.nutrients import nutrient_columns
+from labelgap.functions.nutrients import nutrient_columns, usable_entries
 from labelgap.functions.tags import (
     allergen_flags,
     category_group,
@@ -42,7 +42,9 @@ def add_nutrients(
     name_field: str = "name",
     value_field: str = "100g",
 ) -> DataFrame:
-    return df.withColumns(nutrient_columns(F.col(nutriments), sources, name_field, value_field))
+    """Append one column per nutrient. The usable entries are a column of their own, so they are formed once per row."""
+    entries = usable_entries(F.col(nutriments), name_field, value_field)
+    return df.withColumn("_entries", entries).withColumns(nutrient_columns(F.col("_entries"), sources)).drop("_entries")
 
 
 def fill_numeric(df: DataFrame, columns: Sequence[str] | None = None, value: float = 0.0) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from labelgap.fixed_values import CATEGORICAL_FEATURES, FLAG_PREFIXES, ID_COLUMNS, NUTRIENT_MARK
 from labelgap.operators.joins import broadcast_if_small
 from labelgap.operators.prefix import running_totals
+from labelgap.session import checkpointed
 
 SCALER_KINDS = ("standard", "minmax")
 
@@ -142,7 +143,7 @@ def fit_encoder(frames: Sequence[DataFrame], columns: Sequence[str], buckets: in
     encoder = maps[0]
     for other in maps[1:]:
         encoder = encoder.union(other)
-    return encoder
+    return checkpointed(encoder)  # a fitted table, read once per encoded column and frame
 
 
 def apply_encoder(df: DataFrame, encoder: DataFrame, columns: Sequence[str]) -> DataFrame:

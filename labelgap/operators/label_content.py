@@ -126,11 +126,14 @@ def parse_labels(
 ) -> tuple[DataFrame, DataFrame]:
     """(labels with their source code, rejected rows). The JSON is cut out of its surroundings first."""
     with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = df.withColumn("_label", F.from_json(json_rescue(F.col(text)), with_corrupt))
-    is_bad = F.col("_label").isNull() | F.col(f"_label.{_CORRUPT}").isNotNull()
-    fields = [F.col(f"_label.`{f.name}`").alias(f.name) for f in schema if f.name != code_field]
-    good = parsed.filter(~is_bad).select(*fields, F.col(key).cast("string").alias(code_field))
-    return good, parsed.filter(is_bad).select(key, text)
+    # Generated columns are computed once per row; a filter on a plain column would parse a second time.
+    parsed = df.select(
+        F.col(key).alias("_key"), F.col(text).alias("_text"), F.inline(F.array(F.from_json(json_rescue(F.col(text)), with_corrupt)))
+    )
+    is_bad = F.col("_text").isNull() | F.col(_CORRUPT).isNotNull()
+    fields = [f"`{f.name}`" for f in schema if f.name != code_field]
+    good = parsed.filter(~is_bad).select(*fields, F.col("_key").cast("string").alias(code_field))
+    return good, parsed.filter(is_bad).select(F.col("_key").alias(key), F.col("_text").alias(text))
 
 
 # -- flattening and report ---------------------------------------------------------

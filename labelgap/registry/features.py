@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from labelgap.fixed_values import ALLERGEN_PATTERNS, LABEL_PATTERNS, NUTRIENT_SOURCES
-from labelgap.functions.nutrients import nutrient_columns
 from labelgap.functions.text import normalise_key
 from labelgap.operators import cleaning, frequency
 from labelgap.registry.catalog import query
@@ -29,8 +28,8 @@ def nutrient_pivot(spark, folder):
 
 @query("energy_fallback", f"WITH {PRODUCTS_SQL}, {NUTRIENTS_SQL} SELECT o_orderkey, round(energy_100g, 6) AS energy_100g FROM nutrients")
 def energy_fallback(spark, folder):
-    energy = nutrient_columns(F.col("nutriments"), {"energy_100g": ["energy-kcal", "energy"]})
-    return rounded(products(spark, folder).select("o_orderkey", energy["energy_100g"].alias("energy_100g")), "energy_100g")
+    found = cleaning.add_nutrients(products(spark, folder), sources={"energy_100g": ["energy-kcal", "energy"]})
+    return rounded(found.select("o_orderkey", "energy_100g"), "energy_100g")
 
 
 @query(

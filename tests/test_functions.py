@@ -42,7 +42,7 @@ def test_nutrients(spark):
         [("", 5.0, "g"), (None, 5.0, "g")],
         [("energy-kcal", 10.0, "g"), ("energy", 418.4, "g"), ("salt", 0.5, "g")],
     ]
-    wanted = nutrients.nutrient_columns(v())
+    wanted = nutrients.nutrient_columns(nutrients.usable_entries(v()))
     found = one(spark, schema, values, wanted["energy_100g"], wanted["fat_100g"], wanted["salt_100g"])
     assert [f[1] for f in found] == [2, 0, 0, 0, 0, 3, 0, 0]
     assert found[1][0] == pytest.approx(99.99999854)
