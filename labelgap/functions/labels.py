@@ -79,8 +79,9 @@ def label_prompt(name: Column, nutrition: Column, allergens: Column) -> Column:
 def json_rescue(text: Column) -> Column:
     """Drop code fences, then keep what lies between the first ``{`` and the last ``}``."""
     bare = F.regexp_replace(text, r"```json\s*|```", "")
-    inner = F.regexp_extract(bare, r"(?s)\{.*\}", 0)
-    return F.when(inner != "", inner).otherwise(strip_text(bare))
+    first, from_end = F.instr(bare, "{"), F.instr(F.reverse(bare), "}")
+    length = F.char_length(bare) - from_end + 2 - first
+    return F.when((first > 0) & (from_end > 0) & (length > 1), F.substring(bare, first, length)).otherwise(strip_text(bare))
 
 
 def list_to_text(items: Column) -> Column:

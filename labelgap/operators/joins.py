@@ -30,9 +30,8 @@ def _row_bytes(df: DataFrame) -> Column:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure a side before it is broadcast. Looks at no more than ``max_rows + 1`` rows."""
-    sizes = df.select(_row_bytes(df).alias("bytes")).limit(max_rows + 1)
-    found = sizes.agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes")).first()
+    """Measure a side before it is broadcast: one aggregate, no rows are moved."""
+    found = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")).first()
     return found["rows"] <= max_rows and (found["bytes"] or 0) <= max_bytes
 
 

@@ -19,7 +19,7 @@ from labelgap.session import checkpointed
 
 _HEX_STEP = 3
 _DIGEST_CHARS = 32
-_MAX_GROUPS = 1000
+_MAX_GROUPS = 100
 ROW_ID = "_row"
 
 

@@ -54,12 +54,14 @@ def left_join_nutrients(spark, folder):
 
 @query(
     "null_key_join",
-    f"""WITH {PRODUCTS_SQL}, keyed AS (SELECT o_orderkey, {_KEY_SQL} AS code FROM products)
-    SELECT l.o_orderkey, l.code, r.o_orderkey AS r_key FROM keyed l LEFT JOIN keyed r ON l.code = r.code""",
+    f"""WITH {PRODUCTS_SQL}, keyed AS (SELECT o_orderkey, {_KEY_SQL} AS code FROM products),
+    per_code AS (SELECT code, max(o_orderkey) AS last_key FROM keyed GROUP BY code)
+    SELECT l.o_orderkey, l.code, r.last_key FROM keyed l LEFT JOIN per_code r ON l.code = r.code""",
 )
 def null_key_join(spark, folder):
+    # One row per code on the right, null among them: the null keys of the left all find it.
     left = products(spark, folder).select("o_orderkey", "code")
-    return joins.left_join(left, left.withColumnRenamed("o_orderkey", "r_key"), "code", ["r_key"])
+    return joins.left_join(left, left.groupBy("code").agg(F.max("o_orderkey").alias("last_key")), "code", ["last_key"])
 
 
 @query(

@@ -224,7 +224,7 @@ def test_class_allocation():
 
 def test_too_many_classes(spark):
     with pytest.raises(ValueError):
-        sampling.group_sizes(spark.range(2000), "id")
+        sampling.group_sizes(spark.range(500), "id")
 
 
 def test_balanced_sample(spark):
