@@ -113,3 +113,17 @@ def test_other_text_forms(spark):
     assert add_language_case(plain).first()["language_case"] == "Compliant (수출/글로벌용)"
     none = spark.createDataFrame([(1,)], "x int")
     assert add_language_case(none).columns == ["x"]
+
+
+def test_command_line(spark, products, tmp_path):
+    from labelgap.__main__ import main
+
+    source, out = str(tmp_path / "products"), str(tmp_path / "out")
+    products.write.parquet(source)
+    main(["preprocess", "--input", str(tmp_path / "absent"), source, "--output", out])
+    main(["gap", "--input", source, "--output", out])
+    main(["merge", "--gap", f"{out}/gap", "--preprocessed", f"{out}/preprocessed", "--output", out])
+    main(["draft-labels", "--gap", f"{out}/gap", "--preprocessed", f"{out}/preprocessed", "--output", out])
+    assert spark.read.csv(f"{out}/gap_gap_ratio", header=True).first()["category_top"] == "Snacks"
+    assert spark.read.parquet(f"{out}/merged").count() == 140
+    assert spark.read.parquet(f"{out}/labels").count() == 5
