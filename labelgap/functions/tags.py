@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -72,8 +74,8 @@ def top_category_text(tags: Column, compat: bool = True) -> Column:
     return _or_default(_without_language(picked, compat), MISSING)
 
 
-def _group(tag: Column, groups: Mapping[str, str], compat: bool) -> Column:
-    name = _without_language(tag, compat)
+def group_of(name: Column, groups: Mapping[str, str] = CATEGORY_GROUPS) -> Column:
+    """Display group of a tag without its language mark; the first part found in it decides."""
     lowered = F.lower(name)
     result = F.when(F.coalesce(name, F.lit("")) == "", UNKNOWN_CATEGORY)
     for part, group in groups.items():
@@ -82,21 +84,33 @@ def _group(tag: Column, groups: Mapping[str, str], compat: bool) -> Column:
     return F.coalesce(result.otherwise(title_case(name)), F.lit(UNKNOWN_CATEGORY))
 
 
-def category_group(tags: Column, groups: Mapping[str, str] = CATEGORY_GROUPS, compat: bool = True) -> Column:
-    """Display group of the first tag of an array; the first part found in it decides."""
+def first_name(tags: Column, compat: bool = True) -> Column:
+    """First tag of an array without its language mark; null when there is none."""
     first = F.when(F.size(tags) > 0, F.coalesce(F.get(tags, F.lit(0)), F.lit(NULL_KEY_TEXT)))
-    return _group(first, groups, compat)
+    return _without_language(first, compat)
+
+
+def first_name_text(tags: Column, compat: bool = True) -> Column:
+    """First tag of a comma text without its language mark."""
+    first = strip_text(F.substring_index(tags, ",", 1))
+    return _without_language(F.when(~tags.isin(MISSING, "nan"), first), compat)
+
+
+def category_group(tags: Column, groups: Mapping[str, str] = CATEGORY_GROUPS, compat: bool = True) -> Column:
+    """Display group of the first tag of an array."""
+    return group_of(first_name(tags, compat), groups)
 
 
 def category_group_text(tags: Column, groups: Mapping[str, str] = CATEGORY_GROUPS, compat: bool = True) -> Column:
     """Display group of the first tag of a comma text."""
-    first = strip_text(F.substring_index(tags, ",", 1))
-    return _group(F.when(~tags.isin(MISSING, "nan"), first), groups, compat)
+    return group_of(first_name_text(tags, compat), groups)
 
 
 def _flags(text: Column, patterns: Mapping[str, str]) -> dict[str, Column]:
+    # Substrings parted by bars: a plain search for each is cheaper than a regular expression.
     lowered = F.lower(text)
-    return {name: F.coalesce(lowered.rlike(pattern), F.lit(False)) for name, pattern in patterns.items()}
+    hits = {name: reduce(or_, (lowered.contains(part) for part in parts.split("|"))) for name, parts in patterns.items()}
+    return {name: F.coalesce(hit, F.lit(False)) for name, hit in hits.items()}
 
 
 def allergen_flags(tags_text: Column, patterns: Mapping[str, str] = ALLERGEN_PATTERNS) -> dict[str, Column]:

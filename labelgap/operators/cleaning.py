@@ -22,10 +22,11 @@ from labelgap.fixed_values import (
 from labelgap.functions.nutrients import nutrient_columns, usable_entries
 from labelgap.functions.tags import (
     allergen_flags,
-    category_group,
-    category_group_text,
-    label_flags,
+    first_name,
+    first_name_text,
+    group_of,
     joined_tags,
+    label_flags,
     tags_to_text,
     top_category,
     top_category_text,
@@ -99,8 +100,9 @@ def add_top_category(
 def add_category_group(
     df: DataFrame, tags: str = "categories_tags", output: str = "category_top", compat: bool = True
 ) -> DataFrame:
-    pick = category_group if _is_array(df, tags) else category_group_text
-    return df.withColumn(output, pick(F.col(tags), compat=compat))
+    """Display group of the first category tag. The name is a column of its own, so it is formed once per row."""
+    name = (first_name if _is_array(df, tags) else first_name_text)(F.col(tags), compat)
+    return df.withColumn("_name", name).withColumn(output, group_of(F.col("_name"))).drop("_name")
 
 
 def _add_flags(df, tags, patterns, flags):

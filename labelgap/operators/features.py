@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelgap.fixed_values import CATEGORICAL_FEATURES, FLAG_PREFIXES, ID_COLUMNS, NUTRIENT_MARK
-from labelgap.operators.joins import broadcast_if_small
+from labelgap.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS
 from labelgap.operators.prefix import running_totals
 from labelgap.session import checkpointed
 
@@ -146,21 +146,29 @@ def fit_encoder(frames: Sequence[DataFrame], columns: Sequence[str], buckets: in
     return checkpointed(encoder)  # a fitted table, read once per encoded column and frame
 
 
+def _small_maps(encoder: DataFrame) -> set[str]:
+    """Columns whose map is measured to fit a broadcast, in one job for all columns."""
+    size = F.sum(F.octet_length("value") + 24)
+    sizes = encoder.groupBy("column").agg(F.count(F.lit(1)).alias("rows"), size.alias("bytes")).collect()  # a row per column
+    return {r["column"] for r in sizes if r["rows"] <= BROADCAST_ROWS and r["bytes"] <= BROADCAST_BYTES}
+
+
 def apply_encoder(df: DataFrame, encoder: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace each value by its code; null stays null."""
-    return _translate(df, encoder, columns, "value", "code", "string")
+    return _translate(df, encoder, columns, "value", "code", "string", _small_maps(encoder))
 
 
 def decode(df: DataFrame, encoder: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The inverse: codes back to values."""
-    return _translate(df, encoder, columns, "code", "value", "int")
+    return _translate(df, encoder, columns, "code", "value", "int", _small_maps(encoder))
 
 
-def _translate(df, encoder, columns, source, target, kind):
+def _translate(df, encoder, columns, source, target, kind, small):
     order = df.columns
     for name in [c for c in columns if c in order]:
         table = encoder.filter(F.col("column") == name).select(F.col(source).alias(name), F.col(target).alias("_to"))
-        joined = df.withColumn(name, F.col(name).cast(kind)).join(broadcast_if_small(table), name, "left")
+        table = F.broadcast(table) if name in small else table
+        joined = df.withColumn(name, F.col(name).cast(kind)).join(table, name, "left")
         df = joined.withColumn(name, F.col("_to")).select(*order)
     return df
 
@@ -170,7 +178,9 @@ def encode_categorical(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Encode both parts with codes fitted on both, so no test value is unknown."""
     encoder = fit_encoder([train, test], columns)
-    return apply_encoder(train, encoder, columns), apply_encoder(test, encoder, columns), encoder
+    small = _small_maps(encoder)
+    parts = [_translate(part, encoder, columns, "value", "code", "string", small) for part in (train, test)]
+    return parts[0], parts[1], encoder
 
 
 # -- saved parameters ------------------------------------------------------------

@@ -127,9 +127,8 @@ def parse_labels(
     """(labels with their source code, rejected rows). The JSON is cut out of its surroundings first."""
     with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     # Generated columns are computed once per row; a filter on a plain column would parse a second time.
-    parsed = df.select(
-        F.col(key).alias("_key"), F.col(text).alias("_text"), F.inline(F.array(F.from_json(json_rescue(F.col(text)), with_corrupt)))
-    )
+    rescued = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"), json_rescue(F.col(text)).alias("_json"))
+    parsed = rescued.select("_key", "_text", F.inline(F.array(F.from_json("_json", with_corrupt))))
     is_bad = F.col("_text").isNull() | F.col(_CORRUPT).isNotNull()
     fields = [f"`{f.name}`" for f in schema if f.name != code_field]
     good = parsed.filter(~is_bad).select(*fields, F.col("_key").cast("string").alias(code_field))

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelgap.fixed_values import NUTRIENT_SOURCES
-from labelgap.functions.language import language_case, presence_in_array, presence_in_struct, presence_in_text
+from labelgap.functions.language import (
+    entries_before_unnamed,
+    language_case,
+    presence_in_array,
+    presence_in_struct,
+    presence_in_text,
+)
 from labelgap.operators import cleaning, frequency, joins, population
 from labelgap.plans.config import Config, stage
 
@@ -22,14 +28,16 @@ def add_language_case(df: DataFrame, text: str = "ingredients_text", config: Con
         return df
     kind = df.schema[text].dataType
     if isinstance(kind, T.ArrayType):
+        # The entries that count are a column of their own, so they are picked once per row.
+        df = df.withColumn("_seen", entries_before_unnamed(F.col(text)) if config.compat else F.col(text))
         domestic, export = presence_in_array(
-            F.col(text), config.domestic_codes, config.export_codes, config.domestic_script, config.compat
+            F.col("_seen"), config.domestic_codes, config.export_codes, config.domestic_script, stop_at_unnamed=False
         )
     elif isinstance(kind, T.StructType):
         domestic, export = presence_in_struct(F.col(text), config.domestic_codes, config.export_codes)
     else:
         domestic, export = presence_in_text(F.col(text), config.domestic_script)
-    marked = df.withColumns({"has_ingredients_ko": domestic, "has_ingredients_en": export})
+    marked = df.withColumns({"has_ingredients_ko": domestic, "has_ingredients_en": export}).drop("_seen")
     return marked.withColumn("language_case", language_case(F.col("has_ingredients_ko"), F.col("has_ingredients_en")))
 
 
