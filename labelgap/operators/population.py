@@ -4,22 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelgap.fixed_values import BROAD_MARKET_PATTERN, PRODUCT_COLUMNS
 from labelgap.functions.tags import tag_matches
 
 
+def _matches(df: DataFrame, tags: str, pattern: str) -> Column:
+    if isinstance(df.schema[tags].dataType, T.ArrayType):
+        return tag_matches(F.col(tags), pattern)
+    return F.coalesce(F.lower(F.col(tags).cast("string")).rlike(pattern), F.lit(False))
+
+
 def filter_by_tag(df: DataFrame, tags: str = "countries_tags", pattern: str = BROAD_MARKET_PATTERN) -> DataFrame:
-    return df.filter(tag_matches(F.col(tags), pattern))
+    """Rows with a tag that matches; works on a tag array and on its text form."""
+    return df.filter(_matches(df, tags, pattern))
 
 
 def filter_selectivity(
     df: DataFrame, tags: str = "countries_tags", pattern: str = BROAD_MARKET_PATTERN
 ) -> DataFrame:
     """Kept rows, all rows and the kept share in percent, in one pass."""
-    counted = df.agg(F.count_if(tag_matches(F.col(tags), pattern)).alias("kept"), F.count(F.lit(1)).alias("total"))
+    counted = df.agg(F.count_if(_matches(df, tags, pattern)).alias("kept"), F.count(F.lit(1)).alias("total"))
     return counted.withColumn("kept_pct", F.when(F.col("total") > 0, F.col("kept") / F.col("total") * 100))
 
 

@@ -86,7 +86,23 @@ def label_prompt(spark, folder):
     return prompts(spark, folder)
 
 
-@query("label_complete")
+_COMPLETION_SQL = " || ".join([
+    """'```json' || chr(10) || '{"product_name_en": "' || n.first_name || '", "serving_size": "100g", "calories_per_serving": "'""",
+    _sql_whole("round(energy_100g, 2)"),
+    """' kcal", "nutrition_facts": {"total_fat": "' || CAST(round(fat_100g, 2) AS VARCHAR) || 'g", "sodium": "'""",
+    _sql_whole("round(sodium_100g, 2) * 1000"),
+    """'mg", "total_carbohydrate": "' || CAST(round(carbohydrates_100g, 2) AS VARCHAR) || 'g", "protein": "'""",
+    """CAST(round(proteins_100g, 2) AS VARCHAR) || 'g"}, "allergen_statement": "Contains: ' || allergens""",
+    """'", "marketing_claims": []}' || chr(10) || '```'""",
+])
+
+
+@query(
+    "label_complete",
+    f"""WITH {PRODUCTS_SQL}, {NUTRIENTS_SQL}, {_ALLERGENS_SQL}
+    SELECT n.o_orderkey, {_COMPLETION_SQL} AS text, NULL::VARCHAR AS error
+    FROM nutrients n JOIN allergens a ON n.o_orderkey = a.o_orderkey""",
+)
 def label_complete(spark, folder):
     return label_content.complete_labels(prompts(spark, folder), key="o_orderkey")
 

@@ -60,7 +60,11 @@ def copula_marginals(spark, folder):
     return synthesis.marginal_grid(sides(spark, folder), SIDE_COLUMNS, "is_synthetic", _GRID)
 
 
-@query("balance_minority")
+@query(
+    "balance_minority",
+    f"""WITH {CLASSED_SQL} SELECT target, 0 AS is_synthetic, count(*) AS n FROM classed GROUP BY target
+    UNION ALL SELECT 1, 1, (count_if(target = 0) - count_if(target = 1))::BIGINT FROM classed""",
+)
 def balance_minority(spark, folder):
     real = training_rows(spark, folder)
     added = synthesis.balance_minority(real, CLASS_FEATURES)

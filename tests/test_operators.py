@@ -29,6 +29,11 @@ def test_project_reports_missing(spark):
     assert df.columns == ["code"] and missing == ["brands"]
 
 
+def test_filter_on_tag_text(spark):
+    df = spark.createDataFrame([("en:KR,en:x",), ("fr",), (None,)], "countries_tags string")
+    assert [r[0] for r in population.filter_by_tag(df).collect()] == ["en:KR,en:x"]
+
+
 def test_null_profile_skips_full_columns(spark):
     df = spark.createDataFrame([(1, None, 1.0), (2, "a", float("nan"))], "a int, b string, c double")
     assert {tuple(r) for r in population.null_profile(df).collect()} == {("b", 50.0), ("c", 50.0)}
