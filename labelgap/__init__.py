@@ -1,4 +1,11 @@
 """labelgap: label-language gap analysis, feature preparation, synthesis,
 risk detection and synthetic-data validation, written as Spark DataFrame jobs."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# The few Python functions that run in tasks travel with the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -239,3 +239,16 @@ def test_normal_cdf_and_uniform(spark):
     )
     mean, low, high, z, s = rows.agg(F.avg("u"), F.min("u"), F.max("u"), F.avg("z"), F.stddev("z")).first()
     assert abs(mean - 0.5) < 0.01 and 0 < low < high < 1 and abs(z) < 0.03 and abs(s - 1) < 0.03
+
+
+def test_task_functions_need_no_package(tmp_path):
+    """Executors without the package can run what a job sends them."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(stats.ks_two_sample_p))
+    code = "import pickle; print(pickle.load(open('f.pkl', 'rb'))(1.0, 2, 1))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert float(done.stdout) == pytest.approx(2 / 3), done.stderr
