@@ -33,7 +33,7 @@ def run(name: str, spark, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = os.environ.get("BENCH_QUERIES")
     load()
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)

@@ -7,7 +7,7 @@ from labelgap.functions.text import normalise_key
 from labelgap.operators import cleaning, frequency
 from labelgap.registry.catalog import query
 from labelgap.registry.population import NULLABLE_SQL, nullable
-from labelgap.registry.views import NUTRIENTS_SQL, PRODUCTS_SQL, products, sql_group, table
+from labelgap.registry.views import NUTRIENTS_SQL, PRODUCTS_SQL, products, sql_group
 
 _NUTRIENTS = list(NUTRIENT_SOURCES)
 

@@ -40,7 +40,7 @@ def project_available(spark, folder):
     return population.project_available(products(spark, folder), wanted)[0]
 
 
-_NULLABLE_SQL = """
+NULLABLE_SQL = """
 nullable AS (SELECT l_orderkey, l_quantity, l_returnflag,
     CASE WHEN l_linenumber <> 3 THEN l_discount END AS l_discount,
     CASE WHEN l_quantity <= 45 THEN l_tax END AS l_tax,
@@ -50,7 +50,7 @@ nullable AS (SELECT l_orderkey, l_quantity, l_returnflag,
 
 
 def nullable(spark, folder):
-    """Line items with nulls: see the SQL above."""
+    """Line items with nulls: the SQL above says where."""
     return table(spark, folder, "lineitem").select(
         "l_orderkey", "l_quantity", "l_returnflag",
         F.when(F.col("l_linenumber") != 3, F.col("l_discount")).alias("l_discount"),
@@ -60,9 +60,6 @@ def nullable(spark, folder):
     )
 
 
-NULLABLE_SQL = _NULLABLE_SQL
-
-
 @query(
     "null_profile",
     f"""WITH {NULLABLE_SQL},
