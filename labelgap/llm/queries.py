@@ -4,16 +4,24 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from labelgap.llm.decontaminate import contaminated
+from labelgap.llm.minhash import near_duplicates
 from labelgap.llm.prefix_bpe import encoding_digests
 from labelgap.llm.registry import query
 from labelgap.llm.stages import stage_path
 from labelgap.llm.token_counts import encoded_lengths, length_histogram
 from labelgap.llm.token_file import read_token_digests, write_token_file
+from labelgap.llm.toxicity import score, train
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: In the order of the chain: a text of low quality first, so that its probability helps to tell a toxic one.
+CATEGORIES = ("low_quality", "toxic")
+#: Probability from which a document counts as toxic.
+TOXIC_FROM = 0.5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +33,48 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), MULTI_RANKS, public_tokenizers.PATTERN)
 
 
+_NEAR_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), runs AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM words
+), sizes AS (SELECT doc_id, len(s) AS n_shingles FROM runs),
+single AS (SELECT doc_id, unnest(s) AS g FROM runs),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM single a JOIN single b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2 HAVING 100 * count(*) >= 75 * (
+    (SELECT n_shingles FROM sizes s WHERE s.doc_id = a.doc_id) + (SELECT n_shingles FROM sizes s WHERE s.doc_id = b.doc_id) - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN least USING (doc_id)
+"""
+
+
+@query("op7_minhash_groups", _NEAR_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_contaminated")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def quality_and_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels as categories that are 1 for what is unwanted."""
+    return table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+
+
+@query("op6_classifier_chain")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = train(docs, quality_and_toxicity(spark, sf_dir), CATEGORIES)
+    return score(docs, chain).withColumn("is_toxic", F.col("p_toxic") >= TOXIC_FROM)
+
+
 @query("op8_length_histogram")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = encoded_lengths(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
