@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelgap.llm.decontaminate import contaminated
+from labelgap.llm.html_text import extract
+from labelgap.llm.license_scan import scan
 from labelgap.llm.minhash import near_duplicates
 from labelgap.llm.prefix_bpe import encoding_digests
 from labelgap.llm.registry import query
@@ -14,6 +16,7 @@ from labelgap.llm.stages import stage_path
 from labelgap.llm.token_counts import encoded_lengths, length_histogram
 from labelgap.llm.token_file import read_token_digests, write_token_file
 from labelgap.llm.toxicity import score, train
+from labelgap.llm.vector_groups import vector_groups
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -28,6 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_license_diagonals")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))[1]
+
+
 @query("op3_prefix_bpe")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), MULTI_RANKS, public_tokenizers.PATTERN)
@@ -68,6 +76,11 @@ def quality_and_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
 
 
+@query("op5_path_ratios")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 @query("op6_classifier_chain")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -86,3 +99,26 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = stage_path(spark, "tokens")
     write_token_file(table(spark, sf_dir, "documents"), out, BYTE_TOKENIZER, public_tokenizers.PATTERN)
     return read_token_digests(spark, out)
+
+
+_VECTORS_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+), usable AS (
+  SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS size FROM vectors
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(v, v) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.9
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM vectors UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
+
+
+@query("op10_collision_counts", _VECTORS_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_groups(table(spark, sf_dir, "embeddings"))
