@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelgap.llm.ctw import score_texts
 from labelgap.llm.decontaminate import contaminated
 from labelgap.llm.html_text import extract
 from labelgap.llm.license_scan import scan
@@ -36,6 +37,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))[1]
 
 
+@query("op2_context_trees")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7
+    return score_texts(table(spark, sf_dir, "documents"), fold != 2)
+
+
 @query("op3_prefix_bpe")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), MULTI_RANKS, public_tokenizers.PATTERN)
