@@ -1,9 +1,9 @@
 """Texts that hold passages of a benchmark, also edited or paraphrased ones.
 
 All runs of three words of the corpus are joined with those of the benchmark. Of
-an item's runs the ones that are rare in the corpus become seeds: in every four
-neighbouring runs the rarest, so that a passage of an item always holds a seed,
-however often the passage itself was copied. A seed that a text shares
+an item's runs the ones that are rare in the corpus become seeds: those that occur about as
+seldom as the rarest of their neighbours, so that a passage of an item always holds
+seeds, however often the passage itself was copied. A seed that a text shares
 with an item places the item in the text, and a Smith-Waterman alignment of their words around
 that place tells how much of the item is there.
 """
@@ -21,8 +21,9 @@ from labelgap.llm.words import NO_LETTERS, WordHasher
 from labelgap.operators.joins import broadcast_if_small
 
 SEED_WORDS = 3
-#: Neighbouring runs of an item of which the rarest is a seed.
+#: A run is a seed if no run up to this many places away is much rarer: by the factor, and the rows of the corpus beyond it.
 SEED_WINDOW = 4
+SEED_FACTOR, SEED_ROWS = 3, 20
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 #: Score, as a share of the item's own length, from which a text counts as contaminated.
 LEAST_SHARE = 0.5
@@ -58,17 +59,13 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
 
 
 def _seeds(items: DataFrame, hits: DataFrame) -> DataFrame:
-    """``gram, item_id, item_place``: per item the rarest run of every few neighbours, by rows of the corpus that hold it."""
+    """``gram, item_id, item_place``: the runs of items that are rare among their neighbours, by rows of the corpus that hold them."""
     often = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
     counted = items.join(often, "gram", "left").withColumn("often", F.coalesce("often", F.lit(0)))
-    near = Window.partitionBy("item_id").orderBy("item_place")
-    # Each window of neighbours names its rarest run; an item shorter than a window has one window.
-    windows = counted.withColumn(
-        "chosen", F.min(F.struct("often", "item_place", "gram")).over(near.rowsBetween(0, SEED_WINDOW - 1))
-    )
-    full = F.count(F.lit(1)).over(near.rowsBetween(0, SEED_WINDOW - 1))
-    windows = windows.withColumn("is_full", (full == SEED_WINDOW) | (F.row_number().over(near) == 1))
-    return windows.filter("is_full").select(F.col("chosen.gram").alias("gram"), "item_id", F.col("chosen.item_place").alias("item_place")).distinct()
+    near = Window.partitionBy("item_id").orderBy("item_place").rowsBetween(1 - SEED_WINDOW, SEED_WINDOW - 1)
+    # The rarest of a passage is as frequent as the passage itself; so is every run that hardly occurs elsewhere.
+    rare = F.col("often") <= SEED_FACTOR * F.min("often").over(near) + SEED_ROWS
+    return counted.withColumn("is_seed", rare).filter("is_seed").select("gram", "item_id", "item_place")
 
 
 def contaminated(
