@@ -13,20 +13,20 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
+from collections.abc import MutableSequence, Sequence
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
-from labelgap.llm.pieces import PieceIds, in_slices
+from labelgap.llm.pieces import PieceIds, Splitter, in_slices
 from labelgap.llm.stages import numbered_texts
 from labelgap.llm.worker import kept
 
 #: Answers about pairs of tokens that a worker keeps before it starts anew.
 REMEMBERED_PAIRS = 400_000
 
-
 def read_ranks(path: str) -> dict[bytes, int]:
     """Tokens and their ranks from a rank file (base64 token, blank, rank)."""
     with open(path, "rb") as file:
@@ -39,8 +39,12 @@ class PrefixBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.pattern = regex.compile(pattern)
-        self.longest = max(map(len, ranks), default=1)
+        self.split = Splitter(pattern)
+        # All tokens that end at a byte, found in one pass over a piece; bytes stand for themselves as characters.
+        self._endings = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            self._endings.add_word(token.decode("latin-1"), (rank, len(token)))
+        self._endings.make_automaton()
         self._stable: dict[tuple[int, int], bool] = {}
 
     def merged(self, data: bytes) -> list[int]:
@@ -65,22 +69,22 @@ class PrefixBpe:
             self._stable[before, token] = known
         return known
 
-    def extend(self, data: bytes, last: array) -> None:
+    def extend(self, data: bytes, last: MutableSequence[int]) -> None:
         """Add the last tokens of the prefixes of ``data`` that ``last`` doesn't have yet."""
-        ranks, answers, longest = self.ranks, self._stable, self.longest
-        for end in range(len(last) + 1, len(data) + 1):
-            for start in range(max(0, end - longest), end):
-                token = ranks.get(data[start:end])
-                if token is not None:
-                    before = last[start - 1] if start else -1
-                    good = answers.get((before, token))
-                    if good or good is None and self.stable(before, token):
-                        last.append(token)
-                        break
-            else:
-                raise ValueError("the vocabulary lacks a byte")
-
-    def read_off(self, data: bytes, last: array) -> list[int]:
+        answers, done = self._stable, len(last)
+        for at, (token, size) in self._endings.iter(data.decode("latin-1")):
+            if at < done:  # this prefix has its token
+                continue
+            start = at + 1 - size
+            before = last[start - 1] if start else -1
+            good = answers.get((before, token))
+            if good or good is None and self.stable(before, token):
+                last.append(token)
+                done += 1
+        if done < len(data):
+            raise ValueError("the vocabulary lacks a byte")
+
+    def read_off(self, data: bytes, last: Sequence[int]) -> list[int]:
         """Ids of a piece from the last tokens of its prefixes."""
         whole = self.ranks.get(data)
         if whole is not None:  # a piece that is a token is never split, even if no merge leads to it
@@ -94,12 +98,12 @@ class PrefixBpe:
     def encode_piece(self, data: bytes) -> list[int]:
         if data in self.ranks:
             return [self.ranks[data]]
-        last = array("i")
+        last: list[int] = []
         self.extend(data, last)
         return self.read_off(data, last)
 
     def encode(self, text: str) -> list[int]:
-        return [i for piece in self.pattern.findall(text) for i in self.encode_piece(piece.encode())]
+        return [i for piece in self.split.pieces(text) for i in self.encode_piece(piece.encode())]
 
     def decode(self, ids) -> bytes:
         tokens = self.tokens
@@ -150,12 +154,12 @@ class EditableEncoding:
         later = {s + shift: i for i, s in enumerate(self._starts) if s >= end + 1}
         pieces, starts, rest = [], [], len(self._pieces)
         old = {s: self._pieces[i] for i, s in enumerate(self._starts) if i >= first}
-        for match in self.bpe.pattern.finditer(text, at):
-            if match.start() in later and match.start() > start + len(new):
-                rest = later[match.start()]
+        for place, piece in self.bpe.split.placed(text, at):
+            if place in later and place > start + len(new):
+                rest = later[place]
                 break
-            starts.append(match.start())
-            pieces.append(self._prepared(match.group(), old.get(match.start())))
+            starts.append(place)
+            pieces.append(self._prepared(piece, old.get(place)))
         self._starts[first:] = starts + [s + shift for s in self._starts[rest:]]
         self._pieces[first:] = pieces + self._pieces[rest:]
         self.text = text
@@ -171,10 +175,11 @@ def loaded(path: str, pattern: str) -> tuple[PrefixBpe, PieceIds]:
     def build():
         bpe = PrefixBpe(read_ranks(path), pattern)
 
-        def encode(pieces: list[str]) -> list[bytes]:
-            return [np.array(bpe.encode_piece(piece.encode()), dtype="<u4").tobytes() for piece in pieces]
+        def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            found = [bpe.encode_piece(piece.encode()) for piece in pieces]
+            return np.array([i for ids in found for i in ids], dtype=np.uint32), np.fromiter(map(len, found), np.int64, len(found))
 
-        return bpe, PieceIds(pattern, encode)
+        return bpe, PieceIds(bpe.split.pieces, encode)
 
     return kept(("prefix_bpe", path, pattern), build)
 
@@ -190,9 +195,8 @@ def encode_texts(df: DataFrame, path: str, pattern: str, id_column: str = "doc_i
         for batch in batches:
             texts, done = batch.column(1).to_pylist(), 0
             for part in in_slices(texts):
-                found = loaded(path, pattern)[1].ids(part)
-                ids = [np.frombuffer(f, dtype="<u4").astype(np.int32) for f in found]
-                values = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]), pa.int32())
+                ids = loaded(path, pattern)[1].ids(part)
+                values = pa.array(np.concatenate(ids).astype(np.int32), pa.int32())
                 offsets = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(part)), pa.ListArray.from_arrays(offsets, values)], ["doc_id", "ids"])
                 done += len(part)
@@ -226,7 +230,7 @@ def encoding_digests(df: DataFrame, path: str, pattern: str, id_column: str = "d
             counts, of_ids, of_bytes = [], [], []
             for part in in_slices(batch.column(1).to_pylist()):
                 for found in pieces.ids(part):
-                    ids = np.frombuffer(found, dtype="<u4").tolist()
+                    ids = found.tolist()
                     counts.append(len(ids))
                     of_ids.append(hashlib.sha256(",".join([names[i] for i in ids]).encode()).hexdigest())
                     of_bytes.append(hashlib.sha256(b"".join([tokens[i] for i in ids])).hexdigest())

@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from labelgap.llm.pieces import PieceIds, in_slices
+from labelgap.llm.pieces import PieceIds, Splitter, in_slices
 from labelgap.llm.stages import numbered_texts
 from labelgap.llm.worker import kept
 from labelgap.operators.prefix import running_totals
 
 #: Ids after which a block is closed; a longer document makes a longer block.
 BLOCK_IDS = 1 << 19
+#: Ids below which ranks are looked up by id.
+TABLE_IDS = 1 << 20
 #: Bytes of a row group, so that a reader holds a few blocks at a time.
 ROW_GROUP_BYTES = 8 << 20
 
@@ -38,11 +40,19 @@ _LENGTHS_OF = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 def pack(ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """Ranked ids, control bytes and data bytes of some ids."""
     ids = ids.astype(np.uint32, copy=False)
-    values, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.lexsort((values, -counts))
-    rank_of = np.empty(len(values), np.uint32)
-    rank_of[order] = np.arange(len(values), dtype=np.uint32)
-    ranks = rank_of[inverse]
+    if len(ids) and ids.max() < TABLE_IDS:  # a table by id costs less than a sort
+        counts = np.bincount(ids)
+        values = np.flatnonzero(counts).astype(np.uint32)
+        order = np.argsort(-counts[values], kind="stable")
+        rank_of = np.zeros(len(counts), np.uint32)
+        rank_of[values[order]] = np.arange(len(values), dtype=np.uint32)
+        ranks = rank_of[ids]
+    else:
+        values, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        order = np.argsort(-counts, kind="stable")
+        rank_of = np.empty(len(values), np.uint32)
+        rank_of[order] = np.arange(len(values), dtype=np.uint32)
+        ranks = rank_of[inverse]
     lengths = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     padded = np.zeros(-(-len(ids) // 4) * 4, np.uint8)
     padded[: len(ids)] = lengths - 1
@@ -74,11 +84,12 @@ def _pieces(path: str, pattern: str) -> PieceIds:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
 
-        def encode(pieces: list[str]) -> list[bytes]:
-            found = [x.ids for part in in_slices(pieces) for x in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            return [np.array(ids, dtype="<u4").tobytes() for ids in found]
+        def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            # One call for all pieces, each of which the library takes by itself.
+            found = tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+            return np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces))
 
-        return PieceIds(pattern, encode)
+        return PieceIds(Splitter(pattern).pieces, encode)
 
     return kept(("token_file", path, pattern), build)
 
@@ -89,6 +100,7 @@ def write_token_file(
 ) -> None:
     """Encode whole texts, end each with ``end_id``, and write them in ascending order of the id.
 
+    The tokenizer is a byte-level one that splits by ``pattern``.
     A null text is an empty one. Rows with a null id stand first; rows with one id
     are ordered by a hash of their text, so equal ids of any number are split over tasks, too.
     No rows give an empty file.
@@ -98,20 +110,20 @@ def write_token_file(
         sequence, rows, size = 0, [], 0
 
         def block():
-            ids = np.frombuffer(b"".join(r[2] for r in rows), "<u4")
+            ids = np.concatenate([r[2] for r in rows])
             ranked, control, data = pack(ids)
-            lengths = [len(r[2]) // 4 for r in rows]
+            lengths = [len(r[2]) for r in rows]
             values = [[rows[0][0]], [rows[0][1]], [sequence], [len(ids)], [[r[0] for r in rows]], [lengths], [ranked], [control], [data]]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, _ARROW_TYPES)], _ARROW_NAMES)
 
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.uint32(end_id)
         for batch in batches:
-            ids, ties, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            doc_ids, ties, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
             at = 0
             for part in in_slices(texts):
                 for found in _pieces(tokenizer_path, pattern).ids(part):
-                    rows.append((ids[at], ties[at], found + end))
-                    size += len(found) // 4 + 1
+                    rows.append((doc_ids[at], ties[at], np.append(found, end)))
+                    size += len(found) + 1
                     at += 1
                     if size >= block_ids:
                         yield block()

@@ -11,7 +11,6 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from labelgap.llm import queries, token_file
-from labelgap.llm.pieces import parts
 from labelgap.llm.prefix_bpe import EditableEncoding, decode_ids, encode_texts, encoding_digests, loaded
 from labelgap.llm.token_counts import encoded_lengths, length_histogram, length_quantiles, truncated_totals
 
@@ -43,7 +42,7 @@ def test_prefix_bpe_is_exact(encoding):
     bpe, known = loaded(queries.MULTI_RANKS, PATTERN)
     for text in _texts():
         assert bpe.encode(text) == encoding.encode_ordinary(text)
-        assert np.frombuffer(known.ids([text])[0], "<u4").tolist() == encoding.encode_ordinary(text)
+        assert known.ids([text])[0].tolist() == encoding.encode_ordinary(text)
         assert bpe.decode(bpe.encode(text)) == text.encode()
 
 
@@ -51,12 +50,16 @@ def test_code_points_split_alike(encoding):
     _, known = loaded(queries.MULTI_RANKS, PATTERN)
     for first in range(0, 0x30000, 0x800):
         text = "".join(f" {chr(c)}'d {chr(c)}1{chr(c)}  {chr(c)}\n" for c in range(first, first + 0x800) if not 0xD800 <= c < 0xE000)
-        assert np.frombuffer(known.ids([text])[0], "<u4").tolist() == encoding.encode_ordinary(text), hex(first)
+        assert known.ids([text])[0].tolist() == encoding.encode_ordinary(text), hex(first)
 
 
-def test_parts_stand_for_the_text():
-    for text in _texts():
-        assert " ".join(parts(text)) == text
+def test_remembered_pieces_are_forgotten(monkeypatch, encoding):
+    _, known = loaded(queries.MULTI_RANKS, PATTERN)
+    monkeypatch.setattr("labelgap.llm.pieces.REMEMBERED_PIECES", 20)
+    texts = [*_texts(), None, ""]
+    for first in range(0, len(texts), 7):
+        some = texts[first : first + 7]
+        assert [ids.tolist() for ids in known.ids(some)] == [encoding.encode_ordinary(t or "") for t in some]
 
 
 def test_every_prefix_has_its_last_token(encoding):
@@ -127,7 +130,7 @@ def test_pack_is_lossless():
 @pytest.mark.parametrize("block_ids", [50, 1 << 19])
 def test_token_file(spark, rows, tmp_path, block_ids):
     out = str(tmp_path / "tokens")
-    token_file.write_token_file(rows, out, queries.BYTE_TOKENIZER, block_ids=block_ids)
+    token_file.write_token_file(rows, out, queries.BYTE_TOKENIZER, PATTERN, block_ids=block_ids)
     library = Tokenizer.from_file(queries.BYTE_TOKENIZER)
     library.encode_special_tokens = True
     own = {(r.doc_id, tuple(library.encode(r.text or "", add_special_tokens=False).ids + [2])) for r in rows.collect()}
@@ -144,7 +147,7 @@ def test_token_file(spark, rows, tmp_path, block_ids):
 def test_empty_tables(spark, tmp_path):
     none = spark.createDataFrame([], SCHEMA)
     out = str(tmp_path / "tokens")
-    token_file.write_token_file(none, out, queries.BYTE_TOKENIZER)
+    token_file.write_token_file(none, out, queries.BYTE_TOKENIZER, PATTERN)
     assert token_file.read_token_digests(spark, out).count() == 0
     assert encoding_digests(none, queries.MULTI_RANKS, PATTERN).count() == 0
     assert length_histogram(encoded_lengths(none, queries.BYTE_RANKS, PATTERN)).count() == 0
