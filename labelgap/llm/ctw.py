@@ -7,99 +7,110 @@ the estimates of all depths: a node weighs its own estimate against what the
 nodes below it say by how well either would have coded the learning texts.
 
 The counts come from all learning texts and have no bound but that of the corpus, so they are tables
-and are never sent whole to a task. Texts are dealt into blocks of a fixed size. A block asks for the
-runs of bytes and the words that it holds, each once, with its own counts of them; Spark sums
-the counts, grows the tree from its deepest nodes to the root by grouping, and joins
-the answers to the blocks that asked. A task holds one block and its answers.
+and are never sent whole to a task. Texts are dealt into blocks of a fixed size. A block names the runs of
+bytes and the words that it holds, each once, with its own counts of them. These are dealt into blocks of the
+vocabulary, which sum the counts of the deepest nodes. Spark grows the tree from there to the root by
+grouping, and what was found about a run or a word goes back to the blocks of texts that
+named it. A task holds one block and its answers. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelgap.llm.pieces import in_slices
 from labelgap.llm.stages import staged, text_bytes
+from labelgap.llm.words import BLANKS, WordHasher, mixed
 
 #: Bytes of context in the deepest nodes.
 ORDER = 5
 #: Bytes of text in a block.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
+#: Distinct runs of all its blocks that a task gathers before it passes them on.
+MOST_RUNS = 6_000_000
 _SLICE = 1 << 21
 #: Stands behind a text; no UTF-8 text holds this byte, so the model gives the texts' ends their share.
 _END = b"\xff"
 
 
-def _log_gamma(x: Column) -> Column:
-    """Of numbers from a half on: Stirling's series at x + 8, carried back."""
+def _log_gamma(x, ln):
+    """Of numbers from a half on, columns or arrays: Stirling's series at x + 8, carried back."""
     z = x + 8
-    series = (z - 0.5) * F.ln(z) - z + F.lit(0.5 * math.log(2 * math.pi)) + 1 / (12 * z) - 1 / (360 * z * z * z)
+    series = (z - 0.5) * ln(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z * z * z)
     product = x
     for i in range(1, 8):
         product = product * (x + i)
-    return series - F.ln(product)
+    return series - ln(product)
 
 
-def _log_estimate(zeros: Column, ones: Column) -> Column:
+def _log_estimate(zeros, ones, ln):
     """Log of the Krichevsky-Trofimov probability of some decisions in any order."""
-    zeros, ones = zeros.cast("double"), ones.cast("double")
-    return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1.0) - F.lit(math.log(math.pi))
+    return _log_gamma(zeros + 0.5, ln) + _log_gamma(ones + 0.5, ln) - _log_gamma(zeros + ones + 1.0, ln) - math.log(math.pi)
 
 
-def _decisions(grams: DataFrame) -> DataFrame:
-    """Eight rows per run: ``context``, the bits of the last byte so far as ``node`` (led by a one), and the next ``bit``."""
-    byte = F.col("gram").bitwiseAND(F.lit(0xFF))
-    at = F.explode(F.sequence(F.lit(0), F.lit(7))).alias("at")
-    rows = grams.select("gram", "n", F.shiftright("gram", 8).alias("context"), byte.cast("int").alias("byte"), at)
-    return rows.select(
-        "gram", "n", "context", F.expr("shiftleft(1, at) | shiftright(byte, 8 - at)").alias("node"), F.expr("shiftright(byte, 7 - at) & 1").alias("bit")
-    )
+def _leaves(grams: np.ndarray, n: np.ndarray):
+    """For each of the eight decisions on the last byte of sorted runs: the nodes with their counts, each run's node and its bit.
+
+    A node is its context, eight bits on, and the bits of the byte so far led by a one.
+    """
+    context, byte = grams >> 8, grams & 0xFF
+    for at in range(8):
+        node = context << 8 | 1 << at | byte >> (8 - at)
+        bit = byte >> (7 - at) & 1
+        first = np.flatnonzero(np.diff(node, prepend=-1))
+        zeros, ones = (np.add.reduceat(n * (bit == b), first) if len(first) else n for b in (0, 1))
+        yield node[first], zeros.astype(np.float64), ones.astype(np.float64), np.cumsum(np.diff(node, prepend=-1) != 0) - 1, bit
 
 
-def model(grams: DataFrame, order: int) -> DataFrame:
-    """``gram, code``: log10 of the tree's probability of the last byte of each run given the bytes before it.
+def _upper(node: np.ndarray, order: int) -> np.ndarray:
+    """The same decision in the context that is a byte shorter."""
+    return node & ((1 << (8 * order)) - 1)
 
-    ``grams`` has one row per run of ``order + 1`` bytes, as a number, and how often it was learnt (0: never).
+
+def paths(nodes: DataFrame, order: int) -> DataFrame:
+    """What the tree says above its deepest nodes: ``settled`` and ``left``, so that the probability of a one in a deepest
+    node is ``settled + left * its own estimate``.
+
+    ``nodes`` are those one byte above the deepest: ``vocabulary, context, node, zeros, ones, below``, the last
+    being the log of the probability that the deepest nodes give to all that was learnt there.
     """
-    deepest = (
-        _decisions(grams).groupBy("context", "node")
-        .agg(F.sum(F.col("n") * (1 - F.col("bit"))).alias("zeros"), F.sum(F.col("n") * F.col("bit")).alias("ones"))
-    )
-    levels = [staged(deepest.withColumn("weighted", _log_estimate(F.col("zeros"), F.col("ones"))), "tree")]
-    for depth in range(order - 1, -1, -1):
-        shorter = F.col("context").bitwiseAND(F.lit((1 << (8 * depth)) - 1)).alias("context")
-        grouped = levels[0].groupBy(shorter, "node").agg(
-            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below")
-        )
-        own = grouped.withColumn("own", _log_estimate(F.col("zeros"), F.col("ones")))
+    depth = order - 1
+    levels: list[DataFrame] = []
+    while True:
+        zeros, ones = F.col("zeros").cast("double"), F.col("ones").cast("double")
+        own = nodes.withColumn("own", _log_estimate(zeros, ones, F.ln))
         high, low = F.greatest("own", "below"), F.least("own", "below")
         weighted = high + F.log1p(F.exp(low - high)) - math.log(2)
         # What the node's own estimate weighs against the nodes below.
         share = 1 / (1 + F.exp(F.least(F.lit(700.0), F.col("below") - F.col("own"))))
-        levels.insert(0, staged(own.select("context", "node", "zeros", "ones", weighted.alias("weighted"), share.alias("share")), "tree"))
+        levels.insert(0, staged(own.withColumns({"weighted": weighted, "share": share}).drop("own", "below"), "tree"))
+        if not depth:
+            break
+        depth -= 1
+        shorter = F.col("context").bitwiseAND(F.lit((1 << (8 * depth)) - 1)).alias("context")
+        nodes = levels[0].groupBy(shorter, "node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below"))
 
     estimate = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)
-    # From the root down: the part of the probability that is settled, and what the deeper nodes still share.
-    path = levels[0].select("context", "node", (F.col("share") * estimate).alias("settled"), (1 - F.col("share")).alias("left"))
-    for depth in range(1, order + 1):
-        above = path.toDF("upper", "node", "settled_above", "left_above")
+    path = levels[0].withColumns({"settled": F.col("share") * estimate, "left": 1 - F.col("share")})
+    for depth in range(1, order):
+        above = path.select(F.col("context").alias("upper"), "node", F.col("settled").alias("settled_above"), F.col("left").alias("left_above"))
         if depth <= 2:
             above = F.broadcast(above)  # at most 255 * 256 rows of four numbers
         upper = F.col("context").bitwiseAND(F.lit((1 << (8 * (depth - 1))) - 1))
         here = levels[depth].withColumn("upper", upper).join(above, ["upper", "node"])
-        share = F.col("share") if depth < order else F.lit(1.0)
-        path = here.select(
-            "context", "node", (F.col("settled_above") + F.col("left_above") * share * estimate).alias("settled"),
-            (F.col("left_above") * (1 - share)).alias("left"),
-        )
-    one = path.select("context", "node", F.col("settled").alias("one"))
-    chance = F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one"))
-    return _decisions(grams).join(one, ["context", "node"]).groupBy("gram").agg(F.sum(F.log10(chance)).alias("code"))
+        settled = F.col("settled_above") + F.col("left_above") * F.col("share") * estimate
+        path = here.withColumns({"settled": settled, "left": F.col("left_above") * (1 - F.col("share"))})
+    return path.select("vocabulary", "context", "node", "settled", "left")
+
+
+# What the blocks of the vocabulary tell about its words, in the place of a context.
+_TOKENS, _DISTINCT, _ENDS = -1, -2, -3
 
 
 def _lowered(text: str | None) -> bytes:
@@ -107,10 +118,10 @@ def _lowered(text: str | None) -> bytes:
 
 
 def _runs_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """All runs of ``order + 1`` bytes that end in a text or at its end, and how many each text has."""
+    """All runs of ``order + 1`` bytes that end in a text or with its end, with zeros before its first byte; and how many each text has."""
     lead = b"\0" * order
     data = np.frombuffer(b"".join([lead + t + _END for t in texts]), np.uint8)
-    lengths = np.array([len(t) + 1 for t in texts])
+    lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64)
     found = np.zeros(max(len(data) - order, 0), dtype=np.uint64)
     for i in range(order + 1 if len(found) else 0):
         found = (found << np.uint64(8)) | data[i : i + len(found)]
@@ -121,67 +132,193 @@ def _runs_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return found[keep].astype(np.int64), lengths
 
 
+def _merged(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and the sums of their counts."""
+    whole = np.concatenate([np.zeros(0, np.int64), *values])
+    distinct, where = np.unique(whole, return_inverse=True)
+    return distinct, np.bincount(where, np.concatenate([np.zeros(0, np.int64), *counts]), len(distinct)).astype(np.int64)
+
+
+# Columns of packs and answers are compressed arrays: a pack holds what one block of texts and one of the vocabulary share.
+def _pack(data: bytes | np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data if isinstance(data, bytes) else data.tobytes())
+
+
+def _unpack(data: bytes, kind=None):
+    plain = zstandard.ZstdDecompressor().decompress(data)
+    return plain if kind is None else np.frombuffer(plain, kind)
+
+
+def _pack_sorted(values: np.ndarray) -> bytes:
+    return _pack(np.diff(values, prepend=np.int64(0)))
+
+
+def _unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(data, np.int64))
+
+
+_PACK = {"vocabulary": pa.int32(), "block": pa.int64(), "n_texts": pa.int64(), **dict.fromkeys(("words", "counts", "grams", "gram_counts"), pa.binary())}
+_ANSWER = {"block": pa.int64(), **dict.fromkeys(("words", "counts", "grams", "codes"), pa.binary())}
+
+
+def _batch(rows: list[tuple], fields: dict) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, fields.values())], list(fields))
+
+
+class _Counted:
+    """Distinct numbers and how often they were learnt, from many small lists."""
+
+    def __init__(self):
+        self.values: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, values: np.ndarray, learns: bool) -> None:
+        distinct, n = np.unique(values, return_counts=True)
+        self.values.append(distinct)
+        self.counts.append(n if learns else np.zeros(len(n), np.int64))
+        self.size += len(distinct)
+        if self.size > 1 << 22:
+            self.values, self.counts = ([x] for x in _merged(self.values, self.counts))
+            self.size = len(self.values[0]) // 2
+
+    def packs(self, home, n_vocabulary: int) -> list[tuple[bytes, bytes]]:
+        """The numbers that are at home in each block of the vocabulary, and their counts."""
+        values, counts = _merged(self.values, self.counts)
+        where = (mixed(home(values).astype(np.uint64)) % np.uint64(n_vocabulary)).astype(np.int64)
+        order = np.argsort(where, kind="stable")
+        cuts = np.searchsorted(where[order], np.arange(1, n_vocabulary))
+        return [(_pack_sorted(v), _pack(c)) for v, c in zip(np.split(values[order], cuts), np.split(counts[order], cuts))]
+
+
+class _Gathered:
+    """Words and runs of a block of texts, and how many learning texts it has."""
+
+    def __init__(self):
+        self.words, self.grams, self.texts = _Counted(), _Counted(), 0
+
+
+def _gather(n_vocabulary: int, order: int):
+    """What each block of texts holds, by block of the vocabulary. A run is at home with all runs that differ in the first byte only."""
+
+    def run(batches):
+        found: dict[int, _Gathered] = {}
+        hasher = WordHasher(BLANKS)
+
+        def told():
+            for block in list(found):
+                own = found.pop(block)
+                words = own.words.packs(lambda w: w, n_vocabulary)
+                grams = own.grams.packs(lambda g: _upper(g, order) >> 8, n_vocabulary)
+                rows = [(v, block, own.texts * (v == 0), *words[v], *grams[v]) for v in range(n_vocabulary)]
+                for at in range(0, len(rows), 64):
+                    yield _batch(rows[at : at + 64], _PACK)
+
+        for batch in batches:
+            blocks, learns, texts = batch.column(0).to_numpy(), np.array(batch.column(1).to_pylist(), dtype=bool), batch.column(2)
+            for block in np.unique(blocks).tolist():
+                own = found.setdefault(block, _Gathered())
+                for learning in (True, False):
+                    rows = np.flatnonzero((blocks == block) & (learns == learning))
+                    own.texts += len(rows) * learning
+                    for part in in_slices(texts.take(pa.array(rows)).to_pylist(), _SLICE):
+                        for _, hashes in hasher.texts(part):
+                            own.words.add(hashes.astype(np.int64), learning)
+                        own.grams.add(_runs_of([_lowered(t) for t in part], order)[0], learning)
+            if sum(own.grams.size for own in found.values()) > MOST_RUNS:
+                yield from told()  # a block may be told about in several packs
+        yield from told()
+
+    return run
+
+
+def _of_packs(packs: pa.Table, values: str, counts: str) -> tuple[np.ndarray, np.ndarray]:
+    return _merged([_unpack_sorted(v) for v in packs.column(values).to_pylist()], [_unpack(c, np.int64) for c in packs.column(counts).to_pylist()])
+
+
 def _asked(order: int):
-    """The words and runs of a block, with how often its learning texts hold them."""
-
-    def of(table: pa.Table) -> pa.Table:
-        block = table.column("block")[0].as_py()
-        texts, learns = table.column("text").to_pylist(), table.column("learns").to_pylist()
-        words: Counter[bytes] = Counter()
-        seen: set[bytes] = set()
-        values, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for learning in (True, False):
-            chosen = [_lowered(t) for t, l in zip(texts, learns) if l == learning]
-            for part in in_slices(chosen, _SLICE):
-                for text in part:
-                    (words if learning else seen).update(text.split())
-                found, n = np.unique(_runs_of(part, order)[0], return_counts=True)
-                values.append(found)
-                counts.append(n if learning else np.zeros(len(n), np.int64))
-            (words if learning else seen).update([b""] * len(chosen))  # the end of each text
-        for word in seen:
-            words[word] += 0
-        grams, where = np.unique(np.concatenate(values), return_inverse=True)
-        n = np.bincount(where, np.concatenate(counts), len(grams)).astype(np.int64)
+    """The nodes above the deepest ones of a block of the vocabulary, and the size of its learnt words."""
+
+    def of(packs: pa.Table) -> pa.Table:
+        vocabulary = packs.column("vocabulary")[0].as_py()
+        words = _of_packs(packs, "words", "counts")[1]
+        told = [(_TOKENS, int(words.sum())), (_DISTINCT, int((words > 0).sum())), (_ENDS, sum(packs.column("n_texts").to_pylist()))]
+        columns = [[np.array([t[0] for t in told])], [np.zeros(3, np.int64)], [np.array([t[1] for t in told])], [np.zeros(3, np.int64)], [np.zeros(3)]]
+        for node, zeros, ones, _, _ in _leaves(*_of_packs(packs, "grams", "gram_counts")):
+            upper, where = np.unique(_upper(node, order), return_inverse=True)
+            sums = [np.bincount(where, x, len(upper)) for x in (zeros, ones, _log_estimate(zeros, ones, np.log))]
+            for column, values in zip(columns, (upper >> 8, upper & 0xFF, sums[0].astype(np.int64), sums[1].astype(np.int64), sums[2])):
+                column.append(values)
+        context, node, zeros, ones, below = map(np.concatenate, columns)
         return pa.table({
-            "block": pa.array(np.full(len(words) + len(grams), block, np.int32)),
-            "word": pa.concat_arrays([pa.array(list(words), pa.binary()), pa.nulls(len(grams), pa.binary())]),
-            "gram": pa.concat_arrays([pa.nulls(len(words), pa.int64()), pa.array(grams, pa.int64())]),
-            "n": pa.concat_arrays([pa.array(list(words.values()), pa.int64()), pa.array(n, pa.int64())]),
+            "vocabulary": pa.array(np.full(len(context), vocabulary, np.int32)), "context": context, "node": node.astype(np.int32),
+            "zeros": zeros, "ones": ones, "below": below,
         })
 
     return of
 
 
-def _scored(order: int, train_tokens: int, distinct: int):
-    """Scores of a block's texts from the answers it got."""
+def _told(order: int):
+    """For every block of texts that asked this block of the vocabulary: its words' counts and its runs' codes."""
+
+    def of(packs: pa.Table, above: pa.Table) -> pa.Table:
+        words, word_counts = _of_packs(packs, "words", "counts")
+        grams, gram_counts = _of_packs(packs, "grams", "gram_counts")
+        key = above.column("context").to_numpy() << 8 | above.column("node").to_numpy().astype(np.int64)
+        by_key = np.argsort(key)
+        key, settled, left = key[by_key], above.column("settled").to_numpy()[by_key], above.column("left").to_numpy()[by_key]
+        codes = np.zeros(len(grams))
+        for node, zeros, ones, own, bit in _leaves(grams, gram_counts):
+            at = np.searchsorted(key, _upper(node, order))
+            one = (settled[at] + left[at] * (ones + 0.5) / (zeros + ones + 1))[own]
+            codes += np.log10(np.where(bit == 1, one, 1 - one))
+        rows = []
+        for block, packed_words, packed_grams in zip(*(packs.column(c).to_pylist() for c in ("block", "words", "grams"))):
+            n = word_counts[np.searchsorted(words, _unpack_sorted(packed_words))]
+            code = codes[np.searchsorted(grams, _unpack_sorted(packed_grams))].astype(np.float32)
+            rows.append((block, packed_words, _pack(n), packed_grams, _pack(code)))
+        return pa.Table.from_batches([_batch(rows, _ANSWER)])
 
-    def of(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        is_word = answers.column("word").is_valid()
-        of_words = answers.filter(is_word)
-        counts = dict(zip(of_words.column("word").to_pylist(), of_words.column("value").to_pylist()))
-        of_grams = answers.filter(answers.column("gram").is_valid())
-        grams, codes = of_grams.column("gram").to_numpy(), of_grams.column("value").to_numpy()
-        order_of = np.argsort(grams)
-        grams, codes = grams[order_of], codes[order_of]
-        n_tokens, n_known, base, score = [], [], [], []
-        whole = train_tokens + distinct + 1
-        for part in in_slices([_lowered(t) for t in texts.column("text").to_pylist()], _SLICE):
-            for text in part:
-                found = np.fromiter(map(counts.__getitem__, [*text.split(), b""]), np.float64)
-                n_tokens.append(len(found))
-                n_known.append(int((found > 0).sum()))
-                base.append(float(np.log10((found + 1) / whole).sum()))
-            found, lengths = _runs_of(part, order)
-            coded = pa.array(found).dictionary_encode()
-            own = codes[np.searchsorted(grams, coded.dictionary.to_numpy())]
+    return of
+
+
+def _scored(order: int, tokens: int, distinct: int, ends: int):
+    """Scores of a block's texts from the answers it got."""
+    train_tokens = tokens + ends
+    whole = train_tokens + distinct + (ends > 0) + 1
+    end_score = math.log10((ends + 1) / whole)
+
+    def of(texts: pa.Table, told: pa.Table) -> pa.Table:
+        hasher = WordHasher(BLANKS)
+
+        def table(values: str, numbers: str, kind) -> tuple[np.ndarray, np.ndarray]:
+            keys = np.concatenate([np.zeros(0, np.int64), *[_unpack_sorted(v) for v in told.column(values).to_pylist()]])
+            found = np.concatenate([np.zeros(0, kind), *[_unpack(x, kind) for x in told.column(numbers).to_pylist()]])
+            by_key = np.argsort(keys)
+            return keys[by_key], found[by_key].astype(np.float64)
+
+        def looked_up(values: np.ndarray, keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+            coded = pa.array(values).dictionary_encode()  # a search for each distinct value only
+            return numbers[np.searchsorted(keys, coded.dictionary.to_numpy())][coded.indices.to_numpy()]
+
+        words, grams = table("words", "counts", np.int64), table("grams", "codes", np.float32)
+        n_tokens, n_known, base, score = ([np.zeros(0)] for _ in range(4))
+        for part in in_slices(texts.column("text").to_pylist(), _SLICE):
+            for counts, hashes in hasher.texts(part):
+                found = looked_up(hashes.astype(np.int64), *words)
+                owner = np.repeat(np.arange(len(counts)), counts)
+                n_tokens.append(counts + 1)
+                n_known.append(np.bincount(owner, found > 0, len(counts)) + (ends > 0))
+                base.append(np.bincount(owner, np.log10((found + 1) / whole), len(counts)) + end_score)
+            found, lengths = _runs_of([_lowered(t) for t in part], order)
             # Every text has a run at least, that at its end.
-            score.extend(np.add.reduceat(own[coded.indices.to_numpy()], np.cumsum(lengths) - lengths).tolist())
+            score.append(np.add.reduceat(looked_up(found, *grams), np.cumsum(lengths) - lengths))
+        numbers = [np.concatenate(x) for x in (n_tokens, n_known, base, score)]
         return pa.table({
-            "doc_id": texts.column("doc_id"), "held_out": pa.array([not x for x in texts.column("learns").to_pylist()]),
-            "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()),
-            "train_tokens": pa.array([train_tokens] * texts.num_rows, pa.int64()),
-            "base_score": pa.array(base, pa.float64()), "score": pa.array(score, pa.float64()),
+            "doc_id": texts.column("doc_id"), "held_out": pa.array([not x for x in texts.column("learns").to_pylist()], pa.bool_()),
+            "n_tokens": numbers[0].astype(np.int64), "n_known": numbers[1].astype(np.int64),
+            "train_tokens": np.full(texts.num_rows, train_tokens, np.int64), "base_score": numbers[2], "score": numbers[3],
         })
 
     return of
@@ -198,25 +335,27 @@ def score_texts(
     null and repeated rows are texts of their own. An empty table gives an empty result.
     """
     text = F.col(f"`{text_column}`").cast("string")
-    size = df.agg(F.sum(text_bytes(text))).first()[0] or 0
-    n_blocks = max(1, math.ceil(size / block_bytes))
+    # A block is part of one stretch of one file, so that gathering its units moves no text; input that isn't
+    # read from files is one stretch.
     texts = df.select(
-        F.col(f"`{id_column}`").cast("long").alias("doc_id"), text.alias("text"), F.coalesce(learns, F.lit(False)).alias("learns")
+        F.col(f"`{id_column}`").cast("long").alias("doc_id"), text.alias("text"), F.coalesce(learns, F.lit(False)).alias("learns"),
+        F.xxhash64(F.input_file_name(), F.input_file_block_start()).alias("stretch"),
+    )
+    sizes = texts.groupBy("stretch").agg(F.sum(text_bytes(F.col("text"))).alias("size")).agg(F.max("size").alias("most"), F.sum("size").alias("all")).first()
+    parts = max(1, math.ceil((sizes["most"] or 0) / block_bytes))
+    n_vocabulary = max(1, math.ceil((sizes["all"] or 0) / block_bytes))
+    texts = texts.withColumn("block", F.xxhash64("stretch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)))).drop("stretch")
+
+    pack = "vocabulary int, block long, n_texts long, words binary, counts binary, grams binary, gram_counts binary"
+    packs = staged(texts.select("block", "learns", "text").mapInArrow(_gather(n_vocabulary, order), pack), "packs")
+    node = "vocabulary int, context long, node int, zeros long, ones long, below double"
+    asked = staged(packs.groupBy("vocabulary").applyInArrow(_asked(order), node), "asked")
+    told = {r["context"]: r["n"] for r in asked.filter("node = 0").groupBy("context").agg(F.sum("zeros").alias("n")).collect()}  # three rows
+    # A context of this length is in one block of the vocabulary only.
+    above = paths(asked.filter("node > 0"), order)
+    answers = packs.groupBy("vocabulary").cogroup(above.groupBy("vocabulary")).applyInArrow(
+        _told(order), "block long, words binary, counts binary, grams binary, codes binary"
     )
-    texts = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int"))
-    asked = staged(texts.groupBy("block").applyInArrow(_asked(order), "block int, word binary, gram long, n long"), "asked")
-
-    words, grams = asked.filter("word IS NOT NULL").select("block", "word", "n"), asked.filter("word IS NULL").select("block", "gram", "n")
-    # The first block that asks for a word stands for it when words are counted.
-    known = words.groupBy("word").agg(F.sum("n").alias("value"), F.min("block").alias("home"))
-    answers = words.select("block", "word").join(known.hint("shuffle_hash"), "word")
-    answered = staged(answers.select("block", "word", "value", (F.col("block") == F.col("home")).alias("is_home")), "words")
-    totals = answered.filter("is_home").agg(F.sum("value").alias("n"), F.count_if(F.col("value") > 0).alias("v")).first()
-
-    learnt = staged(grams.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    codes = model(learnt, order)
-    of_grams = grams.select("block", "gram").join(codes, "gram").select("block", F.lit(None).cast("binary").alias("word"), "gram", F.col("code").alias("value"))
-    of_words = answered.select("block", "word", F.lit(None).cast("long").alias("gram"), F.col("value").cast("double").alias("value"))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    scored = _scored(order, int(totals["n"] or 0), int(totals["v"] or 0))
-    return texts.groupBy("block").cogroup(of_words.unionByName(of_grams).groupBy("block")).applyInArrow(scored, schema)
+    scored = _scored(order, told.get(_TOKENS, 0), told.get(_DISTINCT, 0), told.get(_ENDS, 0))
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, schema)
