@@ -33,6 +33,7 @@ from labelgap.functions.tags import (
 )
 from labelgap.functions.text import normalise_key
 from labelgap.operators.joins import broadcast_if_small
+from labelgap.session import written
 from labelgap.operators.population import ensure_columns, null_shares
 
 
@@ -149,11 +150,13 @@ def impute_group_mean(df: DataFrame, columns: Sequence[str], group: str) -> Data
     """
     present = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
     valued = df.withColumns(present)
-    means = valued.groupBy(group).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
-    overall = valued.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    means = broadcast_if_small(means.withColumnRenamed(group, "_of_group"))
-    joined = valued.join(means, F.col(group).eqNullSafe(F.col("_of_group")), "left")
-    filled = {c: F.coalesce(F.col(c), F.col(f"_mean_{c}"), F.lit(overall[c]).cast("double")) for c in columns}
+    # Sums and counts are taken once, written, and give the group means and the overall means.
+    sums = valued.groupBy(group).agg(*[f(c).alias(f"_{f.__name__}_{c}") for c in columns for f in (F.sum, F.count)])
+    sums = written(sums, "sums").withColumnRenamed(group, "_of_group")
+    overall = sums.agg(*[F.try_divide(F.sum(f"_sum_{c}"), F.sum(f"_count_{c}")).alias(f"_overall_{c}") for c in columns])
+    means = sums.select("_of_group", *[F.try_divide(F.col(f"_sum_{c}"), F.col(f"_count_{c}")).alias(f"_mean_{c}") for c in columns])
+    joined = valued.join(broadcast_if_small(means), F.col(group).eqNullSafe(F.col("_of_group")), "left").join(F.broadcast(overall))  # one row
+    filled = {c: F.coalesce(F.col(c), F.col(f"_mean_{c}"), F.col(f"_overall_{c}")) for c in columns}
     return joined.withColumns(filled).select(*df.columns)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from labelgap.fixed_values import CATEGORICAL_FEATURES, FLAG_PREFIXES, ID_COLUMNS, NUTRIENT_MARK
 from labelgap.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS
 from labelgap.operators.prefix import running_totals
-from labelgap.session import checkpointed
+from labelgap.session import written
 
 SCALER_KINDS = ("standard", "minmax")
 
@@ -143,7 +143,7 @@ def fit_encoder(frames: Sequence[DataFrame], columns: Sequence[str], buckets: in
     encoder = maps[0]
     for other in maps[1:]:
         encoder = encoder.union(other)
-    return checkpointed(encoder)  # a fitted table, read once per encoded column and frame
+    return written(encoder, "encoder")  # a fitted table, read once per encoded column and frame
 
 
 def _small_maps(encoder: DataFrame) -> set[str]:

@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 
 from labelgap.fixed_values import NULL_KEY_TEXT
 from labelgap.functions.text import normalise_key
+from labelgap.session import written
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEY_LIMIT = 64
+#: Rows of one key that are joined in one task; a key with more is spread over as many parts as it takes.
 HOT_KEY_ROWS = 5_000_000
 
 
@@ -42,28 +43,23 @@ def broadcast_if_small(
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS, limit: int = HOT_KEY_LIMIT) -> list:
-    """Keys that hold at least ``min_rows`` rows, at most ``limit`` of them.
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """``key, parts`` of every key with more than ``min_rows`` rows: as many parts as keep each below it."""
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") > min_rows).select(key, F.ceil(F.col("_rows") / F.lit(min_rows)).cast("int").alias("parts"))
 
-    A frequent-items sketch finds the candidates without a shuffle; only
-    they are then counted. A hot key beyond the limit is joined like any
-    other key, so the result does not depend on this list.
+
+def _salted_left_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Spread the rows of each hot key over its parts, and repeat its right rows for each part.
+
+    Parts are dealt in turn over the written left side, so rows that are exact copies are spread,
+    too, and a row has the same part however often it is read.
     """
-    sketch = df.filter(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k(`{key}`, {limit}, {limit * 64})").alias("top")
-    )
-    candidates = [entry[0] for entry in (sketch.first()["top"] or []) if entry[1] >= min_rows]
-    if not candidates:
-        return []
-    counted = df.filter(F.col(key).isin(candidates)).groupBy(key).count().filter(F.col("count") >= min_rows)
-    return sorted(row[0] for row in counted.collect())
-
-
-def _salted_left_join(left: DataFrame, right: DataFrame, key: str, salts: int) -> DataFrame:
-    """Spread each key of the left side over ``salts`` parts and repeat the right side for each part."""
-    hashable = [f.name for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = broadcast_if_small(hot)
+    turn = F.pmod(F.monotonically_increasing_id(), F.coalesce("parts", F.lit(1)))
+    salted = left.join(hot, key, "left").withColumn("_salt", turn.cast("int")).drop("parts")
+    parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+    repeated = right.join(hot, key, "left").withColumn("_salt", F.explode(parts)).drop("parts")
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
 
 
@@ -72,22 +68,20 @@ def left_join(
     right: DataFrame,
     key: str = "code",
     columns: Sequence[str] | None = None,
-    null_keys: str = "match",
-    hot_key_rows: int | None = HOT_KEY_ROWS,
-    salts: int = 32,
+    null_keys: str = "never",
+    hot_key_rows: int | None = None,
 ) -> DataFrame:
     """Left equi-join on a normalised key.
 
-    Keys are turned to stripped text on both sides. With ``null_keys='match'``
-    null keys become one text and meet each other; with ``'never'`` they match
-    nothing. Only the key and those of ``columns`` that exist are taken from the
-    right, and a column the left side already has under such a name is
+    Keys are turned to stripped text on both sides. A null key matches nothing;
+    with ``null_keys='match'`` null keys become one text, and the right side's rows of that text are
+    brought down to the distinct ones, so that the nulls of the left meet each of them once. Only the key and those of ``columns``
+    that exist are taken from the right, and a column the left side already has under such a name is
     replaced, so no suffixes arise.
 
-    Keys with ``hot_key_rows`` rows or more on the left are joined apart: against
-    a broadcast of their right rows when these are measured to be few, else over
-    salted keys. The rest shuffles on the key. ``hot_key_rows=None`` skips the
-    search for such keys.
+    The rest shuffles on the key, and Spark splits partitions that grow too large. With
+    ``hot_key_rows`` the left keys are counted first, and keys with more rows than that are spread over parts, whatever
+    their number.
     """
     if null_keys not in ("match", "never"):
         raise ValueError(f"unknown null_keys: {null_keys}")
@@ -98,32 +92,29 @@ def left_join(
 
     if null_keys == "never":
         # Null keys match nothing: they stay out of the shuffle instead of meeting in one task.
-        keyed = _join_split(left.filter(F.col(key).isNotNull()), right, key, hot_key_rows, salts)
+        keyed = _join_split(left.filter(F.col(key).isNotNull()), right, key, hot_key_rows)
         return keyed.unionByName(left.filter(F.col(key).isNull()), allowMissingColumns=True)
-    return _join_split(left, right, key, hot_key_rows, salts)
+    nulls = F.col(key) == NULL_KEY_TEXT
+    right = right.filter(~nulls).unionByName(right.filter(nulls).distinct())
+    return _join_split(left, right, key, hot_key_rows)
 
 
-def _join_split(left, right, key, hot_key_rows, salts):
-    hot = hot_keys(left, key, hot_key_rows) if hot_key_rows is not None else []
-    if not hot:
+def _join_split(left: DataFrame, right: DataFrame, key: str, hot_key_rows: int | None) -> DataFrame:
+    if hot_key_rows is None:
         return left.join(right, key, "left")
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    hot_left, hot_right = left.filter(is_hot), right.filter(is_hot)
-    if fits_broadcast(hot_right):
-        hot_joined = hot_left.join(F.broadcast(hot_right), key, "left")
-    else:
-        hot_joined = _salted_left_join(hot_left, hot_right, key, salts)
-    return left.filter(~is_hot).join(right.filter(~is_hot), key, "left").unionByName(hot_joined)
+    columns = [*left.columns, *[c for c in right.columns if c != key]]
+    left = written(left, "left")
+    return _salted_left_join(left, right, key, written(hot_keys(left, key, hot_key_rows), "hot")).select(*columns)
 
 
 def enrich_if_absent(
     df: DataFrame, labels: DataFrame, column: str = "language_case", columns: Sequence[str] = ("language_case", "category_top"),
-    key: str = "code",
+    key: str = "code", null_keys: str = "never",
 ) -> DataFrame:
     """Join the label columns only where the data do not carry them yet."""
     if column in df.columns:
         return df
-    return left_join(df, labels, key, columns)
+    return left_join(df, labels, key, columns, null_keys)
 
 
 def join_audit(df: DataFrame, column: str = "energy_100g") -> DataFrame:

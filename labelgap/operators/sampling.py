@@ -1,9 +1,11 @@
 """Exact, repeatable splits and samples by key digest.
 
-Rows are ordered by the md5 digest of their key and a seed. The digest that
-ends the first k rows is found from counts per digest prefix, a few hex
-characters at a time, so a split is a plain filter afterwards: no sort, no
-window, no shuffle of the rows, and the same result on every retry.
+Rows are ordered by the md5 digest of their key and a seed. One pass counts
+rows per class and digest prefix, which tells the prefix in which the first k
+rows of a class end; a second pass stages the digests under that prefix, and
+the cut is found among them. A split is then a comparison with a table of one
+cut per class: no sort and no shuffle of the rows, any number of classes, and the
+same result on every retry.
 """
 
 from __future__ import annotations
@@ -11,15 +13,15 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelgap.fixed_values import SEED
-from labelgap.session import checkpointed
+from labelgap.operators.joins import broadcast_if_small
+from labelgap.session import written
 
 _HEX_STEP = 3
 _DIGEST_CHARS = 32
-_MAX_GROUPS = 100
 ROW_ID = "_row"
 
 
@@ -28,8 +30,8 @@ class TiedKeys(ValueError):
 
 
 def with_row_id(df: DataFrame, output: str = ROW_ID) -> DataFrame:
-    """Add a unique row number, written to the checkpoint folder with the rows so that it never changes again."""
-    return checkpointed(df.withColumn(output, F.monotonically_increasing_id()))
+    """Add a unique row number, written to the shared folder with the rows so that it never changes again."""
+    return written(df.withColumn(output, F.monotonically_increasing_id()), "numbered")
 
 
 def key_digest(keys: Sequence[str], seed: int = SEED) -> Column:
@@ -40,79 +42,89 @@ def _as_list(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def group_sizes(df: DataFrame, group: str) -> dict:
-    """Rows per group; raises when the column has more groups than a class column may have."""
-    rows = df.groupBy(group).count().limit(_MAX_GROUPS + 1).collect()
-    if len(rows) > _MAX_GROUPS:
-        raise ValueError(f"{group} has more than {_MAX_GROUPS} values")
-    return {row[0]: row["count"] for row in rows}
+def group_sizes(df: DataFrame, group: str | None) -> DataFrame:
+    """``g, n``: rows per group; one group without a name if there is no column."""
+    label = F.col(group) if group is not None else F.lit(None).cast("string")
+    return df.groupBy(label.alias("g")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _where_it_ends(counts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``g, prefix, remaining, n``: the prefix in which the first ``remaining`` rows of each group end, and what remains inside it.
+
+    ``counts`` has at most 4,096 rows per group.
+    """
+    running = F.sum("n").over(Window.partitionBy("g").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0))
+    placed = counts.withColumn("upto", running).join(wanted.withColumnRenamed("g", "_g"), F.col("g").eqNullSafe(F.col("_g")))
+    ends = placed.filter((F.col("upto") - F.col("n") < F.col("remaining")) & (F.col("remaining") <= F.col("upto")))
+    return ends.select("g", "prefix", (F.col("remaining") - F.col("upto") + F.col("n")).alias("remaining"), "n")
 
 
-def digest_cuts(df: DataFrame, digest: Column, wanted: Mapping, group: str | None = None) -> dict:
-    """The last digest among the first ``wanted[g]`` rows of each group ``g``.
+def digest_cuts(df: DataFrame, digest: Column, wanted: DataFrame, group: str | None = None) -> DataFrame:
+    """``g, cut``: the last digest among the first ``remaining`` rows of each group of ``wanted`` (``g, remaining``).
 
-    Every round counts at most 4,096 prefixes per group and goes on inside the
-    one prefix that holds the cut. A group that needs no rows gets ``""``.
+    Reads ``df`` twice, whatever its size and number of groups: once to count, once to stage the
+    digests under the prefix that holds the cut. A group that needs no rows is left out.
     """
     label = F.col(group) if group is not None else F.lit(None).cast("string")
     rows = df.select(label.alias("g"), digest.alias("d"))
-    cuts = {g: "" for g, k in wanted.items() if k <= 0}
-    open_groups = {g: ("", k) for g, k in wanted.items() if k > 0}
+    wanted = wanted.filter("remaining > 0").select("g", "remaining")
+    cuts = None
     for length in range(_HEX_STEP, _DIGEST_CHARS + _HEX_STEP, _HEX_STEP):
-        if not open_groups:
-            break
-        inside = F.lit(False)
-        for g, (prefix, _) in open_groups.items():
-            inside = inside | (F.col("g").eqNullSafe(F.lit(g)) & F.col("d").startswith(prefix))
-        counts = rows.filter(inside).groupBy("g", F.substring("d", 1, length).alias("p")).count().collect()
-        still_open = {}
-        for g, (_, remaining) in open_groups.items():
-            for prefix, n in sorted((r["p"], r["count"]) for r in counts if r["g"] == g):
-                if remaining <= n:
-                    if remaining == n:
-                        cuts[g] = prefix + "~"  # sorts behind every digest with this prefix
-                    elif length >= _DIGEST_CHARS:
-                        raise TiedKeys("the key is not unique: equal digests meet at the cut")
-                    else:
-                        still_open[g] = (prefix, remaining)
-                    break
-                remaining -= n
-            else:
-                raise ValueError(f"group {g!r} has fewer rows than wanted")
-        open_groups = still_open
+        counts = rows.groupBy("g", F.substring("d", 1, length).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+        ends = written(_where_it_ends(counts, wanted), "cuts")
+        # A prefix that is taken whole is a cut: the sign behind it sorts after every hex digit.
+        done = ends.filter("remaining = n").select("g", F.concat("prefix", F.lit("~")).alias("cut"))
+        cuts = done if cuts is None else cuts.unionByName(done)
+        left = ends.filter("remaining < n")
+        if left.isEmpty():
+            return cuts
+        if length >= _DIGEST_CHARS:
+            raise TiedKeys("the key is not unique: equal digests meet at the cut")
+        inside = broadcast_if_small(left.select(F.col("g").alias("_g"), "prefix"))
+        under = F.col("g").eqNullSafe(F.col("_g")) & (F.substring("d", 1, length) == F.col("prefix"))
+        rows = written(rows.join(inside, under, "left_semi"), "digests")
+        wanted = left.select("g", "remaining")
     return cuts
 
 
-def _within_cut(digest: Column, cuts: Mapping, group: str | None) -> Column:
-    if group is None:
-        return digest <= F.lit(cuts[None])
-    chosen = F.lit(False)
-    for g, cut in cuts.items():
-        chosen = chosen | (F.col(group).eqNullSafe(F.lit(g)) & (digest <= F.lit(cut)))
-    return chosen
-
-
 def class_allocation(sizes: Mapping, n_draws: int) -> dict:
     """``n_draws`` rows shared out over classes in proportion, by largest remainder."""
     total = sum(sizes.values())
-    shares = {g: n * n_draws / total for g, n in sizes.items()}
-    drawn = {g: math.floor(share) for g, share in shares.items()}
-    by_remainder = sorted(shares, key=lambda g: (-(shares[g] - drawn[g]), str(g)))
+    shares = {g: divmod(n * n_draws, total) for g, n in sizes.items()}
+    drawn = {g: whole for g, (whole, _) in shares.items()}
+    by_remainder = sorted(shares, key=lambda g: (-shares[g][1], str(g)))
     for g in by_remainder[: n_draws - sum(drawn.values())]:
         drawn[g] += 1
     return drawn
 
 
-def _first_rows(df, keys, seed, wanted, group):
-    """The frame and the condition that holds for the first ``wanted`` rows of each group."""
-    digest = key_digest(keys, seed)
+def allocated(sizes: DataFrame, n_draws: Column | int, output: str = "drawn") -> DataFrame:
+    """``class_allocation`` for a table ``g, n`` of any number of classes."""
+    n_draws = F.lit(n_draws) if isinstance(n_draws, int) else n_draws
+    totals = sizes.agg(F.sum("n").alias("total"))
+    shared = sizes.join(F.broadcast(totals), how="cross")  # one row
+    shared = shared.withColumn("_product", F.col("n").cast("decimal(38,0)") * n_draws.cast("decimal(19,0)"))
+    shared = shared.withColumn(output, F.call_function("div", "_product", F.col("total").cast("decimal(38,0)")).cast("long"))
+    shared = written(shared.withColumn("_rest", F.col("_product") - F.col(output) * F.col("total")), "shares")
+    left = shared.agg((F.max(n_draws) - F.sum(output)).alias("k")).first()["k"] or 0
+    first = shared.orderBy(F.desc("_rest"), F.col("g").cast("string")).limit(left).select(F.col("g").alias("_g"), F.lit(1).alias("_more"))
+    more = shared.join(first, F.col("g").eqNullSafe(F.col("_g")), "left")
+    return more.select("g", "n", (F.col(output) + F.coalesce("_more", F.lit(0))).alias(output))
+
+
+def _first_rows(df: DataFrame, keys: Sequence[str], seed: int, wanted: DataFrame, group: str | None, output: str) -> DataFrame:
+    """The frame with a mark on the first ``remaining`` rows of each group."""
+    columns, digest = df.columns, key_digest(keys, seed)
     try:
         cuts = digest_cuts(df, digest, wanted, group)
     except TiedKeys:
         df = with_row_id(df)
         digest = key_digest([*keys, ROW_ID], seed)
         cuts = digest_cuts(df, digest, wanted, group)
-    return df, _within_cut(digest, cuts, group)
+    label = F.col(group) if group is not None else F.lit(None).cast("string")
+    cuts = broadcast_if_small(cuts.withColumnRenamed("g", "_g"))  # a row per group
+    marked = df.join(cuts, label.eqNullSafe(F.col("_g")), "left")
+    return marked.select(*columns, F.coalesce(digest <= F.col("cut"), F.lit(False)).alias(output))
 
 
 def mark_split(
@@ -122,20 +134,18 @@ def mark_split(
     """Add a boolean that marks exactly ``ceil(test_size * n)`` rows as test rows.
 
     ``stratify`` keeps the class shares: the train rows are shared out over the
-    classes by largest remainder and the rest of each class is for testing.
-    Runs one job per three hex digits needed. Where rows with one and the same
-    key meet at the cut they are numbered first, see ``with_row_id``.
+    classes by largest remainder and the rest of each class is for testing. Reads
+    the rows three times: sizes, digest prefixes, and the digests under the prefix of the cut.
+    Where rows with one and the same key meet at the cut they are numbered first, see ``with_row_id``.
     """
-    keys = _as_list(key)
+    sizes = written(group_sizes(df, stratify), "sizes")
+    n = sizes.agg(F.sum("n")).first()[0] or 0
+    n_test = math.ceil(test_size * n)
     if stratify is None:
-        wanted = {None: math.ceil(test_size * df.count())}
+        wanted = sizes.select("g", F.lit(n_test).alias("remaining"))
     else:
-        sizes = group_sizes(df, stratify)
-        n = sum(sizes.values())
-        train = class_allocation(sizes, n - math.ceil(test_size * n)) if n else {}
-        wanted = {g: sizes[g] - train[g] for g in sizes}
-    numbered, chosen = _first_rows(df, keys, seed, wanted, stratify)
-    return numbered.select(*df.columns, F.coalesce(chosen, F.lit(False)).alias(output))
+        wanted = allocated(sizes, n - n_test).select("g", (F.col("n") - F.col("drawn")).alias("remaining"))
+    return _first_rows(df, _as_list(key), seed, wanted, stratify, output)
 
 
 def split_train_test(
@@ -157,10 +167,10 @@ def balanced_sample(
     df: DataFrame, side: str, key: str | Sequence[str], seed: int = SEED
 ) -> DataFrame:
     """Down-sample every side, without replacement, to the size of the smallest."""
-    sizes = group_sizes(df, side)
-    smallest = min(sizes.values(), default=0)
-    sampled, chosen = _first_rows(df, _as_list(key), seed, {g: smallest for g in sizes}, side)
-    return sampled.filter(chosen).select(*df.columns)
+    sizes = written(group_sizes(df, side), "sizes")
+    smallest = sizes.agg(F.min("n")).first()[0] or 0
+    wanted = sizes.select("g", F.lit(smallest).alias("remaining"))
+    return _first_rows(df, _as_list(key), seed, wanted, side, "_chosen").filter("_chosen").drop("_chosen")
 
 
 def shuffled(df: DataFrame, key: str | Sequence[str], seed: int = SEED) -> DataFrame:

@@ -1,53 +1,53 @@
 """Synthetic rows that look like the real ones: a Gaussian copula per class.
 
-Fitting keeps, for every class and column, a grid of real values at equal
-steps of probability, so that a value holding much of the mass (an exact zero,
-say) keeps it. Correlations are those of normal scores. Both are
-aggregates whose result has a fixed size; generating is a projection over
-``range`` and depends on row id and seed only.
+Fitting keeps, for every class and column, the table of all distinct values and
+their running counts, so that a rare value keeps its frequency and a value that holds much of
+the mass (an exact zero, say) keeps it. Correlations are those of mid-ranks. A
+generated row draws a uniform number per column and looks up the value whose running count it
+falls on, by a join over ranges of equal counts. Categories are drawn as the class has them,
+independent of the numbers' order. Rows depend on class, number and seed only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
-from statistics import NormalDist
 
 import numpy as np
-from pyspark import StorageLevel
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelgap.fixed_values import N_SYNTHETIC, SEED
-from labelgap.functions.stats import correlation, normal_cdf, standard_normal
+from labelgap.fixed_values import CATEGORICAL_FEATURES, N_SYNTHETIC, SEED
+from labelgap.functions.stats import correlation, normal_cdf, standard_normal, uniform
 from labelgap.operators.drift import long_form
+from labelgap.operators.joins import broadcast_if_small
 from labelgap.operators.prefix import running_totals
-from labelgap.operators.sampling import class_allocation, group_sizes
+from labelgap.operators.sampling import allocated, group_sizes
+from labelgap.session import written
 
-GRID = 1000
-SCORE_BINS = 32
-_ROWS_PER_PARTITION = 1_000_000
-_MAX_GRID_CELLS = 2_000_000
+_ROWS_PER_PIECE = 1_000_000
+#: Ranges of equal counts per class and column; more distinct values than this share ranges.
+_RANGES = 1 << 20
+_CATEGORY_STREAM = 1 << 16
 
 
 @dataclass(frozen=True)
 class Synthesizer:
     columns: list[str]
+    categories: list[str]
     target: str
     schema: T.StructType
-    sizes: dict
-    grids: dict  # class -> column -> values at equal steps of probability
-    mixing: dict  # class -> lower triangular matrix
+    sizes: DataFrame  # g, n
+    distribution: DataFrame  # class, variable, value, n, cum_n, total_n
+    mixing: DataFrame  # class, lower triangular matrix
 
 
-def marginal_grid(df: DataFrame, columns: Sequence[str], target: str = "target", grid: int = GRID) -> DataFrame:
-    """``(target, variable, position, value)``: the value at probability ``(position + 0.5) / grid``.
-
-    A row of the table of distinct values covers every position whose
-    probability its running total passes; most cover none or one.
-    """
+def value_distribution(df: DataFrame, columns: Sequence[str], target: str = "target") -> DataFrame:
+    """``(target, variable, value, n, cum_n, total_n)``: every distinct value of each class and its running count."""
     doubles = df.select(target, *[F.col(c).cast("double").alias(c) for c in columns])
     counts = (
         doubles.select(target, long_form(columns))
@@ -55,23 +55,7 @@ def marginal_grid(df: DataFrame, columns: Sequence[str], target: str = "target",
         .groupBy(target, "variable", (F.col("value") + F.lit(0.0)).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    totals = running_totals(counts, "value", ["n"], [target, "variable"])
-    passed = lambda upto: F.call_function(
-        "div", upto * (2 * grid) + F.col("total_n"), F.col("total_n") * 2
-    )
-    first, behind = passed(F.col("cum_n") - F.col("n")), passed(F.col("cum_n"))
-    covered = totals.filter(behind > first)
-    return covered.select(target, "variable", F.explode(F.sequence(first, behind - 1)).alias("position"), "value")
-
-
-def _score_tables(values: Sequence[float], bins: int) -> tuple[list[float], list[float]]:
-    """Cut points out of a value grid, and the normal score in the middle of each range they form."""
-    sorted_values = np.asarray(values)
-    cuts = np.unique(sorted_values[:: max(1, len(values) // bins)])
-    upto = np.searchsorted(sorted_values, cuts, side="right") / len(values)
-    edges = np.concatenate([[0.0], upto, [1.0]])
-    middles = np.clip((edges[:-1] + edges[1:]) / 2, 1e-6, 1 - 1e-6)
-    return cuts.tolist(), [NormalDist().inv_cdf(p) for p in middles]
+    return running_totals(counts, "value", ["n"], [target, "variable"]).select(target, "variable", "value", "n", "cum_n", "total_n")
 
 
 def _mixing_matrix(correlations: np.ndarray) -> np.ndarray:
@@ -84,91 +68,89 @@ def _mixing_matrix(correlations: np.ndarray) -> np.ndarray:
     return np.linalg.cholesky(repaired / np.outer(scale, scale))
 
 
-def _broadcast_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(rows, schema))  # one row per class, bounded by _MAX_GRID_CELLS
+def _mixing(rows: DataFrame, distribution: DataFrame, numeric: list[str], target: str) -> DataFrame:
+    """One lower triangular matrix per class, from Spearman correlations."""
+    ranked = rows
+    for i, c in enumerate(numeric):
+        middle = F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2
+        ranks = distribution.filter(F.col("variable") == c).select(target, F.col("value").alias(f"_v{i}"), middle.alias(f"_r{i}"))
+        ranked = ranked.withColumn(f"_v{i}", F.col(c).cast("double") + F.lit(0.0)).join(broadcast_if_small(ranks), [target, f"_v{i}"])
+    pairs = list(combinations(range(len(numeric)), 2))
+    normal = [2 * F.sin(F.lit(math.pi / 6) * correlation(F.col(f"_r{a}"), F.col(f"_r{b}"))) for a, b in pairs]
+    found = ranked.groupBy(target).agg(F.count(F.lit(1)).alias("n"), F.array(*normal, F.lit(None).cast("double")).alias("normal"))
+    k = len(numeric)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            matrices = []
+            for values in frame["normal"]:
+                matrix = np.eye(k)
+                for (a, b), r in zip(pairs, values):
+                    matrix[a, b] = matrix[b, a] = np.nan if r is None else r
+                matrices.append(_mixing_matrix(matrix).tolist() if k else [])
+            yield pd.DataFrame({"g": frame["g"], "mixing": matrices})
+
+    kind = rows.schema[target].dataType.simpleString()
+    return found.select(F.col(target).alias("g"), "normal").mapInPandas(run, f"g {kind}, mixing array<array<double>>")
 
 
 def fit_synthesizer(
-    df: DataFrame, columns: Sequence[str], target: str = "target", grid: int = GRID, bins: int = SCORE_BINS
+    df: DataFrame, columns: Sequence[str], target: str = "target", categories: Sequence[str] = tuple(CATEGORICAL_FEATURES)
 ) -> Synthesizer:
+    """Rows with a null are left out. ``categories`` are those of the columns whose numbers are codes without an order."""
     columns = list(columns)
-    rows = df.select(*columns, target).na.drop().persist(StorageLevel.MEMORY_AND_DISK)  # read by each of the aggregates
-    try:
-        return _fit_rows(rows, columns, target, grid, bins)
-    finally:
-        rows.unpersist()
+    named = [c for c in columns if c in categories]
+    rows = written(df.select(*columns, target).na.drop(), "complete")
+    sizes = written(group_sizes(rows, target), "sizes")
+    if sizes.isEmpty():
+        raise ValueError("no complete rows to fit")
+    distribution = written(value_distribution(rows, columns, target), "distribution")
+    mixing = written(_mixing(rows, distribution, [c for c in columns if c not in named], target), "mixing")
+    return Synthesizer(columns, named, target, rows.schema, sizes, distribution, mixing)
 
 
-def _fit_rows(rows: DataFrame, columns: list[str], target: str, grid: int, bins: int) -> Synthesizer:
-    spark = rows.sparkSession
-    sizes = group_sizes(rows, target)
-    if not sizes:
-        raise ValueError("no complete rows to fit")
-    if len(sizes) * len(columns) * grid > _MAX_GRID_CELLS:
-        raise ValueError(f"too many classes ({len(sizes)}) or columns ({len(columns)}) for a grid of {grid}")
+def _looked_up(drawn: DataFrame, distribution: DataFrame, target: str) -> DataFrame:
+    """The value of each draw (``g, k, variable, u``): the one on whose running count the uniform number falls."""
+    table = distribution.withColumnRenamed(target, "g")
+    spans = table.groupBy("g", "variable").agg(F.max("total_n").alias("total"), F.least(F.count(F.lit(1)), F.lit(_RANGES)).alias("ranges"))
+    spans = broadcast_if_small(written(spans, "spans"))
 
-    grids = {g: {c: [0.0] * grid for c in columns} for g in sizes}
-    for cell in marginal_grid(rows, columns, target, grid).collect():  # classes x columns x grid
-        grids[cell[target]][cell["variable"]][cell["position"]] = cell["value"]
+    def range_of(position: Column) -> Column:
+        return F.call_function("div", position * F.col("ranges"), F.col("total"))
 
-    kind = rows.schema[target].dataType.simpleString()
-    schema = ", ".join([f"_class {kind}"] + [f"cuts_{i} array<double>, scores_{i} array<double>" for i in range(len(columns))])
-    tables = [
-        (g, *[part for c in columns for part in _score_tables(grids[g][c], bins)]) for g in sizes
-    ]
-    scored = rows.join(_broadcast_rows(spark, tables, schema), F.col(target) == F.col("_class"))
-
-    def score(i: int, value: Column) -> Column:
-        return F.element_at(f"scores_{i}", F.size(F.filter(f"cuts_{i}", lambda cut: cut < value)) + 1).alias(f"z{i}")
-
-    scores = scored.select(target, *[score(i, F.col(c).cast("double")) for i, c in enumerate(columns)])
-    pairs = list(combinations(range(len(columns)), 2))
-    found = scores.groupBy(target).agg(F.count(F.lit(1)), *[
-        correlation(F.col(f"z{a}"), F.col(f"z{b}")).alias(f"r_{a}_{b}") for a, b in pairs
-    ])
-    mixing = {}
-    for row in found.collect():
-        matrix = np.eye(len(columns))
-        for a, b in pairs:
-            r = row[f"r_{a}_{b}"]
-            matrix[a, b] = matrix[b, a] = np.nan if r is None else r
-        mixing[row[target]] = _mixing_matrix(matrix)
-    return Synthesizer(columns, target, rows.schema, sizes, grids, mixing)
+    covered = table.join(spans, ["g", "variable"]).select(
+        "g", "variable", "value", (F.col("cum_n") - F.col("n")).alias("first"), F.col("cum_n").alias("behind"),
+        F.explode(F.sequence(range_of(F.col("cum_n") - F.col("n")), range_of(F.col("cum_n") - 1))).alias("range"),
+    )
+    placed = drawn.join(spans, ["g", "variable"])
+    placed = placed.withColumn("position", F.least(F.floor(F.col("u") * F.col("total")), F.col("total") - 1))
+    placed = placed.withColumn("range", range_of(F.col("position")))
+    met = placed.join(covered, ["g", "variable", "range"])
+    return met.filter((F.col("position") >= F.col("first")) & (F.col("position") < F.col("behind"))).select("g", "k", "variable", "value")
 
 
 def generate(spark: SparkSession, model: Synthesizer, n: int = N_SYNTHETIC, seed: int = SEED) -> DataFrame:
     """``n`` rows with the class shares of the fitted data."""
-    k = len(model.columns)
-    grid = len(next(iter(model.grids.values()))[model.columns[0]])
-    allocation = class_allocation(model.sizes, n)
-    label, below = F.lit(None), 0
-    bounds = []
-    for g in sorted(allocation, key=str):
-        below += allocation[g]
-        bounds.append((below, g))
-    for upper, g in reversed(bounds):
-        label = F.when(F.col("id") < upper, F.lit(g)).otherwise(label)
-    kind = model.schema[model.target].dataType.simpleString()
-
-    schema = f"_class {kind}, mixing array<array<double>>, " + ", ".join(f"grid_{i} array<double>" for i in range(k))
-    tables = [
-        (g, model.mixing[g].tolist(), *[model.grids[g][c] for c in model.columns]) for g in model.sizes
-    ]
-    partitions = max(1, -(-n // _ROWS_PER_PARTITION))
-    drawn = spark.range(0, n, 1, partitions).select(
-        "id", label.cast(kind).alias("_class"), *[standard_normal(F.col("id"), seed, i).alias(f"z{i}") for i in range(k)]
+    numeric = [c for c in model.columns if c not in model.categories]
+    last = F.call_function("div", F.col("drawn") - 1, F.lit(_ROWS_PER_PIECE))
+    pieces = allocated(model.sizes, n).filter("drawn > 0").select("g", "drawn", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
+    start = F.col("piece") * _ROWS_PER_PIECE
+    rows = pieces.repartition("g", "piece").select(
+        "g", F.explode(F.sequence(start, F.least(start + _ROWS_PER_PIECE, F.col("drawn")) - 1)).alias("k")
+    )
+    row_id = F.xxhash64(F.col("g").cast("string"), "k")
+    mixed = rows.join(broadcast_if_small(model.mixing), "g").withColumns(
+        {f"z{i}": standard_normal(row_id, seed, i) for i in range(len(numeric))}
     )
-    drawn = drawn.join(_broadcast_rows(spark, tables, schema), "_class")
-    mixed = {
-        f"u{i}": normal_cdf(sum((F.col("mixing")[i][j] * F.col(f"z{j}") for j in range(i + 1)), F.lit(0.0))) for i in range(k)
+    uniforms = {c: uniform(row_id, seed, _CATEGORY_STREAM + i) for i, c in enumerate(model.categories)} | {
+        c: normal_cdf(sum((F.col("mixing")[i][j] * F.col(f"z{j}") for j in range(i + 1)), F.lit(0.0))) for i, c in enumerate(numeric)
     }
-    drawn = drawn.withColumns(mixed)
-    position = lambda i: F.least(F.floor(F.col(f"u{i}") * grid), F.lit(grid - 1)).cast("int")
-    values = [
-        F.element_at(f"grid_{i}", position(i) + 1).cast(model.schema[c].dataType).alias(c)
-        for i, c in enumerate(model.columns)
-    ]
-    return drawn.select(*values, F.col("_class").alias(model.target))
+    draws = F.array(*[F.struct(F.lit(c).alias("variable"), u.alias("u")) for c, u in uniforms.items()])
+    drawn = mixed.select("g", "k", F.inline(draws))
+    values = _looked_up(drawn, model.distribution, model.target)
+    wide = values.groupBy("g", "k").pivot("variable", model.columns).agg(F.first("value"))
+    kept = [F.col(c).cast(model.schema[c].dataType).alias(c) for c in model.columns]
+    return wide.select(*kept, F.col("g").alias(model.target))
 
 
 def balance_minority(

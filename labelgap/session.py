@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "16g") -> SparkSession:
-    """A single-JVM session for tests and the bench; clusters bring their own."""
+LOCAL_FOLDER = os.path.join(tempfile.gettempdir(), "labelgap-checkpoint")
+
+
+def local_session(
+    cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "16g", checkpoint: str = LOCAL_FOLDER
+) -> SparkSession:
+    """A single-JVM session for tests and the bench, with its shared folder named; clusters bring their own."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("labelgap")
@@ -18,6 +25,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config(CHECKPOINT_SETTING, checkpoint)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -29,17 +37,15 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster.
 
-    Only a local session without the setting falls back to a folder of its
-    own; a cluster session without it is an error, because a machine-local
+    Only a local session without the setting uses a fixed folder of this
+    machine; a cluster session without it is an error, because a machine-local
     folder is lost together with its executor.
     """
     folder = spark.sparkContext.getConf().get(CHECKPOINT_SETTING) or spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="labelgap-checkpoint-")
-        spark.conf.set(CHECKPOINT_SETTING, folder)
-        return folder
+    if spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        return LOCAL_FOLDER
     raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
 
 
@@ -49,10 +55,15 @@ def set_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write a frame that many jobs will read to the shared folder, and go on from there."""
-    set_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a frame that many jobs will read as Parquet in the shared folder, and go on from there.
+
+    Later jobs read only the columns they need, and a lost executor costs no
+    more than the tasks it was running.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/labelgap-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:
