@@ -124,27 +124,24 @@ LABEL_JOIN_COLUMNS = [
     "proteins_100g", "sodium_100g", "allergens_tags",
 ]
 REPORT_COLUMNS = ["original_code", "product_name_en", "serving_size", "calories_per_serving", "allergen_statement"]
-PROMPT_HEAD = (
-    "\n    Role: You are a Food Regulatory Expert specialized in US FDA compliance."
-    "\n    Task: Convert the given Korean snack data into a JSON format for a US Nutrition Facts label."
-    "\n    "
-    "\n    [Input Data]"
-)
-PROMPT_LINES = [
-    "\n    - Original Name: ",
-    "\n    - Category: Snack\n    - Nutrition (per 100g): ",
-    "\n    - Raw Allergen Tags: ",
-]
-PROMPT_TAIL = (
-    "\n    "
-    "\n    [Target JSON Structure]"
-    "\n    {"
-    '\n      "product_name_en": "...",'
-    '\n      "serving_size": "30g",'
-    '\n      "calories_per_serving": "...",'
-    '\n      "nutrition_facts": { "total_fat": "...", "sodium": "...", "total_carbohydrate": "...", "protein": "..." },'
-    '\n      "allergen_statement": "Contains: ...",'
-    '\n      "marketing_claims": ["..."] '
-    "\n    }"
-    "\n    "
-)
+# The drafting prompt; the three places in pointed brackets are filled in.
+PROMPT_TEMPLATE = """
+    Role: You are a Food Regulatory Expert specialized in US FDA compliance.
+    Task: Convert the given Korean snack data into a JSON format for a US Nutrition Facts label.
+    
+    [Input Data]
+    - Original Name: <<name>>
+    - Category: Snack
+    - Nutrition (per 100g): <<nutrition>>
+    - Raw Allergen Tags: <<allergens>>
+    
+    [Target JSON Structure]
+    {
+      "product_name_en": "...",
+      "serving_size": "30g",
+      "calories_per_serving": "...",
+      "nutrition_facts": { "total_fat": "...", "sodium": "...", "total_carbohydrate": "...", "protein": "..." },
+      "allergen_statement": "Contains: ...",
+      "marketing_claims": ["..."] 
+    }
+    """

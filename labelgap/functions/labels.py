@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from labelgap.fixed_values import (
-    PROMPT_HEAD,
-    PROMPT_LINES,
-    PROMPT_TAIL,
+    PROMPT_TEMPLATE,
     UNKNOWN_ALLERGENS,
     UNKNOWN_CARD_NAME,
     UNKNOWN_PRODUCT_NAME,
@@ -68,12 +68,9 @@ def nutrition_json(
 
 def label_prompt(name: Column, nutrition: Column, allergens: Column) -> Column:
     """The drafting prompt of one product."""
-    return F.concat(
-        F.lit(PROMPT_HEAD + PROMPT_LINES[0]), name,
-        F.lit(PROMPT_LINES[1]), nutrition,
-        F.lit(PROMPT_LINES[2]), allergens,
-        F.lit(PROMPT_TAIL),
-    )
+    places = {"name": name, "nutrition": nutrition, "allergens": allergens}
+    # Pieces of text and names of places take turns.
+    return F.concat(*[places[piece] if i % 2 else F.lit(piece) for i, piece in enumerate(re.split("<<(.*?)>>", PROMPT_TEMPLATE))])
 
 
 def json_rescue(text: Column) -> Column:

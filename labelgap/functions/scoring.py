@@ -13,27 +13,24 @@ _DIGITS = r"\d(_?\d)*"
 _NUMBER = rf"(?i)^[+-]?(({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})(e[+-]?{_DIGITS})?|inf|infinity|nan)$"
 
 
-def parse_score_line(line: Column, fields: Sequence[str] = MODEL_NUTRIENTS) -> dict[str, Column]:
-    """``status`` plus one double per field, out of a line of numbers.
-
-    Commas are deleted, then the line is split at white space. ``status`` is
-    ``quit``, ``number_error`` (checked first), ``count_error`` or ``ok``;
-    the doubles are null unless ``ok``.
-    """
-    words = F.filter(F.split(F.replace(line, F.lit(","), F.lit("")), r"(?U)\s+"), lambda w: w != "")
-    numeric = F.forall(words, lambda w: w.rlike(_NUMBER))
-    status = (
+def line_words(line: Column) -> Column:
+    """The words of a line of numbers: commas are deleted, then it is split at white space."""
+    return F.filter(F.split(F.replace(line, F.lit(","), F.lit("")), r"(?U)\s+"), lambda w: w != "")
+
+
+def line_status(line: Column, words: Column, n_fields: int) -> Column:
+    """``quit``, ``number_error`` (checked first), ``count_error`` or ``ok``."""
+    return (
         F.when(F.lower(line) == "q", "quit")
         .when(line.isNull(), "count_error")
-        .when(~numeric, "number_error")
-        .when(F.size(words) != len(fields), "count_error")
+        .when(~F.forall(words, lambda w: w.rlike(_NUMBER)), "number_error")
+        .when(F.size(words) != n_fields, "count_error")
         .otherwise("ok")
     )
-    columns = {"status": status}
-    for position, field in enumerate(fields, 1):
-        word = F.lower(F.replace(F.get(words, F.lit(position - 1)), F.lit("_"), F.lit("")))
-        columns[field] = F.when(status == "ok", word.try_cast("double"))
-    return columns
+
+
+def word_number(words: Column, position: int) -> Column:
+    return F.lower(F.replace(F.get(words, F.lit(position)), F.lit("_"), F.lit(""))).try_cast("double")
 
 
 def risk_band(score: Column, high: float = RISK_HIGH, caution: float = RISK_CAUTION) -> Column:

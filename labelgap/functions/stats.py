@@ -10,7 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-EXACT_KS_ROWS = 10_000
 _KS_TERMS = 100
 
 
@@ -30,29 +29,40 @@ def _ks_exact(d: float, n: int, m: int) -> float:
     return float(previous[-1])
 
 
-def _ks_limit(d: float, n: int, m: int) -> float:
-    """The limiting distribution, with the usual correction for a finite sample."""
-    size = round(n * m / (n + m))
-    z = math.sqrt(size) * d
-    z = z + 1 / (6 * math.sqrt(size)) + (z - 1) / (4 * size)
-    if z <= 0.2:
-        return 1.0
-    total = sum((-1) ** (k - 1) * math.exp(-2 * k * k * z * z) for k in range(1, _KS_TERMS + 1))
-    return min(1.0, max(0.0, 2 * total))
-
-
 def ks_two_sample_p(d: float, n: int, m: int) -> float:
-    """Two-sided p-value of a two-sample KS statistic: exact up to 10,000 rows a side."""
+    """Two-sided p-value of a two-sample KS statistic, exact; the work grows with the product of the sample sizes."""
     if n == 0 or m == 0 or d is None or math.isnan(d):
         return float("nan")
-    return _ks_exact(d, n, m) if max(n, m) <= EXACT_KS_ROWS else _ks_limit(d, n, m)
+    return _ks_exact(d, n, m)
+
+
+def _ks_limit(d: Column, n: Column, m: Column) -> Column:
+    """The limiting distribution, with the usual correction for a finite sample."""
+    size = F.round(n * m / (n + m))
+    plain = F.sqrt(size) * d
+    z = plain + 1 / (6 * F.sqrt(size)) + (plain - 1) / (4 * size)
+    terms = F.transform(
+        F.sequence(F.lit(1), F.lit(_KS_TERMS)), lambda k: F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2 * k * k * z * z)
+    )
+    total = F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
+    return F.when(z <= 0.2, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * total)))
 
 
 @F.pandas_udf(T.DoubleType())
-def ks_pvalue(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+def _ks_exact_column(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
     return pd.Series([ks_two_sample_p(float(a), int(b), int(c)) for a, b, c in zip(d, n, m)], dtype="float64")
 
 
+KS_METHODS = ("limit", "exact")
+
+
+def ks_pvalue(d: Column, n: Column, m: Column, method: str = "limit") -> Column:
+    """Two-sided p-value: ``limit`` by the limiting distribution, at every size; ``exact`` by counting paths, for small samples."""
+    if method not in KS_METHODS:
+        raise ValueError(f"unknown method: {method}")
+    return _ks_limit(d, n, m) if method == "limit" else _ks_exact_column(d, n, m)
+
+
 def correlation(x: Column, y: Column) -> Column:
     """Pearson correlation of columns that are present together; null where one is constant.
 

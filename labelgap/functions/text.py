@@ -44,8 +44,10 @@ def float_text(value: Column) -> Column:
         "%se%s%s", mantissa, F.when(exponent < 0, "-").otherwise("+"), F.lpad(F.abs(exponent).cast("string"), 2, "0")
     )
     size = F.abs(number)
+    # Nearly all numbers take the first branch, which forms their text once.
     return (
-        F.when(number.isNull() | F.isnan(number), "nan")
+        F.when(((size >= 1e-3) & (size < 1e7)) | (number == 0), text)
+        .when(number.isNull() | F.isnan(number), "nan")
         .when(~text.contains("E"), text)
         .when((size >= 1e-4) & (size < 1e16), plain)
         .otherwise(scientific)

@@ -25,10 +25,12 @@ from labelgap.operators.evaluation import (
     discriminator_verdict,
     f1_score,
     rank_models,
+    roc_points,
 )
-from labelgap.operators.sampling import balanced_sample, group_sizes, split_train_test
+from labelgap.operators.joins import broadcast_if_small
+from labelgap.operators.sampling import balanced_sample, split_train_test
 from labelgap.operators.synthesis import augment, balance_minority
-from labelgap.session import set_checkpoint_dir
+from labelgap.session import set_checkpoint_dir, written
 
 _log = logging.getLogger(__name__)
 
@@ -49,11 +51,8 @@ def class_weights(df: DataFrame, target: str = "target") -> DataFrame:
 
 
 def _with_weight(df: DataFrame, target: str, output: str) -> DataFrame:
-    sizes = group_sizes(df, target)
-    weight = F.lit(None).cast("double")
-    for value, n in sizes.items():
-        weight = F.when(F.col(target) == value, F.lit(sum(sizes.values()) / (len(sizes) * n))).otherwise(weight)
-    return df.withColumn(output, weight)
+    weights = broadcast_if_small(class_weights(df, target).select(F.col(target), F.col("weight").alias(output)))
+    return df.join(weights, target)
 
 
 def _fit(estimator, train: DataFrame, features, target, keep=()):
@@ -73,11 +72,15 @@ def train_detector(
     seed: int = SEED,
     balanced: bool = False,
     max_depth: int = MAX_DEPTH,
+    max_bins: int = MAX_BINS,
 ) -> Model:
-    """Random forest; ``balanced`` weights each class by the inverse of its size."""
+    """Random forest; ``balanced`` weights each class by the inverse of its size.
+
+    ``max_bins`` is the number of cut points tried per feature; codes of categories are numbers to it.
+    """
     set_checkpoint_dir(train.sparkSession)  # iterative fits cut their lineage there
     forest = RandomForestClassifier(
-        numTrees=n_trees, maxDepth=max_depth, maxBins=MAX_BINS, featureSubsetStrategy="sqrt", seed=seed
+        numTrees=n_trees, maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="sqrt", seed=seed
     )
     complete = complete_rows(train, [*features, target])
     if not balanced:
@@ -167,13 +170,13 @@ def augmentation_effect(
 # -- discriminators ----------------------------------------------------------------
 
 
-def _discriminators(n_rows: int, n_trees: int, seed: int):
+def _discriminators(n_rows: int, n_trees: int, seed: int, max_bins: int):
     return {
         "Logistic Regression": LogisticRegression(maxIter=1000, regParam=1.0 / n_rows, standardization=False),
         "Random Forest": RandomForestClassifier(
-            numTrees=n_trees, maxDepth=MAX_DEPTH, maxBins=MAX_BINS, featureSubsetStrategy="sqrt", seed=seed
+            numTrees=n_trees, maxDepth=MAX_DEPTH, maxBins=max_bins, featureSubsetStrategy="sqrt", seed=seed
         ),
-        "Gradient Boosting": GBTClassifier(maxIter=n_trees, maxDepth=3, stepSize=0.1, maxBins=MAX_BINS, seed=seed),
+        "Gradient Boosting": GBTClassifier(maxIter=n_trees, maxDepth=3, stepSize=0.1, maxBins=max_bins, seed=seed),
     }
 
 
@@ -184,10 +187,12 @@ def discriminator_predictions(
     side: str = PROVENANCE,
     n_trees: int = N_TREES,
     seed: int = SEED,
-) -> DataFrame:
-    """``(model, label, score, prediction)`` on the test rows of three models that try to tell the sides apart.
+    max_bins: int = MAX_BINS,
+) -> tuple[DataFrame, DataFrame]:
+    """What three models that try to tell the sides apart say of the test rows, and how the forest ranks the columns.
 
-    Sides are first brought to equal size, then 30 % of each class is held out.
+    Predictions are ``(model, label, score, prediction)``, written once. Sides are first brought to
+    equal size, then 30 % of each class is held out.
     """
     features = [c for c in columns if c in df.columns]
     spark = df.sparkSession
@@ -195,14 +200,16 @@ def discriminator_predictions(
     sample = balanced_sample(df.select(key, side, *features), side, key, seed)
     train, test = split_train_test(complete_rows(sample, features), key, 0.3, seed, stratify=side)
     n_rows = max(1, train.count())
-    predictions = None
-    for name, estimator in _discriminators(n_rows, n_trees, seed).items():
+    predictions = importance = None
+    for name, estimator in _discriminators(n_rows, n_trees, seed, max_bins).items():
         model = _fit(estimator, train, features, side)
+        if isinstance(estimator, RandomForestClassifier):
+            importance = feature_importance(spark, model, features, None)
         scored = predict(model, test, features, [side]).select(
             F.lit(name).alias("model"), F.col(side).cast("int").alias("label"), "score", "prediction"
         )
         predictions = scored if predictions is None else predictions.union(scored)
-    return predictions
+    return written(predictions, "predictions"), importance
 
 
 def discriminator_results(predictions: DataFrame) -> dict[str, DataFrame]:
@@ -215,4 +222,5 @@ def discriminator_results(predictions: DataFrame) -> dict[str, DataFrame]:
         "verdict": discriminator_verdict(results),
         "confusion": confusion_matrix(chosen),
         "report": class_report(chosen),
+        "roc": roc_points(predictions, by=["model"]),
     }

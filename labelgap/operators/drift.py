@@ -7,6 +7,7 @@ statistic is computed for all variables at once: the frame is unpivoted to
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -81,10 +82,10 @@ def distribution_distances(counts: DataFrame, buckets: int | None = None) -> Dat
     )
 
 
-def ks_test(df: DataFrame, columns: Sequence[str], side: str = PROVENANCE) -> DataFrame:
-    """KS statistic and its two-sided p-value per variable."""
+def ks_test(df: DataFrame, columns: Sequence[str], side: str = PROVENANCE, method: str = "limit") -> DataFrame:
+    """KS statistic and its two-sided p-value per variable; see ``stats.ks_pvalue`` for ``method``."""
     distances = distribution_distances(value_counts(side_values(df, columns, side)))
-    p = stats.ks_pvalue("ks_statistic", "n_original", "n_synthetic")
+    p = stats.ks_pvalue(F.col("ks_statistic"), F.col("n_original"), F.col("n_synthetic"), method)
     return distances.select("variable", "n_original", "n_synthetic", "ks_statistic", p.alias("ks_pvalue"))
 
 
@@ -142,16 +143,24 @@ def psi(
     return psi_of(side_values(df, columns, side), bins)
 
 
-def moments(values: DataFrame) -> DataFrame:
-    """Mean and sample standard deviation per side, and their absolute differences."""
-    original = F.when(F.col("n_original") == 1, F.col("value"))
-    synthetic = F.when(F.col("n_synthetic") == 1, F.col("value"))
-    found = values.groupBy("variable").agg(
-        F.avg(original).alias("original_mean"),
-        F.avg(synthetic).alias("synthetic_mean"),
-        F.stddev_samp(original).alias("original_std"),
-        F.stddev_samp(synthetic).alias("synthetic_std"),
+def _side_moments(weight: str) -> tuple[Column, Column]:
+    """Mean and sample standard deviation of ``value`` with whole-number weights."""
+    value, n = F.col("value"), F.col(weight)
+    mean = F.try_divide(F.sum(value * n), F.sum(n))
+    return mean, F.sum(n)
+
+
+def moments(counts: DataFrame) -> DataFrame:
+    """Mean and sample standard deviation per side, and their absolute differences, from values with their counts."""
+    sides = {"original": "n_original", "synthetic": "n_synthetic"}
+    means = counts.groupBy("variable").agg(
+        *[f.alias(f"{s}_{name}") for s, n in sides.items() for name, f in zip(("mean", "rows"), _side_moments(n))]
     )
+    spread = counts.join(F.broadcast(means), "variable")  # a row per variable
+    found = spread.groupBy("variable").agg(*[F.first(f"{s}_mean").alias(f"{s}_mean") for s in sides], *[
+        F.sqrt(F.try_divide(F.sum(F.col(n) * F.pow(F.col("value") - F.col(f"{s}_mean"), 2)), F.nullif(F.first(f"{s}_rows") - 1, F.lit(0)))).alias(f"{s}_std")
+        for s, n in sides.items()
+    ])
     return found.withColumns(
         {
             "mean_diff": F.abs(F.col("original_mean") - F.col("synthetic_mean")),
@@ -161,22 +170,24 @@ def moments(values: DataFrame) -> DataFrame:
 
 
 def moment_differences(df: DataFrame, columns: Sequence[str], side: str = PROVENANCE) -> DataFrame:
-    return moments(side_values(df, columns, side))
+    return moments(value_counts(side_values(df, columns, side)))
 
 
-def statistical_report(df: DataFrame, columns: Sequence[str], side: str = PROVENANCE) -> DataFrame:
+def statistical_report(df: DataFrame, columns: Sequence[str], side: str = PROVENANCE, method: str = "limit") -> DataFrame:
     """All statistics, one row per variable that has values on both sides.
 
-    The distances and the index share one table of distinct values, so the
-    rows are shuffled once.
+    All statistics come from one table of distinct values, so the rows are
+    read and shuffled once. Variables the frame lacks are named in a warning.
     """
-    values = side_values(df, columns, side)
-    counts = value_counts(values)
-    p = stats.ks_pvalue("ks_statistic", "n_original", "n_synthetic")
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        warnings.warn(f"skipped, not in the data: {missing}", stacklevel=2)
+    counts = value_counts(side_values(df, columns, side))
+    p = stats.ks_pvalue(F.col("ks_statistic"), F.col("n_original"), F.col("n_synthetic"), method)
     distances = distribution_distances(counts).withColumn("ks_pvalue", p)
     return (
         distances.join(F.broadcast(psi_of(counts)), "variable")  # one row per variable each
-        .join(F.broadcast(moments(values)), "variable")
+        .join(F.broadcast(moments(counts)), "variable")
         .select(
             "variable", "ks_statistic", "ks_pvalue", "wasserstein", "psi", "original_mean", "synthetic_mean",
             "original_std", "synthetic_std", "mean_diff", "std_diff",

@@ -136,17 +136,14 @@ def roc_points(
     same_step = (F.col("pos") == F.col("next_pos")) & (F.col("neg") == F.col("next_neg"))
     if drop_intermediate:
         totals = totals.filter(is_first | F.coalesce(~same_step, F.lit(True)))
-    points = totals.select(
-        *by,
+    point = F.struct(
         (-F.col("descending") + F.lit(0.0)).alias("threshold"),
         F.try_divide(F.col("cum_neg").cast("double"), F.col("total_neg")).alias("fpr"),
         F.try_divide(F.col("cum_pos").cast("double"), F.col("total_pos")).alias("tpr"),
     )
-    groups = counts.select(*by).distinct() if by else counts.agg(F.count(F.lit(1)).alias("_n")).filter("_n > 0")
-    start = groups.select(
-        *by, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    )
-    return points.unionByName(start)
+    start = F.struct(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    # The row of the first score brings the start along, so the counts are not read again for it.
+    return totals.select(*by, F.inline(F.when(is_first, F.array(start, point)).otherwise(F.array(point))))
 
 
 def rank_models(results: DataFrame) -> DataFrame:

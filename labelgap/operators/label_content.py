@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import json
 import re
-import textwrap
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +15,7 @@ from labelgap.fixed_values import (
     CASE_GAP,
     LABEL_COUNT,
     LABEL_GROUP,
-    PROMPT_LINES,
+    PROMPT_TEMPLATE,
     REPORT_COLUMNS,
 )
 from labelgap.functions.labels import (
@@ -33,7 +32,6 @@ from labelgap.functions.labels import (
 from labelgap.operators.population import ensure_columns
 from labelgap.sources import LABEL_SCHEMA
 
-_MAX_COLUMNS = 2000
 _CORRUPT = "_corrupt_record"
 _STATEMENT_WIDTH = 40
 
@@ -69,8 +67,9 @@ def add_prompt(df: DataFrame, compat: bool = True, output: str = "prompt") -> Da
 def template_completion(prompts: Sequence[str]) -> list[str]:
     """Stand-in for a text model: fills the label structure from the prompt itself. Needs no network."""
     texts = []
+    lines = [line.split("<<")[0] for line in PROMPT_TEMPLATE.split("\n") if "<<" in line]
     for prompt in prompts:
-        found = [re.search(re.escape(line.split("\n")[-1]) + r"(.*)", prompt) for line in PROMPT_LINES]
+        found = [re.search(re.escape(line) + r"(.*)", prompt) for line in lines]
         name, facts, allergens = (m.group(1) if m else "" for m in found)
         values = json.loads(facts) if facts else {}
         label = {
@@ -96,26 +95,29 @@ def complete_labels(
     key: str = "code",
     prompt: str = "prompt",
 ) -> DataFrame:
-    """``(key, text, error)`` per prompt. A batch that fails is retried prompt by prompt; a failed prompt has an error."""
+    """``(key, text, error)`` per prompt.
+
+    A batch that fails is sent again in halves, so a bad prompt costs its neighbours a few more
+    sendings and not one each; a prompt that fails alone has an error.
+    """
+
+    def answers(prompts: list[str]) -> list[tuple[str | None, str | None]]:
+        try:
+            texts = list(complete(prompts))
+            if len(texts) != len(prompts):
+                raise ValueError("one text per prompt is needed")
+            return [(text, None) for text in texts]
+        except Exception as failure:  # whatever the caller's function raises is kept with its prompt
+            if len(prompts) == 1:
+                return [(None, f"{type(failure).__name__}: {failure}")]
+            half = len(prompts) // 2
+            return answers(prompts[:half]) + answers(prompts[half:])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts, errors = [], []
-            try:
-                texts = list(complete(batch[prompt].tolist()))
-                errors = [None] * len(batch)
-                if len(texts) != len(batch):
-                    raise ValueError("one text per prompt is needed")
-            except Exception:
-                texts, errors = [], []
-                for one in batch[prompt]:
-                    try:
-                        texts.append(list(complete([one]))[0])
-                        errors.append(None)
-                    except Exception as failure:
-                        texts.append(None)
-                        errors.append(f"{type(failure).__name__}: {failure}")
-            yield pd.DataFrame({key: batch[key], "text": texts, "error": errors})
+            if len(batch):
+                texts, errors = zip(*answers(batch[prompt].tolist()))
+                yield pd.DataFrame({key: batch[key], "text": list(texts), "error": list(errors)})
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, prompt).mapInPandas(run, f"`{key}` {kind}, text string, error string")
@@ -138,19 +140,25 @@ def parse_labels(
 # -- flattening and report ---------------------------------------------------------
 
 
-def flatten_json(df: DataFrame) -> DataFrame:
+def flatten_json(df: DataFrame, keys: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Structs and string-keyed maps to dotted columns; a key a record lacks is null.
 
-    The keys of a map are found with one distinct aggregate and ordered by name.
+    ``keys`` names the keys of each map by its dotted path. Without it they are found with one
+    distinct aggregate, one job for each map, and ordered by name: a record of very many kinds of keys is
+    better served by ``json_entries``, which gives rows.
     """
-    maps = _map_columns(df.schema)
-    keys = {}
-    for path in maps:
-        found = df.select(F.explode(F.map_keys(path)).alias("k")).distinct().limit(_MAX_COLUMNS + 1).collect()
-        if len(found) > _MAX_COLUMNS:
-            raise ValueError(f"{path} has more than {_MAX_COLUMNS} keys; keep it as a map")
-        keys[path] = sorted(r["k"] for r in found)
-    return df.select(*_flat_columns(df.schema, "", "", keys))
+    found = {}
+    for path in _map_columns(df.schema):
+        named = None if keys is None else keys.get(path.replace("`", ""))
+        if named is None:
+            named = sorted(r["k"] for r in df.select(F.explode(F.map_keys(path)).alias("k")).distinct().collect())
+        found[path] = list(named)
+    return df.select(*_flat_columns(df.schema, "", "", found))
+
+
+def json_entries(df: DataFrame, column: str, key: str = "original_code") -> DataFrame:
+    """``(key, entry, value)``: a row per entry of a map, for maps whose keys are not known."""
+    return df.select(key, F.explode(column).alias("entry", "value"))
 
 
 def _map_columns(schema: T.StructType, prefix: str = "") -> list[str]:
@@ -205,10 +213,33 @@ def label_card(df: DataFrame, facts: str = "nutrition_facts") -> DataFrame:
     )
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def wrapped_lines(text: pd.Series) -> pd.Series:
-    """Text wrapped to the width of a label card."""
-    return text.map(lambda t: textwrap.wrap(t, width=_STATEMENT_WIDTH) if t is not None else [])
+def wrapped_lines(text: Column, width: int = _STATEMENT_WIDTH) -> Column:
+    """Text wrapped to the width of a label card, as many words to a line as fit.
+
+    A hyphenated word may end a line behind a hyphen; a word longer than a line is cut. Null gives no lines.
+    """
+    spaced = F.transform(F.filter(F.split(text, r"[ \t\n\x0B\f\r]+"), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w))
+    # Parts of one word follow each other without the blank that stands before a word.
+    parts = F.flatten(F.transform(spaced, lambda w: F.split(w, r"(?<=[\p{L}\p{N}_][\p{L}_]-)(?=[\p{L}\p{N}_]*[\p{L}_][\p{L}_])")))
+    start = F.struct(F.array().cast("array<string>").alias("lines"), F.lit("").alias("line"))
+
+    def add(state: Column, part: Column) -> Column:
+        whole = F.when(state["line"] == "", F.ltrim(part)).otherwise(F.concat(state["line"], part))
+        alone = F.ltrim(part)
+        fits = F.char_length(whole) <= width
+        full = F.ceil(F.char_length(whole) / F.lit(width)).cast("int") - 1
+        pieces = F.transform(F.sequence(F.lit(1), full), lambda i: F.rtrim(F.substring(whole, (i - 1) * width + 1, F.lit(width))))
+        cut = F.struct(F.concat(state["lines"], pieces).alias("lines"), F.ltrim(F.substring(whole, full * width + 1, F.lit(width))).alias("line"))
+        return (
+            F.when(fits, F.struct(state["lines"].alias("lines"), whole.alias("line")))
+            .when(F.char_length(alone) <= width, F.struct(F.array_append(state["lines"], state["line"]).alias("lines"), alone.alias("line")))
+            .otherwise(cut)
+        )
+
+    def finish(state: Column) -> Column:
+        return F.when(state["line"] == "", state["lines"]).otherwise(F.array_append(state["lines"], state["line"]))
+
+    return F.coalesce(F.aggregate(parts, start, add, finish), F.array().cast("array<string>"))
 
 
 def wrap_statement(df: DataFrame, statement: str = "allergen_statement", output: str = "statement_lines") -> DataFrame:

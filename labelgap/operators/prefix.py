@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from labelgap.session import shuffle_width
 
-_TEXT_CUT_CHARS = 64
 _SAMPLE_PER_BUCKET = 20
 
 
@@ -29,13 +28,12 @@ def _numeric_cuts(rows: DataFrame, order: str, measures: Sequence[str], by: Sequ
 
 def _text_cuts(rows: DataFrame, order: str, buckets: int) -> DataFrame:
     # Any increasing list of cuts gives the same totals. One value per hash class is a
-    # draw of fixed size that keeps the ranges even; long texts are shortened within it.
+    # draw of a fixed number of values that keeps the ranges even, whatever the values begin with.
     digest = F.xxhash64(order)
     drawn = rows.groupBy(F.pmod(digest, F.lit(_SAMPLE_PER_BUCKET * buckets)).alias("_class")).agg(F.min(digest).alias("_draw"))
     sample = rows.join(F.broadcast(drawn), digest == F.col("_draw"), "left_semi")  # 20 numbers per range
-    shortened = F.collect_list(F.substring(order, 1, _TEXT_CUT_CHARS))
     spread = F.filter("_drawn", lambda _, i: i % F.lit(_SAMPLE_PER_BUCKET) == _SAMPLE_PER_BUCKET - 1)
-    return sample.agg(F.array_sort(shortened).alias("_drawn")).select(spread.alias("_cuts"))
+    return sample.agg(F.array_sort(F.collect_list(order)).alias("_drawn")).select(spread.alias("_cuts"))
 
 
 def running_totals(

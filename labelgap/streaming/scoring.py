@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from labelgap.fixed_values import MODEL_NUTRIENTS
-from labelgap.functions.scoring import parse_score_line
+from labelgap.functions.scoring import line_status, line_words, word_number
 from labelgap.operators.detector import score_products
-from labelgap.session import checkpoint_dir
 
 
 def parse_lines(lines: DataFrame, line: str = "value", fields: Sequence[str] = MODEL_NUTRIENTS) -> DataFrame:
-    """Status and numbers per line; works on a batch and on a stream alike."""
-    return lines.withColumns(parse_score_line(F.col(line), fields))
+    """``status`` and a double per field for each line; the doubles are null unless ``ok``. Works on a batch and on a stream alike."""
+    # Generated columns are computed once per row; plain ones would be split again for every output.
+    split = lines.select("*", F.inline(F.array(F.struct(line_words(F.col(line)).alias("_words")))))
+    judged = split.select("*", F.inline(F.array(F.struct(line_status(F.col(line), F.col("_words"), len(fields)).alias("status")))))
+    numbers = {f: F.when(F.col("status") == "ok", word_number(F.col("_words"), i)) for i, f in enumerate(fields)}
+    return judged.withColumns(numbers).drop("_words")
 
 
 def score_line_stream(
@@ -27,28 +30,27 @@ def score_line_stream(
     model: Model,
     scored_folder: str,
     rejected_folder: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     fields: Sequence[str] = MODEL_NUTRIENTS,
     available_now: bool = True,
     max_files_per_trigger: int = 1000,
 ) -> StreamingQuery:
     """Start the stream. Well-formed lines are scored, the others are kept with the reason.
 
-    Each micro-batch overwrites the folder of its own number, so a batch that is
-    repeated after a failure leaves no row twice.
+    ``checkpoint`` names the folder, shared by all machines, that holds how far the stream came. Each
+    micro-batch overwrites the folder of its own number, so a batch that is repeated after a failure
+    leaves no row twice.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_lines(batch, "value", fields)
+        parsed = parse_lines(batch, "value", fields).persist(StorageLevel.MEMORY_AND_DISK)  # read by both sinks
         good = parsed.filter(F.col("status") == "ok")
         scored = score_products(model, good, fields, ["value"])
         scored.write.mode("overwrite").parquet(f"{scored_folder}/batch={batch_id}")
         bad = parsed.filter(F.col("status").isin("number_error", "count_error")).select("value", "status")
         bad.write.mode("overwrite").parquet(f"{rejected_folder}/batch={batch_id}")
+        parsed.unpersist()
 
     lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(input_folder)
-    if checkpoint is None:
-        name = hashlib.md5(f"{input_folder}|{scored_folder}".encode()).hexdigest()
-        checkpoint = f"{checkpoint_dir(spark)}/score-lines-{name}"
     writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
