@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from labelgap import plans
 from labelgap.sources import read_first_existing, read_label_json, read_parquet
+from labelgap.streaming import score_line_stream
 
 
 def _preprocess(spark, args):
@@ -46,6 +47,12 @@ def _score(spark, args):
     plans.risk_scores(model, read_parquet(spark, args.products)).write.mode("overwrite").parquet(f"{args.output}/scores")
 
 
+def _score_lines(spark, args):
+    model = plans.detector_model(read_first_existing(spark, args.input), _labels_of(spark, args))
+    query = score_line_stream(spark, args.lines, model, f"{args.output}/scored", f"{args.output}/rejected", args.checkpoint)
+    query.awaitTermination()
+
+
 def _validate(spark, args):
     plans.validate(read_parquet(spark, args.original), read_parquet(spark, args.synthetic), config=plans.Config(output=args.output))
 
@@ -77,6 +84,7 @@ def _parser() -> argparse.ArgumentParser:
     job("detect", _detect, "synthetic rows and risk detector", input=paths, gap=labels, rows={"type": int, "default": 3000})
     job("effect", _effect, "does augmentation help the detector", input=paths, gap=labels)
     job("score", _score, "risk of products", input=paths, gap=labels, products=path)
+    job("score-lines", _score_lines, "risk of lines of numbers in a folder, those that came since the last run", input=paths, gap=labels, lines=path, checkpoint=path)
     job("validate", _validate, "synthetic against original rows", original=path, synthetic=path)
     job("draft-labels", _draft, "label drafts for gap products", gap=path, preprocessed=path)
     job("report-labels", _report, "flat table and cards of labels", labels=path)

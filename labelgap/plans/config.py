@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from labelgap import fixed_values as fixed
+from labelgap.session import written
 
 
 @dataclass(frozen=True)
@@ -33,9 +34,14 @@ class Config:
 
 
 def stage(df: DataFrame, config: Config, name: str) -> DataFrame:
-    """Write a stage and go on from the written table; pass it through when there is no output folder."""
+    """Write a stage and go on from the written table; without an output folder nothing is written."""
     if config.output is None:
         return df
     path = f"{config.output}/{name}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def kept(df: DataFrame, config: Config, name: str) -> DataFrame:
+    """A stage that is read more than once or must not run twice: written to the output, or else to the shared folder."""
+    return written(df, name) if config.output is None else stage(df, config, name)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+from functools import reduce
+from operator import or_
 
 from pyspark.ml import Model
 from pyspark.sql import DataFrame
@@ -14,7 +16,7 @@ from labelgap.operators import detector, features, synthesis
 from labelgap.operators.correlation import complete_rows
 from labelgap.operators.joins import enrich_if_absent
 from labelgap.operators.sampling import ROW_ID, split_train_test, with_row_id
-from labelgap.plans.config import Config, stage
+from labelgap.plans.config import Config, kept, stage
 
 _log = logging.getLogger(__name__)
 
@@ -39,7 +41,7 @@ def synthesis_and_detector(
     try:
         model = synthesis.fit_synthesizer(real, DETECTOR_FEATURES)
         synthetic = synthesis.generate(spark, model, config.n_synthetic, config.seed)
-        synthetic = stage(synthetic, config, "synthetic")
+        synthetic = kept(synthetic, config, "synthetic")  # what fails in generating fails here
         augmented = synthesis.augment(real, synthetic)
     except Exception as failure:  # go on with the real rows alone
         if on_synth_error != "baseline":
@@ -74,4 +76,8 @@ def detector_model(merged: DataFrame, labels: DataFrame | None = None, config: C
 
 
 def risk_scores(model: Model, products: DataFrame, key: str = "code") -> DataFrame:
-    return detector.score_products(model, complete_rows(products, MODEL_NUTRIENTS), MODEL_NUTRIENTS, [key])
+    """Scores of all products; one that lacks a nutrient has a null score and band."""
+    complete = complete_rows(products, MODEL_NUTRIENTS)
+    scored = detector.score_products(model, complete, MODEL_NUTRIENTS, [key])
+    lacking = reduce(or_, [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in MODEL_NUTRIENTS])
+    return scored.unionByName(products.filter(lacking).select(key, *MODEL_NUTRIENTS), allowMissingColumns=True)

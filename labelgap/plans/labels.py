@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from labelgap.fixed_values import LABEL_JOIN_COLUMNS
 from labelgap.operators import joins, label_content
-from labelgap.plans.config import Config, stage
+from labelgap.plans.config import Config, kept, stage
 
 
 def draft_labels(
@@ -23,12 +23,12 @@ def draft_labels(
     joined = joins.left_join(gap, preprocessed, "code", LABEL_JOIN_COLUMNS)
     prompts = label_content.add_prompt(label_content.label_candidates(joined, k=k), config.compat)
     # Completions may cost money or differ from call to call: they are written once and read from there.
-    completed = stage(label_content.complete_labels(prompts, complete), config, "completions")
+    completed = kept(label_content.complete_labels(prompts, complete), config, "completions")
     labels, rejects = label_content.parse_labels(completed.filter("error is null"))
     return {
         "labels": stage(labels, config, "labels"),
-        "failed": completed.filter("error is not null").select("code", "error"),
-        "rejected": rejects,
+        "failed": stage(completed.filter("error is not null").select("code", "error"), config, "failed"),
+        "rejected": stage(rejects, config, "rejected"),
     }
 
 

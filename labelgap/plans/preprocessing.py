@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from labelgap.fixed_values import NUTRIENT_SOURCES
 from labelgap.operators import cleaning, features, population
-from labelgap.operators.sampling import split_train_test
-from labelgap.plans.config import Config, stage
+from labelgap.operators.sampling import mark_split
+from labelgap.plans.config import Config, kept, stage
 
 
 def select_products(products: DataFrame, config: Config) -> DataFrame:
@@ -40,8 +40,8 @@ def categorical_table(preprocessed: DataFrame, config: Config) -> DataFrame:
 def preprocess(products: DataFrame, config: Config | None = None) -> dict[str, DataFrame]:
     """All stages by name. A stage that fails ends the chain with its error.
 
-    Up to the split this is one projection over one scan; the fits are two
-    small aggregates over the train rows.
+    Up to the split this is one projection over one scan. The table that is split and the split
+    itself are written, to the output or else to the shared folder, so that no fit runs the chain again.
     """
     config = config or Config()
     spark = products.sparkSession
@@ -50,11 +50,12 @@ def preprocess(products: DataFrame, config: Config | None = None) -> dict[str, D
         raw = cleaning.drop_sparse_columns(raw, config.sparse_share, [c for c in raw.columns if c != "nutriments"])
     raw = stage(raw, config, "raw")
     preprocessed = stage(nutrient_table(raw, config), config, "preprocessed")
-    categorical = stage(categorical_table(preprocessed, config), config, "categorical")
+    categorical = kept(categorical_table(preprocessed, config), config, "categorical")
 
     roles = features.feature_roles(categorical)
     chosen = categorical.select(*roles.features, *roles.ids)
-    train, test = split_train_test(chosen, roles.ids, config.test_size, config.seed)
+    marked = kept(mark_split(chosen, roles.ids, config.test_size, config.seed), config, "split")  # read by every fit
+    train, test = (marked.filter(condition).drop("is_test") for condition in ("NOT is_test", "is_test"))
     scaler = features.fit_scaler(train, roles.continuous, config.scaler)
     train, test = features.apply_scaler(train, scaler), features.apply_scaler(test, scaler)
     train, test, encoder = features.encode_categorical(train, test, roles.categorical)

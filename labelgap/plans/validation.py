@@ -20,13 +20,14 @@ def validate(
     columns = [c for c in columns if c in original.columns and c in synthetic.columns]
     both = with_row_id(drift.label_sides(original.select(*columns), synthetic.select(*columns)))
     report = drift.statistical_report(both, columns)
-    predictions = detector.discriminator_predictions(both, columns, ROW_ID, n_trees=config.n_trees, seed=config.seed)
+    predictions, importance = detector.discriminator_predictions(both, columns, ROW_ID, n_trees=config.n_trees, seed=config.seed)
     results = {
         "statistics": report,
         "summary": drift.report_summary(report),
         "correlations": correlation.correlation_differences(both, columns),
         "key_pairs": correlation.key_pair_comparison(both, columns),
         **detector.discriminator_results(predictions),
+        "importance": importance,
     }
     if config.output is not None:
         for name, table in results.items():

@@ -18,7 +18,13 @@ steps AS (SELECT variable, value, lead(value) OVER w AS next_value,
   sum(b) OVER (w ROWS UNBOUNDED PRECEDING) / sum(b) OVER (PARTITION BY variable)::DOUBLE AS fb
   FROM counts WINDOW w AS (PARTITION BY variable ORDER BY value)),
 distances AS (SELECT variable, max(abs(fa - fb)) AS ks_statistic, sum(abs(fa - fb) * (next_value - value)) AS wasserstein
-  FROM steps GROUP BY variable)
+  FROM steps GROUP BY variable),
+sizes AS (SELECT variable, sum(a)::DOUBLE AS n, sum(b)::DOUBLE AS m FROM counts GROUP BY variable),
+scaled AS (SELECT *, round(n * m / (n + m)) AS size FROM distances JOIN sizes USING (variable)),
+corrected AS (SELECT *, sqrt(size) * ks_statistic + 1 / (6 * sqrt(size)) + (sqrt(size) * ks_statistic - 1) / (4 * size) AS z FROM scaled),
+tested AS (SELECT variable, n::BIGINT AS n_original, m::BIGINT AS n_synthetic, ks_statistic, CASE WHEN z <= 0.2 THEN 1.0::DOUBLE ELSE
+  least(1.0::DOUBLE, greatest(0.0::DOUBLE, 2 * list_sum(list_transform(range(1, 101),
+    lambda k: CASE WHEN k % 2 = 1 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END * exp(-2.0::DOUBLE * k * k * z * z))))) END AS ks_pvalue FROM corrected)
 """
 
 _PSI_SQL = """
@@ -49,9 +55,13 @@ def ks_statistic(spark, folder):
     return rounded(found.select("variable", "ks_statistic"), "ks_statistic")
 
 
-@query("ks_pvalue")
+@query(
+    "ks_pvalue",
+    f"""WITH {_STEPS_SQL} SELECT variable, n_original, n_synthetic, round(ks_statistic, 6) AS ks_statistic,
+        round(ks_pvalue, 6) AS ks_pvalue FROM tested""",
+)
 def ks_pvalue(spark, folder):
-    return drift.ks_test(sides(spark, folder), SIDE_COLUMNS)
+    return rounded(drift.ks_test(sides(spark, folder), SIDE_COLUMNS), "ks_statistic", "ks_pvalue")
 
 
 @query("wasserstein", f"WITH {_STEPS_SQL} SELECT variable, round(wasserstein, 6) AS wasserstein FROM distances")
@@ -80,24 +90,24 @@ def moment_diff(spark, folder):
 @query(
     "stat_validation",
     f"""WITH {_STEPS_SQL}, {_PSI_SQL}, {_MOMENTS_SQL}
-    SELECT variable, round(ks_statistic, 6) AS ks_statistic, round(wasserstein, 6) AS wasserstein, round(psi, 6) AS psi,
-           {_MOMENT_SELECT}
-    FROM distances JOIN stability USING (variable) JOIN moments USING (variable)""",
+    SELECT variable, round(d.ks_statistic, 6) AS ks_statistic, round(ks_pvalue, 6) AS ks_pvalue, round(wasserstein, 6) AS wasserstein,
+           round(psi, 6) AS psi, {_MOMENT_SELECT}
+    FROM distances d JOIN tested USING (variable) JOIN stability USING (variable) JOIN moments USING (variable)""",
 )
 def stat_validation(spark, folder):
-    # The p-value has a query of its own, since SQL cannot give it.
-    report = drift.statistical_report(sides(spark, folder), [*SIDE_COLUMNS, "no_such_column"]).drop("ks_pvalue")
+    report = drift.statistical_report(sides(spark, folder), [*SIDE_COLUMNS, "no_such_column"])
     return rounded(report, *[c for c in report.columns if c != "variable"])
 
 
 @query(
     "stat_summary",
     f"""WITH {_STEPS_SQL}, {_PSI_SQL}
-    SELECT variable, round(ks_statistic, 4) AS ks_statistic, round(wasserstein, 4) AS wasserstein, round(psi, 4) AS psi
-    FROM distances JOIN stability USING (variable)""",
+    SELECT variable, round(d.ks_statistic, 4) AS ks_statistic, round(ks_pvalue, 4) AS ks_pvalue, round(wasserstein, 4) AS wasserstein,
+           round(psi, 4) AS psi
+    FROM distances d JOIN tested USING (variable) JOIN stability USING (variable)""",
 )
 def stat_summary(spark, folder):
-    return drift.report_summary(drift.statistical_report(sides(spark, folder), SIDE_COLUMNS)).drop("ks_pvalue")
+    return drift.report_summary(drift.statistical_report(sides(spark, folder), SIDE_COLUMNS))
 
 
 @query(

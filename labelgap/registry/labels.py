@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from labelgap.fixed_values import NUTRIENT_SOURCES, PROMPT_HEAD, PROMPT_LINES, PROMPT_TAIL
+from labelgap.fixed_values import NUTRIENT_SOURCES, PROMPT_TEMPLATE
 from labelgap.functions.labels import allergen_text, json_rescue, list_to_text, product_name, product_name_text
 from labelgap.functions.tags import tags_to_text
 from labelgap.operators import cleaning, label_content
@@ -78,8 +78,8 @@ _FACTS_SQL = " || ".join([
 @query(
     "label_prompt",
     f"""WITH {PRODUCTS_SQL}, {NUTRIENTS_SQL}, {_ALLERGENS_SQL}
-    SELECT n.o_orderkey, {_sql_text(PROMPT_HEAD + PROMPT_LINES[0])} || n.first_name || {_sql_text(PROMPT_LINES[1])} || {_FACTS_SQL}
-      || {_sql_text(PROMPT_LINES[2])} || allergens || {_sql_text(PROMPT_TAIL)} AS prompt
+    SELECT n.o_orderkey, replace(replace(replace({_sql_text(PROMPT_TEMPLATE)}, '<<name>>', n.first_name), '<<nutrition>>', {_FACTS_SQL}),
+      '<<allergens>>', allergens) AS prompt
     FROM nutrients n JOIN allergens a ON n.o_orderkey = a.o_orderkey""",
 )
 def label_prompt(spark, folder):
@@ -175,7 +175,19 @@ def label_parse(spark, folder):
 )
 def json_flatten(spark, folder):
     good, _ = parsed_labels(spark, folder)
-    return label_content.lists_as_text(label_content.flatten_json(good))
+    known = {"nutrition_facts": ["protein", "sodium", "total_fat"]}
+    return label_content.lists_as_text(label_content.flatten_json(good, known))
+
+
+@query(
+    "json_entries",
+    f"""WITH {_TEXTS_SQL}, entries AS (SELECT original_code, unnest(['total_fat', 'sodium', 'protein']) AS entry,
+      unnest([total_fat, sodium, protein]) AS value FROM labels)
+    SELECT * FROM entries WHERE value IS NOT NULL""",
+)
+def json_entries(spark, folder):
+    good, _ = parsed_labels(spark, folder)
+    return label_content.json_entries(good, "nutrition_facts")
 
 
 @query(
@@ -208,7 +220,19 @@ def label_card(spark, folder):
     return label_content.label_card(parsed_labels(spark, folder)[0])
 
 
-@query("label_wrap")
+@query(
+    "label_wrap",
+    """SELECT doc_id, true AS fits, true AS is_greedy, md5(regexp_replace(text, '[ \\t\\n\\r\\f\\v]', '', 'g')) AS letters FROM documents""",
+)
 def label_wrap(spark, folder):
+    """Per document: no line is too wide, none could have taken the next one's first word, and no letter is lost."""
     wrapped = label_content.wrap_statement(table(spark, folder, "documents").select("doc_id", "text"), "text")
-    return wrapped.select("doc_id", F.posexplode("statement_lines").alias("line_no", "line"))
+    lines = F.col("statement_lines")
+    word_behind = F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), lambda line: F.split(line, " ")[0])
+    room = F.zip_with(
+        F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), word_behind, lambda line, word: F.char_length(line) + 1 + F.char_length(word) > 40
+    )
+    return wrapped.select(
+        "doc_id", F.forall(lines, lambda line: F.char_length(line) <= 40).alias("fits"), F.forall(room, lambda x: x).alias("is_greedy"),
+        F.md5(F.replace(F.array_join(lines, ""), F.lit(" "), F.lit(""))).alias("letters"),
+    )

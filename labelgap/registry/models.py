@@ -11,13 +11,15 @@ from labelgap.registry.features import rounded
 from labelgap.registry.views import (
     CLASS_FEATURES,
     CLASSED_SQL,
+    MEASURED_SQL,
     SIDE_COLUMNS,
     SIDES_SQL,
     classed,
+    measured,
     sides,
     table,
 )
-from labelgap.session import checkpointed
+from labelgap.session import written
 from labelgap.streaming.scoring import parse_lines
 
 
@@ -25,14 +27,14 @@ def training_rows(spark, folder):
     """Labelled documents with the category as a code: a narrow table that the fits read many times."""
     rows = classed(spark, folder)
     encoder = features.fit_encoder([rows], ["category_top"])
-    return checkpointed(features.apply_encoder(rows, encoder, ["category_top"]))
+    return written(features.apply_encoder(rows, encoder, ["category_top"]), "training")
 
 
 def synthetic_rows(spark, folder):
     """As many synthetic rows as there are real ones."""
     real = training_rows(spark, folder)
     model = synthesis.fit_synthesizer(real, CLASS_FEATURES)
-    return synthesis.generate(spark, model, sum(model.sizes.values()))
+    return synthesis.generate(spark, model, real.count())
 
 
 # -- synthesis ---------------------------------------------------------------
@@ -43,21 +45,31 @@ def synthesize_rows(spark, folder):
     return synthetic_rows(spark, folder)
 
 
-_GRID = 100
+@query(
+    "synthesize_counts",
+    f"""WITH {CLASSED_SQL} SELECT target, count(*) AS n, true AS known_category, true AS known_size FROM classed GROUP BY target""",
+)
+def synthesize_counts(spark, folder):
+    """As many rows of each class as there are, and only values that the class has."""
+    real = classed(spark, folder)
+    known = lambda c: real.select("target", F.col(c).alias("_known")).distinct()
+    codes = training_rows(spark, folder)
+    made = synthetic_rows(spark, folder)
+    made = made.join(codes.select("target", F.col("category_top").alias("_c")).distinct(), (codes["target"] == made["target"]) & (F.col("_c") == made["category_top"]), "left_semi")
+    sized = made.join(known("n_chars").withColumnRenamed("target", "_t"), (F.col("_t") == F.col("target")) & (F.col("_known") == F.col("n_chars")), "left")
+    return sized.groupBy("target").agg(
+        F.count(F.lit(1)).alias("n"), F.lit(True).alias("known_category"), F.bool_and(F.col("_known").isNotNull()).alias("known_size")
+    )
 
 
 @query(
     "copula_marginals",
-    f"""WITH {SIDES_SQL},
-    places AS (SELECT is_synthetic, variable, value, row_number() OVER w AS place,
-                      count(*) OVER (PARTITION BY is_synthetic, variable) AS n
-               FROM side_values WINDOW w AS (PARTITION BY is_synthetic, variable ORDER BY value)),
-    positions AS (SELECT unnest(range({_GRID})) AS position)
-    SELECT is_synthetic, variable, position, value FROM places JOIN positions
-      ON place = ((2 * position + 1) * n + {2 * _GRID - 1}) // {2 * _GRID}""",
+    f"""WITH {SIDES_SQL}, counts AS (SELECT is_synthetic, variable, value, count(*) AS n FROM side_values GROUP BY ALL)
+    SELECT is_synthetic, variable, value, n, (sum(n) OVER (PARTITION BY is_synthetic, variable ORDER BY value))::BIGINT AS cum_n,
+           (sum(n) OVER (PARTITION BY is_synthetic, variable))::BIGINT AS total_n FROM counts""",
 )
 def copula_marginals(spark, folder):
-    return synthesis.marginal_grid(sides(spark, folder), SIDE_COLUMNS, "is_synthetic", _GRID)
+    return synthesis.value_distribution(sides(spark, folder), SIDE_COLUMNS, "is_synthetic")
 
 
 @query(
@@ -82,16 +94,66 @@ def train_detector(spark, folder):
     return detector.evaluate(model, test, CLASS_FEATURES)
 
 
+# Forests differ in their digits; what must hold for any forest is checked by SQL.
+@query(
+    "detector_facts",
+    f"""WITH {CLASSED_SQL}, tested AS (SELECT * FROM classed QUALIFY
+      row_number() OVER (ORDER BY md5(doc_id || '|42')) <= (SELECT ceil(0.2 * count(*)) FROM classed))
+    SELECT target, count(*) AS n, true AS in_range, true AS is_sure_side FROM tested GROUP BY target""",
+)
+def detector_facts(spark, folder):
+    """Test rows per class, scores between 0 and 1, and predictions on the score's side of a half."""
+    train, test = split_train_test(training_rows(spark, folder), "doc_id")
+    scored = detector.predict(detector.train_detector(train, CLASS_FEATURES), test, CLASS_FEATURES, ["target"])
+    return scored.groupBy("target").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("score").between(0, 1)).alias("in_range"),
+        F.bool_and((F.col("prediction") == 1) == (F.col("score") > 0.5)).alias("is_sure_side"),
+    )
+
+
 @query("importance_topk")
 def importance_topk(spark, folder):
     model = detector.train_detector(training_rows(spark, folder), CLASS_FEATURES, balanced=True)
     return detector.feature_importance(spark, model, CLASS_FEATURES)
 
 
+@query(
+    "importance_facts",
+    f"""WITH {CLASSED_SQL} SELECT 4::BIGINT AS n_features, round(count(*) / count(*)::DOUBLE, 6) AS total, true AS is_ranked FROM classed""",
+)
+def importance_facts(spark, folder):
+    model = detector.train_detector(training_rows(spark, folder), CLASS_FEATURES)
+    ranked = detector.feature_importance(spark, model, CLASS_FEATURES, None)
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("rank", "importance"))), lambda r: r["importance"])
+    found = ranked.agg(F.count(F.lit(1)).alias("n_features"), F.sum("importance").alias("total"), (in_order == F.reverse(F.array_sort(in_order))).alias("is_ranked"))
+    return rounded(found, "total")
+
+
+def scored_documents(spark, folder):
+    """All documents, scored by a forest fitted on the labelled ones."""
+    everything = measured(spark, folder)
+    encoder = features.fit_encoder([everything], ["category_top"])
+    fitted = written(features.apply_encoder(classed(spark, folder), encoder, ["category_top"]), "training")
+    model = detector.train_detector(fitted, CLASS_FEATURES)
+    return detector.score_products(model, features.apply_encoder(everything, encoder, ["category_top"]), CLASS_FEATURES, ["doc_id"])
+
+
 @query("score_batch")
 def score_batch(spark, folder):
-    rows = training_rows(spark, folder)
-    return detector.score_products(detector.train_detector(rows, CLASS_FEATURES), rows, CLASS_FEATURES, ["doc_id"])
+    return scored_documents(spark, folder)
+
+
+@query(
+    "score_batch_facts",
+    f"WITH {MEASURED_SQL} SELECT doc_id, n_chars, n_words, n_lines, true AS in_range, true AS band_agrees FROM measured",
+)
+def score_batch_facts(spark, folder):
+    """Every document is scored, in percent, and its band is that of its score."""
+    score = F.col("risk_score")
+    band = F.when(score >= 70, "high").when(score >= 40, "caution").otherwise("safe")
+    return scored_documents(spark, folder).select(
+        "doc_id", "n_chars", "n_words", "n_lines", score.between(0, 100).alias("in_range"), (F.col("band") == band).alias("band_agrees")
+    )
 
 
 @query("augmentation_effect")
@@ -99,12 +161,49 @@ def augmentation_effect(spark, folder):
     return detector.augmentation_effect(training_rows(spark, folder), CLASS_FEATURES, "doc_id")
 
 
-@query("train_discriminators")
-def train_discriminators(spark, folder):
+_LARGEST_REMAINDER_SQL = """
+sizes AS (SELECT target, count(*) AS n, (sum(count(*)) OVER ())::BIGINT AS total FROM classed GROUP BY target),
+wanted AS (SELECT *, total - ceil(0.2 * total)::BIGINT AS k FROM sizes),
+shares AS (SELECT *, n * k // total AS whole, n * k % total AS rest FROM wanted),
+train AS (SELECT target, n, whole + (row_number() OVER (ORDER BY rest DESC, target) <= (SELECT max(k) - sum(whole) FROM shares))::INT AS n_train
+  FROM shares)
+"""
+
+
+@query(
+    "augmentation_facts",
+    f"""WITH {CLASSED_SQL}, {_LARGEST_REMAINDER_SQL}
+    SELECT 'baseline' AS experiment, 0::BIGINT AS n_synthetic, true AS in_range, true AS without_error
+    UNION ALL SELECT 'augmented', (SELECT sum(CASE WHEN target = 0 THEN n_train ELSE -n_train END) FROM train)::BIGINT, true, true""",
+)
+def augmentation_facts(spark, folder):
+    """Rows added to the training part, and measures that are shares."""
+    found = detector.augmentation_effect(training_rows(spark, folder), CLASS_FEATURES, "doc_id")
+    in_range = F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1)
+    return found.select("experiment", "n_synthetic", in_range.alias("in_range"), F.col("error").isNull().alias("without_error"))
+
+
+def discriminated(spark, folder):
     real = training_rows(spark, folder).select(*CLASS_FEATURES)
     both = with_row_id(drift.label_sides(real, synthetic_rows(spark, folder).select(*CLASS_FEATURES)))
-    predictions = detector.discriminator_predictions(both, CLASS_FEATURES, ROW_ID)
-    return detector.discriminator_results(predictions)["auroc"]
+    return detector.discriminator_predictions(both, CLASS_FEATURES, ROW_ID)[0]
+
+
+@query("train_discriminators")
+def train_discriminators(spark, folder):
+    return detector.discriminator_results(discriminated(spark, folder))["auroc"]
+
+
+@query(
+    "discriminator_facts",
+    f"""WITH {CLASSED_SQL}, models AS (SELECT unnest(['Logistic Regression', 'Random Forest', 'Gradient Boosting']) AS model)
+    SELECT model, ceil(0.3 * 2 * count(*))::BIGINT AS n_test, true AS in_range FROM models, classed GROUP BY model""",
+)
+def discriminator_facts(spark, folder):
+    """Three models on one and the same number of test rows."""
+    return discriminated(spark, folder).groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_test"), F.bool_and(F.col("score").between(0, 1)).alias("in_range")
+    )
 
 
 @query(

@@ -61,7 +61,32 @@ def left_join_nutrients(spark, folder):
 def null_key_join(spark, folder):
     # One row per code on the right, null among them: the null keys of the left all find it.
     left = products(spark, folder).select("o_orderkey", "code")
-    return joins.left_join(left, left.groupBy("code").agg(F.max("o_orderkey").alias("last_key")), "code", ["last_key"])
+    return joins.left_join(left, left.groupBy("code").agg(F.max("o_orderkey").alias("last_key")), "code", ["last_key"], "match")
+
+
+@query(
+    "null_keys_both_sides",
+    f"""WITH {PRODUCTS_SQL}, keyed AS (SELECT o_orderkey, {_KEY_SQL} AS code FROM products),
+    right_rows AS (SELECT code, o_orderkey % 3 AS part FROM keyed),
+    right_side AS (SELECT * FROM right_rows WHERE code <> 'None' UNION ALL SELECT DISTINCT * FROM right_rows WHERE code = 'None')
+    SELECT l.o_orderkey, l.code, r.part FROM keyed l LEFT JOIN right_side r ON l.code = r.code""",
+)
+def null_keys_both_sides(spark, folder):
+    """Null keys in many rows of either side: each left row meets the distinct right rows."""
+    left = products(spark, folder).select("o_orderkey", "code")
+    right = products(spark, folder).select("code", (F.col("o_orderkey") % 3).alias("part"))
+    return joins.left_join(left, right, "code", ["part"], "match")
+
+
+@query(
+    "null_keys_unmatched",
+    f"""WITH {PRODUCTS_SQL}, keyed AS (SELECT o_orderkey, code IS NULL AS is_null, {_KEY_SQL} AS code FROM products)
+    SELECT l.o_orderkey, CASE WHEN l.is_null THEN NULL ELSE l.code END AS code, r.o_orderkey AS found
+    FROM keyed l LEFT JOIN keyed r ON l.code = r.code AND NOT l.is_null AND NOT r.is_null""",
+)
+def null_keys_unmatched(spark, folder):
+    left = products(spark, folder).select("o_orderkey", "code")
+    return joins.left_join(left, left.withColumnRenamed("o_orderkey", "found"), "code", ["found"])
 
 
 @query(
@@ -87,7 +112,7 @@ def join_drop_overlap(spark, folder):
 def enrich_if_absent(spark, folder):
     labels = gap(spark, folder).select("code", "language_case", "category_top")
     rows = products(spark, folder).select("code", "o_orderkey")
-    enriched = joins.enrich_if_absent(rows, labels)
+    enriched = joins.enrich_if_absent(rows, labels, null_keys="match")
     return joins.enrich_if_absent(enriched, labels)  # the second call finds the columns there
 
 

@@ -254,18 +254,14 @@ SIDE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def sides(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items with return flag A as the original and R as the synthetic side."""
-    return (
-        table(spark, folder, "lineitem")
-        .filter(F.col("l_returnflag").isin("A", "R"))
-        .select((F.col("l_returnflag") == "R").cast("int").alias("is_synthetic"), *SIDE_COLUMNS)
-    )
+    """All line items, those with return flag R as the synthetic side and all others as the original."""
+    return table(spark, folder, "lineitem").select((F.col("l_returnflag") == "R").cast("int").alias("is_synthetic"), *SIDE_COLUMNS)
 
 
 SIDES_SQL = """
 sides AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_synthetic,
                  l_quantity, l_extendedprice, l_discount, l_tax
-          FROM lineitem WHERE l_returnflag IN ('A', 'R')),
+          FROM lineitem),
 side_values AS (
   SELECT is_synthetic, 'l_quantity' AS variable, l_quantity + 0.0 AS value FROM sides
   UNION ALL SELECT is_synthetic, 'l_extendedprice', l_extendedprice + 0.0 FROM sides
@@ -276,19 +272,29 @@ side_values AS (
 CLASS_FEATURES = ["n_chars", "n_words", "n_lines", "category_top"]
 
 
-def classed(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents: measures of the whole text, source as category, toxic as the rare target."""
-    documents = table(spark, folder, "documents").select(
+def measured(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents: measures of the whole text, source as category."""
+    return table(spark, folder, "documents").select(
         "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
         F.size(F.split("text", " ")).cast("double").alias("n_words"),
         F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
         F.col("source").alias("category_top"),
     )
+
+
+def classed(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled documents, with toxic as the rare target."""
     labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("target"), "quality")
-    return documents.join(labels, "doc_id")
+    return measured(spark, folder).join(labels, "doc_id")
 
 
+MEASURED_SQL = """
+measured AS (
+  SELECT doc_id, CAST(n_chars AS DOUBLE) AS n_chars, CAST(len(string_split(text, ' ')) AS DOUBLE) AS n_words,
+         CAST(len(string_split(text, chr(10))) AS DOUBLE) AS n_lines, source AS category_top FROM documents)
+"""
+
 CLASSED_SQL = """
 classed AS (
   SELECT d.doc_id, CAST(n_chars AS DOUBLE) AS n_chars, CAST(len(string_split(text, ' ')) AS DOUBLE) AS n_words,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from labelgap.functions import labels, language, nutrients, scoring, stats, tags, text
 from labelgap.fixed_values import STRICT_MARKET_PATTERN
+from labelgap.streaming.scoring import parse_lines
 
 
 def one(spark, schema, values, *columns):
@@ -163,8 +164,8 @@ def test_key_and_numbers(spark):
 
 def test_score_lines(spark):
     lines = ["450 12 30 5 0.5", "1,000 2 3 4 5", "1 2 3 4", "a 2", "", "q", "Q", "1 2 3 4 5d", "1_0 .5 5. +1e2 -inf", "nan 1 1 1 1"]
-    parsed = scoring.parse_score_line(v())
-    found = one(spark, "string", lines, parsed["status"], parsed["energy_100g"], parsed["sodium_100g"])
+    rows = parse_lines(spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "i int, value string")).orderBy("i").collect()
+    found = [(r["status"], r["energy_100g"], r["sodium_100g"]) for r in rows]
     assert [f[0] for f in found] == [
         "ok", "ok", "count_error", "number_error", "count_error", "quit", "quit", "number_error", "ok", "ok",
     ]
@@ -221,13 +222,21 @@ def test_ks_pvalue_exact(d, p):
     assert stats.ks_two_sample_p(d, 2493, 3000) == pytest.approx(p, rel=1e-9)
 
 
+def test_ks_pvalue_methods(spark):
+    one = spark.createDataFrame([(0.03, 4000, 5000), (0.0, 10, 10)], "d double, n long, m long")
+    exact, limit = (
+        [r[0] for r in one.select(stats.ks_pvalue(F.col("d"), F.col("n"), F.col("m"), method)).collect()] for method in ("exact", "limit")
+    )
+    assert limit == pytest.approx(exact, rel=0.02) and limit[1] == 1
+    with pytest.raises(ValueError):
+        stats.ks_pvalue(F.col("d"), F.col("n"), F.col("m"), "other")
+
+
 def test_ks_pvalue_small_and_large():
     # By hand: two samples of one row each always have D = 1; of two and one, D is 1 in two of three orders.
     assert stats.ks_two_sample_p(1.0, 1, 1) == pytest.approx(1.0)
     assert stats.ks_two_sample_p(1.0, 2, 1) == pytest.approx(2 / 3)
     assert stats.ks_two_sample_p(0.5, 2, 1) == pytest.approx(1.0)
-    exact, limit = stats._ks_exact(0.03, 4000, 5000), stats._ks_limit(0.03, 4000, 5000)
-    assert limit == pytest.approx(exact, rel=0.02)
     assert math.isnan(stats.ks_two_sample_p(0.1, 0, 5))
 
 

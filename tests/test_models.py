@@ -45,6 +45,32 @@ def test_synthetic_rows_resemble_the_real_ones(spark, products):
     assert abs(real_r - made_r) < 0.15
 
 
+def test_rare_values_keep_their_frequency(spark):
+    """Five far values in 20,000 rows come out as often as they go in, and the spread with them."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 4000 == 7, 1_000_000.0 + F.col("id") % 5).otherwise((F.col("id") % 100).cast("double")).alias("x"),
+        (F.col("id") % 3).cast("int").alias("category_top"), F.lit("only").alias("target"),
+    )
+    model = synthesis.fit_synthesizer(rows, ["x", "category_top"])
+    made = synthesis.generate(spark, model, 400_000, seed=3)
+    real, drawn = (df.agg(F.stddev("x").alias("s"), F.max("x").alias("m"), F.avg((F.col("x") > 1000).cast("int")).alias("p")).first() for df in (rows, made))
+    assert made.count() == 400_000 and drawn["m"] >= 1_000_000 and abs(drawn["p"] / real["p"] - 1) < 0.4
+    assert abs(drawn["s"] / real["s"] - 1) < 0.2
+    shares = {r["category_top"]: r["count"] for r in made.groupBy("category_top").count().collect()}
+    assert set(shares) == {0, 1, 2} and all(abs(n / 400_000 - 1 / 3) < 0.01 for n in shares.values())
+
+
+def test_many_classes_and_categories_stay_in_their_class(spark):
+    rows = spark.range(4000).select(
+        (F.col("id") % 200).cast("int").alias("target"), ((F.col("id") % 200) * 10 + F.col("id") % 3).cast("int").alias("category_top"),
+        (F.col("id") * 37 % 1000).cast("double").alias("x"), (F.col("id") * 37 % 1000 + F.col("id") % 5).cast("double").alias("y"),
+    )
+    made = synthesis.generate(spark, synthesis.fit_synthesizer(rows, ["x", "y", "category_top"]), 2000, seed=1)
+    assert made.groupBy("target").count().filter("count = 10").count() == 200
+    assert made.filter("category_top div 10 <> target").count() == 0
+    assert made.select(F.corr("x", "y")).first()[0] > 0.9
+
+
 def test_generation_depends_on_the_seed_only(spark, products):
     model = synthesis.fit_synthesizer(products, FEATURES)
     rows = lambda seed: sorted(map(tuple, synthesis.generate(spark, model, 50, seed).collect()))
@@ -102,13 +128,14 @@ def test_discriminators(spark, products):
     real = products.select(*NUTRIENTS)
     shifted = real.withColumn("sugars_100g", F.col("sugars_100g") + 30)
     both = with_row_id(drift.label_sides(real, shifted.limit(700)))
-    predictions = detector.discriminator_predictions(both, [*NUTRIENTS, "absent"], ROW_ID, n_trees=3)
+    predictions, importance = detector.discriminator_predictions(both, [*NUTRIENTS, "absent"], ROW_ID, n_trees=3)
     results = detector.discriminator_results(predictions)
     found = {r["model"]: r["auroc"] for r in results["auroc"].collect()}
     assert set(found) == {"Logistic Regression", "Random Forest", "Gradient Boosting"}
     assert min(found.values()) > 0.95 and predictions.filter("model = 'Random Forest'").count() == 420
     assert results["verdict"].first()["verdict"] == "distinguishable"
     assert results["confusion"].agg(F.sum("n")).first()[0] == 420 and results["report"].count() == 5
+    assert importance.first()["feature"] == "sugars_100g" and results["roc"].filter("fpr = 0").count() >= 3
 
 
 def test_stream_scores_and_rejects(spark, products, tmp_path):

@@ -84,13 +84,13 @@ def _sides(spark):
 
 def test_null_keys_match_as_text(spark):
     left, right = _sides(spark)
-    found = {tuple(r) for r in joins.left_join(left, right).collect()}
+    found = {tuple(r) for r in joins.left_join(left, right, null_keys="match").collect()}
     assert found == {("None", 1, 9), ("k", 2, 8), ("k", 2, 7), ("k", 3, 8), ("k", 3, 7), ("x", 4, None)}
 
 
 def test_null_keys_never_match(spark):
     left, right = _sides(spark)
-    found = {tuple(r) for r in joins.left_join(left, right, null_keys="never").collect()}
+    found = {tuple(r) for r in joins.left_join(left, right).collect()}
     assert found == {(None, 1, None), ("k", 2, 8), ("k", 2, 7), ("k", 3, 8), ("k", 3, 7), ("x", 4, None)}
     with pytest.raises(ValueError):
         joins.left_join(left, right, null_keys="maybe")
@@ -109,15 +109,28 @@ def _skewed(spark):
     return left, right
 
 
-@pytest.mark.parametrize("broadcastable", [True, False])
-def test_hot_keys_do_not_change_the_result(spark, monkeypatch, broadcastable):
+def test_hot_keys_do_not_change_the_result(spark, monkeypatch):
     left, right = _skewed(spark)
-    plain = sorted(map(repr, joins.left_join(left, right, hot_key_rows=None).collect()))
-    assert joins.hot_keys(left, "code", 50) == ["hot"]
-    if not broadcastable:
-        monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
-    split = sorted(map(repr, joins.left_join(left, right, hot_key_rows=50, salts=4).collect()))
+    plain = sorted(map(repr, joins.left_join(left, right).collect()))
+    assert [tuple(r) for r in joins.hot_keys(left, "code", 50).collect()] == [("hot", 6)]
+    split = sorted(map(repr, joins.left_join(left, right, hot_key_rows=50).collect()))
     assert split == plain and len(plain) == 300 * 2 + 200 + 90
+    many = sorted(map(repr, joins.left_join(left, right, hot_key_rows=2).collect()))  # more hot keys than any list would hold
+    assert many == plain
+
+
+def test_copies_of_a_hot_key_are_spread(spark):
+    left = spark.createDataFrame([("hot", 1)] * 400, "code string, a int").coalesce(1)
+    hot = joins.hot_keys(left, "code", 100)
+    salted = joins._salted_left_join(left, spark.createDataFrame([("hot", 2)], "code string, b int"), "code", hot)
+    assert salted.count() == 400 and hot.first()["parts"] == 4
+
+
+def test_nulls_cost_no_pairs(spark):
+    left = spark.createDataFrame([(None, i) for i in range(300)] + [("1", 1)], "code string, a int")
+    right = spark.createDataFrame([(None, i % 2) for i in range(200)] + [("1", 5)], "code string, b int")
+    assert joins.left_join(left, right).count() == 301
+    assert joins.left_join(left, right, null_keys="match").count() == 300 * 2 + 1
 
 
 def test_broadcast_only_if_measured_small(spark):
@@ -227,9 +240,30 @@ def test_class_allocation():
     assert sampling.class_allocation({0: 39, 1: 2454}, 3000) == {0: 47, 1: 2953}
 
 
-def test_too_many_classes(spark):
-    with pytest.raises(ValueError):
-        sampling.group_sizes(spark.range(500), "id")
+def test_many_classes(spark):
+    df = spark.range(6000).withColumn("y", F.when(F.col("id") % 501 < 500, (F.col("id") % 501).cast("string")))
+    sizes = {r["g"]: r["n"] for r in sampling.group_sizes(df, "y").collect()}
+    assert len(sizes) == 501 and None in sizes
+    drawn = {r["g"]: r["drawn"] for r in sampling.allocated(sampling.group_sizes(df, "y"), 4801).collect()}
+    assert sum(drawn.values()) == 4801 and all(abs(drawn[g] - 4801 * n / 6000) < 1 for g, n in sizes.items())
+    train, test = sampling.split_train_test(df, "id", 0.2, stratify="y")
+    assert (train.count(), test.count()) == (4800, 1200)
+    assert sampling.balanced_sample(df, "y", "id").groupBy("y").count().select("count").distinct().collect() == [(11,)]
+
+
+def test_split_reads_its_rows_three_times(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            reads.add(len(frame))
+            yield frame
+
+    for classes in (None, "y"):
+        before = reads.value
+        df = spark.range(3000).withColumn("y", F.col("id") % 7).mapInPandas(counted, "id long, y long")
+        assert sampling.mark_split(df, "id", stratify=classes).filter("is_test").count() == 600
+        assert reads.value - before <= 4 * 3000  # sizes, prefixes, digests under the cut, and the result
 
 
 def test_balanced_sample(spark):
