@@ -25,7 +25,7 @@ BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: In the order of the chain: a text of low quality first, so that its probability helps to tell a toxic one.
 CATEGORIES = ("low_quality", "toxic")
 #: Probability from which a document counts as toxic.
-TOXIC_FROM = 0.5
+TOXIC_FROM = 0.4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
