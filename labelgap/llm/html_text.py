@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -63,22 +63,31 @@ LINK_SHARE = 0.7
 @dataclass
 class Block:
     text: str
-    path: str
-    elements: tuple[tuple[int, str], ...]
+    path: int
+    element: int
     side: bool
     linked: int
     score: float = 0.0
 
 
+@dataclass
+class Page:
+    """Blocks in order; elements numbered in order, with the element each stands in; paths numbered, each a path and a name."""
+
+    blocks: list[Block] = field(default_factory=list)
+    parents: list[int] = field(default_factory=lambda: [0])
+    names: list[str] = field(default_factory=lambda: [""])
+    paths: dict[tuple[int, str], int] = field(default_factory=dict)
+
+
 @dataclass
 class _Open:
     name: str
-    number: int
-    side: bool
-    path: str
-    elements: tuple[tuple[int, str], ...]
+    element: int
+    path: int
+    side: bool = False
     in_link: bool = False
-    in_article: bool = field(default=False)
+    in_article: bool = False
 
 
 def _is_side(name: str, attributes: str, in_article: bool) -> bool:
@@ -105,23 +114,28 @@ def _is_side(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def blocks(page: str) -> list[Block]:
-    """The blocks of text of a page in order, without scripts, styles and the head's texts."""
-    found: list[Block] = []
-    stack = [_Open("", 0, False, "", ())]
+def read_page(page: str) -> Page:
+    """The blocks of text of a page, without scripts, styles and the head's texts."""
+    found = Page()
+    stack = [_Open("", 0, 0)]
+    open_names: Counter[str] = Counter()
     held: list[str] = []
     linked = 0
-    number = 0
 
     def close() -> None:
         nonlocal linked
         text = " ".join("".join(held).split())
         if text:
             at = stack[-1]
-            found.append(Block(text, at.path, at.elements, at.side, linked))
+            found.blocks.append(Block(text, at.path, at.element, at.side, linked))
         held.clear()
         linked = 0
 
+    def leave(place: int) -> None:
+        for element in stack[place:]:
+            open_names[element.name] -= 1
+        del stack[place:]
+
     def say(raw: str) -> None:
         nonlocal linked
         if raw:
@@ -149,13 +163,14 @@ def blocks(page: str) -> list[Block]:
             continue
         name = name.lower()
         if token[1] or token[4]:
-            place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name), 0)
+            # An end without a start is not looked for.
+            place = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name) if open_names[name] else 0
             if name == "br" or (name == "p" and not place):
                 held.append(" ")
             if place:
                 if any(e.name not in INLINE for e in stack[place:]):
                     close()
-                del stack[place:]
+                leave(place)
             continue
         if name in UNREAD:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -172,32 +187,35 @@ def blocks(page: str) -> list[Block]:
             ends = SAME_ENDS.get(name, ())
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].name in ends or (stack[i].name == "p" and name in CLOSES_P):
-                    del stack[i:]
+                    leave(i)
                     break
                 if stack[i].name in SCOPES:
                     break
         above = stack[-1]
-        number += 1
-        side = above.side or _is_side(name, token[3] or token[6] or "", above.in_article) or name == "head"
+        attributes = token[3] or token[6] or ""
+        side = above.side or _is_side(name, attributes, above.in_article) or name == "head"
         if side and not above.side:
             close()  # what stands before it in the same block is not part of it
         inline = name in INLINE
-        stack.append(_Open(
-            name, number, side, above.path if inline else f"{above.path}/{name}", above.elements if inline else (*above.elements, (number, name)),
-            above.in_link or name == "a", above.in_article or name in ("article", "main"),
-        ))
-        if (token[3] or token[6] or "").endswith("/") and inline:
-            stack.pop()
+        if inline and attributes.endswith("/"):
+            continue
+        element, path = above.element, above.path
+        if not inline:
+            element, path = len(found.names), found.paths.setdefault((above.path, name), len(found.paths) + 1)
+            found.parents.append(above.element)
+            found.names.append(name)
+        open_names[name] += 1
+        stack.append(_Open(name, element, path, side, above.in_link or name == "a", above.in_article or name in ("article", "main")))
     close()
     return found
 
 
-def _scored(page: list[Block]) -> None:
+def score_blocks(page: list[Block]) -> None:
     """Fused and smoothed path ratios of the blocks that may belong to an article."""
-    count: dict[str, int] = defaultdict(int)
-    chars: dict[str, int] = defaultdict(int)
-    marks: dict[str, int] = defaultdict(int)
-    linked: dict[str, int] = defaultdict(int)
+    count: dict[int, int] = defaultdict(int)
+    chars: dict[int, int] = defaultdict(int)
+    marks: dict[int, int] = defaultdict(int)
+    linked: dict[int, int] = defaultdict(int)
     for block in page:
         if not block.side:
             count[block.path] += 1
@@ -219,36 +237,34 @@ def _scored(page: list[Block]) -> None:
 
 def main_text(page: str | None) -> str:
     """Text of the article of a page, blocks joined by a blank; empty if there is none."""
-    found = blocks(page) if page else []
-    _scored(found)
-    best = max((b.score for b in found), default=0.0)
+    read = read_page(page) if page else Page()
+    score_blocks(read.blocks)
+    best = max((b.score for b in read.blocks), default=0.0)
     if best <= 0:
         return ""
-    holds: dict[tuple[int, str], int] = defaultdict(int)
-    selected = [b for b in found if b.score >= THRESHOLD * best]
-    for block in selected:
-        for element in block.elements:
-            holds[element] += len(block.text)
-    least = MOST_TEXT * sum(len(b.text) for b in selected)
-    # The elements that hold enough stand one inside the other; they are numbered in page order.
-    article = _article(found, sorted(element for element, n in holds.items() if n >= least))
-    inside = [article is None or article in b.elements for b in found]
-    if not any(i and "/h1" in b.path for i, b in zip(inside, found)):
-        # A headline may stand before the element that holds the text.
+    # An element holds what stands in it and in the elements inside it, whose numbers follow its own.
+    size = len(read.names)
+    holds, several, last = [0] * size, [0] * size, list(range(size))
+    for block in read.blocks:
+        several[block.element] += not block.side
+        if block.score >= THRESHOLD * best:
+            holds[block.element] += len(block.text)
+    for element in range(size - 1, 0, -1):
+        parent = read.parents[element]
+        holds[parent] += holds[element]
+        several[parent] += several[element]
+        last[parent] = max(last[parent], last[element])
+    # Those that hold enough stand one inside the other.
+    holders = [e for e in range(1, size) if holds[e] >= MOST_TEXT * holds[0]]
+    named = [e for e in holders if read.names[e] in ("article", "main")]
+    article = max(named, default=max((e for e in holders if several[e] > 1), default=0))
+    inside = [article <= b.element <= last[article] for b in read.blocks]
+    headline = [read.names[b.element] == "h1" for b in read.blocks]
+    if not any(i and h for i, h in zip(inside, headline)):
+        # It may stand before the element that holds the text.
         first = inside.index(True)
-        inside = [i or (at < first and b.path.endswith("/h1")) for at, (i, b) in enumerate(zip(inside, found))]
-    return " ".join(b.text for i, b in zip(inside, found) if i and not b.side and b.score > 0)
-
-
-def _article(found: list[Block], holders: list[tuple[int, str]]) -> tuple[int, str] | None:
-    """The innermost holder named as an article, else the innermost with more than one block; None: the whole page."""
-    named = [e for e in holders if e[1] in ("article", "main")]
-    if named:
-        return named[-1]
-    for element in reversed(holders):
-        if sum(element in b.elements and not b.side for b in found) > 1:
-            return element
-    return None
+        inside = [i or (at < first and h) for at, (i, h) in enumerate(zip(inside, headline))]
+    return " ".join(b.text for i, b in zip(inside, read.blocks) if i and not b.side and b.score > 0)
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
