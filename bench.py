@@ -33,19 +33,21 @@ def run(name: str, spark, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = os.environ.get("BENCH_QUERIES")
     load()
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
-    times = {}
+    times, spread = {}, {}
     for name in names.split(",") if names else HEADLINE:
         run(name, spark, folder)  # warm-up: code generation, file listing
-        times[name] = round(statistics.median(run(name, spark, folder) for _ in range(runs)), 3)
+        taken = [run(name, spark, folder) for _ in range(runs)]
+        times[name] = round(statistics.median(taken), 3)
+        spread[name] = [round(min(taken), 3), round(max(taken), 3)]
     spark.stop()
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "headline queries, warm median, summed", "value": round(sum(times.values()), 3), "unit": "sec",
-        "queries": times, "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale,
+        "queries": times, "spread": spread, "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale,
     }))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -74,8 +75,10 @@ def key_pair_comparison(
     pairs: Sequence[tuple[str, str]] = KEY_PAIRS,
     side: str = PROVENANCE,
 ) -> DataFrame:
-    """The named pairs with the absolute difference; a pair with an unknown column is skipped."""
+    """The named pairs with the absolute difference; a pair with an unknown column is skipped with a warning."""
     wanted = [p for p in pairs if p[0] in columns and p[1] in columns]
+    if len(wanted) < len(pairs):
+        warnings.warn(f"skipped, not in the data: {[p for p in pairs if p not in wanted]}", stacklevel=2)
     matrix = correlation_differences(df, columns, side)
     if not wanted:
         return matrix.limit(0).select(F.lit("").alias("variable_pair"), "original", "synthetic", "difference")

@@ -126,24 +126,19 @@ def fit_encoder(frames: Sequence[DataFrame], columns: Sequence[str], buckets: in
 
     Values are counted off range by range, so a column with many values needs no single sorting task.
     """
-    maps = []
-    for name in columns:
-        values = None
-        for frame in frames:
-            if name in frame.columns:
-                part = frame.select(F.col(name).cast("string").alias("value"))
-                values = part if values is None else values.union(part)
-        if values is None:
-            continue
-        distinct = values.filter(F.col("value").isNotNull()).groupBy("value").agg(F.lit(1).alias("one"))
-        ranked = running_totals(distinct, "value", ["one"], buckets=buckets)
-        maps.append(ranked.select(F.lit(name).alias("column"), "value", (F.col("cum_one") - 1).cast("int").alias("code")))
-    if not maps:
+    values = None
+    for frame in frames:
+        present = [c for c in columns if c in frame.columns]
+        if present:
+            # All columns of a frame are read in one scan.
+            pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in present])
+            part = frame.select(F.inline(pairs))
+            values = part if values is None else values.union(part)
+    if values is None:
         raise ValueError(f"none of the columns exists: {list(columns)}")
-    encoder = maps[0]
-    for other in maps[1:]:
-        encoder = encoder.union(other)
-    return written(encoder, "encoder")  # a fitted table, read once per encoded column and frame
+    distinct = values.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.lit(1).alias("one"))
+    ranked = running_totals(written(distinct, "values"), "value", ["one"], ["column"], buckets=buckets)
+    return written(ranked.select("column", "value", (F.col("cum_one") - 1).cast("int").alias("code")), "encoder")
 
 
 def _small_maps(encoder: DataFrame) -> set[str]:

@@ -26,14 +26,15 @@ def _numeric_cuts(rows: DataFrame, order: str, measures: Sequence[str], by: Sequ
     return rows.groupBy(*by).agg(cuts.alias("_cuts"), *[F.sum(m).alias(f"total_{m}") for m in measures])
 
 
-def _text_cuts(rows: DataFrame, order: str, buckets: int) -> DataFrame:
+def _text_cuts(rows: DataFrame, order: str, by: Sequence[str], buckets: int) -> DataFrame:
     # Any increasing list of cuts gives the same totals. One value per hash class is a
     # draw of a fixed number of values that keeps the ranges even, whatever the values begin with.
-    digest = F.xxhash64(order)
-    drawn = rows.groupBy(F.pmod(digest, F.lit(_SAMPLE_PER_BUCKET * buckets)).alias("_class")).agg(F.min(digest).alias("_draw"))
-    sample = rows.join(F.broadcast(drawn), digest == F.col("_draw"), "left_semi")  # 20 numbers per range
+    marked = rows.withColumn("_digest", F.xxhash64(order))
+    classes = F.pmod("_digest", F.lit(_SAMPLE_PER_BUCKET * buckets)).alias("_class")
+    drawn = marked.groupBy(*by, classes).agg(F.min("_digest").alias("_digest")).select(*by, "_digest")
+    sample = marked.join(F.broadcast(drawn), [*by, "_digest"], "left_semi")  # 20 numbers per range and group
     spread = F.filter("_drawn", lambda _, i: i % F.lit(_SAMPLE_PER_BUCKET) == _SAMPLE_PER_BUCKET - 1)
-    return sample.agg(F.array_sort(F.collect_list(order)).alias("_drawn")).select(spread.alias("_cuts"))
+    return sample.groupBy(*by).agg(F.array_sort(F.collect_list(order)).alias("_drawn")).select(*by, spread.alias("_cuts"))
 
 
 def running_totals(
@@ -48,15 +49,12 @@ def running_totals(
 
     ``rows`` holds one row per ``by`` and ``order`` value, without nulls in ``order``;
     aggregate before calling. ``by`` must name few groups (variables, sides),
-    since the range table has ``buckets`` rows for each. For a text ``order``
-    there is one group only.
+    since the range table has ``buckets`` rows for each. A text ``order`` gives no ``total_<m>``.
     """
     by = list(by)
     buckets = buckets or shuffle_width(rows.sparkSession)
     is_text = isinstance(rows.schema[order].dataType, T.StringType)
-    if is_text and by:
-        raise ValueError("a text order takes no groups")
-    cuts = _text_cuts(rows, order, buckets) if is_text else _numeric_cuts(rows, order, measures, by, buckets)
+    cuts = _text_cuts(rows, order, by, buckets) if is_text else _numeric_cuts(rows, order, measures, by, buckets)
 
     # Two short searches instead of one long one: first over every step-th cut, then between two of these.
     step = max(1, math.isqrt(buckets))

@@ -193,6 +193,16 @@ def test_running_totals_of_text(spark, buckets):
     assert [(r["w"], r["cum_one"]) for r in found] == [(w, i) for i, w in enumerate(words, 1)]
 
 
+def test_running_totals_of_text_by_group(spark):
+    """Values that share a long beginning are spread over ranges, in every group."""
+    words = {g: [f"{'https://example.org/a/long/way/to/the/same/folder/of/many/pages/':s}{g}{i:05d}" for i in range(3000)] for g in "ab"}
+    df = spark.createDataFrame([(g, w, 1) for g, ws in words.items() for w in ws], "g string, w string, one int")
+    cuts = {r["g"]: r["_cuts"] for r in prefix._text_cuts(df, "w", ["g"], 8).collect()}
+    assert all(len(set(c)) >= 7 for c in cuts.values())
+    found = {(r["g"], r["w"]): r["cum_one"] for r in prefix.running_totals(df, "w", ["one"], ["g"], buckets=8).collect()}
+    assert found == {(g, w): i for g, ws in words.items() for i, w in enumerate(ws, 1)}
+
+
 def test_running_totals_without_groups_or_rows(spark):
     df = spark.createDataFrame([(2.0, 1), (1.0, 4)], "x double, n long")
     assert sorted((r["x"], r["cum_n"]) for r in prefix.running_totals(df, "x", ["n"]).collect()) == [(1.0, 4), (2.0, 5)]
