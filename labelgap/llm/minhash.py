@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from labelgap.llm.components import components
 from labelgap.llm.grouped import chunk_pairs, groups
-from labelgap.llm.stages import numbered_texts, staged
+from labelgap.llm.stages import numbered_texts, staged, unstage
 from labelgap.llm.words import BLANKS, WordHasher, distinct_runs, mixed
 
 BINS = 128
@@ -235,6 +235,8 @@ def near_duplicates(
     if not rest.isEmpty():
         more = staged(_confirmed(rest, texts, k, percent).distinct(), "links")
         reached = components(links.unionByName(more))
+    for table in (members, sides, texts, rest):  # the result needs none of them
+        unstage(table)
 
     grouped = own.join(reached.toDF("first_id", "component"), "first_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "first_id").alias("component_id")
