@@ -178,7 +178,7 @@ def corr_pairs(spark, folder):
 
 @query(
     "provenance_split",
-    "SELECT l_quantity, l_extendedprice, l_discount, l_tax + 0.0 AS l_tax FROM lineitem WHERE l_returnflag = 'A'",
+    "SELECT l_quantity, l_extendedprice, l_discount, l_tax + 0.0 AS l_tax FROM lineitem WHERE l_returnflag <> 'R'",
 )
 def provenance_split(spark, folder):
     return drift.take_side(sides(spark, folder), synthetic=False).withColumn("l_tax", F.col("l_tax") + 0.0)
