@@ -22,6 +22,8 @@ from labelgap.session import written
 
 _HEX_STEP = 3
 _DIGEST_CHARS = 32
+#: Digests of one group that are put in order by one task; where a prefix holds more, it is divided again.
+_SORTED_DIGESTS = 1_000_000
 ROW_ID = "_row"
 
 
@@ -42,10 +44,9 @@ def _as_list(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def group_sizes(df: DataFrame, group: str | None) -> DataFrame:
-    """``g, n``: rows per group; one group without a name if there is no column."""
-    label = F.col(group) if group is not None else F.lit(None).cast("string")
-    return df.groupBy(label.alias("g")).agg(F.count(F.lit(1)).alias("n"))
+def group_sizes(df: DataFrame, group: str) -> DataFrame:
+    """``g, n``: rows per group."""
+    return df.groupBy(F.col(group).alias("g")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _where_it_ends(counts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -59,14 +60,53 @@ def _where_it_ends(counts: DataFrame, wanted: DataFrame) -> DataFrame:
     return ends.select("g", "prefix", (F.col("remaining") - F.col("upto") + F.col("n")).alias("remaining"), "n")
 
 
-def digest_cuts(df: DataFrame, digest: Column, wanted: DataFrame, group: str | None = None) -> DataFrame:
+def _cut_in_order(rows: DataFrame) -> DataFrame:
+    """``g, cut`` among the few digests under each group's prefix: that of the row at place ``remaining``."""
+    found = written(_placed(rows, F.col("remaining")), "cuts")
+    if not found.filter("tied").isEmpty():
+        raise TiedKeys("the key is not unique: equal digests meet at the cut")
+    return found.select("g", "cut")
+
+
+def _placed(rows: DataFrame, remaining: Column) -> DataFrame:
+    """The row at place ``remaining`` of each group by digest, and whether its digest goes on behind it."""
+    order = Window.partitionBy("g").orderBy("d")
+    placed = rows.withColumn("place", F.row_number().over(order)).withColumn("upto", F.count(F.lit(1)).over(order))
+    return placed.filter(F.col("place") == remaining).select("g", F.col("d").alias("cut"), (F.col("upto") > remaining).alias("tied"))
+
+
+def single_cut(df: DataFrame, digest: Column, wanted: int) -> str:
+    """The last digest among the first ``wanted`` rows; the driver gets at most 4,096 counts a round."""
+    if wanted <= 0:
+        return ""
+    rows, remaining = df.select(F.lit(None).cast("string").alias("g"), digest.alias("d")), wanted
+    for length in range(_HEX_STEP, _DIGEST_CHARS + _HEX_STEP, _HEX_STEP):
+        counts = rows.groupBy(F.substring("d", 1, length).alias("prefix")).agg(F.count(F.lit(1)).alias("n")).collect()
+        for prefix, n in sorted((r["prefix"], r["n"]) for r in counts):
+            if remaining <= n:
+                break
+            remaining -= n
+        else:
+            raise ValueError("there are fewer rows than wanted")
+        if remaining == n:
+            return prefix + "~"
+        rows = rows.filter(F.col("d").startswith(prefix))
+        if n <= _SORTED_DIGESTS or length >= _DIGEST_CHARS:
+            break
+        rows = written(rows, "digests")
+    found = _placed(rows, F.lit(remaining)).first()
+    if found["tied"]:
+        raise TiedKeys("the key is not unique: equal digests meet at the cut")
+    return found["cut"]
+
+
+def digest_cuts(df: DataFrame, digest: Column, wanted: DataFrame, group: str) -> DataFrame:
     """``g, cut``: the last digest among the first ``remaining`` rows of each group of ``wanted`` (``g, remaining``).
 
-    Reads ``df`` twice, whatever its size and number of groups: once to count, once to stage the
-    digests under the prefix that holds the cut. A group that needs no rows is left out.
+    Reads ``df`` twice, whatever its size and number of groups: once to count, once for the digests under
+    the prefix that holds the cut. A group that needs no rows is left out.
     """
-    label = F.col(group) if group is not None else F.lit(None).cast("string")
-    rows = df.select(label.alias("g"), digest.alias("d"))
+    rows = df.select(F.col(group).alias("g"), digest.alias("d"))
     wanted = wanted.filter("remaining > 0").select("g", "remaining")
     cuts = None
     for length in range(_HEX_STEP, _DIGEST_CHARS + _HEX_STEP, _HEX_STEP):
@@ -76,12 +116,13 @@ def digest_cuts(df: DataFrame, digest: Column, wanted: DataFrame, group: str | N
         done = ends.filter("remaining = n").select("g", F.concat("prefix", F.lit("~")).alias("cut"))
         cuts = done if cuts is None else cuts.unionByName(done)
         left = ends.filter("remaining < n")
-        if left.isEmpty():
+        most = left.agg(F.max("n")).first()[0]
+        if most is None:
             return cuts
-        if length >= _DIGEST_CHARS:
-            raise TiedKeys("the key is not unique: equal digests meet at the cut")
-        inside = broadcast_if_small(left.select(F.col("g").alias("_g"), "prefix"))
+        inside = broadcast_if_small(left.select(F.col("g").alias("_g"), "prefix", "remaining"))
         under = F.col("g").eqNullSafe(F.col("_g")) & (F.substring("d", 1, length) == F.col("prefix"))
+        if most <= _SORTED_DIGESTS or length >= _DIGEST_CHARS:
+            return cuts.unionByName(_cut_in_order(rows.join(inside, under)))
         rows = written(rows.join(inside, under, "left_semi"), "digests")
         wanted = left.select("g", "remaining")
     return cuts
@@ -112,18 +153,23 @@ def allocated(sizes: DataFrame, n_draws: Column | int, output: str = "drawn") ->
     return more.select("g", "n", (F.col(output) + F.coalesce("_more", F.lit(0))).alias(output))
 
 
-def _first_rows(df: DataFrame, keys: Sequence[str], seed: int, wanted: DataFrame, group: str | None, output: str) -> DataFrame:
-    """The frame with a mark on the first ``remaining`` rows of each group."""
+def _first_rows(df: DataFrame, keys: Sequence[str], seed: int, wanted: DataFrame | int, group: str | None, output: str) -> DataFrame:
+    """The frame with a mark on the first ``remaining`` rows of each group, or the first ``wanted`` rows of all."""
+
+    def cut(frame: DataFrame, digest: Column):
+        return single_cut(frame, digest, wanted) if group is None else digest_cuts(frame, digest, wanted, group)
+
     columns, digest = df.columns, key_digest(keys, seed)
     try:
-        cuts = digest_cuts(df, digest, wanted, group)
+        cuts = cut(df, digest)
     except TiedKeys:
         df = with_row_id(df)
         digest = key_digest([*keys, ROW_ID], seed)
-        cuts = digest_cuts(df, digest, wanted, group)
-    label = F.col(group) if group is not None else F.lit(None).cast("string")
+        cuts = cut(df, digest)
+    if group is None:
+        return df.select(*columns, (digest <= F.lit(cuts)).alias(output))
     cuts = broadcast_if_small(cuts.withColumnRenamed("g", "_g"))  # a row per group
-    marked = df.join(cuts, label.eqNullSafe(F.col("_g")), "left")
+    marked = df.join(cuts, F.col(group).eqNullSafe(F.col("_g")), "left")
     return marked.select(*columns, F.coalesce(digest <= F.col("cut"), F.lit(False)).alias(output))
 
 
@@ -138,12 +184,12 @@ def mark_split(
     the rows three times: sizes, digest prefixes, and the digests under the prefix of the cut.
     Where rows with one and the same key meet at the cut they are numbered first, see ``with_row_id``.
     """
-    sizes = written(group_sizes(df, stratify), "sizes")
-    n = sizes.agg(F.sum("n")).first()[0] or 0
-    n_test = math.ceil(test_size * n)
     if stratify is None:
-        wanted = sizes.select("g", F.lit(n_test).alias("remaining"))
+        wanted = math.ceil(test_size * df.count())
     else:
+        sizes = written(group_sizes(df, stratify), "sizes")
+        n = sizes.agg(F.sum("n")).first()[0] or 0
+        n_test = math.ceil(test_size * n)
         wanted = allocated(sizes, n - n_test).select("g", (F.col("n") - F.col("drawn")).alias("remaining"))
     return _first_rows(df, _as_list(key), seed, wanted, stratify, output)
 
