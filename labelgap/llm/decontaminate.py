@@ -1,29 +1,24 @@
 """Texts that hold passages of a benchmark, also edited or paraphrased ones.
 
-All runs of three words of the corpus are joined with those of the benchmark. Of
-an item's runs the ones that are rare in the corpus become seeds: those that occur about as
-seldom as the rarest of their neighbours, so that a passage of an item always holds
-seeds, however often the passage itself was copied. A seed that a text shares
-with an item places the item in the text, and a Smith-Waterman alignment of their words around
-that place tells how much of the item is there.
+All runs of three words of the corpus are joined with those of the benchmark. Every
+run that a text shares with an item places the item in the text, however many texts hold
+it. Where the text around such places holds enough of the item's words at all, a
+Smith-Waterman alignment of their words tells how much of the item is there.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelgap.llm.grams import gram_rows, join_grams
+from labelgap.llm.grams import gram_rows
 from labelgap.llm.stages import numbered_texts, staged
 from labelgap.llm.words import NO_LETTERS, WordHasher
 from labelgap.operators.joins import broadcast_if_small
 
 SEED_WORDS = 3
-#: A run is a seed if no run up to this many places away is much rarer: by the factor, and the rows of the corpus beyond it.
-SEED_WINDOW = 4
-SEED_FACTOR, SEED_ROWS = 3, 20
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 #: Score, as a share of the item's own length, from which a text counts as contaminated.
 LEAST_SHARE = 0.5
@@ -58,14 +53,17 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
     return best
 
 
-def _seeds(items: DataFrame, hits: DataFrame) -> DataFrame:
-    """``gram, item_id, item_place``: the runs of items that are rare among their neighbours, by rows of the corpus that hold them."""
-    often = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
-    counted = items.join(often, "gram", "left").withColumn("often", F.coalesce("often", F.lit(0)))
-    near = Window.partitionBy("item_id").orderBy("item_place").rowsBetween(1 - SEED_WINDOW, SEED_WINDOW - 1)
-    # The rarest of a passage is as frequent as the passage itself; so is every run that hardly occurs elsewhere.
-    rare = F.col("often") <= SEED_FACTOR * F.min("often").over(near) + SEED_ROWS
-    return counted.withColumn("is_seed", rare).filter("is_seed").select("gram", "item_id", "item_place")
+def may_reach(item: np.ndarray, text: np.ndarray, least: float) -> bool:
+    """Whether an alignment can score ``least``; never false if one does, and much cheaper than to align.
+
+    Such an alignment matches at least ``least`` words, and what it matches beyond that bounds its edits and so its length.
+    """
+    if np.isin(item, text).sum() * MATCH < least:
+        return False
+    matched = np.concatenate([[0], np.cumsum(np.isin(text, item))])
+    longest = len(item) + int((MATCH * len(item) - least) / -max(MISMATCH, GAP)) + 1
+    most = matched[-1] if len(text) <= longest else (matched[longest:] - matched[:-longest]).max()
+    return bool(most * MATCH >= least)
 
 
 def contaminated(
@@ -84,15 +82,15 @@ def contaminated(
     same = tests.groupBy("item").agg(F.min("item_id").alias("first_id"))
     distinct_items = same.select(F.col("first_id").alias("item_id"), "item")
     items = staged(gram_rows(distinct_items, SEED_WORDS, NO_LETTERS, "item_id", "item").toDF("item_id", "item_place", "gram"), "items")
-    hits = staged(join_grams(gram_rows(texts, SEED_WORDS, NO_LETTERS), items.select("gram").distinct()), "hits")
-    seeds = _seeds(items, hits)
+    hits = gram_rows(texts, SEED_WORDS, NO_LETTERS).join(broadcast_if_small(items), "gram")
     # Of all the places where a text and an item meet only their offsets matter, and each offset once.
-    placed = hits.join(seeds, "gram").select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("offset")).distinct()
+    placed = hits.select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("offset")).distinct()
     offsets = placed.groupBy("doc_id", "item_id").agg(F.collect_list("offset").alias("offsets"))
-    pairs = staged(offsets, "candidates")
-    held = pairs.select("doc_id").distinct()
-    whole = texts.join(held, "doc_id", "left_semi")
-    joined = pairs.join(whole, "doc_id").join(broadcast_if_small(distinct_items), "item_id").select("doc_id", "item_id", "offsets", "text", "item")
+    named = offsets.join(broadcast_if_small(distinct_items), "item_id")
+    # A row per text, so that no text is repeated for its items.
+    sought = staged(named.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "offsets", "item")).alias("sought")), "candidates")
+    whole = texts.join(broadcast_if_small(sought.select("doc_id")), "doc_id", "left_semi")
+    joined = whole.join(sought, "doc_id").select("doc_id", "text", "sought")
 
     def run(batches):
         hasher = WordHasher(NO_LETTERS)
@@ -101,25 +99,28 @@ def contaminated(
             return np.concatenate([np.zeros(0, np.uint64), *[hashes for _, hashes in hasher.texts([text])]])
 
         for batch in batches:
-            rows, last, known = [], None, {}
-            for doc_id, item_id, places, text, item in zip(*(column.to_pylist() for column in batch.columns)):
-                if text != last:
-                    last, own = text, words(text)
-                if item_id not in known:
-                    known[item_id] = words(item)
-                sought = known[item_id]
-                n = len(sought)
-                best = (0.0, -1, -1)
-                ordered = np.unique(np.array(places))
-                # Offsets closer than an item are one region, with half an item around it.
-                cuts = np.flatnonzero(np.diff(ordered) > n) + 1
-                for near in np.split(ordered, cuts):
-                    start, end = max(0, int(near[0]) - n // 2), min(len(own), int(near[-1]) + n + n // 2)
-                    score, first, final = align(sought, own[start:end])
-                    if score > best[0]:
-                        best = (score, first + start, final + start)
-                if best[0] >= least_share * n:
-                    rows.append((doc_id, item_id, best[0], best[0] / n, best[1], best[2]))
+            rows, known = [], {}
+            for doc_id, text, pairs in zip(*(column.to_pylist() for column in batch.columns)):
+                own = words(text)
+                for pair in pairs:
+                    item_id = pair["item_id"]
+                    if item_id not in known:
+                        known[item_id] = words(pair["item"])
+                    item = known[item_id]
+                    n = len(item)
+                    best = (0.0, -1, -1)
+                    ordered = np.unique(np.array(pair["offsets"]))
+                    # Offsets closer than an item are one region, with half an item around it.
+                    cuts = np.flatnonzero(np.diff(ordered) > n) + 1
+                    for near in np.split(ordered, cuts):
+                        start, end = max(0, int(near[0]) - n // 2), min(len(own), int(near[-1]) + n + n // 2)
+                        if not may_reach(item, own[start:end], least_share * n):
+                            continue
+                        score, first, final = align(item, own[start:end])
+                        if score > best[0]:
+                            best = (score, first + start, final + start)
+                    if best[0] >= least_share * n:
+                        rows.append((doc_id, item_id, best[0], best[0] / n, best[1], best[2]))
             columns = list(zip(*rows)) or [()] * 6
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], fields)

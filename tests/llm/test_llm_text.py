@@ -176,6 +176,32 @@ def test_contaminated(spark):
     assert all(0.5 <= r.share <= 1 and r.first_word <= r.last_word for r in found)
 
 
+def test_edited_passage_is_found_at_any_number_of_copies(spark):
+    items = [[f"{name}{i}" for i in range(16)] for name in ("few", "many", "mixed")]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    edited = [" ".join("other" if i in (4, 11) else w for i, w in enumerate(words)) for words in items]
+    rows = [(i, edited[0]) for i in range(30)] + [(100 + i, f"page {i} {edited[1]} end") for i in range(3000)]
+    # One whole copy makes the runs of the unedited words known, too, and far rarer than the others.
+    rows += [(5000 + i, edited[2]) for i in range(300)] + [(6000, " ".join(items[2]))]
+    found = decontaminate.contaminated(_frame(spark, rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == (
+        {(i, 0) for i in range(30)} | {(100 + i, 1) for i in range(3000)} | {(5000 + i, 2) for i in range(300)} | {(6000, 2)}
+    )
+    assert all(r.share == (16 if r.doc_id == 6000 else 13) / 16 for r in found)
+
+
+def test_texts_that_are_not_aligned_hold_no_passage():
+    rng = np.random.default_rng(12)
+    left_out = 0
+    for _ in range(400):
+        item, text = rng.integers(0, 12, rng.integers(3, 12)).astype(np.uint64), rng.integers(0, 30, rng.integers(0, 60)).astype(np.uint64)
+        for share in (0.3, 0.5, 0.8):
+            if not decontaminate.may_reach(item, text, share * len(item)):
+                left_out += 1
+                assert decontaminate.align(item, text)[0] < share * len(item)
+    assert left_out > 100
+
+
 def test_alignment_by_hand():
     item = np.array([1, 2, 3, 4, 5, 6], dtype=np.uint64)
     align = decontaminate.align
