@@ -5,7 +5,8 @@ root. Per path the page's characters and punctuation marks are added up and divi
 the number of blocks: running text stands on paths with long, punctuated blocks,
 menus and labels on paths with many short ones. The two ratios are fused, smoothed
 along the page, and blocks above a threshold are selected. The element that
-holds most of the selected text is the article; its blocks are the result, except those
+holds most of the selected text is the article, with what stands around it as far as that
+is above the threshold, too. Its blocks are the result, lists of links among them, except those
 that its own markup names as something else (a menu, an advert, a comment).
 """
 
@@ -56,6 +57,10 @@ SMOOTHING = (0.25, 0.5, 0.25)
 THRESHOLD = 0.2
 #: Share of the selected text that one element must hold to be entered.
 MOST_TEXT = 0.8
+#: Too short to be selected: they don't keep an article from being widened.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold a page and not only its article.
+WHOLE_PAGE = frozenset(["", "html", "body"])
 #: Share of a path's text in links from which it is a list of links.
 LINK_SHARE = 0.7
 
@@ -68,6 +73,8 @@ class Block:
     side: bool
     linked: int
     score: float = 0.0
+    #: The score if what is marked as something else were not on the page.
+    alone: float = 0.0
 
 
 @dataclass
@@ -230,9 +237,16 @@ def score_blocks(page: list[Block]) -> None:
         else:
             raw.append(chars[block.path] / n * (1 + marks[block.path] / n))
     reach = len(SMOOTHING) // 2
-    for i, block in enumerate(page):
-        around = sum(SMOOTHING[j + reach] * raw[i + j] for j in range(-reach, reach + 1) if 0 <= i + j < len(page))
-        block.score = around if raw[i] else 0.0
+
+    def smoothed(values: list[float]) -> list[float]:
+        sums = [sum(SMOOTHING[j + reach] * values[i + j] for j in range(-reach, reach + 1) if 0 <= i + j < len(values)) for i in range(len(values))]
+        return [total if value else 0.0 for total, value in zip(sums, values)]
+
+    for block, value in zip(page, smoothed(raw)):
+        block.score = value
+    unmarked = [i for i, block in enumerate(page) if not block.side]
+    for i, value in zip(unmarked, smoothed([raw[i] for i in unmarked])):
+        page[i].alone = value
 
 
 def main_text(page: str | None) -> str:
@@ -245,26 +259,43 @@ def main_text(page: str | None) -> str:
     # An element holds what stands in it and in the elements inside it, whose numbers follow its own.
     size = len(read.names)
     holds, several, last = [0] * size, [0] * size, list(range(size))
+    selected, others = [0] * size, [0] * size
     for block in read.blocks:
         several[block.element] += not block.side
         if block.score >= THRESHOLD * best:
             holds[block.element] += len(block.text)
+        # A first or last paragraph may stand next to a marked block, so that smoothing lowers its score.
+        if block.alone >= THRESHOLD * best:
+            selected[block.element] += 1
+        elif not block.side and read.names[block.element] not in HEADINGS:
+            others[block.element] += 1
     for element in range(size - 1, 0, -1):
         parent = read.parents[element]
         holds[parent] += holds[element]
         several[parent] += several[element]
+        selected[parent] += selected[element]
+        others[parent] += others[element]
         last[parent] = max(last[parent], last[element])
     # Those that hold enough stand one inside the other.
     holders = [e for e in range(1, size) if holds[e] >= MOST_TEXT * holds[0]]
     named = [e for e in holders if read.names[e] in ("article", "main")]
     article = max(named, default=max((e for e in holders if several[e] > 1), default=0))
+    lists = read.names[article] not in WHOLE_PAGE  # a list of links belongs to an article, but not to a page's text
+    around = article
+    while around and not named:
+        # Outwards, as long as no block is added that is neither above the threshold nor marked as something else.
+        around = read.parents[around]
+        if others[around] > others[article]:
+            break
+        if selected[around] > selected[article]:
+            article = around
     inside = [article <= b.element <= last[article] for b in read.blocks]
     headline = [read.names[b.element] == "h1" for b in read.blocks]
     if not any(i and h for i, h in zip(inside, headline)):
         # It may stand before the element that holds the text.
         first = inside.index(True)
         inside = [i or (at < first and h) for at, (i, h) in enumerate(zip(inside, headline))]
-    return " ".join(b.text for i, b in zip(inside, read.blocks) if i and not b.side and b.score > 0)
+    return " ".join(b.text for i, b in zip(inside, read.blocks) if i and not b.side and (lists or b.score > 0))
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:

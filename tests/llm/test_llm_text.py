@@ -262,6 +262,33 @@ def test_odd_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+BODY = "".join(f"<p>This is paragraph {i}, with a few words, some commas, and a full stop. It goes on for a while, too.</p>" for i in range(8))
+SOURCES = "<ul>" + "".join(f"<li><a href=/{i}>Source number {i}</a></li>" for i in range(4)) + "</ul>"
+
+
+def _text(markup):
+    return " ".join(re.sub("<[^>]*>", " ", markup).split())
+
+
+@pytest.mark.parametrize("article", [
+    f"<div class=post><p>The lead says what follows, in short, and why.</p><div class=body>{BODY}</div><p>The closing words, at last, and thanks.</p></div>",
+    f"<div class=post><h2>A title</h2><p>The lead says what follows, in short.</p><div><div class=body>{BODY}</div></div></div>",
+    f"<div><p>The lead says what follows, in short.</p><ul>{BODY.replace('p>', 'li>')}</ul><p>The closing words, at last.</p></div>",
+    f"<div><p>The lead says what follows, in short.</p><blockquote>{BODY}</blockquote><p>The closing words, at last.</p></div>",
+    f"<article>{BODY}{SOURCES}</article>", f"<div class=post>{BODY}{SOURCES}<p>The closing words, at last, and thanks.</p></div>",
+])
+def test_whole_article(article):
+    assert html_text.main_text(AROUND.format(article)) == _text(article)
+    named = article.replace("</p><div", "</p><div class=share><a>Share this, now, with all.</a></div><div")
+    assert html_text.main_text(AROUND.format(named)) == _text(article)
+
+
+def test_unmarked_lists_of_links_around_an_article_stay_out():
+    menu = "<div class=top>" + "".join(f"<div><a href=/{i}>Page {i}</a></div>" for i in range(9)) + "</div>"
+    assert html_text.main_text(f"<body>{menu}<div class=post>{BODY}</div>{menu}</body>") == _text(BODY)
+    assert html_text.main_text(f"<body>{menu}{BODY}{menu}</body>") == _text(BODY)
+
+
 def test_extract(spark):
     rows = [(1, "u", AROUND.format(f"<article>{ARTICLE}</article>"), "x"), (2, None, None, "x"), (None, "v", "<p>a</p>", None), (1, "u", "", "x")]
     found = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
