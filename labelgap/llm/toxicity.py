@@ -23,7 +23,7 @@ from labelgap.llm.stages import numbered_texts, staged
 
 #: Bytes of a feature.
 RUN_BYTES = 5
-#: Labelled rows that a chain is fitted on, the first by a hash of their id; the driver holds their chosen features.
+#: Labelled ids that a chain is fitted on, the first by a hash, with one row each; the driver holds their chosen features.
 MAX_LABELLED = 20_000
 #: Features kept per category, by the strength of their association with it.
 FEATURES_PER_CATEGORY = 1_000
@@ -156,13 +156,17 @@ def fit_chain(
 def labelled_sample(docs: DataFrame, labels: DataFrame, categories: Sequence[str], most: int = MAX_LABELLED) -> DataFrame:
     """Texts of a bounded draw of labelled ids, with 0 or 1 per category: ``doc_id, text, <category>...``.
 
-    Rows with a null id or label don't count; an id labelled twice takes the greater label.
+    Rows with a null id or label don't count; an id labelled twice takes the greater label. Of rows with one id
+    one counts, whose text is the first by its hash; a null text only if there is no other.
     """
     flags = [F.max(F.col(f"`{c}`").cast("int")).alias(f"y{i}") for i, c in enumerate(categories)]
     valid = labels.withColumn("doc_id", F.col("doc_id").cast("long")).dropna(subset=["doc_id", *categories])
     drawn = valid.groupBy("doc_id").agg(*flags).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     # At most ``most`` rows of a few numbers: a broadcast of known size.
-    return numbered_texts(docs).join(F.broadcast(drawn), "doc_id")
+    rows = numbered_texts(docs).join(F.broadcast(drawn), "doc_id")
+    marks = [f"y{i}" for i in range(len(categories))]
+    first = F.min_by("text", F.when(F.col("text").isNotNull(), F.xxhash64("text"))).alias("text")
+    return rows.groupBy("doc_id").agg(first, *[F.max(m).alias(m) for m in marks])
 
 
 def _associated(sample: DataFrame, n_categories: int, per_category: int) -> np.ndarray:

@@ -338,6 +338,22 @@ def test_chain_finds_new_forms_of_stems(spark):
     assert {(r.doc_id, r.p) for r in column} == {(r.doc_id, r.p_toxic) for r in found}
 
 
+def test_copies_of_a_labelled_id_count_once(spark):
+    rows, labels = _labelled(4, 400)
+    frame = spark.createDataFrame(labels, "doc_id long, low_quality int, toxic int")
+    copies = [(i, t) for i, t in rows[:3] for _ in range(1000)] + [(3, None)] * 50
+    sample = toxicity.labelled_sample(_frame(spark, rows + copies), frame, ["low_quality", "toxic"], most=100)
+    assert sample.count() == sample.select("doc_id").distinct().count() == 100
+    once = toxicity.train(_frame(spark, rows), frame, ["low_quality", "toxic"])
+    often = toxicity.train(_frame(spark, rows + copies), frame, ["low_quality", "toxic"])
+    assert (once.runs == often.runs).all()
+    assert all((a.weights == b.weights).all() and a.constant == b.constant for a, b in zip(once.links, often.links))
+    different = toxicity.labelled_sample(_frame(spark, [(1, None), (1, "b"), (1, "a"), (2, None)]), frame, ["toxic"]).select("doc_id", "text")
+    again = toxicity.labelled_sample(_frame(spark, [(2, None), (1, "a"), (1, None), (1, "b")]), frame, ["toxic"]).select("doc_id", "text")
+    found = {tuple(r) for r in different.collect()}
+    assert found == {tuple(r) for r in again.collect()} and found in ({(1, "a"), (2, None)}, {(1, "b"), (2, None)})
+
+
 def test_later_link_uses_earlier_ones():
     rng = np.random.default_rng(3)
     first = rng.random(2000) < 0.5
