@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 
 from labelgap.llm.ctw import score_texts
 from labelgap.llm.decontaminate import contaminated
+from labelgap.llm.filter_audit import audit
 from labelgap.llm.html_text import extract
 from labelgap.llm.license_scan import scan
 from labelgap.llm.minhash import near_duplicates
 from labelgap.llm.prefix_bpe import encoding_digests
 from labelgap.llm.registry import query
+from labelgap.llm.source_mix import mix, taken_words
 from labelgap.llm.stages import stage_path
 from labelgap.llm.token_counts import encoded_lengths, length_histogram
 from labelgap.llm.token_file import read_token_digests, write_token_file
 from labelgap.llm.toxicity import score, train
 from labelgap.llm.vector_groups import vector_groups
+from labelgap.llm.whitening import whiten
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -129,3 +132,80 @@ FROM vectors JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)
 @query("op10_collision_counts", _VECTORS_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_groups(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_spectrum_slices")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+_AUDIT_SQL = """
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), least AS (SELECT text, min(doc_id) AS first_id FROM docs GROUP BY text),
+marked AS (
+  SELECT doc_id, part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+    + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first_id, false)::INT AS failed
+  FROM docs JOIN least USING (text)
+), known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+cells AS (
+  SELECT part, failed, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM marked LEFT JOIN known USING (doc_id) GROUP BY part, failed
+), filters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM filters a, filters b, filters c, filters d, filters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+  SELECT filter_order, s AS step, bits[s] AS own, coalesce(list_sum(bits[1:s - 1]), 0)::INT AS before
+  FROM orders, (SELECT unnest(range(1, 6))::INT AS s)
+), counted AS (
+  SELECT part, filter_order, step, substring(filter_order, step, 1) AS filter,
+    sum(CASE WHEN failed & (before | own) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN failed & before = 0 AND failed & own <> 0 THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN failed & before <> 0 AND failed & own <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN failed = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN failed & before = 0 AND failed & own <> 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN failed & before = 0 AND failed & own <> 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step
+)
+SELECT *, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM counted
+"""
+
+
+@query("op12_filter_shapley", _AUDIT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_MIX_SQL = """
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM docs GROUP BY source
+), ratios AS (
+  SELECT *, 3 * source_size AS most, (3 * source_size)::DOUBLE / weight AS ratio, (sum(source_size) OVER ())::BIGINT AS words,
+    (sum(weight) OVER ())::BIGINT AS weights FROM sources
+), levels AS (
+  SELECT *, ratio <= (words - (sum(most) OVER (ORDER BY ratio) - sum(most) OVER (PARTITION BY ratio)))::DOUBLE
+    / (weights - (sum(weight) OVER (ORDER BY ratio) - sum(weight) OVER (PARTITION BY ratio)))::DOUBLE AS stopped FROM ratios
+), shared AS (
+  SELECT (max(words) - coalesce(sum(most) FILTER (WHERE stopped), 0))::DOUBLE / nullif(max(weights) - coalesce(sum(weight) FILTER (WHERE stopped), 0), 0)::DOUBLE AS level
+  FROM levels
+), targets AS (
+  SELECT source, source_size, CASE WHEN stopped THEN most::DOUBLE ELSE level * weight END AS target FROM levels, shared
+), copies AS (SELECT *, row_number() OVER (PARTITION BY source, doc_id, size) - 1 AS copy FROM docs),
+placed AS (
+  SELECT doc_id, source, size, (sum(size) OVER (PARTITION BY source ORDER BY
+    md5(concat_ws('|', coalesce(doc_id::VARCHAR, 'null'), size, copy // 1000, 13)), doc_id, copy ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start FROM copies
+), whole AS (SELECT *, floor(target + 0.5)::BIGINT AS wanted FROM targets)
+SELECT doc_id, size, source_size, target,
+  CASE WHEN size = 0 THEN 0 ELSE wanted // source_size * size + greatest(0, least(start + size, wanted % source_size) - start) END::BIGINT AS taken
+FROM placed JOIN whole ON placed.source IS NOT DISTINCT FROM whole.source
+"""
+
+
+@query("op13_source_schedule", _MIX_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken_words(mix(table(spark, sf_dir, "documents")))

@@ -23,12 +23,12 @@ def test_query_matches_sql(spark, name):
 
 def test_one_query_per_operator():
     numbers = [int(m[1]) for name in registry.QUERIES if (m := re.match(r"op(\d+)_", name))]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in registry.QUERIES
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in registry.QUERIES
 
 
 @pytest.mark.parametrize("name, key, source", [
     ("op1_license_diagonals", "doc_id", "documents"), ("op2_context_trees", "doc_id", "documents"), ("op3_prefix_bpe", "doc_id", "documents"),
-    ("op5_path_ratios", "page_id", "pages"), ("op6_classifier_chain", "doc_id", "documents"), ("op9_token_file", "doc_id", "documents"),
+    ("op5_path_ratios", "page_id", "pages"), ("op6_classifier_chain", "doc_id", "documents"), ("op9_token_file", "doc_id", "documents"), ("op13_source_schedule", "doc_id", "documents"),
 ])
 def test_query_covers_its_table(spark, name, key, source):
     found = sorted(r[0] for r in registry.QUERIES[name](spark, FOLDER).select(key).collect())
