@@ -72,14 +72,18 @@ def failures(
     back by a join on text and id, so that a text with millions of copies is no hot key. Rows that are equal in all of this are
     counted before anything is joined. A null id has no label and is neither smaller nor larger than another.
     """
-    rows = _texts_as_bits(docs, id_column, text_column, part_column)
-    rows = rows.groupBy("doc_id", "digest", "part", "failed").agg(F.count(F.lit(1)).alias("n"))
+
+    def counted(some):
+        rows = _texts_as_bits(some, id_column, text_column, part_column)
+        return rows.groupBy("doc_id", "digest", "part", "failed").agg(F.count(F.lit(1)).alias("n"))
+
+    # The null ids are picked at the scan: each text is read once.
+    named, nameless = counted(docs.filter(F.col(f"`{id_column}`").isNotNull())), counted(docs.filter(F.col(f"`{id_column}`").isNull()))
     is_one = lambda c: F.max(F.coalesce((F.col(c) == 1).cast("int"), F.lit(0)))
     known = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(is_one("quality").alias("good"), is_one("toxic").alias("toxic"))
     known = known.filter("good = 1 OR toxic = 1")
-    labelled = rows.filter("doc_id IS NOT NULL").join(known, "doc_id", "left").fillna(0, ["good", "toxic"])
-    nameless = rows.filter("doc_id IS NULL").withColumns({"good": F.lit(0), "toxic": F.lit(0)})
-    rows = staged(labelled.unionByName(nameless), "failures")
+    labelled = named.join(known, "doc_id", "left").fillna(0, ["good", "toxic"])
+    rows = staged(labelled.unionByName(nameless.withColumns({"good": F.lit(0), "toxic": F.lit(0)})), "failures")
 
     least = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).filter("doc_id IS NOT NULL").withColumn("is_first", F.lit(True))
     marked = rows.filter("doc_id IS NOT NULL").join(least, ["digest", "doc_id"], "left")
