@@ -181,13 +181,16 @@ def encode_categorical(
 # -- saved parameters ------------------------------------------------------------
 
 
+def scaler_table(spark: SparkSession, scaler: Scaler | None) -> DataFrame:
+    return scaler.to_frame(spark) if scaler else spark.createDataFrame([], "column string, kind string, center double, scale double")
+
+
 def artifact_tables(
     spark: SparkSession, scaler: Scaler | None, encoder: DataFrame, roles: FeatureRoles
 ) -> Mapping[str, DataFrame]:
     """The fitted parameters as tables: scaler, encoder map, feature roles."""
-    empty = "column string, kind string, center double, scale double"
     return {
-        "scaler_params": scaler.to_frame(spark) if scaler else spark.createDataFrame([], empty),
+        "scaler_params": scaler_table(spark, scaler),
         "encoder_map": encoder,
         "feature_roles": roles.to_frame(spark),
     }
@@ -199,7 +202,12 @@ def save_artifacts(tables: Mapping[str, DataFrame], folder: str) -> None:
 
 
 def load_scaler(spark: SparkSession, folder: str) -> Scaler | None:
-    rows = spark.read.parquet(f"{folder}/scaler_params").collect()  # one row per feature column
+    return scaler_of(spark.read.parquet(f"{folder}/scaler_params"))
+
+
+def scaler_of(params: DataFrame) -> Scaler | None:
+    """The scaler that a table of its parameters describes; an empty table stands for none."""
+    rows = params.collect()  # one row per feature column
     if not rows:
         return None
     return Scaler(rows[0]["kind"], {r["column"]: r["center"] for r in rows}, {r["column"]: r["scale"] for r in rows})

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,16 +58,72 @@ def set_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
 
 
+_ROOTS: set[str] = set()
+_SCOPES: list[list[str]] = []
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder for a table that lives as long as the application; no two calls give the same one.
+
+    All lie below one folder named by the application, which is removed when the driver's Python ends; inside a ``scratch_scope``
+    a place is removed as soon as the scope ends.
+    """
+    root = f"{checkpoint_dir(spark).rstrip('/')}/labelgap-{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        atexit.register(_remove_at_exit, spark, root)
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def _remove_at_exit(spark: SparkSession, root: str) -> None:
+    if spark.sparkContext._jsc is not None:  # the session may have been stopped before
+        remove_folder(spark, root)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables written inside when the block ends.
+
+    Frames made inside read them, so whatever is wanted of these must be written or collected inside, too.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove_folder(spark, path)
+
+
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a frame that many jobs will read as Parquet in the shared folder, and go on from there.
 
     Later jobs read only the columns they need, and a lost executor costs no
     more than the tasks it was running.
     """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/labelgap-{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote and nothing will read again."""
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    place, files = _file_system(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(place)] if files.exists(place) else []
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
