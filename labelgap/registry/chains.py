@@ -2,15 +2,20 @@
 
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelgap import plans
-from labelgap.fixed_values import ALLERGEN_PATTERNS, BROAD_MARKET_PATTERN, LABEL_PATTERNS, NUTRIENT_SOURCES
+from labelgap.fixed_values import ALLERGEN_PATTERNS, BROAD_MARKET_PATTERN, LABEL_PATTERNS, MODEL_NUTRIENTS, NUTRIENT_SOURCES
+from labelgap.operators import cleaning, detector
 from labelgap.registry.catalog import query
 from labelgap.registry.features import _ALLERGEN_SQL, _LABEL_SQL, _TEXT_SQL, _TOP_SQL
+from labelgap.registry.models import _LINES_SQL, score_lines
 from labelgap.registry.views import NUTRIENTS_SQL, PRODUCTS_SQL, products
 from labelgap.session import scratch_folder
+from labelgap.streaming import committed_rows, score_line_stream
+from labelgap.streaming.scoring import REJECTED, parse_lines
 
 _NUTRIENTS = list(NUTRIENT_SOURCES)
 _FLAGS = [*ALLERGEN_PATTERNS, *LABEL_PATTERNS]
@@ -109,3 +114,57 @@ def preprocess_chain(spark, folder):
     if not all(stage.found for stage in done.values()):
         raise RuntimeError("a stage that was whole has been made again")
     return preprocessing_measures(spark, done)
+
+
+# -- scoring as a stream -----------------------------------------------------------
+
+
+def line_model(spark, folder):
+    """A forest over the five nutrients of the products, which tells fat ones from the others."""
+    rows = cleaning.add_nutrients(products(spark, folder)).withColumn("target", (F.col("fat_100g") > 25).cast("int"))
+    return detector.train_detector(rows, MODEL_NUTRIENTS, n_trees=10)
+
+
+_LINE_COLUMNS = ["value", "status", *MODEL_NUTRIENTS]
+
+
+@query(
+    "score_stream",
+    f"""WITH {_LINES_SQL} SELECT value, status,
+    {', '.join(f"CASE WHEN status = 'ok' THEN n[{i}] + 0.0 END AS {c}" for i, c in enumerate(MODEL_NUTRIENTS, 1))},
+    count(*) AS n, true AS as_in_batch FROM parsed WHERE status <> 'quit' GROUP BY ALL""",
+)
+def score_stream(spark, folder):
+    """The lines of all events as files, scored by a stream that is cut off inside a batch and started again.
+
+    The cut comes when the second batch has written its rows and before it is committed. Counts are those of what the stream committed; the
+    mark says that a batch job over the same lines gives every row, score included, as often.
+    """
+    place, model = scratch_folder(spark, "stream"), line_model(spark, folder)
+    score_lines(spark, folder).select("value").repartition(8).write.text(f"{place}/lines")
+    folders = [f"{place}/{name}" for name in ("scored", "rejected", "checkpoint")]
+
+    def cut_off(write):
+        def run(batch, batch_id):
+            if batch_id == 1:
+                parse_lines(batch).filter("status = 'ok'").write.mode("overwrite").parquet(f"{folders[0]}/batch=1")
+                raise InterruptedError("the driver is lost in the second batch")
+            write(batch, batch_id)
+
+        return run
+
+    stream = lambda **more: score_line_stream(spark, f"{place}/lines", model, *folders, max_files_per_trigger=3, **more)
+    try:
+        stream(sink=cut_off).awaitTermination()
+    except StreamingQueryException:
+        stream().awaitTermination()
+    scored, rejected = (committed_rows(spark, f, folders[2]) for f in folders[:2])
+    streamed = scored.withColumn("status", F.lit("ok")).unionByName(rejected, allowMissingColumns=True)
+
+    parsed = parse_lines(spark.read.text(f"{place}/lines"))
+    good = detector.score_products(model, parsed.filter("status = 'ok'"), MODEL_NUTRIENTS, ["value"]).withColumn("status", F.lit("ok"))
+    batch = good.unionByName(parsed.filter(F.col("status").isin(REJECTED)).select("value", "status"), allowMissingColumns=True)
+    columns = [*_LINE_COLUMNS, "risk_score", "band"]
+    both = streamed.select(*columns, F.lit(1).alias("n"), F.lit(1).alias("more")).unionByName(batch.select(*columns, F.lit(0).alias("n"), F.lit(-1).alias("more")))
+    counted = both.groupBy(*columns).agg(F.sum("n").alias("n"), F.sum("more").alias("more"))
+    return counted.select(*_LINE_COLUMNS[:2], *[(F.col(c) + 0.0).alias(c) for c in MODEL_NUTRIENTS], "n", (F.col("more") == 0).alias("as_in_batch"))

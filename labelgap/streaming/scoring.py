@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 from labelgap.fixed_values import MODEL_NUTRIENTS
 from labelgap.functions.scoring import line_status, line_words, word_number
 from labelgap.operators.detector import score_products
+from labelgap.streaming.sink import committed_sink
+
+Batch = Callable[[DataFrame, int], None]
+#: Reasons for which a line is kept aside.
+REJECTED = ["number_error", "count_error"]
 
 
 def parse_lines(lines: DataFrame, line: str = "value", fields: Sequence[str] = MODEL_NUTRIENTS) -> DataFrame:
@@ -34,23 +38,20 @@ def score_line_stream(
     fields: Sequence[str] = MODEL_NUTRIENTS,
     available_now: bool = True,
     max_files_per_trigger: int = 1000,
+    sink: Callable[[Batch], Batch] = lambda write: write,
 ) -> StreamingQuery:
     """Start the stream. Well-formed lines are scored, the others are kept with the reason.
 
-    ``checkpoint`` names the folder, shared by all machines, that holds how far the stream came. Each
-    micro-batch overwrites the folder of its own number, so a batch that is repeated after a failure
-    leaves no row twice.
+    ``checkpoint`` names the folder, shared by all machines, that holds how far the stream came. Every line counts
+    once, whatever ends the stream and however often it is started again; see ``committed_rows`` for reading.
+    ``sink`` may wrap the function that takes each micro-batch.
     """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_lines(batch, "value", fields).persist(StorageLevel.MEMORY_AND_DISK)  # read by both sinks
-        good = parsed.filter(F.col("status") == "ok")
-        scored = score_products(model, good, fields, ["value"])
-        scored.write.mode("overwrite").parquet(f"{scored_folder}/batch={batch_id}")
-        bad = parsed.filter(F.col("status").isin("number_error", "count_error")).select("value", "status")
-        bad.write.mode("overwrite").parquet(f"{rejected_folder}/batch={batch_id}")
-        parsed.unpersist()
-
+    good = F.col("status") == "ok"
+    outputs = {
+        scored_folder: lambda parsed: score_products(model, parsed.filter(good), fields, ["value"]),
+        rejected_folder: lambda parsed: parsed.filter(F.col("status").isin(REJECTED)).select("value", "status"),
+    }
+    write = sink(committed_sink(lambda batch: parse_lines(batch, "value", fields), outputs, checkpoint))
     lines = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(input_folder)
     writer = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

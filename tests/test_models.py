@@ -2,11 +2,13 @@
 
 import numpy as np
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from labelgap.operators import detector, drift, synthesis
 from labelgap.operators.sampling import ROW_ID, with_row_id
-from labelgap.streaming import score_line_stream
+from labelgap.session import remove_folder
+from labelgap.streaming import committed_rows, commits, score_line_stream
 
 TREES = 10
 NUTRIENTS = ["energy_100g", "fat_100g", "sugars_100g", "proteins_100g", "sodium_100g"]
@@ -156,3 +158,49 @@ def test_stream_scores_and_rejects(spark, products, tmp_path):
     assert run() == ([450.0, 1000.0], ["count_error", "count_error", "number_error"])
     (folder / "two.txt").write_text("7 1 1 1 1\n")
     assert run()[0] == [7.0, 450.0, 1000.0]
+
+
+@pytest.mark.parametrize("lost", ["before", "between outputs", "before commit", "after commit"])
+def test_lines_count_once_whenever_the_stream_is_lost(spark, products, tmp_path, lost):
+    model = detector.train_detector(products, NUTRIENTS, n_trees=TREES)
+    lines = [f"{i} 1 2 3 4" if i % 3 else f"{i} x" for i in range(60)]
+    spark.createDataFrame([(v,) for v in lines], "value string").repartition(4).write.text(str(tmp_path / "lines"))
+    good, bad, checkpoint = (str(tmp_path / n) for n in ("good", "bad", "checkpoint"))
+
+    def losing(write):
+        def run(batch, batch_id):
+            if batch_id == 1 and lost == "between outputs":
+                batch.write.mode("overwrite").parquet(f"{good}/batch=1")  # rows that never become part of the result
+            if batch_id == 1 and lost == "before commit":
+                write(batch, batch_id)
+                remove_folder(spark, f"{checkpoint}/sink/batch=1")
+            if batch_id == 1 and lost == "after commit":
+                write(batch, batch_id)
+            if batch_id == 1:
+                raise InterruptedError
+            write(batch, batch_id)
+
+        return run
+
+    def start(**more):
+        score_line_stream(spark, str(tmp_path / "lines"), model, good, bad, checkpoint, max_files_per_trigger=1, **more).awaitTermination(120)
+
+    def committed(folder):
+        return sorted(r["value"] for r in committed_rows(spark, folder, checkpoint).collect())
+
+    with pytest.raises(StreamingQueryException):
+        start(sink=losing)
+    part = committed(good) + committed(bad)
+    assert len(part) < 60 and set(part) <= set(lines)  # whole batches only
+    assert committed_rows(spark, good, checkpoint).select("batch").distinct().count() == (2 if lost == "after commit" else 1)
+    start()
+    start()  # nothing is left to do
+    assert committed(good) + committed(bad) == sorted(v for v in lines if "x" not in v) + sorted(v for v in lines if "x" in v)
+    rows = {(r.output, r.batch): r.n_rows for r in commits(spark, checkpoint).collect()}
+    assert len(rows) == 8 and sum(rows.values()) == 60
+
+
+def test_nothing_committed(spark, tmp_path):
+    assert commits(spark, str(tmp_path / "checkpoint")).count() == 0
+    with pytest.raises(FileNotFoundError):
+        committed_rows(spark, str(tmp_path / "good"), str(tmp_path / "checkpoint"))
