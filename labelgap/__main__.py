@@ -15,6 +15,11 @@ def _preprocess(spark, args):
     plans.preprocess(read_first_existing(spark, args.input), plans.Config(output=args.output, scaler=args.scaler))
 
 
+def _preprocess_chain(spark, args):
+    done = plans.preprocess_chain(read_first_existing(spark, args.input), args.output, plans.Config(scaler=args.scaler))
+    plans.stage_report(spark, done).show(truncate=False)
+
+
 def _gap(spark, args):
     gap = plans.gap_analysis(read_first_existing(spark, args.input), plans.Config(output=args.output))
     for name, table in plans.gap_tables(gap).items():
@@ -79,6 +84,7 @@ def _parser() -> argparse.ArgumentParser:
     path, paths = {"required": True}, {"required": True, "nargs": "+", "help": "candidate paths, the first that exists is read"}
     labels = {"help": "gap table, needed if the input lacks the language case"}
     job("preprocess", _preprocess, "products to train and test tables", input=paths, scaler={"default": "standard"})
+    job("preprocess-chain", _preprocess_chain, "the same in stages, on from the last whole one", input=paths, scaler={"default": "standard"})
     job("gap", _gap, "language case and gap per category", input=paths)
     job("merge", _merge, "nutrients joined to the gap table", gap=path, preprocessed=path)
     job("detect", _detect, "synthetic rows and risk detector", input=paths, gap=labels, rows={"type": int, "default": 3000})

@@ -76,10 +76,14 @@ def key_pair_comparison(
     side: str = PROVENANCE,
 ) -> DataFrame:
     """The named pairs with the absolute difference; a pair with an unknown column is skipped with a warning."""
+    return key_pairs_of(correlation_differences(df, columns, side), columns, pairs)
+
+
+def key_pairs_of(matrix: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[str, str]] = KEY_PAIRS) -> DataFrame:
+    """The named pairs out of correlation differences that are there already."""
     wanted = [p for p in pairs if p[0] in columns and p[1] in columns]
     if len(wanted) < len(pairs):
-        warnings.warn(f"skipped, not in the data: {[p for p in pairs if p not in wanted]}", stacklevel=2)
-    matrix = correlation_differences(df, columns, side)
+        warnings.warn(f"skipped, not in the data: {[p for p in pairs if p not in wanted]}", stacklevel=3)
     if not wanted:
         return matrix.limit(0).select(F.lit("").alias("variable_pair"), "original", "synthetic", "difference")
     names = F.concat_ws(" - ", "var_a", "var_b")

@@ -182,7 +182,11 @@ def statistical_report(df: DataFrame, columns: Sequence[str], side: str = PROVEN
     missing = [c for c in columns if c not in df.columns]
     if missing:
         warnings.warn(f"skipped, not in the data: {missing}", stacklevel=2)
-    counts = value_counts(side_values(df, columns, side))
+    return report_of(value_counts(side_values(df, columns, side)), method)
+
+
+def report_of(counts: DataFrame, method: str = "limit") -> DataFrame:
+    """``statistical_report`` out of the distinct values with their counts."""
     p = stats.ks_pvalue(F.col("ks_statistic"), F.col("n_original"), F.col("n_synthetic"), method)
     distances = distribution_distances(counts).withColumn("ks_pvalue", p)
     return (
@@ -195,6 +199,21 @@ def statistical_report(df: DataFrame, columns: Sequence[str], side: str = PROVEN
     )
 
 
+def skipped_variables(counts: DataFrame, wanted: Sequence[str], original: Sequence[str], synthetic: Sequence[str]) -> DataFrame:
+    """``variable, reason``: a row per wanted variable that no report covers, for want of a column or of values on a side."""
+    spark = counts.sparkSession
+    lacking = {c: "not in the original" if c not in original else "not in the synthetic" for c in wanted if c not in original or c not in synthetic}
+    if len(lacking) == len(wanted):
+        return spark.createDataFrame(list(lacking.items()), "variable string, reason string")
+    asked = spark.createDataFrame([(c, lacking.get(c)) for c in wanted], "variable string, lacks string")
+    totals = counts.groupBy("variable").agg(F.sum("n_original").alias("n_original"), F.sum("n_synthetic").alias("n_synthetic"))
+    reason = F.coalesce(
+        F.col("lacks"),
+        F.when(F.coalesce("n_original", F.lit(0)) == 0, "no values in the original").when(F.coalesce("n_synthetic", F.lit(0)) == 0, "no values in the synthetic"),
+    )
+    return asked.join(F.broadcast(totals), "variable", "left").select("variable", reason.alias("reason")).filter("reason IS NOT NULL")  # a row per variable
+
+
 def report_summary(report: DataFrame, digits: int = 4) -> DataFrame:
     names = ["ks_statistic", "ks_pvalue", "wasserstein", "psi"]
     return report.select("variable", *[F.round(c, digits).alias(c) for c in names if c in report.columns])

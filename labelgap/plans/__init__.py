@@ -1,7 +1,7 @@
 from labelgap.plans.chain import Done, Stage, StageFailed, run_stages, source_fingerprint, stage_report
 from labelgap.plans.config import Config
 from labelgap.plans.detector import detector_model, effect_of_augmentation, risk_scores, synthesis_and_detector
-from labelgap.plans.gap import gap_analysis, gap_tables, merge_nutrients
+from labelgap.plans.gap import gap_analysis, gap_chain, gap_tables, merge_nutrients
 from labelgap.plans.labels import draft_labels, report_labels
 from labelgap.plans.preprocessing import preprocess, preprocess_chain, preprocessing_stages
 from labelgap.plans.validation import validate
@@ -15,6 +15,7 @@ __all__ = [
     "draft_labels",
     "effect_of_augmentation",
     "gap_analysis",
+    "gap_chain",
     "gap_tables",
     "merge_nutrients",
     "preprocess",

@@ -15,7 +15,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,12 +85,12 @@ def _read_manifest(spark: SparkSession, place: str):
 
 
 def _made(spark: SparkSession, stage: Stage, tables: Mapping[str, DataFrame], fingerprint: str, place: str):
-    """Write the table and then its manifest. The rows are counted while they are written."""
-    counted = Observation()
+    """Write the table and then its manifest. The rows are counted in the footers of what was written."""
     table = stage.build(*[tables[name] for name in stage.reads])
-    table.observe(counted, F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(f"{place}/data")
+    table.write.mode("overwrite").parquet(f"{place}/data")
+    n_rows = spark.read.schema(table.schema).parquet(f"{place}/data").count()
     parameters, reads = json.dumps(dict(stage.parameters), sort_keys=True, ensure_ascii=False), json.dumps(list(stage.reads))
-    row = (stage.name, fingerprint, parameters, reads, table.schema.json(), counted.get["n_rows"])
+    row = (stage.name, fingerprint, parameters, reads, table.schema.json(), n_rows)
     # One row in one file: it appears whole when its job is committed, or not at all.
     spark.createDataFrame([row], _MANIFEST).coalesce(1).write.mode("overwrite").json(f"{place}/manifest")
     return _read_manifest(spark, place)

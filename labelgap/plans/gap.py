@@ -15,6 +15,7 @@ from labelgap.functions.language import (
     presence_in_text,
 )
 from labelgap.operators import cleaning, frequency, joins, population
+from labelgap.plans.chain import Done, Stage, run_stages
 from labelgap.plans.config import Config, stage
 
 
@@ -44,9 +45,12 @@ def add_language_case(df: DataFrame, text: str = "ingredients_text", config: Con
 def gap_analysis(products: DataFrame, config: Config | None = None) -> DataFrame:
     """Products of the strict population with language case and display group. No shuffle."""
     config = config or Config()
+    return stage(gap_table(products, config), config, "gap")
+
+
+def gap_table(products: DataFrame, config: Config) -> DataFrame:
     kept = population.filter_by_tag(products, "countries_tags", config.strict_pattern)
-    grouped = cleaning.add_category_group(add_language_case(kept, config=config), compat=config.compat)
-    return stage(grouped, config, "gap")
+    return cleaning.add_category_group(add_language_case(kept, config=config), compat=config.compat)
 
 
 def gap_tables(gap: DataFrame, k: int = 10) -> dict[str, DataFrame]:
@@ -65,3 +69,24 @@ def merge_nutrients(gap: DataFrame, preprocessed: DataFrame, config: Config | No
     """Nutrient columns joined to the gap result by code."""
     merged = joins.left_join(gap, preprocessed, "code", list(NUTRIENT_SOURCES))
     return stage(merged, config or Config(), "merged")
+
+
+def gap_chain(
+    products: DataFrame, nutrients: DataFrame, folder: str, config: Config | None = None, fingerprints: dict[str, str] | None = None
+) -> dict[str, Done]:
+    """Gap table, its tables per category, and the join with the nutrients, as a chain that goes on where it stopped; see ``run_stages``.
+
+    ``fingerprints`` may stand for ``products`` and ``nutrients``.
+    """
+    config = config or Config()
+    settings = {
+        "pattern": config.strict_pattern, "domestic": list(config.domestic_codes), "export": list(config.export_codes), "script": config.domestic_script,
+        "compat": config.compat,
+    }
+    tables = lambda name: lambda gap: gap_tables(gap)[name]
+    stages = [
+        Stage("gap", lambda source: gap_table(source, config), ["products"], settings),
+        *[Stage(name, tables(name), ["gap"], {"k": 10}) for name in ("cases", "categories", "crosstab", "percent", "gap_ratio")],
+        Stage("merged", lambda gap, right: joins.left_join(gap, right, "code", list(NUTRIENT_SOURCES)), ["gap", "nutrients"]),
+    ]
+    return run_stages(products.sparkSession, stages, folder, {"products": products, "nutrients": nutrients}, fingerprints)

@@ -7,12 +7,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelgap import plans
-from labelgap.fixed_values import ALLERGEN_PATTERNS, BROAD_MARKET_PATTERN, LABEL_PATTERNS, MODEL_NUTRIENTS, NUTRIENT_SOURCES
+from labelgap.fixed_values import (
+    ALLERGEN_PATTERNS,
+    BROAD_MARKET_PATTERN,
+    CASE_GAP,
+    LABEL_PATTERNS,
+    MODEL_NUTRIENTS,
+    NUTRIENT_SOURCES,
+    STRICT_MARKET_PATTERN,
+)
 from labelgap.operators import cleaning, detector
 from labelgap.registry.catalog import query
+from labelgap.registry.drift import _MATRICES_SQL, _MOMENT_COLUMNS, _MOMENT_SELECT, _MOMENTS_SQL, _PSI_SQL, _STEPS_SQL
 from labelgap.registry.features import _ALLERGEN_SQL, _LABEL_SQL, _TEXT_SQL, _TOP_SQL
+from labelgap.registry.language import _CONFIG as GAP_CONFIG
 from labelgap.registry.models import _LINES_SQL, score_lines
-from labelgap.registry.views import NUTRIENTS_SQL, PRODUCTS_SQL, products
+from labelgap.registry.preparation import MERGED_SQL, nutrient_rows
+from labelgap.registry.views import NUTRIENTS_SQL, PRODUCTS_SQL, SIDE_COLUMNS, SIDES_SQL, ingredients, products, sides
 from labelgap.session import scratch_folder
 from labelgap.streaming import committed_rows, score_line_stream
 from labelgap.streaming.scoring import REJECTED, parse_lines
@@ -116,6 +127,45 @@ def preprocess_chain(spark, folder):
     return preprocessing_measures(spark, done)
 
 
+# -- gap analysis --------------------------------------------------------------------
+
+_STRICT_SQL = f"COALESCE(len(list_filter(countries_tags, lambda t: regexp_matches(lower(t), '{STRICT_MARKET_PATTERN}'))) > 0, false)"
+
+
+@query(
+    "gap_chain",
+    f"""WITH {MERGED_SQL.replace("gap AS (", "all_gap AS (", 1)
+        .replace("right_side AS (", f"gap AS (SELECT * FROM all_gap WHERE {_STRICT_SQL}), right_side AS (", 1)},
+    crosstab AS (SELECT category_top, count_if(language_case = '{CASE_GAP}') AS n_gap, count(*) AS total FROM gap GROUP BY category_top
+      ORDER BY total DESC, category_top LIMIT 10),
+    cases AS (SELECT language_case, count(*) AS n FROM gap GROUP BY language_case),
+    reported(stage, name, measure, value) AS (
+      SELECT unnest(['gap', 'merged']), '', 'rows', unnest([(SELECT count(*) FROM gap), (SELECT count(*) FROM merged)])::DOUBLE
+      UNION ALL SELECT unnest(['crosstab', 'percent', 'gap_ratio']), '', 'rows', count(*)::DOUBLE FROM crosstab
+      UNION ALL SELECT 'cases', '', 'rows', count(*)::DOUBLE FROM cases
+      UNION ALL SELECT 'categories', '', 'rows', least(15, count(DISTINCT category_top))::DOUBLE FROM gap
+      UNION ALL SELECT 'cases', language_case, 'n', n::DOUBLE FROM cases
+      UNION ALL SELECT 'gap_ratio', category_top, 'gap_pct', round(n_gap * 100.0::DOUBLE / total, 6) FROM crosstab
+      UNION ALL SELECT 'merged', c, 'found', n::DOUBLE FROM (UNPIVOT (SELECT {', '.join(f'count({c}) AS {c}' for c in _NUTRIENTS)} FROM merged)
+        ON {', '.join(_NUTRIENTS)} INTO NAME c VALUE n)
+      UNION ALL SELECT 'merged', 'energy_100g', 'sum', round(sum(energy_100g), 3) FROM merged)
+    SELECT stage, name, measure, CASE WHEN value = 0 THEN 0.0 ELSE value END AS value FROM reported""",
+)
+def gap_chain(spark, folder):
+    """Rows of every stage, the cases, the gap per category, and what the join found."""
+    done = plans.gap_chain(ingredients(spark, folder), nutrient_rows(spark, folder), scratch_folder(spark, "gap"), GAP_CONFIG)
+    row = lambda stage, name, measure, value: done[stage].table.select(
+        F.lit(stage).alias("stage"), F.col(name).alias("name"), F.lit(measure).alias("measure"), value.cast("double").alias("value")
+    )
+    found = {(c, "found"): F.count(c) for c in _NUTRIENTS}
+    total = done["merged"].table.agg(F.round(F.sum("energy_100g"), 3).alias("value"))
+    return union([
+        row_counts(spark, done), row("cases", "language_case", "n", F.col("n")), row("gap_ratio", "category_top", "gap_pct", F.round("gap_pct", 6)),
+        measures("merged", done["merged"].table, found),
+        total.select(F.lit("merged").alias("stage"), F.lit("energy_100g").alias("name"), F.lit("sum").alias("measure"), "value"),
+    ])
+
+
 # -- scoring as a stream -----------------------------------------------------------
 
 
@@ -168,3 +218,54 @@ def score_stream(spark, folder):
     both = streamed.select(*columns, F.lit(1).alias("n"), F.lit(1).alias("more")).unionByName(batch.select(*columns, F.lit(0).alias("n"), F.lit(-1).alias("more")))
     counted = both.groupBy(*columns).agg(F.sum("n").alias("n"), F.sum("more").alias("more"))
     return counted.select(*_LINE_COLUMNS[:2], *[(F.col(c) + 0.0).alias(c) for c in MODEL_NUTRIENTS], "n", (F.col("more") == 0).alias("as_in_batch"))
+
+
+# -- validation ----------------------------------------------------------------------
+
+_STATISTICS = ["ks_statistic", "ks_pvalue", "wasserstein", "psi", *_MOMENT_COLUMNS]
+_PAIRS = [("l_quantity", "l_extendedprice"), ("l_discount", "l_tax")]
+_MODELS = ["Logistic Regression", "Random Forest", "Gradient Boosting"]
+
+
+@query(
+    "validate_chain",
+    f"""WITH {_STEPS_SQL}, {_PSI_SQL}, {_MOMENTS_SQL}, {_MATRICES_SQL.removeprefix(SIDES_SQL).lstrip(', ')},
+    statistics AS (SELECT variable, round(d.ks_statistic, 6) AS ks_statistic, round(ks_pvalue, 6) AS ks_pvalue, round(wasserstein, 6) AS wasserstein,
+      round(psi, 6) AS psi, {_MOMENT_SELECT}
+      FROM distances d JOIN tested USING (variable) JOIN stability USING (variable) JOIN moments USING (variable)),
+    cells AS (SELECT var_a || ' - ' || var_b AS name, round(o.r, 6) AS o, round(s.r, 6) AS s, round(o.r - s.r, 6) AS d
+      FROM original o JOIN synthetic s USING (var_a, var_b)),
+    smaller AS (SELECT min(n) AS n FROM (SELECT count(*) AS n FROM sides GROUP BY is_synthetic)),
+    reported(part, name, measure, value) AS (
+      SELECT 'statistics', variable, measure, value FROM (UNPIVOT statistics ON {', '.join(_STATISTICS)} INTO NAME measure VALUE value)
+      UNION ALL SELECT 'summary', variable, 'psi', round(psi, 4) FROM stability
+      UNION ALL SELECT 'skipped', unnest(['l_tax_rate', 'l_comment']), unnest(['not in the synthetic', 'not in the original']), NULL
+      UNION ALL SELECT 'correlations', name, 'original', o FROM cells UNION ALL SELECT 'correlations', name, 'synthetic', s FROM cells
+      UNION ALL SELECT 'correlations', name, 'difference', d FROM cells
+      UNION ALL SELECT 'key_pairs', name, 'difference', abs(d) FROM cells WHERE name IN ({', '.join(f"'{a} - {b}'" for a, b in _PAIRS)})
+      UNION ALL SELECT 'auroc', unnest({_MODELS}), 'in range', 1
+      UNION ALL SELECT 'confusion', '', 'rows', ceil(0.3::DOUBLE * 2 * n) FROM smaller)
+    SELECT part, name, measure, CASE WHEN value = 0 THEN 0.0::DOUBLE ELSE value::DOUBLE END AS value FROM reported""",
+)
+def validate_chain(spark, folder):
+    """All results of the validation as one table; of the discriminators what holds for any model."""
+    original = sides(spark, folder).filter("is_synthetic = 0").drop("is_synthetic").withColumn("l_tax_rate", F.col("l_tax") * 100)
+    synthetic = sides(spark, folder).filter("is_synthetic = 1").drop("is_synthetic")
+    wanted = [*SIDE_COLUMNS, "l_tax_rate", "l_comment"]
+    results = plans.validate(original, synthetic, wanted, plans.Config(n_trees=5), _PAIRS)
+
+    def part(name, key, values):
+        cells = [F.struct(F.lit(m).alias("measure"), v.cast("double").alias("value")) for m, v in values.items()]
+        return results[name].select(F.lit(name).alias("part"), key.alias("name"), F.inline(F.array(*cells)))
+
+    cells = F.concat_ws(" - ", "var_a", "var_b")
+    found = union([
+        part("statistics", F.col("variable"), {c: F.round(c, 6) for c in _STATISTICS}),
+        part("summary", F.col("variable"), {"psi": F.col("psi")}),
+        results["skipped"].select(F.lit("skipped").alias("part"), F.col("variable").alias("name"), F.col("reason").alias("measure"), F.lit(None).cast("double").alias("value")),
+        part("correlations", cells, {c: F.round(c, 6) for c in ("original", "synthetic", "difference")}),
+        part("key_pairs", F.col("variable_pair"), {"difference": F.round("difference", 6)}),
+        part("auroc", F.col("model"), {"in range": F.col("auroc").between(0, 1)}),
+        results["confusion"].agg(F.sum("n").cast("double").alias("value")).select(F.lit("confusion").alias("part"), F.lit("").alias("name"), F.lit("rows").alias("measure"), "value"),
+    ])
+    return found.withColumn("value", F.col("value") + F.lit(0.0))

@@ -130,3 +130,22 @@ def test_scratch_tables_end_with_their_scope(spark):
     assert folder_names(spark, inside) == []
     outside = scratch_folder(spark, "x")
     assert spark.sparkContext.applicationId in outside and scratch_folder(spark, "x") != outside
+
+
+def test_validation_reads_each_table_once(spark, tmp_path):
+    rows = [(float(i % 13), float(i % 7) * 3, None if i % 3 else 1.0, float(i)) for i in range(600)]
+    columns = "energy_100g double, fat_100g double, sugars_100g double, extra double"
+    for name, taken in (("original", rows[:400]), ("synthetic", [(*r[:2], None, r[3]) for r in rows[400:]])):
+        spark.createDataFrame(taken, columns).write.parquet(str(tmp_path / name))
+    original, read_original = _counting(spark, str(tmp_path / "original"))
+    synthetic, read_synthetic = _counting(spark, str(tmp_path / "synthetic"))
+    wanted = ["energy_100g", "fat_100g", "sugars_100g", "proteins_100g"]
+    results = plans.validate(original, synthetic.drop("extra"), [*wanted, "extra"], plans.Config(n_trees=3), [("energy_100g", "fat_100g")])
+    tables = {name: table.collect() for name, table in results.items()}
+    assert (read_original.value, read_synthetic.value) == (400, 200)
+    assert {r.variable for r in tables["statistics"]} == {"energy_100g", "fat_100g"}
+    assert {r.variable: r.reason for r in tables["skipped"]} == {
+        "sugars_100g": "no values in the synthetic", "proteins_100g": "not in the original", "extra": "not in the synthetic",
+    }
+    assert len(tables["correlations"]) == 4 and len(tables["key_pairs"]) == 1
+
