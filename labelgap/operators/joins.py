@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from labelgap.fixed_values import NULL_KEY_TEXT
 from labelgap.functions.text import normalise_key
 from labelgap.session import written
+from labelgap.sources.buckets import BucketedTable
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -52,20 +53,40 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS) -> DataFrame
 def _salted_left_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Spread the rows of each hot key over its parts, and repeat its right rows for each part.
 
-    Parts are dealt in turn over the written left side, so rows that are exact copies are spread,
-    too, and a row has the same part however often it is read.
+    Rows are numbered as they are read from the written left side, before anything moves them: rows that are
+    exact copies are spread, too, and a row has the same part however often it is read.
     """
     hot = broadcast_if_small(hot)
-    turn = F.pmod(F.monotonically_increasing_id(), F.coalesce("parts", F.lit(1)))
-    salted = left.join(hot, key, "left").withColumn("_salt", turn.cast("int")).drop("parts")
+    turn = F.pmod(F.col("_turn"), F.coalesce("parts", F.lit(1)))
+    numbered = left.withColumn("_turn", F.monotonically_increasing_id())
+    salted = numbered.join(hot, key, "left").withColumn("_salt", turn.cast("int")).drop("parts", "_turn")
     parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
     repeated = right.join(hot, key, "left").withColumn("_salt", F.explode(parts)).drop("parts")
     return salted.join(repeated, [key, "_salt"], "left").drop("_salt")
 
 
+def _share_buckets(left: DataFrame | BucketedTable, right: DataFrame | BucketedTable, key: str) -> bool:
+    both = isinstance(left, BucketedTable) and isinstance(right, BucketedTable)
+    return both and left.key == right.key == key and left.buckets == right.buckets
+
+
+def _bucketed_join(left: BucketedTable, right: BucketedTable, columns: Sequence[str] | None) -> DataFrame:
+    """Bucket next to bucket, without a shuffle; hot and keyless rows of the left take a way of their own."""
+    if right.hot is not None:
+        raise ValueError("hot keys may be set apart on the left side only")
+    key = left.key
+    taken = [c for c in (columns if columns is not None else right.columns) if c in right.columns and c != key]
+    found = right.keyed.select(key, *taken)
+    joined = left.keyed.drop(*taken).join(found, key, "left")
+    if left.hot is not None:
+        hot = left.hot.drop(*taken)
+        joined = joined.unionByName(_salted_left_join(hot, found, key, written(hot_keys(hot, key, HOT_KEY_ROWS), "hot")).select(*joined.columns))
+    return joined.unionByName(left.keyless.drop(*taken), allowMissingColumns=True)
+
+
 def left_join(
-    left: DataFrame,
-    right: DataFrame,
+    left: DataFrame | BucketedTable,
+    right: DataFrame | BucketedTable,
     key: str = "code",
     columns: Sequence[str] | None = None,
     null_keys: str = "never",
@@ -79,12 +100,16 @@ def left_join(
     that exist are taken from the right, and a column the left side already has under such a name is
     replaced, so no suffixes arise.
 
+    Two tables in equally many buckets of the key are joined without a shuffle, and null keys never match there.
     The rest shuffles on the key, and Spark splits partitions that grow too large. With
     ``hot_key_rows`` the left keys are counted first, and keys with more rows than that are spread over parts, whatever
     their number.
     """
     if null_keys not in ("match", "never"):
         raise ValueError(f"unknown null_keys: {null_keys}")
+    if null_keys == "never" and _share_buckets(left, right, key):
+        return _bucketed_join(left, right, columns)
+    left, right = (t.frame() if isinstance(t, BucketedTable) else t for t in (left, right))
     null_text = NULL_KEY_TEXT if null_keys == "match" else None
     taken = [c for c in (columns if columns is not None else right.columns) if c in right.columns and c != key]
     left = left.drop(*taken).withColumn(key, normalise_key(F.col(key), null_text))
@@ -108,12 +133,12 @@ def _join_split(left: DataFrame, right: DataFrame, key: str, hot_key_rows: int |
 
 
 def enrich_if_absent(
-    df: DataFrame, labels: DataFrame, column: str = "language_case", columns: Sequence[str] = ("language_case", "category_top"),
+    df: DataFrame | BucketedTable, labels: DataFrame | BucketedTable, column: str = "language_case", columns: Sequence[str] = ("language_case", "category_top"),
     key: str = "code", null_keys: str = "never",
 ) -> DataFrame:
     """Join the label columns only where the data do not carry them yet."""
     if column in df.columns:
-        return df
+        return df.frame() if isinstance(df, BucketedTable) else df
     return left_join(df, labels, key, columns, null_keys)
 
 

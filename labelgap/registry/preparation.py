@@ -22,6 +22,8 @@ from labelgap.registry.views import (
     products,
     table,
 )
+from labelgap.session import scratch_folder
+from labelgap.sources import write_bucketed
 
 _NUTRIENTS = list(NUTRIENT_SOURCES)
 _SHORT = ["energy_100g", "fat_100g", "sugars_100g", "proteins_100g", "sodium_100g"]
@@ -52,6 +54,18 @@ def left_join_nutrients(spark, folder):
     return rounded(merged(spark, folder).select("doc_id", "code", *_NUTRIENTS), *_NUTRIENTS)
 
 
+@query(
+    "left_join_bucketed",
+    f"""WITH {MERGED_SQL} SELECT doc_id, code, {', '.join(f'round({c}, 6) AS {c}' for c in _NUTRIENTS)} FROM merged""",
+)
+def left_join_bucketed(spark, folder):
+    """The join of ``left_join_nutrients`` over stages in buckets of the key."""
+    place = scratch_folder(spark, "buckets")
+    left = write_bucketed(gap(spark, folder), f"{place}/gap")
+    right = write_bucketed(nutrient_rows(spark, folder).select("code", *_NUTRIENTS), f"{place}/nutrients")
+    return rounded(joins.left_join(left, right, "code", _NUTRIENTS).select("doc_id", "code", *_NUTRIENTS), *_NUTRIENTS)
+
+
 @query(
     "null_key_join",
     f"""WITH {PRODUCTS_SQL}, keyed AS (SELECT o_orderkey, {_KEY_SQL} AS code FROM products),

@@ -1,3 +1,4 @@
+from labelgap.sources.buckets import BucketedTable, read_bucketed, write_bucketed
 from labelgap.sources.files import (
     SYNTHETIC_SCHEMA,
     LABEL_SCHEMA,
@@ -11,12 +12,15 @@ from labelgap.sources.files import (
 )
 
 __all__ = [
+    "BucketedTable",
     "SYNTHETIC_SCHEMA",
     "LABEL_SCHEMA",
+    "read_bucketed",
     "read_csv_table",
     "read_first_existing",
     "read_label_json",
     "read_parquet",
+    "write_bucketed",
     "write_csv_table",
     "write_json_lines",
     "write_parquet",
