@@ -44,23 +44,31 @@ def allergen_text(tags_text: Column) -> Column:
     return F.when(text == "", UNKNOWN_ALLERGENS).otherwise(text)
 
 
+def _grams(value: Column) -> Column:
+    return F.concat(float_text(value), F.lit("g"))
+
+
+def _milligrams(grams: Column) -> Column:
+    return F.when(grams.isNull() | F.isnan(grams), "0mg").otherwise(F.concat(whole_number_text(grams * 1000), F.lit("mg")))
+
+
+def _kcal(energy: Column) -> Column:
+    return F.concat(whole_number_text(energy), F.lit(" kcal"))
+
+
 def nutrition_json(
     energy: Column, fat: Column, saturated_fat: Column, carbohydrates: Column, sugars: Column, protein: Column,
     sodium: Column,
 ) -> Column:
     """Nutrition facts as one JSON object, with a blank after each colon and comma."""
-    grams = lambda c: F.concat(float_text(c), F.lit("g"))
-    milligrams = F.when(sodium.isNull() | F.isnan(sodium), "0mg").otherwise(
-        F.concat(whole_number_text(sodium * 1000), F.lit("mg"))
-    )
     facts = {
-        "Energy": F.concat(whole_number_text(energy), F.lit(" kcal")),
-        "Fat": grams(fat),
-        "Saturated Fat": grams(saturated_fat),
-        "Carbs": grams(carbohydrates),
-        "Sugars": grams(sugars),
-        "Protein": grams(protein),
-        "Sodium": milligrams,
+        "Energy": _kcal(energy),
+        "Fat": _grams(fat),
+        "Saturated Fat": _grams(saturated_fat),
+        "Carbs": _grams(carbohydrates),
+        "Sugars": _grams(sugars),
+        "Protein": _grams(protein),
+        "Sodium": _milligrams(sodium),
     }
     pairs = [F.concat(F.lit(f'"{name}": "'), value, F.lit('"')) for name, value in facts.items()]
     return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
@@ -73,6 +81,30 @@ def label_prompt(name: Column, nutrition: Column, allergens: Column) -> Column:
     return F.concat(*[places[piece] if i % 2 else F.lit(piece) for i, piece in enumerate(re.split("<<(.*?)>>", PROMPT_TEMPLATE))])
 
 
+def _json_text(value: Column) -> Column:
+    """A text as a JSON string with its quotes."""
+    listed = F.to_json(F.array(value))
+    return F.substring(listed, F.lit(2), F.char_length(listed) - 2)
+
+
+def label_text(
+    name: Column, allergens: Column, energy: Column, fat: Column, sodium: Column, carbohydrates: Column, protein: Column
+) -> Column:
+    """A label in the form that a text model is asked for, as JSON within a code fence."""
+    quoted = lambda value: F.concat(F.lit('"'), value, F.lit('"'))
+    fields = {
+        '{"product_name_en": ': _json_text(name),
+        ', "serving_size": "100g", "calories_per_serving": ': quoted(_kcal(energy)),
+        ', "nutrition_facts": {"total_fat": ': quoted(_grams(fat)),
+        ', "sodium": ': quoted(_milligrams(sodium)),
+        ', "total_carbohydrate": ': quoted(_grams(carbohydrates)),
+        ', "protein": ': quoted(_grams(protein)),
+        '}, "allergen_statement": ': _json_text(F.concat(F.lit("Contains: "), allergens)),
+        ', "marketing_claims": []}': F.lit(""),
+    }
+    return F.concat(F.lit("```json\n"), *[part for lead, value in fields.items() for part in (F.lit(lead), value)], F.lit("\n```"))
+
+
 def json_rescue(text: Column) -> Column:
     """Drop code fences, then keep what lies between the first ``{`` and the last ``}``."""
     bare = F.regexp_replace(text, r"```json\s*|```", "")

@@ -24,6 +24,7 @@ from labelgap.functions.labels import (
     card_name,
     json_rescue,
     label_prompt,
+    label_text,
     list_to_text,
     nutrition_json,
     product_name,
@@ -45,20 +46,27 @@ def label_candidates(
     return found.orderBy(key).limit(k) if k is not None else found
 
 
+_PROMPT_NUTRIENTS = ["energy_100g", "fat_100g", "saturated_fat_100g", "carbohydrates_100g", "sugars_100g", "proteins_100g"]
+
+
+def _filled(df: DataFrame) -> DataFrame:
+    filled = ensure_columns(df, {c: 0.0 for c in _PROMPT_NUTRIENTS})
+    return ensure_columns(filled, {"sodium_100g": None, "allergens_tags": None})
+
+
+def _name(df: DataFrame, compat: bool) -> Column:
+    if "product_name" not in df.columns:
+        return F.lit("Unknown Snack")
+    if isinstance(df.schema["product_name"].dataType, T.ArrayType):
+        return product_name(F.col("product_name"), compat)
+    return product_name_text(F.col("product_name"), compat)
+
+
 def add_prompt(df: DataFrame, compat: bool = True, output: str = "prompt") -> DataFrame:
     """Drafting prompt per product. An absent nutrient column is 0, an absent name column is unknown."""
-    nutrients = ["energy_100g", "fat_100g", "saturated_fat_100g", "carbohydrates_100g", "sugars_100g", "proteins_100g"]
-    filled = ensure_columns(df, {c: 0.0 for c in nutrients})
-    filled = ensure_columns(filled, {"sodium_100g": None, "allergens_tags": None})
-    if "product_name" not in df.columns:
-        name = F.lit("Unknown Snack")
-    elif isinstance(df.schema["product_name"].dataType, T.ArrayType):
-        name = product_name(F.col("product_name"), compat)
-    else:
-        name = product_name_text(F.col("product_name"), compat)
-    facts = nutrition_json(*[F.col(c) for c in nutrients], F.col("sodium_100g").cast("double"))
-    prompt = label_prompt(name, facts, allergen_text(F.col("allergens_tags").cast("string")))
-    return filled.withColumn(output, prompt).select(*df.columns, output)
+    facts = nutrition_json(*[F.col(c) for c in _PROMPT_NUTRIENTS], F.col("sodium_100g").cast("double"))
+    prompt = label_prompt(_name(df, compat), facts, allergen_text(F.col("allergens_tags").cast("string")))
+    return _filled(df).withColumn(output, prompt).select(*df.columns, output)
 
 
 # -- completion ---------------------------------------------------------------
@@ -89,6 +97,16 @@ def template_completion(prompts: Sequence[str]) -> list[str]:
     return texts
 
 
+def template_labels(df: DataFrame, key: str = "code", compat: bool = True) -> DataFrame:
+    """``(key, text, error)`` per product: what ``template_completion`` makes of its prompt, straight from the columns.
+
+    No prompt is formed and nothing leaves the JVM.
+    """
+    facts = F.col("energy_100g"), F.col("fat_100g"), F.col("sodium_100g").cast("double"), F.col("carbohydrates_100g"), F.col("proteins_100g")
+    text = label_text(_name(df, compat), allergen_text(F.col("allergens_tags").cast("string")), *facts)
+    return _filled(df).select(key, text.alias("text"), F.lit(None).cast("string").alias("error"))
+
+
 def complete_labels(
     df: DataFrame,
     complete: Callable[[Sequence[str]], Sequence[str]] = template_completion,
@@ -98,9 +116,13 @@ def complete_labels(
     """``(key, text, error)`` per prompt.
 
     A batch that fails is sent again in halves, so a bad prompt costs its neighbours a few more
-    sendings and not one each; a prompt that fails alone has an error.
+    sendings and not one each; a prompt that fails alone has an error. Prompts are sent again whenever the result is
+    computed again: write it, or see ``journal.complete_once``.
     """
+    return answered(df, complete, key, prompt)
+
 
+def answered(df: DataFrame, complete: Callable[[Sequence[str]], Sequence[str]], key: str, prompt: str) -> DataFrame:
     def answers(prompts: list[str]) -> list[tuple[str | None, str | None]]:
         try:
             texts = list(complete(prompts))

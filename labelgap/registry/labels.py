@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 from labelgap.fixed_values import NUTRIENT_SOURCES, PROMPT_TEMPLATE
 from labelgap.functions.labels import allergen_text, json_rescue, list_to_text, product_name, product_name_text
 from labelgap.functions.tags import tags_to_text
-from labelgap.operators import cleaning, label_content
+from labelgap.operators import cleaning, journal, label_content
 from labelgap.registry.catalog import query
 from labelgap.registry.features import rounded
 from labelgap.registry.preparation import MERGED_SQL, merged
 from labelgap.registry.views import NUTRIENTS_SQL, PRODUCTS_SQL, products, table
+from labelgap.session import scratch_folder
 
 
 @query(
@@ -52,10 +53,14 @@ def allergen_text_query(spark, folder):
     return products(spark, folder).select("o_orderkey", text.alias("allergens"))
 
 
+def prompt_rows(spark, folder):
+    """Nutrients are rounded first, since engines print long fractions differently."""
+    return cleaning.tags_as_text(rounded(cleaning.add_nutrients(products(spark, folder)), *NUTRIENT_SOURCES, digits=2))
+
+
 def prompts(spark, folder):
-    """A prompt per product; nutrients are rounded first, since engines print long fractions differently."""
-    rows = cleaning.tags_as_text(rounded(cleaning.add_nutrients(products(spark, folder)), *NUTRIENT_SOURCES, digits=2))
-    return label_content.add_prompt(rows).select("o_orderkey", "prompt")
+    """A prompt per product."""
+    return label_content.add_prompt(prompt_rows(spark, folder)).select("o_orderkey", "prompt")
 
 
 def _sql_text(text):
@@ -97,14 +102,27 @@ _COMPLETION_SQL = " || ".join([
 ])
 
 
-@query(
-    "label_complete",
-    f"""WITH {PRODUCTS_SQL}, {NUTRIENTS_SQL}, {_ALLERGENS_SQL}
+_COMPLETE_SQL = f"""WITH {PRODUCTS_SQL}, {NUTRIENTS_SQL}, {_ALLERGENS_SQL}
     SELECT n.o_orderkey, {_COMPLETION_SQL} AS text, NULL::VARCHAR AS error
-    FROM nutrients n JOIN allergens a ON n.o_orderkey = a.o_orderkey""",
-)
+    FROM nutrients n JOIN allergens a ON n.o_orderkey = a.o_orderkey"""
+
+
+@query("label_complete", _COMPLETE_SQL)
 def label_complete(spark, folder):
-    return label_content.complete_labels(prompts(spark, folder), key="o_orderkey")
+    return label_content.template_labels(prompt_rows(spark, folder), key="o_orderkey")
+
+
+@query("label_journal", _COMPLETE_SQL)
+def label_journal(spark, folder):
+    """Completions by way of the journal, which half of the products are in from an earlier run; that run's answers must not be asked for again."""
+    path, asked = scratch_folder(spark, "journal"), prompts(spark, folder)
+    first = asked.filter("o_orderkey % 2 = 0")
+    journal.complete_once(first, path, label_content.template_completion, "o_orderkey", per_task=20_000)
+    found = journal.complete_once(asked, path, label_content.template_completion, "o_orderkey", per_task=20_000)
+    entries = journal.read_journal(spark, path).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("digest").alias("prompts")).first()
+    if entries["n"] != entries["prompts"]:
+        raise RuntimeError("a prompt was sent twice")
+    return found
 
 
 # -- JSON -------------------------------------------------------------------------
