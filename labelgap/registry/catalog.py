@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ["population", "features", "language", "preparation", "drift", "models", "labels", "chains"]
+_MODULES = ["population", "features", "language", "preparation", "drift", "models", "labels", "chains", "exchange"]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -69,8 +69,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def write_csv_table(df: DataFrame, path: str) -> None:
-    """UTF-8 CSV with a header; no byte-order mark is written. Quotes are doubled."""
-    df.write.mode("overwrite").csv(path, header=True, escape='"')
+    """UTF-8 CSV with a header; no byte-order mark is written. Quotes are doubled, white space around a value stays."""
+    df.write.mode("overwrite").csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
