@@ -11,7 +11,7 @@ of lengths and gathers the bytes with numpy; nothing loops over ids.
 
 from __future__ import annotations
 
-import os
+import re
 import zlib
 
 import numpy as np
@@ -76,31 +76,72 @@ def unpack(ranked: bytes, control: bytes, data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(ranked, "<u4")[ranks] if n else np.zeros(0, np.uint32)
 
 
-def _pieces(path: str, pattern: str) -> PieceIds:
-    def build():
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves, others from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
 
-        def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            # One call for all pieces, each of which the library takes by itself.
-            found = tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-            return np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces))
+class ByteLevelPieces:
+    """Pieces of texts, and their ids by the model of a tokenizers file, as the library finds them.
+
+    The library first cuts a text at its special tokens, then splits what is between by the pattern, writes the bytes of a piece as characters and
+    hands that to its model. The first steps are done here, once for equal pieces; only the model is called. The strings of special
+    tokens give their ids, unless ``special_tokens`` is off: then they are text like any other.
+    """
 
-        return PieceIds(Splitter(pattern).pieces, encode)
+    def __init__(self, path: str, pattern: str, special_tokens: bool = True):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        added = tokenizer.get_added_tokens_decoder()
+        if tokenizer.normalizer is not None or any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError(f"not a plain byte-level tokenizer: {path}")
+        self._model, self._characters, self._split = tokenizer.model, byte_characters(), Splitter(pattern).pieces
+        # An added token that isn't special counts whether they are wanted or not.
+        self._special = {t.content: i for i, t in added.items() if special_tokens or not t.special}
+        longest_first = sorted(self._special, key=len, reverse=True)
+        self._at_special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split if self._special else None
+
+    def pieces(self, text: str) -> list[str]:
+        if not any(token in text for token in self._special):
+            return self._split(text)
+        parts = self._at_special(text)
+        # No run of the pattern's pieces equals a special token as a whole, so the string itself may stand for it.
+        return [piece for i, part in enumerate(parts) for piece in ([part] if i % 2 else self._split(part))]
+
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces in order, and how many each has."""
+        ids: list[int] = []
+        lengths = np.empty(len(pieces), np.int64)
+        tokenize, characters, special = self._model.tokenize, self._characters, self._special
+        for i, piece in enumerate(pieces):
+            if piece in special:
+                found = [special[piece]]
+            else:
+                found = [token.id for token in tokenize(piece.encode().decode("latin-1").translate(characters))]
+            ids += found
+            lengths[i] = len(found)
+        return np.array(ids, np.uint32), lengths
+
+
+def _pieces(path: str, pattern: str, special_tokens: bool) -> PieceIds:
+    def build():
+        level = ByteLevelPieces(path, pattern, special_tokens)
+        return PieceIds(level.pieces, level.encode)
 
-    return kept(("token_file", path, pattern), build)
+    return kept(("token_file", path, pattern, special_tokens), build)
 
 
 def write_token_file(
     df: DataFrame, out: str, tokenizer_path: str, pattern: str, end_id: int = 2, block_ids: int = BLOCK_IDS,
-    id_column: str = "doc_id", text_column: str = "text",
+    id_column: str = "doc_id", text_column: str = "text", special_tokens: bool = True,
 ) -> None:
     """Encode whole texts, end each with ``end_id``, and write them in ascending order of the id.
 
-    The tokenizer is a byte-level one that splits by ``pattern``.
+    The tokenizer is a byte-level one that splits by ``pattern``. The strings of its special tokens in a text give
+    their ids, as in the library; ``special_tokens=False`` takes them as ordinary text.
     A null text is an empty one. Rows with a null id stand first; rows with one id
     are ordered by a hash of their text, so equal ids of any number are split over tasks, too.
     No rows give an empty file.
@@ -121,7 +162,7 @@ def write_token_file(
             doc_ids, ties, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
             at = 0
             for part in in_slices(texts):
-                for found in _pieces(tokenizer_path, pattern).ids(part):
+                for found in _pieces(tokenizer_path, pattern, special_tokens).ids(part):
                     rows.append((doc_ids[at], ties[at], np.append(found, end)))
                     size += len(found) + 1
                     at += 1

@@ -132,7 +132,6 @@ def test_token_file(spark, rows, tmp_path, block_ids):
     out = str(tmp_path / "tokens")
     token_file.write_token_file(rows, out, queries.BYTE_TOKENIZER, PATTERN, block_ids=block_ids)
     library = Tokenizer.from_file(queries.BYTE_TOKENIZER)
-    library.encode_special_tokens = True
     own = {(r.doc_id, tuple(library.encode(r.text or "", add_special_tokens=False).ids + [2])) for r in rows.collect()}
     read = token_file.read_token_file(spark, out).collect()
     assert {(r.doc_id, tuple(r.ids)) for r in read} == own and len(read) == rows.count()
@@ -144,6 +143,34 @@ def test_token_file(spark, rows, tmp_path, block_ids):
     assert sums == {(r.doc_id, r.start): zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in read}
 
 
+SPECIAL = [
+    "hello <|endoftext|> world", "<|endoftext|>", "<|endoftext|><|endoftext|>", "a  <|endoftext|>  b\n<|endoftext|>", "<|endoftext|> c", "<|endof<|endoftext|>text|>",
+    "x<|endoftext|", "é  <|endoftext|>ü 你好 <|endoftext|> \U0001f600", "no more ", "", "\x00\xad\u0301 \t\n",
+]
+
+
+@pytest.mark.parametrize("special", [True, False])
+def test_special_tokens_are_those_of_the_library(spark, tmp_path, special):
+    out = str(tmp_path / "tokens")
+    frame = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string")
+    token_file.write_token_file(frame, out, queries.BYTE_TOKENIZER, PATTERN, special_tokens=special)
+    library = Tokenizer.from_file(queries.BYTE_TOKENIZER)
+    library.encode_special_tokens = not special
+    found = {r.doc_id: list(r.ids) for r in token_file.read_token_file(spark, out).collect()}
+    assert found == {i: [*library.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(SPECIAL)}
+    assert (found[0] == [31373, 220, 50256, 995, 2]) == special
+
+
+def test_byte_characters():
+    from tokenizers import pre_tokenizers
+
+    level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    characters = token_file.byte_characters()
+    for text in ("".join(map(chr, range(0x250))), "\u2028你\U0001f600\ue000"):
+        assert text.encode().decode("latin-1").translate(characters) == level.pre_tokenize_str(text)[0][0]
+    assert len(set(characters.values())) == 256 and set(characters.values()) == set(pre_tokenizers.ByteLevel.alphabet())
+
+
 def test_empty_tables(spark, tmp_path):
     none = spark.createDataFrame([], SCHEMA)
     out = str(tmp_path / "tokens")
