@@ -1,8 +1,9 @@
 """Texts that hold passages of a benchmark, also edited or paraphrased ones.
 
-All runs of three words of the corpus are joined with those of the benchmark. Every
-run that a text shares with an item places the item in the text, however many texts hold
-it. Where the text around such places holds enough of the item's words at all, a
+All runs of three words of the corpus are joined with the seeds of the benchmark: those runs of its items that are rare there.
+A run that many items have, such as the opening of a kind of question, tells none of them from the others and is no seed. How many
+texts hold a run doesn't matter, so a passage is found in any number of copies. Every
+seed that a text shares with an item places the item in the text. Where the text around such places holds enough of the item's words at all, a
 Smith-Waterman alignment of their words tells how much of the item is there.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelgap.llm.grams import gram_rows
@@ -22,6 +23,10 @@ SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 #: Score, as a share of the item's own length, from which a text counts as contaminated.
 LEAST_SHARE = 0.5
+#: Items that may have a run for it to be rare.
+RARE_ITEMS = 100
+#: Items that are sought in one reading of a text; for more the text is read again.
+ITEMS_AT_ONCE = 64
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
@@ -66,12 +71,38 @@ def may_reach(item: np.ndarray, text: np.ndarray, least: float) -> bool:
     return bool(most * MATCH >= least)
 
 
+def seeds(items: DataFrame, least_share: float = LEAST_SHARE, rare_items: int = RARE_ITEMS) -> DataFrame:
+    """``item_id, item_place, gram``: the runs by which each item is sought, out of all its runs.
+
+    These are the runs that at most ``rare_items`` items have. Where the other runs alone cover so much of an item that a
+    text with nothing but them reaches ``least_share``, all of its runs are seeds.
+    """
+    common = items.groupBy("gram").agg(F.count_distinct("item_id").alias("n_items")).filter(F.col("n_items") > rare_items).select("gram", F.lit(True).alias("is_common"))
+    marked = staged(items.join(broadcast_if_small(staged(common, "common")), "gram", "left"), "marked")
+    covered = marked.filter("is_common").select("item_id", F.explode(F.sequence(F.col("item_place"), F.col("item_place") + (SEED_WORDS - 1))).alias("word"))
+    covered = covered.groupBy("item_id").agg(F.count_distinct("word").alias("n_common"))
+    lengths = marked.groupBy("item_id").agg((F.max("item_place") + SEED_WORDS).alias("n_words"))
+    mostly = covered.join(lengths, "item_id").filter(F.col("n_common") >= F.lit(least_share) * F.col("n_words")).select("item_id", F.lit(True).alias("is_mostly"))
+    chosen = marked.join(broadcast_if_small(staged(mostly, "mostly")), "item_id", "left").filter("is_common IS NULL OR is_mostly")
+    return chosen.select("item_id", "item_place", "gram")
+
+
+def seeded_pairs(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """``doc_id, item_id, offsets``: every text and item that share a seed, and the places of the item in the text that these stand for."""
+    hits = gram_rows(texts, SEED_WORDS, NO_LETTERS).join(broadcast_if_small(items), "gram")
+    # Of all the places where a text and an item meet only their offsets matter, and each offset once.
+    placed = hits.select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("offset")).distinct()
+    return placed.groupBy("doc_id", "item_id").agg(F.collect_list("offset").alias("offsets"))
+
+
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHARE, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, benchmark: DataFrame, least_share: float = LEAST_SHARE, id_column: str = "doc_id", text_column: str = "text",
+    rare_items: int = RARE_ITEMS,
 ) -> DataFrame:
     """Texts that hold an item or a good part of it: ``doc_id, item_id, score, share, first_word, last_word``.
 
     ``score`` is that of the best alignment, ``share`` that score over the item's number of words.
+    A text is compared with the items it shares a seed with, see ``seeds``: a passage of which no seed is left whole is not found.
     An item of fewer than three words, or with a null id or text, is not looked for. A null text
     holds nothing, and a row with a null id is not reported. Rows with one id are one
     document, whose best row counts. Empty tables give an empty result.
@@ -81,15 +112,14 @@ def contaminated(
     # Equal items are sought once and named again at the end.
     same = tests.groupBy("item").agg(F.min("item_id").alias("first_id"))
     distinct_items = same.select(F.col("first_id").alias("item_id"), "item")
-    items = staged(gram_rows(distinct_items, SEED_WORDS, NO_LETTERS, "item_id", "item").toDF("item_id", "item_place", "gram"), "items")
-    hits = gram_rows(texts, SEED_WORDS, NO_LETTERS).join(broadcast_if_small(items), "gram")
-    # Of all the places where a text and an item meet only their offsets matter, and each offset once.
-    placed = hits.select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("offset")).distinct()
-    offsets = placed.groupBy("doc_id", "item_id").agg(F.collect_list("offset").alias("offsets"))
-    named = offsets.join(broadcast_if_small(distinct_items), "item_id")
-    # A row per text, so that no text is repeated for its items.
-    sought = staged(named.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "offsets", "item")).alias("sought")), "candidates")
-    whole = texts.join(broadcast_if_small(sought.select("doc_id")), "doc_id", "left_semi")
+    all_runs = staged(gram_rows(distinct_items, SEED_WORDS, NO_LETTERS, "item_id", "item").toDF("item_id", "item_place", "gram"), "items")
+    pairs = seeded_pairs(texts, staged(seeds(all_runs, least_share, rare_items), "seeds"))
+    named = pairs.join(broadcast_if_small(distinct_items), "item_id")
+    # A row per text and lot of items: no text is repeated for each of its items, and no row grows with the benchmark.
+    lots = F.call_function("div", F.count(F.lit(1)).over(Window.partitionBy("doc_id")) - 1, F.lit(ITEMS_AT_ONCE)) + 1
+    dealt = named.withColumn("lots", lots).withColumn("lot", F.pmod(F.xxhash64("item_id"), F.col("lots")))
+    sought = staged(dealt.groupBy("doc_id", "lot").agg(F.collect_list(F.struct("item_id", "offsets", "item")).alias("sought")), "candidates")
+    whole = texts.join(broadcast_if_small(sought.select("doc_id").distinct()), "doc_id", "left_semi")
     joined = whole.join(sought, "doc_id").select("doc_id", "text", "sought")
 
     def run(batches):

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelgap.llm import ctw, decontaminate, html_text, license_scan, toxicity
+from labelgap.llm.words import NO_LETTERS, WordHasher
 
 DOCS = "doc_id long, text string, gram long, place int, label string, block long"
 
@@ -221,6 +222,62 @@ def test_alignment_by_hand():
         assert align(a, b)[0] == cells.max()
 
 
+def _word_hashes(text):
+    return np.concatenate([np.zeros(0, np.uint64), *[h for _, h in WordHasher(NO_LETTERS).texts([text])]])
+
+
+@pytest.mark.parametrize("rare_items", [100, 3])
+def test_pairs_are_those_of_aligning_all_texts_with_all_items(spark, rare_items):
+    rnd = random.Random(21)
+    stock = "which of the following is".split()
+    word = lambda: f"w{rnd.randrange(400)}"
+    items = [(i, " ".join((stock if i % 2 else []) + [word() for _ in range(rnd.randrange(8, 25))])) for i in range(14)]
+    items += [(50, " ".join(stock + ["w1", "w2"])), (51, " ".join(stock + ["w3", "w4"]))]  # more than half is stock
+    texts = []
+    for i in range(200):
+        body = [word() for _ in range(rnd.randrange(0, 60))]
+        if i % 3 == 0:
+            passage = rnd.choice(items)[1].split()
+            for _ in range(rnd.choice([0, 1, 2, 4, 6])):
+                passage[rnd.randrange(len(passage))] = word()
+            at = rnd.randrange(len(body) + 1)
+            body[at:at] = passage[rnd.randrange(3) :]
+        if i % 4 == 0:
+            body += stock
+        texts.append((i, " ".join(body)))
+    frame = spark.createDataFrame([(i, t, "", 0, 0) for i, t in items], "item_id long, text string, doc_id string, share int, lots int")
+    found = {(r.doc_id, r.item_id): r.share for r in decontaminate.contaminated(_frame(spark, texts), frame, rare_items=rare_items).collect()}
+
+    runs = lambda words: {tuple(words[i : i + 3]) for i in range(len(words) - 2)}
+    of_item = {i: runs(t.split()) for i, t in items}
+    common = {g for g in set().union(*of_item.values()) if sum(g in r for r in of_item.values()) > rare_items}
+    expected = {}
+    for i, item in items:
+        words = item.split()
+        covered = {p for at in range(len(words) - 2) if tuple(words[at : at + 3]) in common for p in range(at, at + 3)}
+        sought = of_item[i] if len(covered) >= 0.5 * len(words) else of_item[i] - common
+        for d, text in texts:
+            if sought & runs(text.split()):
+                score = decontaminate.align(_word_hashes(item), _word_hashes(text))[0]
+                if score >= 0.5 * len(words):
+                    expected[d, i] = score / len(words)
+    assert found == expected and len(found) > 60
+    if rare_items == 3:
+        assert common and {i for _, i in found} >= {50, 51}
+
+
+def test_a_phrase_of_all_items_opens_no_pairs(spark):
+    phrase = "choose the one that best completes the sentence"
+    items = [(i, f"{phrase} " + " ".join(f"u{i}x{k}" for k in range(12))) for i in range(300)]
+    texts = [(i, f"{phrase} " + " ".join(f"t{i}x{k}" for k in range(30))) for i in range(300)] + [(1000 + i, items[i][1]) for i in range(5)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    runs = decontaminate.gram_rows(benchmark, 3, NO_LETTERS, "item_id", "text").toDF("item_id", "item_place", "gram")
+    pairs = decontaminate.seeded_pairs(_frame(spark, texts).select("doc_id", "text"), decontaminate.seeds(runs))
+    assert {(r.doc_id, r.item_id) for r in pairs.collect()} == {(1000 + i, i) for i in range(5)}
+    found = decontaminate.contaminated(_frame(spark, texts), benchmark)
+    assert {(r.doc_id, r.item_id, r.share) for r in found.collect()} == {(1000 + i, i, 1.0) for i in range(5)}
+
+
 def test_no_contamination(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame([(1, "one two three four five")], "item_id long, text string")
