@@ -7,7 +7,9 @@ menus and labels on paths with many short ones. The two ratios are fused, smooth
 along the page, and blocks above a threshold are selected. The element that
 holds most of the selected text is the article, with what stands around it as far as that
 is above the threshold, too. Its blocks are the result, lists of links among them, except those
-that its own markup names as something else (a menu, an advert, a comment).
+that its own markup names as something else (a menu, an advert, a comment). Elements and roles say so themselves. A class or
+an id is evidence only: where the ratios find most of a page's text inside what is so named, the name is of the layout
+("right-sidebar", "menu-closed") and counts for nothing.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ SIDE_WORDS = frozenset(
     modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations comment comments
     commentlist reply replies respond disqus discussion pagination pager toolbar widget copyright skip search searchbox form""".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
 CLOSES_P = frozenset(
     """address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr
     main menu nav ol p pre section summary table ul""".split()
@@ -63,6 +66,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WHOLE_PAGE = frozenset(["", "html", "body"])
 #: Share of a path's text in links from which it is a list of links.
 LINK_SHARE = 0.7
+#: Share of a page's selected text from which what holds it is not what its name says, and the share for comments, which may well be longer than an article.
+NAMED_SHARE, COMMENT_SHARE = 0.7, 0.9
 
 
 @dataclass
@@ -72,6 +77,8 @@ class Block:
     element: int
     side: bool
     linked: int
+    #: The innermost name it stands under, 0 for none.
+    named: int = 0
     score: float = 0.0
     #: The score if what is marked as something else were not on the page.
     alone: float = 0.0
@@ -85,6 +92,18 @@ class Page:
     parents: list[int] = field(default_factory=lambda: [0])
     names: list[str] = field(default_factory=lambda: [""])
     paths: dict[tuple[int, str], int] = field(default_factory=dict)
+    #: Elements named as something else, numbered in order from 1.
+    marks: list[Mark] = field(default_factory=lambda: [Mark(0, 1.0)])
+
+
+@dataclass
+class Mark:
+    """An element whose class or id names it as something else: the mark it stands in, and the share of the text that speaks against the name."""
+
+    parent: int
+    share: float
+    articles: int = 0
+    has_main: bool = False
 
 
 @dataclass
@@ -93,32 +112,36 @@ class _Open:
     element: int
     path: int
     side: bool = False
+    named: int = 0
     in_link: bool = False
     in_article: bool = False
 
 
-def _is_side(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element's own markup says that it isn't part of an article."""
+def _markup_says(name: str, attributes: str, in_article: bool) -> tuple[bool, float]:
+    """Whether an element itself says that it isn't part of an article, and if only its name does, the share of text that speaks against it."""
     if name in SIDE_ELEMENTS or (name == "header" and not in_article):
-        return True
+        return True, 0.0
     if not attributes or name in ("html", "body", "main"):
-        return False
+        return False, 0.0
+    share = 0.0
     for key, value in _NAMES.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
-            return True
+            return True, 0.0
         if key == "role" and value in SIDE_ROLES:
-            return True
+            return True, 0.0
         if key in ("class", "id"):
             for part in value.split():
                 words = _WORD.findall(part)
-                if words and words[0] in ("has", "no", "with", "without"):
+                if words and (words[0] in ("has", "no", "with", "without") or words[-1] in ("free", "less")):
                     continue
+                if in_article:  # like the element, it may hold the headline
+                    words = [w for w in words if w != "header"]
                 if name == "article":  # an article may well be called anything, but a comment isn't one
                     words = [w for w in words if w.startswith(("comment", "repl"))]
                 if not SIDE_WORDS.isdisjoint(words):
-                    return True
-    return False
+                    share = max(share, NAMED_SHARE if COMMENT_WORDS.isdisjoint(words) else COMMENT_SHARE)
+    return False, share
 
 
 def read_page(page: str) -> Page:
@@ -134,7 +157,7 @@ def read_page(page: str) -> Page:
         text = " ".join("".join(held).split())
         if text:
             at = stack[-1]
-            found.blocks.append(Block(text, at.path, at.element, at.side, linked))
+            found.blocks.append(Block(text, at.path, at.element, at.side, linked, at.named))
         held.clear()
         linked = 0
 
@@ -200,8 +223,12 @@ def read_page(page: str) -> Page:
                     break
         above = stack[-1]
         attributes = token[3] or token[6] or ""
-        side = above.side or _is_side(name, attributes, above.in_article) or name == "head"
-        if side and not above.side:
+        says, share = _markup_says(name, attributes, above.in_article)
+        side, named = above.side or says or name == "head", above.named
+        if share and not side:
+            named = len(found.marks)
+            found.marks.append(Mark(above.named, share))
+        if named != above.named or side != above.side:
             close()  # what stands before it in the same block is not part of it
         inline = name in INLINE
         if inline and attributes.endswith("/"):
@@ -212,7 +239,10 @@ def read_page(page: str) -> Page:
             found.parents.append(above.element)
             found.names.append(name)
         open_names[name] += 1
-        stack.append(_Open(name, element, path, side, above.in_link or name == "a", above.in_article or name in ("article", "main")))
+        if name in ("article", "main"):
+            found.marks[named].articles += 1
+            found.marks[named].has_main |= name == "main"
+        stack.append(_Open(name, element, path, side, named, above.in_link or name == "a", above.in_article or name in ("article", "main")))
     close()
     return found
 
@@ -249,9 +279,42 @@ def score_blocks(page: list[Block]) -> None:
         page[i].alone = value
 
 
+def weigh_names(read: Page) -> None:
+    """Set aside the blocks under a name, unless the ratios speak against the name.
+
+    They do where an element so named holds a ``main``, or most of the text that is selected if no name counts, as long as no article stands outside it. If
+    all of that text stands under names, the one that holds the most counts for nothing, unless it is one of comments.
+    """
+    marks = read.marks
+    if len(marks) == 1:
+        return
+    score_blocks(read.blocks)
+    best = max((b.score for b in read.blocks), default=0.0)
+    held, articles, has_main = [0] * len(marks), [m.articles for m in marks], [m.has_main for m in marks]
+    for block in read.blocks:
+        if block.score >= THRESHOLD * best > 0:
+            held[block.named] += len(block.text)
+    for i in range(len(marks) - 1, 0, -1):  # what an inner mark holds, the outer ones hold, too
+        above = marks[i].parent
+        held[above] += held[i]
+        articles[above] += articles[i]
+        has_main[above] |= has_main[i]
+    outermost = [i for i in range(1, len(marks)) if marks[i].parent == 0]
+    fullest = max((i for i in outermost if marks[i].share < COMMENT_SHARE), key=held.__getitem__, default=0)
+    if sum(held[i] for i in outermost) < held[0]:
+        fullest = 0
+    counts = [False] * len(marks)
+    for i in range(1, len(marks)):
+        most = held[i] >= marks[i].share * held[0] > 0 and articles[i] == articles[0]
+        counts[i] = counts[marks[i].parent] or not (has_main[i] or most or i == fullest)
+    for block in read.blocks:
+        block.side = block.side or counts[block.named]
+
+
 def main_text(page: str | None) -> str:
     """Text of the article of a page, blocks joined by a blank; empty if there is none."""
     read = read_page(page) if page else Page()
+    weigh_names(read)
     score_blocks(read.blocks)
     best = max((b.score for b in read.blocks), default=0.0)
     if best <= 0:

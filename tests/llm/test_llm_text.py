@@ -346,6 +346,57 @@ def test_unmarked_lists_of_links_around_an_article_stay_out():
     assert html_text.main_text(f"<body>{menu}{BODY}{menu}</body>") == _text(BODY)
 
 
+_PARAGRAPHS = [f"This is paragraph number {i}, which is long enough to count, and has commas." for i in range(8)]
+_BODY = "".join(f"<p>{p}</p>" for p in _PARAGRAPHS)
+_SIDE = "".join(f"<p>Beside the point {i}, which is long as well, with commas, and dull.</p>" for i in range(12))
+
+
+@pytest.mark.parametrize("page, extra", [
+    (f'<div class="container right-sidebar">{_BODY}</div>', ""),
+    (f'<div id="search-results-page"><div class="promo">Buy now!</div>{_BODY}</div>', ""),
+    (f'<div class="page menu-closed"><main>{_BODY}</main></div>', ""),
+    (f'<div class="page menu-closed"><main>{_BODY}</main><div class="sidebar">{_SIDE}</div></div>', ""),
+    (f'<div class="layout sidebar-left"><article>{_BODY}</article></div><div class="related"><article>{_SIDE}</article></div>', None),
+    (f'<article><div class="post-header"><h1>Head line</h1></div>{_BODY}</article>', "Head line"),
+    (f'<div class="wrap"><div class="post comments-open">{_BODY}</div><div id="comments"><p>Nice, I liked it very much, thank you.</p></div></div>', ""),
+    (f'<article>{_BODY}</article><div class="comments">{_SIDE}{_SIDE}</div>', ""),
+    (f'<div class="content">{_BODY}</div><div class="sidebar">{_SIDE}</div>', ""),
+])
+def test_a_name_doesnt_outweigh_the_ratios(page, extra):
+    text = html_text.main_text(f"<html><body><nav><a>Home</a></nav>{page}<footer>Imprint</footer></body></html>")
+    if extra is None:  # two articles: whichever is taken, it is whole, and the layout's name hides neither
+        assert text
+    else:
+        assert text == " ".join(([extra] if extra else []) + _PARAGRAPHS)
+
+
+def test_no_paragraph_is_lost_to_a_compound_name():
+    page = f'<article>{_BODY}<p class="ad-free">This one, too, belongs here, and is long.</p><p class="ad">Buy now!</p></article>'
+    assert html_text.main_text(page) == " ".join(_PARAGRAPHS) + " This one, too, belongs here, and is long."
+
+
+def test_scores_by_plain_sums():
+    rnd = random.Random(31)
+    for _ in range(40):
+        blocks = [
+            html_text.Block("ab, c. " * rnd.randrange(1, 30), rnd.randrange(5), 0, rnd.random() < 0.3, rnd.randrange(0, 40)) for _ in range(rnd.randrange(1, 25))
+        ]
+        html_text.score_blocks(blocks)
+        ratio = []
+        for b in blocks:
+            peers = [x for x in blocks if x.path == b.path and not x.side]
+            chars = sum(len(x.text) for x in peers)
+            if b.side or sum(x.linked for x in peers) > html_text.LINK_SHARE * chars:
+                ratio.append(0.0)
+            else:
+                marks = sum(x.text.count(",") + x.text.count(".") for x in peers)
+                ratio.append(chars / len(peers) * (1 + marks / len(peers)))
+        padded = [0.0, *ratio, 0.0]
+        for i, b in enumerate(blocks):
+            expected = 0.25 * padded[i] + 0.5 * padded[i + 1] + 0.25 * padded[i + 2] if ratio[i] else 0.0
+            assert b.score == pytest.approx(expected)
+
+
 def test_extract(spark):
     rows = [(1, "u", AROUND.format(f"<article>{ARTICLE}</article>"), "x"), (2, None, None, "x"), (None, "v", "<p>a</p>", None), (1, "u", "", "x")]
     found = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
