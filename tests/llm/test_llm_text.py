@@ -56,6 +56,85 @@ def test_license_phrases_and_notices(spark):
     assert by_label[8, "mit-text"].first_word == 0 and by_label[8, "mit-text"].n_words == len(mit.split())
 
 
+def _spans_by_hand(words, sentence, least=0.75):
+    """Diagonals, their neighbours, every chain of these, and the best of them, without any shortcut."""
+    template = sentence.split()
+    runs = len(template) - 1
+    places = {}
+    for at in range(len(words) - 1):
+        for t in range(runs):
+            if words[at : at + 2] == template[t : t + 2]:
+                places.setdefault(at - t, []).append(at)
+    clusters, before = [], None
+    for offset in sorted(places):
+        if before is None or offset - before > 2:
+            clusters.append([])
+        clusters[-1].append((min(places[offset]), max(places[offset]), offset, len(places[offset])))
+        before = offset
+    out = []
+    for cluster in clusters:
+        found = [[d] for d in cluster]
+        frontier = found
+        while frontier:
+            frontier = [
+                c + [d] for c in frontier for d in cluster
+                if d[0] > c[-1][1] and d[0] - d[2] > c[-1][1] - c[-1][2] and abs(d[2] - c[-1][2]) <= 2
+            ]
+            found = found + frontier
+        spans = set()
+        for last in cluster:  # the chain with most votes that ends here, the shortest of equals, and the diagonal by itself
+            ending = [c for c in found if c[-1] == last]
+            for c in (max(ending, key=lambda c: (sum(d[3] for d in c), c[0][0])), [last]):
+                votes, first = sum(d[3] for d in c), c[0][0]
+                spans.add((-min(1.0, votes / max(runs, last[1] - first + 1)), first, last[1]))
+        kept = []
+        for span in sorted(spans):
+            if not kept or (-span[0] >= least and all(span[1] > k[2] or k[1] > span[2] for k in kept)):
+                kept.append(span)
+        out += kept
+    return sorted((first, last + 2 - first, round(-share, 9)) for share, first, last in out)
+
+
+def test_license_spans_by_hand(spark):
+    rnd = random.Random(17)
+    sentence = "the fox and the dog and the cow met the fox at noon"
+    words = sentence.split()
+    texts = [sentence, f"{sentence} the fox and the", f"x {sentence} the dog {sentence}", "the fox " * 12, sentence.replace("met", "and then met"), sentence.replace("dog and", "dog")]
+    for _ in range(40):
+        text = [rnd.choice(words) for _ in range(rnd.randrange(6))]
+        for _ in range(rnd.randrange(1, 3)):
+            quoted = list(words)
+            for _ in range(rnd.randrange(4)):
+                at = rnd.randrange(len(quoted))
+                quoted[at : at + rnd.randrange(2)] = [rnd.choice(words)] * rnd.randrange(2)
+            text += quoted + [rnd.choice(words) for _ in range(rnd.randrange(4))]
+        texts.append(" ".join(text))
+    spans, summary = license_scan.scan(_frame(spark, list(enumerate(texts))), phrases={}, notices={"own": [sentence]})
+    found = defaultdict(list)
+    for r in spans.collect():
+        found[r.doc_id].append((r.first_word, r.n_words, round(r.share, 9)))
+    scores = {r.doc_id: r.score for r in summary.collect()}
+    for i, text in enumerate(texts):
+        by_hand = _spans_by_hand(text.split(), sentence)
+        assert sorted(found[i]) == [s for s in by_hand if s[2] >= 0.75], text
+        assert scores[i] == pytest.approx(max((s[2] for s in by_hand), default=0.0))
+    assert found[0] == [(0, 13, 1.0)] and len(found[2]) == 2
+
+
+@pytest.mark.parametrize("tail", ["", " MIT License" * 6, " MIT License, MIT License, MIT License, MIT License", " released under the" * 5])
+def test_a_verbatim_notice_is_never_lost(spark, tail):
+    notice = "released under the MIT license"
+    for text in (notice + tail, f"intro {tail} {notice} {tail}"):
+        spans, summary = license_scan.scan(_frame(spark, [(1, text)]))
+        assert "mit-text" in summary.first().labels.split(",") and summary.first().score == 1.0
+
+
+def test_many_notices_in_one_text(spark):
+    notice = license_scan.NOTICES["mit-text"][1]
+    spans, _ = license_scan.scan(_frame(spark, [(1, f"{notice} " * 4000)]), notices={"mit-text": [notice]})
+    assert spans.filter("label = 'mit-text'").count() == 4000
+
+
 def test_license_scan_of_nothing(spark):
     assert license_scan.scan(_frame(spark, []))[1].count() == 0
 
