@@ -73,7 +73,7 @@ class Chosen:
 
 @dataclass
 class Link:
-    """One logistic regression: weights of the chosen runs, of the earlier links' log-odds, and the constant."""
+    """One logistic regression: weights of the chosen runs, of the earlier links' probabilities, and the constant."""
 
     category: str
     weights: np.ndarray
@@ -88,12 +88,16 @@ class Chain:
 
     def probabilities(self, columns: Sequence[np.ndarray]) -> np.ndarray:
         """A row per text and a column per category."""
-        odds = np.zeros((len(columns), len(self.links)))
+        found = np.zeros((len(columns), len(self.links)))
         flat = np.concatenate([np.zeros(0, np.int64), *columns])
         row = np.repeat(np.arange(len(columns)), [len(c) for c in columns])
         for i, link in enumerate(self.links):
-            odds[:, i] = link.constant + odds[:, :i] @ link.earlier + np.bincount(row, link.weights[flat], len(columns))
-        return 1 / (1 + np.exp(-odds))
+            found[:, i] = _probability(link.constant + found[:, :i] @ link.earlier + np.bincount(row, link.weights[flat], len(columns)))
+        return found
+
+
+def _probability(odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-odds))
 
 
 def _fit(row: np.ndarray, column: np.ndarray, n_columns: int, earlier: np.ndarray, y: np.ndarray, ridge: float, steps: int):
@@ -119,7 +123,7 @@ def _fit(row: np.ndarray, column: np.ndarray, n_columns: int, earlier: np.ndarra
     step = 1 / (0.25 * size * 1.05 + ridge)
     point, previous = theta.copy(), theta
     for i in range(steps):
-        gradient = back(1 / (1 + np.exp(-scores(point))) - y)
+        gradient = back(_probability(scores(point)) - y)
         gradient[:-1] += ridge * point[:-1]
         theta = point - step * gradient
         point = theta + i / (i + 3) * (theta - previous)
@@ -135,21 +139,21 @@ def fit_chain(
     flat = np.concatenate([np.zeros(0, np.int64), *columns])
     row = np.repeat(np.arange(len(columns)), [len(c) for c in columns])
     n = len(columns)
-    odds = np.zeros((n, 0))
+    earlier = np.zeros((n, 0))
     links = []
     for i, category in enumerate(categories):
         y = labels[:, i].astype(float) if n else np.zeros(0)
-        theta = _fit(row, flat, len(runs), odds, y, ridge, steps) if n else np.zeros(len(runs) + i + 1) - np.eye(1, len(runs) + i + 1, len(runs) + i)[0] * 13
+        theta = _fit(row, flat, len(runs), earlier, y, ridge, steps) if n else np.zeros(len(runs) + i + 1) - np.eye(1, len(runs) + i + 1, len(runs) + i)[0] * 13
         links.append(Link(category, theta[: len(runs)], theta[len(runs) : -1], float(theta[-1])))
         outside = np.zeros(n)
         for fold in np.unique(folds):
             seen = folds != fold
             inner = seen[row]
             renumbered = np.cumsum(seen) - 1
-            part = _fit(renumbered[row[inner]], flat[inner], len(runs), odds[seen], y[seen], ridge, steps) if seen.any() else theta
-            score = np.bincount(row, part[: len(runs)][flat], n) + odds @ part[len(runs) : -1] + part[-1]
-            outside[~seen] = score[~seen]
-        odds = np.column_stack([odds, outside])
+            part = _fit(renumbered[row[inner]], flat[inner], len(runs), earlier[seen], y[seen], ridge, steps) if seen.any() else theta
+            score = np.bincount(row, part[: len(runs)][flat], n) + earlier @ part[len(runs) : -1] + part[-1]
+            outside[~seen] = _probability(score[~seen])
+        earlier = np.column_stack([earlier, outside])
     return Chain(runs, links)
 
 

@@ -553,6 +553,37 @@ def test_later_link_uses_earlier_ones():
     assert ((p[:, 1] > 0.5) == first).mean() > 0.85
 
 
+def _newton(x, y, ridge):
+    """The same regression by Newton's method on a dense matrix."""
+    x = np.column_stack([x, np.ones(len(x))])
+    penalty = np.diag([ridge] * (x.shape[1] - 1) + [0.0])
+    theta = np.zeros(x.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ theta))
+        theta -= np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + penalty, x.T @ (p - y) + penalty @ theta)
+    return theta
+
+
+def test_chain_by_dense_solver():
+    rng = np.random.default_rng(8)
+    n, k = 300, 6
+    x = (rng.random((n, k)) < 0.3).astype(float)
+    first = rng.random(n) < 1 / (1 + np.exp(-(x @ [2, -1, 0, 1, 0, 0] - 0.5)))
+    second = rng.random(n) < 1 / (1 + np.exp(-(x @ [0, 0, 1, 0, -2, 1] + 2 * first - 1)))
+    labels, folds = np.column_stack([first, second]), np.arange(n) % 5
+    chain = toxicity.fit_chain(np.arange(k, dtype=np.uint64), [np.flatnonzero(r) for r in x], labels, ["a", "b"], folds, steps=4000)
+    outside = np.zeros(n)
+    for fold in range(5):
+        theta = _newton(x[folds != fold], first[folds != fold], 1.0)
+        outside[folds == fold] = 1 / (1 + np.exp(-(x[folds == fold] @ theta[:-1] + theta[-1])))
+    one, two = _newton(x, first, 1.0), _newton(np.column_stack([x, outside]), second, 1.0)
+    assert np.allclose([*chain.links[0].weights, chain.links[0].constant], one, atol=1e-4)
+    assert np.allclose([*chain.links[1].weights, *chain.links[1].earlier, chain.links[1].constant], two, atol=1e-4)
+    p = 1 / (1 + np.exp(-(x @ one[:-1] + one[-1])))
+    q = 1 / (1 + np.exp(-(np.column_stack([x, p]) @ two[:-1] + two[-1])))
+    assert np.allclose(chain.probabilities([np.flatnonzero(r) for r in x]), np.column_stack([p, q]), atol=1e-4)
+
+
 def test_labels_of_one_kind_and_none(spark):
     docs = _frame(spark, [(i, f"text {i}") for i in range(20)])
     one = toxicity.train(docs, spark.createDataFrame([(i, 0, 0) for i in range(20)], "doc_id long, a int, b int"), ["a", "b"])
