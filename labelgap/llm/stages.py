@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelgap.session import checkpoint_dir
+from labelgap.session import scratch_folder
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A new folder for one intermediate table; no two calls give the same one."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    """A new folder for one intermediate table, which lives as long as the application; see ``scratch_folder``."""
+    return scratch_folder(spark, f"llm-{name}")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

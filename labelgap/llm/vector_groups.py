@@ -57,6 +57,7 @@ def least_collisions(counted: int = COUNTED, window: float = WINDOW, missed: flo
 def _unit(batch_column, dim: int) -> np.ndarray:
     values = batch_column.combine_chunks() if isinstance(batch_column, pa.ChunkedArray) else batch_column
     flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    flat = flat / np.abs(flat).max(axis=1, keepdims=True)  # squares of very large or small numbers would leave the doubles
     return flat / np.linalg.norm(flat, axis=1, keepdims=True)
 
 

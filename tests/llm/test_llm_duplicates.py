@@ -211,6 +211,13 @@ def test_collision_count_is_calibrated():
     assert (hits < vector_groups.least_collisions()).mean() < 1e-3
 
 
+def test_very_large_and_small_vectors(spark):
+    rows = [(1, [1e-200, 0.0]), (2, [2e-200, 1e-202]), (3, [0.0, 1e-200]), (4, [1e200, 1.0]), (5, [5e-324, 0.0]), (6, [1e308, -1e308]), (7, [-1e-300, 1e-300])]
+    frame = spark.createDataFrame([(i, v, 1, 2, "c", 3) for i, v in rows], VECTORS.replace("array<float>", "array<double>"))
+    found = {r.vec_id: (r.n_links, r.component_id) for r in vector_groups.vector_groups(frame).collect()}
+    assert found == {1: (3, 1), 2: (3, 1), 4: (3, 1), 5: (3, 1), 3: (0, 3), 6: (0, 6), 7: (0, 7)}
+
+
 def test_no_vectors(spark):
     assert vector_groups.vector_groups(spark.createDataFrame([], VECTORS)).count() == 0
     only = vector_groups.vector_groups(spark.createDataFrame([(1, None, 0, 0, "", 0)], VECTORS)).collect()
