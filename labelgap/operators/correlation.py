@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from labelgap.fixed_values import KEY_PAIRS
 from labelgap.functions import stats
 from labelgap.operators.drift import PROVENANCE
+from labelgap.operators.joins import broadcast_if_small
+from labelgap.operators.prefix import running_totals
+from labelgap.operators.sampling import ROW_ID, with_row_id
+from labelgap.session import written
 
 
 def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -90,3 +94,36 @@ def key_pairs_of(matrix: DataFrame, columns: Sequence[str], pairs: Sequence[tupl
     return matrix.filter(names.isin([f"{a} - {b}" for a, b in wanted])).select(
         names.alias("variable_pair"), "original", "synthetic", F.abs("difference").alias("difference")
     )
+
+
+def rank_correlations(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Spearman correlations per group: ``*by, var_a, var_b, n_rows, r``, a row per unordered pair.
+
+    Only rows count that have all values. Equal values share their middle rank, so a value that most rows have, an exact zero say, is one tie.
+    The rows are made long once, all columns get their ranks in one join with the table of distinct values, and one aggregate
+    of products over the regrouped rows gives all pairs. A constant column has no correlation.
+    """
+    by, columns = list(by), list(columns)
+    doubles = [F.col(c).cast("double").alias(c) for c in columns]
+    rows = with_row_id(complete_rows(df, columns).select(*by, *doubles))  # each row is put together again by its number
+    values = F.array(*[F.struct(F.lit(i).alias("place"), (F.col(c) + F.lit(0.0)).alias("value")) for i, c in enumerate(columns)])
+    long = rows.select(*by, ROW_ID, F.inline(values))
+    counts = written(long.groupBy(*by, "place", "value").agg(F.count(F.lit(1)).alias("n")), "values")
+    totals = running_totals(counts, "value", ["n"], [*by, "place"])
+    # Ranks less their mean: products of these lose no digits.
+    middle = F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2 - (F.col("total_n") + 1) / 2
+    ranks = written(totals.select(*by, "place", "value", middle.alias("rank")), "ranks")
+    ranked = long.join(broadcast_if_small(ranks), [*by, "place", "value"])
+    ordered = F.array_sort(F.collect_list(F.struct("place", "rank")))
+    again = ranked.groupBy(ROW_ID, *by).agg(F.transform(ordered, lambda x: x["rank"]).alias("ranks"))
+    product = lambda i, j: F.sum(F.get("ranks", F.lit(i)) * F.get("ranks", F.lit(j)))
+    pairs = list(combinations(range(len(columns)), 2))
+    squares = [product(i, i).alias(f"s{i}") for i in range(len(columns))]
+    sums = again.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *squares, *[product(i, j).alias(f"p{i}_{j}") for i, j in pairs])
+    cells = [
+        F.struct(
+            F.lit(columns[i]).alias("var_a"), F.lit(columns[j]).alias("var_b"), F.try_divide(F.col(f"p{i}_{j}"), F.sqrt(F.col(f"s{i}") * F.col(f"s{j}"))).alias("r")
+        )
+        for i, j in pairs
+    ]
+    return sums.select(*by, "n_rows", F.inline(F.array(*cells))).select(*by, "var_a", "var_b", "n_rows", "r")

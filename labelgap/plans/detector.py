@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -32,22 +33,27 @@ def training_table(merged: DataFrame, labels: DataFrame | None = None, key: str
 
 
 def synthesis_and_detector(
-    merged: DataFrame, labels: DataFrame | None = None, config: Config | None = None, on_synth_error: str = "baseline"
+    merged: DataFrame, labels: DataFrame | None = None, config: Config | None = None, on_synth_error: str = "baseline",
+    generate: Callable[..., DataFrame] = synthesis.generate,
 ) -> dict:
-    """Synthetic rows, the augmented table, the detector trained on it, its quality and strongest features."""
+    """Synthetic rows, the augmented table, the detector trained on it, its quality and strongest features.
+
+    If making the synthetic rows fails, in the fit or later in a task of ``generate``, the detector is trained on the real rows alone, and ``error`` says why.
+    """
     config = config or Config()
     spark = merged.sparkSession
     real = training_table(merged, labels)
+    error = None
     try:
         model = synthesis.fit_synthesizer(real, DETECTOR_FEATURES)
-        synthetic = synthesis.generate(spark, model, config.n_synthetic, config.seed)
+        synthetic = generate(spark, model, config.n_synthetic, config.seed)
         synthetic = kept(synthetic, config, "synthetic")  # what fails in generating fails here
         augmented = synthesis.augment(real, synthetic)
     except Exception as failure:  # go on with the real rows alone
         if on_synth_error != "baseline":
             raise
         _log.warning("synthesis failed, training on real rows only: %s", failure)
-        synthetic, augmented = None, real.withColumn("is_synthetic", F.lit(0))
+        synthetic, augmented, error = None, real.withColumn("is_synthetic", F.lit(0)), f"{type(failure).__name__}: {failure}"
     augmented = stage(augmented, config, "augmented")
 
     train, test = split_train_test(with_row_id(augmented), ROW_ID, config.test_size, config.seed)
@@ -55,6 +61,7 @@ def synthesis_and_detector(
     return {
         "synthetic": synthetic,
         "augmented": augmented,
+        "error": error,
         "model": forest,
         "quality": detector.evaluate(forest, test, DETECTOR_FEATURES),
         "importance": detector.feature_importance(spark, forest, DETECTOR_FEATURES),

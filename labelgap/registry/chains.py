@@ -16,13 +16,13 @@ from labelgap.fixed_values import (
     NUTRIENT_SOURCES,
     STRICT_MARKET_PATTERN,
 )
-from labelgap.operators import cleaning, detector
+from labelgap.operators import cleaning, detector, synthesis
 from labelgap.registry.catalog import query
 from labelgap.registry.drift import _MATRICES_SQL, _MOMENT_COLUMNS, _MOMENT_SELECT, _MOMENTS_SQL, _PSI_SQL, _STEPS_SQL
 from labelgap.registry.features import _ALLERGEN_SQL, _LABEL_SQL, _TEXT_SQL, _TOP_SQL
 from labelgap.registry.language import _CONFIG as GAP_CONFIG
 from labelgap.registry.models import _LINES_SQL, score_lines
-from labelgap.registry.preparation import MERGED_SQL, nutrient_rows
+from labelgap.registry.preparation import MERGED_SQL, merged, nutrient_rows
 from labelgap.registry.views import NUTRIENTS_SQL, PRODUCTS_SQL, SIDE_COLUMNS, SIDES_SQL, ingredients, products, sides
 from labelgap.session import scratch_folder
 from labelgap.streaming import committed_rows, score_line_stream
@@ -269,3 +269,25 @@ def validate_chain(spark, folder):
         results["confusion"].agg(F.sum("n").cast("double").alias("value")).select(F.lit("confusion").alias("part"), F.lit("").alias("name"), F.lit("rows").alias("measure"), "value"),
     ])
     return found.withColumn("value", F.col("value") + F.lit(0.0))
+
+
+# -- synthesis that fails ------------------------------------------------------------------
+
+
+@query(
+    "synthesis_fallback",
+    f"""WITH {MERGED_SQL} SELECT contains(language_case, 'Gap')::INT AS target, 0 AS is_synthetic, count(*) AS n, true AS is_reported, true AS is_judged
+    FROM merged WHERE {' AND '.join(f'{c} IS NOT NULL' for c in MODEL_NUTRIENTS)} AND category_top IS NOT NULL GROUP BY 1""",
+)
+def synthesis_fallback(spark, folder):
+    """The rows a detector is trained on when the job that makes synthetic rows fails in one of its tasks."""
+
+    def failing(spark, model, n, seed):
+        broken = F.udf(lambda value: 1 / 0 if value is not None else value, "double")  # nothing happens before a task runs
+        return synthesis.generate(spark, model, n, seed).withColumn("fat_100g", broken("fat_100g"))
+
+    result = plans.synthesis_and_detector(merged(spark, folder), config=plans.Config(n_trees=3, n_synthetic=500), generate=failing)
+    is_reported = result["synthetic"] is None and "ZeroDivisionError" in (result["error"] or "")
+    is_judged = result["quality"].first()["accuracy"] is not None
+    counted = result["augmented"].groupBy("target", "is_synthetic").agg(F.count(F.lit(1)).alias("n"))
+    return counted.withColumns({"is_reported": F.lit(is_reported), "is_judged": F.lit(is_judged)})

@@ -161,6 +161,20 @@ def corr_diff(spark, folder):
     return found.withColumn("difference", F.col("difference") + 0.0)
 
 
+_RANKED = " UNION ALL ".join(
+    f"SELECT is_synthetic, '{a}' AS var_a, '{b}' AS var_b, count(*) AS n_rows, round(corr(r_{a}, r_{b}), 6) AS r FROM ranked GROUP BY is_synthetic"
+    for i, a in enumerate(SIDE_COLUMNS) for b in SIDE_COLUMNS[i + 1 :]
+)
+_RANKS = ", ".join(
+    f"rank() OVER (PARTITION BY is_synthetic ORDER BY {c}) + (count(*) OVER (PARTITION BY is_synthetic, {c}) - 1) / 2.0::DOUBLE AS r_{c}" for c in SIDE_COLUMNS
+)
+
+
+@query("rank_correlation", f"WITH {SIDES_SQL}, ranked AS (SELECT is_synthetic, {_RANKS} FROM sides) {_RANKED}")
+def rank_correlation(spark, folder):
+    return rounded(correlation.rank_correlations(sides(spark, folder), SIDE_COLUMNS, ["is_synthetic"]), "r")
+
+
 _PAIRS = [("l_quantity", "l_extendedprice"), ("l_discount", "l_tax"), ("l_discount", "no_such_column")]
 
 

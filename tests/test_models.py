@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from labelgap.operators import detector, drift, synthesis
+from labelgap.operators import correlation, detector, drift, synthesis
 from labelgap.operators.sampling import ROW_ID, with_row_id
 from labelgap.session import remove_folder
 from labelgap.streaming import committed_rows, commits, score_line_stream
@@ -204,3 +204,57 @@ def test_nothing_committed(spark, tmp_path):
     assert commits(spark, str(tmp_path / "checkpoint")).count() == 0
     with pytest.raises(FileNotFoundError):
         committed_rows(spark, str(tmp_path / "good"), str(tmp_path / "checkpoint"))
+
+
+def test_rank_correlations_with_ties(spark):
+    rng = np.random.default_rng(5)
+    n = 900
+    a = np.where(rng.random(n) < 0.6, 0.0, rng.gamma(2, 3, n))  # most rows have one value
+    b = np.round(a + rng.normal(0, 2, n))
+    c = np.full(n, 7.0)
+    group = rng.integers(0, 3, n)
+    rows = [(int(g), float(x), float(y), float(z), "x") for g, x, y, z in zip(group, a, b, c)]
+    rows += [(0, None, 1.0, 1.0, "x"), (1, float("nan"), 2.0, 2.0, "x"), rows[0], rows[0], (None, 1.0, 2.0, 7.0, "x"), (None, 2.0, 1.0, 7.0, "x")]
+    df = spark.createDataFrame(rows, "g int, a double, b double, c double, n_rows string").repartition(4)
+    found = {(r.g, r.var_a, r.var_b): (r.n_rows, r.r) for r in correlation.rank_correlations(df, ["a", "b", "c"], ["g"]).collect()}
+
+    def ranks(values):
+        order = np.sort(values)
+        return (np.searchsorted(order, values, "left") + np.searchsorted(order, values, "right") + 1) / 2
+
+    for g in range(3):
+        taken = [r[1:4] for r in rows if r[0] == g and r[1] is not None and not np.isnan(r[1])]
+        x, y, _ = np.array(taken).T
+        assert found[g, "a", "b"] == (len(taken), pytest.approx(np.corrcoef(ranks(x), ranks(y))[0, 1]))
+        assert found[g, "a", "c"] == (len(taken), None)
+    whole = correlation.rank_correlations(df, ["a", "b"]).collect()
+    assert len(whole) == 1 and whole[0].n_rows == sum(r[1] is not None and not np.isnan(r[1]) for r in rows)
+    assert correlation.rank_correlations(df.limit(0), ["a", "b"], ["g"]).count() == 0
+
+
+def test_generated_rows_keep_rank_correlations(spark, products):
+    model = synthesis.fit_synthesizer(products, NUTRIENTS)
+    made = synthesis.generate(spark, model, 3000)
+    sides = drift.label_sides(products.select(*NUTRIENTS), made.select(*NUTRIENTS))
+    found = {(r.is_synthetic, r.var_a, r.var_b): r.r for r in correlation.rank_correlations(sides, NUTRIENTS, ["is_synthetic"]).collect()}
+    for (side, a, b), r in found.items():
+        if side == 0 and r is not None:
+            assert abs(found[1, a, b] - r) < 0.12, (a, b, r, found[1, a, b])
+
+
+def test_a_generating_job_that_fails(spark, products):
+    from labelgap import plans
+
+    merged = products.withColumns({"language_case": F.when(F.col("target") == 1, "Gap (내수용)").otherwise("English Only"), "category_top": F.lit("Snacks")}).drop("target")
+
+    def failing(spark, model, n, seed):
+        broken = F.udf(lambda v: [][1] if v is not None else v, "double")
+        return synthesis.generate(spark, model, n, seed).withColumn("fat_100g", broken("fat_100g"))
+
+    config = plans.Config(n_trees=3, n_synthetic=50)
+    result = plans.synthesis_and_detector(merged, config=config, generate=failing)
+    assert result["synthetic"] is None and "IndexError" in result["error"] and result["augmented"].filter("is_synthetic = 1").count() == 0
+    assert result["augmented"].count() == products.count() and result["quality"].first()["accuracy"] > 0.5
+    with pytest.raises(Exception, match="IndexError"):
+        plans.synthesis_and_detector(merged, config=config, on_synth_error="raise", generate=failing)
+    assert plans.synthesis_and_detector(merged, config=config)["error"] is None
