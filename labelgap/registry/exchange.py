@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labelgap.operators import sketches
 from labelgap.registry.catalog import query
 from labelgap.registry.views import table
 from labelgap.session import scratch_folder
@@ -72,3 +73,30 @@ def json_round_trip(spark, folder):
     write_json_lines(docs, f"{place}/whole")
     _write_lines(docs, _kinds(*[line for line, _ in _JSON_LINES]), f"{place}/broken")
     return _read_back(*zip(*[read_json_checked(spark, f"{place}/{name}", _SCHEMA) for name in ("whole", "broken")]))
+
+
+@query(
+    "merged_sketches",
+    """SELECT 'o_orderpriority' AS "column", o_orderpriority AS value, count(*) AS n FROM orders GROUP BY 2
+    UNION ALL SELECT 'o_custkey', 'distinct within bounds', 1 UNION ALL SELECT 'o_custkey', 'rows', count(*) FROM orders
+    UNION ALL SELECT 'o_custkey', 'frequent within bounds', 1""",
+)
+def merged_sketches(spark, folder):
+    """The orders arrive in two lots of files, of which the second update reads its own only; counts of few values are exact, others within their bounds."""
+    place, orders = scratch_folder(spark, "sketches"), table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    columns = ("o_custkey", "o_orderpriority")
+    for lot in (0, 1):
+        orders.filter(F.col("o_orderkey") % 2 == lot).repartition(4).write.mode("append").parquet(f"{place}/orders")
+        if any(sketches.update_sketches(spark, f"{place}/orders", f"{place}/store", column) != 4 for column in columns):
+            raise RuntimeError("files that have a sketch were read again")
+    kept = sketches.read_sketches(spark, f"{place}/store")
+    whole = spark.read.parquet(f"{place}/orders")
+    exact = whole.agg(F.count_distinct("o_custkey").alias("exact")).withColumn("column", F.lit("o_custkey"))
+    found = sketches.distinct_estimate(kept).join(exact, "column")
+    distinct = found.select("column", F.lit("distinct within bounds").alias("value"), F.col("exact").between(F.col("low"), F.col("high")).cast("long").alias("n"))
+    rows = found.select("column", F.lit("rows").alias("value"), F.col("n_rows").alias("n"))
+    counts = whole.groupBy(F.col("o_custkey").cast("string").alias("value")).agg(F.count(F.lit(1)).alias("exact"))
+    top = sketches.frequent_values(kept.filter("column = 'o_custkey'"), 20).join(counts, "value")
+    within = top.agg(F.bool_and(F.col("n").between(F.col("exact"), F.col("exact") + F.col("most_off"))).cast("long").alias("n"))
+    frequent = within.select(F.lit("o_custkey").alias("column"), F.lit("frequent within bounds").alias("value"), "n")
+    return sketches.frequent_values(kept.filter("column = 'o_orderpriority'"), 100).drop("most_off").unionByName(distinct).unionByName(rows).unionByName(frequent)
