@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from labelgap.fixed_values import AUROC_BANDS, CORRELATION_BANDS, PSI_BANDS, PSI_BINS, PSI_EMPTY_SHARE
 from labelgap.functions import stats
 from labelgap.operators.prefix import running_totals
+from labelgap.session import shuffle_width
 
 PROVENANCE = "is_synthetic"
 
@@ -82,9 +83,14 @@ def distribution_distances(counts: DataFrame, buckets: int | None = None) -> Dat
     )
 
 
+def _spread(distances: DataFrame, method: str) -> DataFrame:
+    """An exact p-value may take long, so each variable's is a task of its own."""
+    return distances.repartition(shuffle_width(distances.sparkSession), "variable") if method == "exact" else distances
+
+
 def ks_test(df: DataFrame, columns: Sequence[str], side: str = PROVENANCE, method: str = "limit") -> DataFrame:
     """KS statistic and its two-sided p-value per variable; see ``stats.ks_pvalue`` for ``method``."""
-    distances = distribution_distances(value_counts(side_values(df, columns, side)))
+    distances = _spread(distribution_distances(value_counts(side_values(df, columns, side))), method)
     p = stats.ks_pvalue(F.col("ks_statistic"), F.col("n_original"), F.col("n_synthetic"), method)
     return distances.select("variable", "n_original", "n_synthetic", "ks_statistic", p.alias("ks_pvalue"))
 
@@ -188,7 +194,7 @@ def statistical_report(df: DataFrame, columns: Sequence[str], side: str = PROVEN
 def report_of(counts: DataFrame, method: str = "limit") -> DataFrame:
     """``statistical_report`` out of the distinct values with their counts."""
     p = stats.ks_pvalue(F.col("ks_statistic"), F.col("n_original"), F.col("n_synthetic"), method)
-    distances = distribution_distances(counts).withColumn("ks_pvalue", p)
+    distances = _spread(distribution_distances(counts), method).withColumn("ks_pvalue", p)
     return (
         distances.join(F.broadcast(psi_of(counts)), "variable")  # one row per variable each
         .join(F.broadcast(moments(counts)), "variable")

@@ -64,6 +64,32 @@ def ks_pvalue(spark, folder):
     return rounded(drift.ks_test(sides(spark, folder), SIDE_COLUMNS), "ks_statistic", "ks_pvalue")
 
 
+_EXACT_SQL = """
+WITH RECURSIVE halves AS (SELECT s_nationkey % 2 AS side, s_acctbal, s_suppkey::DOUBLE AS s_suppkey FROM supplier),
+points AS (SELECT 's_acctbal' AS variable, side, s_acctbal AS value FROM halves UNION ALL SELECT 's_suppkey', side, s_suppkey FROM halves),
+counts AS (SELECT variable, value, count_if(side = 0) AS a, count_if(side = 1) AS b FROM points GROUP BY 1, 2),
+sums AS (SELECT variable, sum(a) OVER w AS a, sum(b) OVER w AS b, sum(a) OVER (PARTITION BY variable) AS n, sum(b) OVER (PARTITION BY variable) AS m
+  FROM counts WINDOW w AS (PARTITION BY variable ORDER BY value)),
+tests AS (SELECT variable, max(n)::BIGINT AS n, max(m)::BIGINT AS m, max(abs(a / n::DOUBLE - b / m::DOUBLE)) AS d FROM sums GROUP BY variable),
+diagonals AS (
+  SELECT variable, n, m, d, 0::BIGINT AS total, list_transform(range(0, n + 1), lambda i: 0.0::DOUBLE) AS reached FROM tests
+  UNION ALL
+  SELECT variable, n, m, d, total + 1, list_transform(range(0, n + 1), lambda i:
+    CASE WHEN i > total + 1 OR total + 1 - i > m THEN 0.0::DOUBLE
+         WHEN abs(i / n::DOUBLE - (total + 1 - i) / m::DOUBLE) >= d - 1e-9::DOUBLE THEN 1.0::DOUBLE
+         ELSE ((CASE WHEN i > 0 THEN i * reached[i] ELSE 0 END) + (total + 1 - i) * reached[i + 1]) / (total + 1)::DOUBLE END)
+  FROM diagonals WHERE total < n + m)
+SELECT variable, n AS n_original, m AS n_synthetic, round(d, 6) AS ks_statistic, round(reached[n + 1], 6) AS ks_pvalue FROM diagonals WHERE total = n + m
+"""
+
+
+@query("ks_pvalue_exact", _EXACT_SQL)
+def ks_pvalue_exact(spark, folder):
+    """Suppliers of even against odd nations, every path counted."""
+    halves = table(spark, folder, "supplier").select((F.col("s_nationkey") % 2).cast("int").alias("is_synthetic"), "s_acctbal", "s_suppkey")
+    return rounded(drift.ks_test(halves, ["s_acctbal", "s_suppkey"], method="exact"), "ks_statistic", "ks_pvalue")
+
+
 @query("wasserstein", f"WITH {_STEPS_SQL} SELECT variable, round(wasserstein, 6) AS wasserstein FROM distances")
 def wasserstein(spark, folder):
     return rounded(drift.wasserstein(sides(spark, folder), SIDE_COLUMNS), "wasserstein")

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -261,3 +262,34 @@ def test_task_functions_need_no_package(tmp_path):
     code = "import pickle; print(pickle.load(open('f.pkl', 'rb'))(1.0, 2, 1))"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
     assert float(done.stdout) == pytest.approx(2 / 3), done.stderr
+
+
+def _ks_by_all_cells(d, n, m):
+    cells = np.zeros((n + 1, m + 1))
+    for i in range(n + 1):
+        for j in range(m + 1):
+            if abs(i / n - j / m) >= d - 1e-9:
+                cells[i, j] = 1.0
+            elif i + j:
+                cells[i, j] = ((cells[i - 1, j] * i if i else 0) + (cells[i, j - 1] * j if j else 0)) / (i + j)
+    return cells[n, m]
+
+
+def test_exact_pvalue_in_a_band():
+    rng = np.random.default_rng(3)
+    for _ in range(150):
+        n, m = rng.integers(1, 25, 2)
+        steps = [abs(i / n - j / m) for i in range(n + 1) for j in range(m + 1)]
+        for d in (float(rng.choice(steps)), float(rng.random()), 0.0, 1.0):
+            assert stats.ks_two_sample_p(d, int(n), int(m)) == pytest.approx(_ks_by_all_cells(d, n, m), abs=1e-12), (d, n, m)
+
+
+def test_exact_pvalue_of_large_samples():
+    # Where the limit holds, both agree; the whole lattice would have 2.5e9 cells.
+    n = m = 50_000
+    for z in (0.6, 1.0, 1.6):
+        d = round(z * (2 / n) ** 0.5 * n) / n
+        root = (n / 2) ** 0.5
+        corrected = root * d + 1 / (6 * root) + (root * d - 1) / (4 * root * root)
+        limit = 2 * sum((-1) ** (k - 1) * np.exp(-2 * (k * corrected) ** 2) for k in range(1, 50))
+        assert stats.ks_two_sample_p(d, n, m) == pytest.approx(limit, rel=0.01)
