@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from labelgap.fixed_values import AUROC_BANDS, CORRELATION_BANDS, PSI_BANDS, PSI_BINS, PSI_EMPTY_SHARE
 from labelgap.functions import stats
 from labelgap.operators.prefix import running_totals
-from labelgap.session import shuffle_width
+from labelgap.session import shuffle_width, written
 
 PROVENANCE = "is_synthetic"
 
@@ -182,13 +182,13 @@ def moment_differences(df: DataFrame, columns: Sequence[str], side: str = PROVEN
 def statistical_report(df: DataFrame, columns: Sequence[str], side: str = PROVENANCE, method: str = "limit") -> DataFrame:
     """All statistics, one row per variable that has values on both sides.
 
-    All statistics come from one table of distinct values, so the rows are
+    All statistics come from one table of distinct values, which is written, so the rows are
     read and shuffled once. Variables the frame lacks are named in a warning.
     """
     missing = [c for c in columns if c not in df.columns]
     if missing:
         warnings.warn(f"skipped, not in the data: {missing}", stacklevel=2)
-    return report_of(value_counts(side_values(df, columns, side)), method)
+    return report_of(written(value_counts(side_values(df, columns, side)), "counts"), method)
 
 
 def report_of(counts: DataFrame, method: str = "limit") -> DataFrame:

@@ -148,15 +148,29 @@ def answered(df: DataFrame, complete: Callable[[Sequence[str]], Sequence[str]],
 def parse_labels(
     df: DataFrame, text: str = "text", key: str = "code", schema: T.StructType = LABEL_SCHEMA, code_field: str = "original_code"
 ) -> tuple[DataFrame, DataFrame]:
-    """(labels with their source code, rejected rows). The JSON is cut out of its surroundings first."""
+    """(labels with their source code, rejected rows). The JSON is cut out of its surroundings first.
+
+    Either frame parses the texts for itself; ``parsed_texts`` gives both in one.
+    """
+    parsed = parsed_texts(df, text, key, schema, code_field)
+    good = parsed.filter("NOT is_rejected").drop("rejected_text", "is_rejected")
+    bad = parsed.filter("is_rejected").select(F.col(code_field).cast(df.schema[key].dataType).alias(key), F.col("rejected_text").alias(text))
+    return good, bad
+
+
+def parsed_texts(
+    df: DataFrame, text: str = "text", key: str = "code", schema: T.StructType = LABEL_SCHEMA, code_field: str = "original_code"
+) -> DataFrame:
+    """A row per text: the label's fields and its source code, ``is_rejected``, and ``rejected_text`` where no label could be read."""
     with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     # Generated columns are computed once per row; a filter on a plain column would parse a second time.
     rescued = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"), json_rescue(F.col(text)).alias("_json"))
     parsed = rescued.select("_key", "_text", F.inline(F.array(F.from_json("_json", with_corrupt))))
     is_bad = F.col("_text").isNull() | F.col(_CORRUPT).isNotNull()
-    fields = [f"`{f.name}`" for f in schema if f.name != code_field]
-    good = parsed.filter(~is_bad).select(*fields, F.col("_key").cast("string").alias(code_field))
-    return good, parsed.filter(is_bad).select(F.col("_key").alias(key), F.col("_text").alias(text))
+    fields = [F.when(~is_bad, F.col(f"`{f.name}`")).alias(f.name) for f in schema if f.name != code_field]
+    return parsed.select(
+        *fields, F.col("_key").cast("string").alias(code_field), is_bad.alias("is_rejected"), F.when(is_bad, F.col("_text")).alias("rejected_text")
+    )
 
 
 # -- flattening and report ---------------------------------------------------------

@@ -11,10 +11,11 @@ same result on every retry.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelgap.fixed_values import SEED
 from labelgap.operators.joins import broadcast_if_small
@@ -24,6 +25,8 @@ _HEX_STEP = 3
 _DIGEST_CHARS = 32
 #: Digests of one group that are put in order by one task; where a prefix holds more, it is divided again.
 _SORTED_DIGESTS = 1_000_000
+#: Counts per group and prefix that the driver takes at once; with more, tables are written instead.
+_FEW_COUNTS = 1 << 17
 ROW_ID = "_row"
 
 
@@ -128,6 +131,45 @@ def digest_cuts(df: DataFrame, digest: Column, wanted: DataFrame, group: str) ->
     return cuts
 
 
+def few_cuts(df: DataFrame, digest: Column, group: str, wanted: Callable[[dict], dict]) -> dict | None:
+    """The cut of each group, where the groups are few: one job counts rows per group and prefix, one puts the digests under the cuts in order.
+
+    ``wanted`` gives the rows wanted of each group out of the sizes of all. The driver gets at most ``_FEW_COUNTS`` counts; None where
+    there are more, or where so many digests lie under a prefix that it has to be divided again: then see ``digest_cuts``.
+    """
+    rows = df.select(F.col(group).alias("g"), digest.alias("d"))
+    prefix = F.substring("d", 1, _HEX_STEP).alias("prefix")
+    counts = rows.groupBy("g", prefix).agg(F.count(F.lit(1)).alias("n")).limit(_FEW_COUNTS + 1).collect()
+    if len(counts) > _FEW_COUNTS:
+        return None
+    sizes: dict = {}
+    for r in counts:
+        sizes[r["g"]] = sizes.get(r["g"], 0) + r["n"]
+    remaining = {g: k for g, k in wanted(sizes).items() if k > 0}
+    cuts, under = {}, []
+    for g, p, n in sorted(((r["g"], r["prefix"], r["n"]) for r in counts), key=lambda r: r[1]):
+        left = remaining.get(g, 0)
+        if left > n:
+            remaining[g] = left - n
+        elif left:
+            if left == n:
+                cuts[g] = p + "~"  # taken whole: the sign behind it sorts after every hex digit
+            else:
+                under.append((g, p, left, n))
+            del remaining[g]
+    if any(n > _SORTED_DIGESTS for *_, n in under):
+        return None
+    if under:
+        schema = T.StructType([T.StructField("_g", df.schema[group].dataType)]).add("_prefix", "string").add("remaining", "long")
+        few = F.broadcast(df.sparkSession.createDataFrame([(g, p, left) for g, p, left, _ in under], schema))  # a row per group
+        inside = rows.join(few, F.col("g").eqNullSafe(F.col("_g")) & (F.substring("d", 1, _HEX_STEP) == F.col("_prefix")))
+        found = _placed(inside, F.col("remaining")).collect()
+        if any(r["tied"] for r in found):
+            raise TiedKeys("the key is not unique: equal digests meet at the cut")
+        cuts |= {r["g"]: r["cut"] for r in found}
+    return cuts
+
+
 def class_allocation(sizes: Mapping, n_draws: int) -> dict:
     """``n_draws`` rows shared out over classes in proportion, by largest remainder."""
     total = sum(sizes.values())
@@ -153,11 +195,20 @@ def allocated(sizes: DataFrame, n_draws: Column | int, output: str = "drawn") ->
     return more.select("g", "n", (F.col(output) + F.coalesce("_more", F.lit(0))).alias(output))
 
 
-def _first_rows(df: DataFrame, keys: Sequence[str], seed: int, wanted: DataFrame | int, group: str | None, output: str) -> DataFrame:
-    """The frame with a mark on the first ``remaining`` rows of each group, or the first ``wanted`` rows of all."""
+def _first_rows(
+    df: DataFrame, keys: Sequence[str], seed: int, wanted: int | Callable[[dict], dict], group: str | None, output: str,
+    wanted_of: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """The frame with a mark on the first ``wanted`` rows of all, or of each group, as ``wanted`` says of a few groups' sizes and ``wanted_of`` of a table of them."""
 
     def cut(frame: DataFrame, digest: Column):
-        return single_cut(frame, digest, wanted) if group is None else digest_cuts(frame, digest, wanted, group)
+        if group is None:
+            return single_cut(frame, digest, wanted)
+        found = few_cuts(frame, digest, group, wanted)
+        if found is None:
+            return digest_cuts(frame, digest, wanted_of(written(group_sizes(frame, group), "sizes")), group)
+        schema = T.StructType([T.StructField("g", frame.schema[group].dataType)]).add("cut", "string")
+        return frame.sparkSession.createDataFrame(list(found.items()), schema)
 
     columns, digest = df.columns, key_digest(keys, seed)
     try:
@@ -181,17 +232,23 @@ def mark_split(
 
     ``stratify`` keeps the class shares: the train rows are shared out over the
     classes by largest remainder and the rest of each class is for testing. Reads
-    the rows three times: sizes, digest prefixes, and the digests under the prefix of the cut.
+    the rows twice before they are marked: counts per digest prefix, and the digests under the prefix of the cut.
     Where rows with one and the same key meet at the cut they are numbered first, see ``with_row_id``.
     """
     if stratify is None:
-        wanted = math.ceil(test_size * df.count())
-    else:
-        sizes = written(group_sizes(df, stratify), "sizes")
+        return _first_rows(df, _as_list(key), seed, math.ceil(test_size * df.count()), None, output)
+
+    def of_few(sizes: dict) -> dict:
+        n = sum(sizes.values())
+        drawn = class_allocation(sizes, n - math.ceil(test_size * n)) if n else {}
+        return {g: size - drawn[g] for g, size in sizes.items()}
+
+    def of_many(sizes: DataFrame) -> DataFrame:
         n = sizes.agg(F.sum("n")).first()[0] or 0
-        n_test = math.ceil(test_size * n)
-        wanted = allocated(sizes, n - n_test).select("g", (F.col("n") - F.col("drawn")).alias("remaining"))
-    return _first_rows(df, _as_list(key), seed, wanted, stratify, output)
+        shared = allocated(sizes, n - math.ceil(test_size * n))
+        return shared.select("g", (F.col("n") - F.col("drawn")).alias("remaining"))
+
+    return _first_rows(df, _as_list(key), seed, of_few, stratify, output, of_many)
 
 
 def split_train_test(
@@ -213,10 +270,13 @@ def balanced_sample(
     df: DataFrame, side: str, key: str | Sequence[str], seed: int = SEED
 ) -> DataFrame:
     """Down-sample every side, without replacement, to the size of the smallest."""
-    sizes = written(group_sizes(df, side), "sizes")
-    smallest = sizes.agg(F.min("n")).first()[0] or 0
-    wanted = sizes.select("g", F.lit(smallest).alias("remaining"))
-    return _first_rows(df, _as_list(key), seed, wanted, side, "_chosen").filter("_chosen").drop("_chosen")
+
+    def of_many(sizes: DataFrame) -> DataFrame:
+        smallest = sizes.agg(F.min("n")).first()[0] or 0
+        return sizes.select("g", F.lit(smallest).alias("remaining"))
+
+    of_few = lambda sizes: dict.fromkeys(sizes, min(sizes.values(), default=0))
+    return _first_rows(df, _as_list(key), seed, of_few, side, "_chosen", of_many).filter("_chosen").drop("_chosen")
 
 
 def shuffled(df: DataFrame, key: str | Sequence[str], seed: int = SEED) -> DataFrame:

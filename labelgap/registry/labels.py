@@ -175,14 +175,12 @@ def parsed_labels(spark, folder):
     UNION ALL SELECT CAST(event_id AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL, true FROM events WHERE event_id % 11 = 0""",
 )
 def label_parse(spark, folder):
-    good, bad = parsed_labels(spark, folder)
+    parsed = label_content.parsed_texts(label_texts(spark, folder), key="event_id")
     fact = lambda name: F.try_element_at("nutrition_facts", F.lit(name)).alias(name)
-    kept = good.select(
-        "original_code", "product_name_en", "calories_per_serving", fact("total_fat"), fact("sodium"), fact("protein"),
-        list_to_text(F.col("marketing_claims")).alias("marketing_claims"), F.lit(False).alias("is_rejected"),
+    claims = F.when(~F.col("is_rejected"), list_to_text(F.col("marketing_claims"))).alias("marketing_claims")
+    return parsed.select(
+        "original_code", "product_name_en", "calories_per_serving", fact("total_fat"), fact("sodium"), fact("protein"), claims, "is_rejected",
     )
-    rejected = bad.select(F.col("event_id").cast("string").alias("original_code"), F.lit(True).alias("is_rejected"))
-    return kept.unionByName(rejected, allowMissingColumns=True)
 
 
 @query(

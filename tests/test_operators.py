@@ -448,3 +448,23 @@ def test_published_ranking(spark):
     df = spark.createDataFrame(rows, "model string, auroc double")
     assert [r["model"] for r in evaluation.rank_models(df).collect()][0] == "Logistic Regression"
     assert evaluation.discriminator_verdict(df).first()["verdict"] == "distinguishable"
+
+
+@pytest.mark.parametrize("sorted_digests", [1_000_000, 2])
+def test_few_and_many_groups_are_cut_alike(spark, monkeypatch, sorted_digests):
+    monkeypatch.setattr(sampling, "_SORTED_DIGESTS", sorted_digests)
+    rows = [(i, None if i % 17 == 0 else f"g{i % 5}" if i % 3 else "big") for i in range(3000)] + [(1, "copies")] * 40
+    df = spark.createDataFrame(rows, "k int, g string").repartition(3)
+
+    def results():
+        split = sampling.mark_split(df.filter("g IS NULL OR g <> 'copies'"), "k", 0.3, stratify="g")
+        sample = sampling.balanced_sample(df.filter("g <> 'copies'"), "g", "k")
+        copies = sampling.mark_split(df, "k", 0.25, stratify="g").groupBy("g").agg(F.count_if("is_test").alias("n")).collect()
+        return sorted(map(str, split.collect())), sorted(map(str, sample.collect())), sorted((str(r.g), r.n) for r in copies)
+
+    few = results()
+    monkeypatch.setattr(sampling, "_FEW_COUNTS", 10)
+    many = results()
+    assert few == many and dict(few[2])["copies"] == 10
+    assert sum("is_test=True" in r for r in few[0]) == 900
+    assert sampling.mark_split(df.limit(0), "k", 0.3, stratify="g").count() == 0
