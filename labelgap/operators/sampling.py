@@ -27,6 +27,8 @@ _DIGEST_CHARS = 32
 _SORTED_DIGESTS = 1_000_000
 #: Counts per group and prefix that the driver takes at once; with more, tables are written instead.
 _FEW_COUNTS = 1 << 17
+#: Classes whose shares are worked out on the driver.
+_FEW_CLASSES = 10_000
 ROW_ID = "_row"
 
 
@@ -175,14 +177,18 @@ def class_allocation(sizes: Mapping, n_draws: int) -> dict:
     total = sum(sizes.values())
     shares = {g: divmod(n * n_draws, total) for g, n in sizes.items()}
     drawn = {g: whole for g, (whole, _) in shares.items()}
-    by_remainder = sorted(shares, key=lambda g: (-shares[g][1], str(g)))
+    by_remainder = sorted(shares, key=lambda g: (-shares[g][1], g is not None, str(g)))
     for g in by_remainder[: n_draws - sum(drawn.values())]:
         drawn[g] += 1
     return drawn
 
 
 def allocated(sizes: DataFrame, n_draws: Column | int, output: str = "drawn") -> DataFrame:
-    """``class_allocation`` for a table ``g, n`` of any number of classes."""
+    """``class_allocation`` for a table ``g, n`` of any number of classes; a few are shared out on the driver."""
+    few = sizes.limit(_FEW_CLASSES + 1).collect() if isinstance(n_draws, int) else []
+    if 0 < len(few) <= _FEW_CLASSES:
+        drawn = class_allocation({r["g"]: r["n"] for r in few}, n_draws)
+        return sizes.sparkSession.createDataFrame([(r["g"], r["n"], drawn[r["g"]]) for r in few], T.StructType(list(sizes.schema.fields)).add(output, "long"))
     n_draws = F.lit(n_draws) if isinstance(n_draws, int) else n_draws
     totals = sizes.agg(F.sum("n").alias("total"))
     shared = sizes.join(F.broadcast(totals), how="cross")  # one row
