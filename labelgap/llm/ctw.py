@@ -20,6 +20,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -315,10 +316,12 @@ def _scored(order: int, tokens: int, distinct: int, ends: int):
             # Every text has a run at least, that at its end.
             score.append(np.add.reduceat(looked_up(found, *grams), np.cumsum(lengths) - lengths))
         numbers = [np.concatenate(x) for x in (n_tokens, n_known, base, score)]
+        symbols = np.array([s or 0 for s in pc.binary_length(texts.column("text")).to_pylist()], np.int64) + 1
         return pa.table({
             "doc_id": texts.column("doc_id"), "held_out": pa.array([not x for x in texts.column("learns").to_pylist()], pa.bool_()),
             "n_tokens": numbers[0].astype(np.int64), "n_known": numbers[1].astype(np.int64),
             "train_tokens": np.full(texts.num_rows, train_tokens, np.int64), "base_score": numbers[2], "score": numbers[3],
+            "bits_per_byte": -numbers[3] / (math.log10(2) * symbols),
         })
 
     return of
@@ -329,8 +332,8 @@ def score_texts(
 ) -> DataFrame:
     """Log10 probability of every whole text, from a model of the texts where ``learns`` holds.
 
-    ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``. Both models read the text with A-Z in lower
-    case. ``score`` is the context tree's, over all its bytes and its end. ``base_score`` is that of words and an
+    ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte``. Both models read the text with A-Z in lower
+    case. ``score`` is the context tree's, over all its bytes and its end, and ``bits_per_byte`` the code length that this is, over the bytes and the end. ``base_score`` is that of words and an
     end, each counted once more than it was learnt. A null text is an empty one; a row for which ``learns`` is null is held out. A null id stays
     null and repeated rows are texts of their own. An empty table gives an empty result.
     """
@@ -356,6 +359,6 @@ def score_texts(
     answers = packs.groupBy("vocabulary").cogroup(above.groupBy("vocabulary")).applyInArrow(
         _told(order), "block long, words binary, counts binary, grams binary, codes binary"
     )
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
     scored = _scored(order, told.get(_TOKENS, 0), told.get(_DISTINCT, 0), told.get(_ENDS, 0))
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, schema)

@@ -198,8 +198,9 @@ def test_context_trees(spark, order, block_bytes):
     n, v = sum(counts.values()), len(counts)
     by_hand = _scores_by_hand(rows, learns, order)
     known = {r.doc_id: r for r in found}
-    for (i, _), learning, ws, score in zip(rows, learns, tokens, by_hand):
+    for (i, text), learning, ws, score in zip(rows, learns, tokens, by_hand):
         r = known[i]
+        assert r.bits_per_byte == pytest.approx(-r.score * math.log2(10) / (len((text or "").encode()) + 1))
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (not learning, len(ws), sum(w in counts for w in ws), n)
         assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws))
         assert r.score == pytest.approx(score, rel=1e-5, abs=1e-6)
