@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from labelgap.operators import correlation, detector, drift, synthesis
@@ -107,6 +108,23 @@ def test_detector_scores(spark, products):
     assert scored.filter(wrong).count() == 0
 
 
+def test_forests_fit_on_no_more_partitions_than_cores(spark, products, monkeypatch):
+    seen, fit = [], RandomForestClassifier.fit
+
+    def watched(estimator, rows):
+        seen.append((rows.rdd.getNumPartitions(), estimator.getCacheNodeIds()))
+        return fit(estimator, rows)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", watched)
+    cores = spark.sparkContext.defaultParallelism
+    scattered = products.repartition(3 * cores)
+    model = detector.train_detector(scattered, NUTRIENTS, n_trees=TREES)
+    both = with_row_id(drift.label_sides(scattered.select(*NUTRIENTS), scattered.select(*NUTRIENTS)))
+    detector.discriminator_predictions(both, NUTRIENTS, ROW_ID, n_trees=2)
+    assert len(seen) == 2 and all(n <= cores and cached for n, cached in seen)
+    assert detector.evaluate(model, products, NUTRIENTS).first()["accuracy"] > 0.9
+
+
 def test_class_weights(spark, products):
     found = {r["target"]: r["weight"] for r in detector.class_weights(products).collect()}
     assert found == {0: pytest.approx(1200 / (2 * 1140)), 1: pytest.approx(1200 / (2 * 60))}
