@@ -249,33 +249,21 @@ def label_card(df: DataFrame, facts: str = "nutrition_facts") -> DataFrame:
     )
 
 
+#: Where a hyphenated word may be divided.
+_BEHIND_HYPHEN = r"(?<=[\p{L}\p{N}_][\p{L}_]-)(?=[\p{L}\p{N}_]*[\p{L}_][\p{L}_])"
+
+
 def wrapped_lines(text: Column, width: int = _STATEMENT_WIDTH) -> Column:
     """Text wrapped to the width of a label card, as many words to a line as fit.
 
     A hyphenated word may end a line behind a hyphen; a word longer than a line is cut. Null gives no lines.
     """
-    spaced = F.transform(F.filter(F.split(text, r"[ \t\n\x0B\f\r]+"), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w))
-    # Parts of one word follow each other without the blank that stands before a word.
-    parts = F.flatten(F.transform(spaced, lambda w: F.split(w, r"(?<=[\p{L}\p{N}_][\p{L}_]-)(?=[\p{L}\p{N}_]*[\p{L}_][\p{L}_])")))
-    start = F.struct(F.array().cast("array<string>").alias("lines"), F.lit("").alias("line"))
-
-    def add(state: Column, part: Column) -> Column:
-        whole = F.when(state["line"] == "", F.ltrim(part)).otherwise(F.concat(state["line"], part))
-        alone = F.ltrim(part)
-        fits = F.char_length(whole) <= width
-        full = F.ceil(F.char_length(whole) / F.lit(width)).cast("int") - 1
-        pieces = F.transform(F.sequence(F.lit(1), full), lambda i: F.rtrim(F.substring(whole, (i - 1) * width + 1, F.lit(width))))
-        cut = F.struct(F.concat(state["lines"], pieces).alias("lines"), F.ltrim(F.substring(whole, full * width + 1, F.lit(width))).alias("line"))
-        return (
-            F.when(fits, F.struct(state["lines"].alias("lines"), whole.alias("line")))
-            .when(F.char_length(alone) <= width, F.struct(F.array_append(state["lines"], state["line"]).alias("lines"), alone.alias("line")))
-            .otherwise(cut)
-        )
-
-    def finish(state: Column) -> Column:
-        return F.when(state["line"] == "", state["lines"]).otherwise(F.array_append(state["lines"], state["line"]))
-
-    return F.coalesce(F.aggregate(parts, start, add, finish), F.array().cast("array<string>"))
+    spaced = F.trim(F.regexp_replace(text, r"[ \t\n\x0B\f\r]+", " "))
+    # A part wider than a line begins in what room the line has; behind a full line it keeps the blank before it.
+    wide = rf"[^ ](?:(?!{_BEHIND_HYPHEN})[^ ]){{{width}}}"
+    line = rf"(?>[^ ].{{0,{width - 1}}}(?:(?= |\z)|{_BEHIND_HYPHEN}))(?! ?{wide})"
+    lines = F.regexp_extract_all(spaced, F.lit(rf"(?s)(?:(?! {wide}) )?( .{{{width - 1}}}|{line}|[^ ].{{0,{width - 1}}})"), F.lit(1))
+    return F.coalesce(F.transform(lines, lambda line: F.rtrim(line)), F.array().cast("array<string>"))
 
 
 def wrap_statement(df: DataFrame, statement: str = "allergen_statement", output: str = "statement_lines") -> DataFrame:

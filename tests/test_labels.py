@@ -97,6 +97,19 @@ def test_wrapping_is_that_of_the_library(spark):
     assert found[80] == found[81] == []
 
 
+def test_wrapping_is_one_pass_over_the_text(spark):
+    text = " ".join(["word"] * 40_000)  # a fold over words that copies its lines takes minutes
+    long = "y" * 40 + " " + "x" * 90 + " semi-detached ab"
+    rows = spark.createDataFrame([(0, text), (1, long), (2, "ab " + "z" * 50), (3, "v" * 39 + " " + "w" * 41)], "i int, allergen_statement string")
+    wrapped = label_content.wrap_statement(rows)
+    assert "aggregate(" not in wrapped._jdf.queryExecution().optimizedPlan().toString()
+    found = {r["i"]: r["statement_lines"] for r in wrapped.collect()}
+    assert found[0] == [" ".join(["word"] * 8)] * 5000
+    assert found[1] == ["y" * 40, " " + "x" * 39, "x" * 40, "x" * 11 + " semi-detached ab"]
+    assert found[2] == ["ab " + "z" * 37, "z" * 13]
+    assert found[3] == ["v" * 39, "w" * 40, "w"]
+
+
 def test_prompt(spark):
     df = spark.createDataFrame(
         [("1", "Chips", 2.5, 12.0, 0.0, 1.5, 0.5, "en:milk,en:tree-nuts")],
