@@ -49,8 +49,10 @@ def complete_once(
     again by the next run; a null prompt is not sent and has an error. One run at a time may use a journal.
     """
     spark = df.sparkSession
-    digest = F.when(F.col(prompt).isNotNull(), F.sha2(F.concat(F.lit(f"{model}\n"), F.col(prompt)), 256))
-    asked = df.select(F.col(key), F.col(prompt).alias("_prompt"), digest.alias("digest"))
+    # Written, since forming a prompt costs more than reading it: digests, filter and joins would each form it anew.
+    formed = written(df.select(F.col(key), F.col(prompt).alias("_prompt")), "asked")
+    digest = F.when(F.col("_prompt").isNotNull(), F.sha2(F.concat(F.lit(f"{model}\n"), F.col("_prompt")), 256))
+    asked = formed.withColumn("digest", digest)
     known = answers(spark, path).filter("text IS NOT NULL").select("digest")
     wanted = asked.filter("digest IS NOT NULL").groupBy("digest").agg(F.first("_prompt").alias("prompt"))
     rest = written(wanted.join(known, "digest", "left_anti"), "prompts")

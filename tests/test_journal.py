@@ -114,3 +114,16 @@ def test_drafts_by_journal(spark, tmp_path):
         assert drafts["labels"].count() == 4 and drafts["failed"].count() == 0
     assert len(_sent(log)) == 4
     assert sorted(map(str, plans.draft_labels(gap, right)["labels"].collect())) == sorted(map(str, drafts["labels"].collect()))
+
+
+def test_a_prompt_is_formed_once(spark, tmp_path):
+    formed = spark.sparkContext.accumulator(0)
+
+    def form(i):
+        formed.add(1)
+        return f"prompt {i % 10}"
+
+    rows = spark.range(40).select(F.col("id").alias("code"), F.udf(form, "string")("id").alias("prompt"))
+    found = journal.complete_once(rows, str(tmp_path / "formed"), lambda prompts: list(prompts))
+    assert {(r["code"], r["text"]) for r in found.collect()} == {(i, f"prompt {i % 10}") for i in range(40)}
+    assert formed.value == 40
