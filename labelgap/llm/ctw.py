@@ -35,7 +35,10 @@ ORDER = 5
 BLOCK_BYTES = 32 << 20
 #: Distinct runs of all its blocks that a task gathers before it passes them on.
 MOST_RUNS = 6_000_000
-_SLICE = 1 << 21
+#: Bytes of text whose runs are arrays at once.
+_SLICE = 1 << 19
+#: Numbers and counts that are held apart before they are merged.
+_APART = 1 << 21
 #: Stands behind a text; no UTF-8 text holds this byte, so the model gives the texts' ends their share.
 _END = b"\xff"
 
@@ -133,11 +136,21 @@ def _runs_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     return found[keep].astype(np.int64), lengths
 
 
+def _text_slices(texts: pa.Array | pa.ChunkedArray):
+    """Consecutive lists of texts of about ``_SLICE`` bytes; a longer text stands alone."""
+    sizes = pc.binary_length(texts).to_pylist()
+    for part in in_slices(range(len(texts)), _SLICE, lambda i: sizes[i] or 0):
+        yield texts.slice(part.start, len(part)).to_pylist()
+
+
 def _merged(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values in order, and the sums of their counts."""
     whole = np.concatenate([np.zeros(0, np.int64), *values])
-    distinct, where = np.unique(whole, return_inverse=True)
-    return distinct, np.bincount(where, np.concatenate([np.zeros(0, np.int64), *counts]), len(distinct)).astype(np.int64)
+    order = np.argsort(whole)
+    whole = whole[order]
+    first = np.flatnonzero(np.concatenate([whole[:1] == whole[:1], whole[1:] != whole[:-1]]))
+    n = np.concatenate([np.zeros(0, np.int64), *counts])[order]
+    return whole[first], np.add.reduceat(n, first) if len(first) else n
 
 
 # Columns of packs and answers are compressed arrays: a pack holds what one block of texts and one of the vocabulary share.
@@ -180,7 +193,7 @@ class _Counted:
         self.values.append(distinct)
         self.counts.append(n if learns else np.zeros(len(n), np.int64))
         self.size += len(distinct)
-        if self.size > 1 << 22:
+        if self.size > _APART:
             self.values, self.counts = ([x] for x in _merged(self.values, self.counts))
             self.size = len(self.values[0]) // 2
 
@@ -223,7 +236,7 @@ def _gather(n_vocabulary: int, order: int):
                 for learning in (True, False):
                     rows = np.flatnonzero((blocks == block) & (learns == learning))
                     own.texts += len(rows) * learning
-                    for part in in_slices(texts.take(pa.array(rows)).to_pylist(), _SLICE):
+                    for part in _text_slices(texts.take(pa.array(rows))):
                         for _, hashes in hasher.texts(part):
                             own.words.add(hashes.astype(np.int64), learning)
                         own.grams.add(_runs_of([_lowered(t) for t in part], order)[0], learning)
@@ -294,18 +307,18 @@ def _scored(order: int, tokens: int, distinct: int, ends: int):
         hasher = WordHasher(BLANKS)
 
         def table(values: str, numbers: str, kind) -> tuple[np.ndarray, np.ndarray]:
-            keys = np.concatenate([np.zeros(0, np.int64), *[_unpack_sorted(v) for v in told.column(values).to_pylist()]])
-            found = np.concatenate([np.zeros(0, kind), *[_unpack(x, kind) for x in told.column(numbers).to_pylist()]])
+            keys = np.concatenate([np.zeros(0, np.int64), *[_unpack_sorted(v.as_py()) for v in told.column(values)]])
             by_key = np.argsort(keys)
-            return keys[by_key], found[by_key].astype(np.float64)
+            found = np.concatenate([np.zeros(0, kind), *[_unpack(x.as_py(), kind) for x in told.column(numbers)]])
+            return keys[by_key], found[by_key]
 
         def looked_up(values: np.ndarray, keys: np.ndarray, numbers: np.ndarray) -> np.ndarray:
             coded = pa.array(values).dictionary_encode()  # a search for each distinct value only
-            return numbers[np.searchsorted(keys, coded.dictionary.to_numpy())][coded.indices.to_numpy()]
+            return numbers[np.searchsorted(keys, coded.dictionary.to_numpy())].astype(np.float64)[coded.indices.to_numpy()]
 
         words, grams = table("words", "counts", np.int64), table("grams", "codes", np.float32)
         n_tokens, n_known, base, score = ([np.zeros(0)] for _ in range(4))
-        for part in in_slices(texts.column("text").to_pylist(), _SLICE):
+        for part in _text_slices(texts.column("text")):
             for counts, hashes in hasher.texts(part):
                 found = looked_up(hashes.astype(np.int64), *words)
                 owner = np.repeat(np.arange(len(counts)), counts)

@@ -3,9 +3,11 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,6 +208,25 @@ def test_context_trees(spark, order, block_bytes):
         assert r.score == pytest.approx(score, rel=1e-5, abs=1e-6)
 
 
+def test_texts_are_gathered_in_small_slices():
+    """Eight MB of texts with few distinct runs: what is held at once is that of a slice."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(200)]
+    texts = [" ".join(rng.choices(words, k=2000)) for _ in range(700)]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.zeros(700, np.int64)), pa.array([True] * 700), pa.array(texts)], ["block", "learns", "text"])
+    tracemalloc.start()
+    try:
+        packs = pa.Table.from_batches(list(ctw._gather(1, 2)([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 64 << 20
+    counts = Counter(w for text in texts for w in text.split())
+    assert sorted(ctw._of_packs(packs, "words", "counts")[1].tolist()) == sorted(counts.values())
+    assert ctw._of_packs(packs, "grams", "gram_counts")[1].sum() == sum(len(t) + 1 for t in texts)
+
+
+
 def test_code_of_nothing(spark):
     assert ctw.score_texts(_frame(spark, []), F.lit(True)).count() == 0
     only = ctw.score_texts(_frame(spark, [(1, None)]), F.lit(False)).collect()[0]
