@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from labelgap.operators import correlation, detector, drift, synthesis
@@ -125,6 +126,38 @@ def test_forests_fit_on_no_more_partitions_than_cores(spark, products, monkeypat
     assert detector.evaluate(model, products, NUTRIENTS).first()["accuracy"] > 0.9
 
 
+def test_trees_of_a_large_table_are_shared_out(spark, products, monkeypatch):
+    """Fits at once, each on fewer partitions than cores, whose trees are one forest."""
+    seen, fit = [], RandomForestClassifier.fit
+
+    def watched(estimator, rows):
+        seen.append((rows.rdd.getNumPartitions(), estimator.getNumTrees(), estimator.getSeed()))
+        return fit(estimator, rows)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", watched)
+    monkeypatch.setattr(detector, "SHARE_TREES_FROM", 1000)
+    cores = spark.sparkContext.defaultParallelism
+    model = detector.train_detector(products.repartition(cores), NUTRIENTS, n_trees=11, balanced=True)
+    n_fits = min(11, cores)
+    assert len(seen) == n_fits and {n for n, _, _ in seen} == {1} and sum(t for _, t, _ in seen) == 11 == model.getNumTrees
+    assert len({s for _, _, s in seen}) == n_fits
+    assert detector.evaluate(model, products, NUTRIENTS).first()["accuracy"] > 0.9
+    importance = model.featureImportances.toArray()
+    assert importance.sum() == pytest.approx(1) and importance[:2].sum() > 0.5
+    # Every tree has one vote.
+    scored = model.transform(detector._assembled(products, NUTRIENTS, ["code"])).select("code", vector_to_array("probability")[1], "prediction")
+    found = {r[0]: r[1:] for r in scored.collect()}
+    votes = dict.fromkeys(found, 0.0)
+    for part in model.parts:
+        for code, score in detector.predict(part, products, NUTRIENTS, ["code"]).select("code", "score").collect():
+            votes[code] += score * part.getNumTrees / 11
+    assert all(found[c][0] == pytest.approx(votes[c]) and (found[c][1] == 1) == (found[c][0] > 0.5) for c in votes)
+    monkeypatch.setattr(detector, "ROWS_PER_PARTITION", 500)
+    seen.clear()
+    detector.train_detector(products.repartition(cores), NUTRIENTS, n_trees=11)
+    assert all(n <= 3 for n, _, _ in seen) and len(seen) == max(1, min(11, cores // 3))
+
+
 def test_class_weights(spark, products):
     found = {r["target"]: r["weight"] for r in detector.class_weights(products).collect()}
     assert found == {0: pytest.approx(1200 / (2 * 1140)), 1: pytest.approx(1200 / (2 * 60))}
