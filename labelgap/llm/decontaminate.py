@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelgap.llm.grams import gram_rows
+from labelgap.llm.grouped import one_by_one
 from labelgap.llm.stages import numbered_texts, staged
 from labelgap.llm.words import NO_LETTERS, WordHasher
 from labelgap.operators.joins import broadcast_if_small
@@ -130,7 +131,7 @@ def contaminated(
 
         for batch in batches:
             rows, known = [], {}
-            for doc_id, text, pairs in zip(*(column.to_pylist() for column in batch.columns)):
+            for doc_id, text, pairs in zip(*map(one_by_one, batch.columns)):
                 own = words(text)
                 for pair in pairs:
                     item_id = pair["item_id"]

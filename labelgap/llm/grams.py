@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelgap.llm.grouped import one_by_one
 from labelgap.llm.words import WordHasher, runs
 from labelgap.operators.joins import fits_broadcast
 
@@ -24,7 +25,7 @@ def gram_rows(
         hasher = WordHasher(separators)
         for batch in batches:
             ids, at = batch.column(0), 0
-            for counts, hashes in hasher.texts(batch.column(1).to_pylist()):
+            for counts, hashes in hasher.texts(one_by_one(batch.column(1))):
                 per_text, found = runs(counts, hashes, k)
                 starts = np.cumsum(per_text) - per_text
                 places = np.arange(len(found)) - np.repeat(starts, per_text)

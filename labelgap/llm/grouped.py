@@ -25,6 +25,11 @@ def chunk_pairs(rows: DataFrame, key: str, member: Column, count: Column, chunk_
     return dealt.repartition(key, "low", "high").sortWithinPartitions(key, "low", "high")
 
 
+def one_by_one(column: pa.Array) -> Iterator:
+    """The values of a column one by one: a batch of texts never stands as Python objects as a whole."""
+    return (value.as_py() for value in column)
+
+
 def groups(batches: Iterable[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
     """The consecutive rows that agree in ``keys``, one table each, from rows sorted by them."""
     held: list[pa.Table] = []

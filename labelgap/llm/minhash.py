@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelgap.llm.components import components
-from labelgap.llm.grouped import chunk_pairs, groups
+from labelgap.llm.grouped import chunk_pairs, groups, one_by_one
 from labelgap.llm.stages import numbered_texts, staged, unstage
 from labelgap.llm.words import BLANKS, WordHasher, distinct_runs, mixed
 
@@ -94,7 +94,7 @@ def sketches(df: DataFrame, k: int = 5, rows_per_band: int = ROWS_PER_BAND, id_c
         hasher = WordHasher(BLANKS)
         for batch in batches:
             sizes, a, b, bands, bins = [], [], [], [], []
-            for counts, hashes in hasher.texts(batch.column(1).to_pylist()):
+            for counts, hashes in hasher.texts(one_by_one(batch.column(1))):
                 for shingles in distinct_runs(counts, hashes, k):
                     sizes.append(len(shingles))
                     a.append(int(shingles.sum(dtype=np.uint64).astype(np.int64)))
@@ -147,7 +147,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
 
         for batch in batches:
             good = []
-            for _, b, text_a, text_b in zip(*(column.to_pylist() for column in batch.columns)):
+            for _, b, text_a, text_b in zip(*map(one_by_one, batch.columns)):
                 if b != last_id:  # the rows of one star's centre come together
                     last_id, last_text, last_set = b, text_b, whole(text_b)
                 elif text_b != last_text:

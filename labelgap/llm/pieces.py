@@ -80,11 +80,14 @@ class PieceIds:
     """Ids of texts by way of their pieces.
 
     ``split`` gives the pieces of a text; ``encode`` gives, for a list of pieces, all their ids
-    in order and how many each has.
+    in order and how many each has. Beyond ``most`` pieces they are forgotten; a worker lives on, and holds what is remembered
+    while it runs the tasks of other stages.
     """
 
-    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self._split, self._encode = split, encode
+    def __init__(
+        self, split: Callable[[str], list[str]], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = REMEMBERED_PIECES
+    ):
+        self._split, self._encode, self._most = split, encode, most
         self._forget()
 
     def _forget(self) -> None:
@@ -94,7 +97,7 @@ class PieceIds:
 
     def ids(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids of each text; a missing text is an empty one."""
-        if len(self._numbers) > REMEMBERED_PIECES or self._characters > REMEMBERED_CHARACTERS:
+        if len(self._numbers) > self._most or self._characters > REMEMBERED_CHARACTERS:
             self._forget()
         number = self._numbers.__getitem__
         found = [list(map(number, self._split(text))) if text else [] for text in texts]

@@ -25,7 +25,9 @@ from labelgap.llm.stages import numbered_texts
 from labelgap.llm.worker import kept
 
 #: Answers about pairs of tokens that a worker keeps before it starts anew.
-REMEMBERED_PAIRS = 400_000
+REMEMBERED_PAIRS = 100_000
+#: Pieces that a worker remembers; its tasks of other stages pay for them, too.
+REMEMBERED_PIECES = 150_000
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Tokens and their ranks from a rank file (base64 token, blank, rank)."""
@@ -179,7 +181,7 @@ def loaded(path: str, pattern: str) -> tuple[PrefixBpe, PieceIds]:
             found = [bpe.encode_piece(piece.encode()) for piece in pieces]
             return np.array([i for ids in found for i in ids], dtype=np.uint32), np.fromiter(map(len, found), np.int64, len(found))
 
-        return bpe, PieceIds(bpe.split.pieces, encode)
+        return bpe, PieceIds(bpe.split.pieces, encode, REMEMBERED_PIECES)
 
     return kept(("prefix_bpe", path, pattern), build)
 

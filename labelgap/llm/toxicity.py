@@ -34,6 +34,8 @@ _MASK_BITS = 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes looked at together; a longer text is taken in overlapping parts.
 _PART_BYTES = 1 << 22
+#: Runs that are gathered before equal ones are counted together.
+_MERGED_AT = 1 << 19
 
 
 def byte_runs(text: str | None) -> np.ndarray:
@@ -182,10 +184,10 @@ def _associated(sample: DataFrame, n_categories: int, per_category: int) -> np.n
 
         def merged():
             values, where = np.unique(np.concatenate(keys), return_inverse=True)
-            both = np.concatenate(counts)
-            return values, np.column_stack([np.bincount(where, both[:, j], len(values)) for j in range(both.shape[1])])
+            columns = [np.bincount(where, np.concatenate([c[:, j] for c in counts]), len(values)) for j in range(len(names))]
+            return values, np.column_stack(columns)
 
-        size = 0
+        size, limit = 0, _MERGED_AT
         for batch in batches:
             marks = np.column_stack([np.ones(batch.num_rows), *[batch.column(2 + i).to_numpy() for i in range(n_categories)]])
             for text, mark in zip(batch.column(1).to_pylist(), marks):
@@ -193,9 +195,9 @@ def _associated(sample: DataFrame, n_categories: int, per_category: int) -> np.n
                 keys.append(own)
                 counts.append(np.broadcast_to(mark, (len(own), len(mark))))
                 size += len(own)
-                if size > 1 << 21:
+                if size > limit:
                     values, sums = merged()
-                    keys, counts, size = [values], [sums], len(values) // 2
+                    keys, counts, size, limit = [values], [sums], 0, max(_MERGED_AT, len(values))
         if keys:
             values, sums = merged()
             for at in range(0, len(values), 1 << 16):

@@ -11,7 +11,7 @@ BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 NO_LETTERS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 
 #: Bytes that are hashed at once; longer texts are cut between words.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
